@@ -31,7 +31,7 @@ def _with_copies(net: DataFrame) -> DataFrame:
     """
     partitions = int(net.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     count = F.abs(F.col(_COPIES))
-    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((count - 1) / COPIES_PER_CHUNK).cast("bigint"))
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(abs({_COPIES}) - 1) div {COPIES_PER_CHUNK}"))
     in_chunk = F.least(F.lit(COPIES_PER_CHUNK).cast("bigint"), count - F.col(_CHUNK) * COPIES_PER_CHUNK)
     spread = net.withColumn(_CHUNK, F.explode(chunks)).repartition(partitions)
     return spread.withColumn(_CHUNK, F.explode(F.sequence(F.lit(1).cast("bigint"), in_chunk))).drop(_COPIES, _CHUNK)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _PART, _KEY = "_input_partition", "_cluster_key"
+_SKETCH_GROUPS, _ACCURACY = 256, 1000
 
 
 def cluster_rows(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -23,14 +24,21 @@ def cluster_rows(df: DataFrame, columns: Sequence[str], partitions: int | None =
     return ranged.drop(_PART).sortWithinPartitions(*columns)
 
 
-def quantile_bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list]:
-    """Approximate quantiles that cut each column into equal buckets, in one pass.
+def quantile_bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list[str]]:
+    """Approximate quantiles, as text, that cut each column into about equal buckets, in one pass.
 
-    Only ``buckets - 1`` values per column reach the driver, whatever the size of the data.
+    Two levels, so that no task merges the sketches of every input task: quantiles of groups of
+    input partitions first, then quantiles of those. Only ``buckets - 1`` values per column reach
+    the driver. The bounds shape the layout and have no bearing on results.
     """
+    fine = [i / (4 * buckets) for i in range(4 * buckets + 1)]
     cuts = [i / buckets for i in range(1, buckets)]
-    row = df.agg(*[F.percentile_approx(c, cuts, 1000).cast("array<string>").alias(c) for c in columns]).first()
-    return {c: sorted(set(row[c] or []), key=(row[c] or []).index) for c in columns}
+    group = F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS))
+    sketches = df.select(*columns, group.alias(_PART)).groupBy(_PART)
+    parts = sketches.agg(*[F.percentile_approx(c, fine, _ACCURACY).alias(c) for c in columns])
+    points = parts.select(F.inline(F.arrays_zip(*columns)))
+    row = points.agg(*[F.percentile_approx(c, cuts, _ACCURACY).cast("array<string>").alias(c) for c in columns]).first()
+    return {c: list(dict.fromkeys(row[c] or [])) for c in columns}
 
 
 def morton_key(df: DataFrame, columns: Sequence[str], bits: int = 4) -> Column:

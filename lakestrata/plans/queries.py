@@ -90,9 +90,9 @@ def bronze_strict(spark, sf_dir):
 
 @query
 def bronze_lenient(spark, sf_dir):
-    df = landing.ingest(spark, landed(spark, sf_dir), [*SPEC.files, "not_landed.parquet"], mode="lenient")
-    month = F.regexp_extract("source_file", r"-(\d\d)\.parquet$", 1)
-    return files.add_period_tag(df, month).drop("ingestion_timestamp", "source_file")
+    # One month more than has landed: the absent file is skipped.
+    spec = plan.Spec(year=SPEC.year, months=(1, SPEC.months[1] + 1))
+    return plan.lenient(spark, landed(spark, sf_dir), spec).drop("source_file")
 
 
 @query
@@ -371,11 +371,15 @@ def namespaces(spark, sf_dir):
 
 @query
 def dataset_properties(spark, sf_dir):
-    spec, frames = refreshed(spark, sf_dir), []
-    for layer in plan.NAMESPACES:
-        one = catalog.dataset_properties(spark, spec.table(layer)).filter(F.col("key").isin("quality", "comment"))
-        frames.append(one.withColumn("layer", F.lit(layer)).join(_stored_rows(spark, spec, layer), "layer"))
-    return unions.union_strict(frames)
+    spec = refreshed(spark, sf_dir)
+    found = unions.union_strict(
+        [
+            catalog.dataset_properties(spark, spec.table(layer)).withColumn("layer", F.lit(layer))
+            for layer in plan.NAMESPACES
+        ]
+    )
+    rows = unions.union_strict([_stored_rows(spark, spec, layer) for layer in plan.NAMESPACES])
+    return found.filter(F.col("key").isin("quality", "comment")).join(rows, "layer")
 
 
 @query

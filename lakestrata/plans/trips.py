@@ -9,15 +9,18 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakestrata.functions import add_calendar
 from lakestrata.operators.metrics import hourly_profile, metrics_sql, monthly_avg_revenue, trip_summary
 from lakestrata.operators.rules import apply_rules
 from lakestrata.sources.catalog import Dataset, View, ensure_namespaces, refresh
+from lakestrata.sources.files import add_period_tag
 from lakestrata.sources.landing import ingest
 
 # Existing landing folders, queries and dashboards depend on these names, types and bounds.
 FILE_NAME = "yellow_tripdata_{year}-{month:02d}.parquet"
+PERIOD = r"-(\d\d)\.parquet$"
 YEAR = 2023
 MONTHS = (1, 5)
 TIMESTAMP = "tpep_pickup_datetime"
@@ -50,6 +53,7 @@ NAMESPACES = {
     "gold": "Gold layer - aggregated business metrics",
 }
 BRONZE, SILVER, GOLD = "bronze_yellow_taxi", "silver_yellow_taxi", "gold_yellow_taxi"
+LENIENT = "nyc_taxi_trips"
 MONTHLY_VIEW, HOURLY_VIEW = "monthly_avg_revenue", "may_hourly_avg_passengers"
 EXPECTED_ROWS_PER_MONTH = 3_000_000
 
@@ -86,12 +90,19 @@ class Spec:
         return f"{self.catalog}.{name}" if self.catalog else name
 
     def table(self, layer: str) -> str:
-        return f"{self.namespace(layer)}.{ {'bronze': BRONZE, 'silver': SILVER, 'gold': GOLD}[layer] }"
+        names = {"bronze": BRONZE, "silver": SILVER, "gold": GOLD}
+        return f"{self.namespace(layer)}.{names[layer]}"
 
 
-def bronze(spark: SparkSession, landing: str, spec: Spec, mode: str = "strict") -> DataFrame:
+def bronze(spark: SparkSession, landing: str, spec: Spec) -> DataFrame:
     """All landed rows under one schema, with provenance."""
-    return ingest(spark, landing, spec.files, CASTS, mode)
+    return ingest(spark, landing, spec.files, CASTS)
+
+
+def lenient(spark: SparkSession, landing: str, spec: Spec) -> DataFrame:
+    """The rows of whichever files have landed, types widened as found, tagged with the file's month."""
+    rows = ingest(spark, landing, spec.files, mode="lenient")
+    return add_period_tag(rows, F.regexp_extract("source_file", PERIOD, 1)).drop("ingestion_timestamp")
 
 
 def with_calendar(df: DataFrame) -> DataFrame:
@@ -143,6 +154,11 @@ def datasets(spec: Spec, landing: str) -> list[Dataset]:
     ]
 
 
+def lenient_dataset(spec: Spec, landing: str) -> Dataset:
+    """The looser ingestion as a bronze table of its own."""
+    return Dataset(f"{spec.namespace('bronze')}.{LENIENT}", lambda spark: lenient(spark, landing, spec))
+
+
 def views(spec: Spec) -> list[View]:
     """The monthly and the hourly view over silver."""
     source, gold_layer = spec.table("silver"), spec.namespace("gold")

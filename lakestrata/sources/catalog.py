@@ -28,9 +28,10 @@ def ensure_namespaces(spark: SparkSession, namespaces: Mapping[str, str], locati
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} COMMENT {_text(comment)}{place}")
 
 
-def list_namespaces(spark: SparkSession, pattern: str = "*") -> DataFrame:
+def list_namespaces(spark: SparkSession, pattern: str = "*", catalog: str | None = None) -> DataFrame:
     """Namespaces matching a pattern; ``|`` separates alternatives and ``*`` stands for any text."""
-    return spark.sql(f"SHOW SCHEMAS LIKE {_text(pattern)}")
+    place = f" IN {catalog}" if catalog else ""
+    return spark.sql(f"SHOW SCHEMAS{place} LIKE {_text(pattern)}")
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
