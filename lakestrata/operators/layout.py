@@ -35,7 +35,8 @@ def quantile_bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict
     cuts = [i / buckets for i in range(1, buckets)]
     group = F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS))
     sketches = df.select(*columns, group.alias(_PART)).groupBy(_PART)
-    parts = sketches.agg(*[F.percentile_approx(c, fine, _ACCURACY).alias(c) for c in columns])
+    # A group without values has no quantiles; an empty list keeps the other columns' points.
+    parts = sketches.agg(*[F.coalesce(F.percentile_approx(c, fine, _ACCURACY), F.array()).alias(c) for c in columns])
     points = parts.select(F.inline(F.arrays_zip(*columns)))
     row = points.agg(*[F.percentile_approx(c, cuts, _ACCURACY).cast("array<string>").alias(c) for c in columns]).first()
     return {c: list(dict.fromkeys(row[c] or [])) for c in columns}
