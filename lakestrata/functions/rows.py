@@ -14,7 +14,7 @@ def literal_rows(spark: SparkSession, column: str, values: Sequence[str]) -> Dat
     return spark.range(1).select(F.explode(items).alias(column))
 
 
-def to_rows(one_row: DataFrame, rows: Sequence[Mapping[str, Column]]) -> DataFrame:
-    """Turn one aggregated row into several rows of the same shape."""
+def to_rows(wide: DataFrame, rows: Sequence[Mapping[str, Column]], keys: Sequence[str] = ()) -> DataFrame:
+    """Turn each aggregated row into several rows of the same shape, led by its keys."""
     structs = [F.struct(*[value.alias(name) for name, value in row.items()]) for row in rows]
-    return one_row.select(F.inline(F.array(*structs)))
+    return wide.select(*keys, F.inline(F.array(*structs)))

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _PART, _KEY = "_input_partition", "_cluster_key"
-_SKETCH_GROUPS, _ACCURACY = 256, 1000
+_SKETCH_GROUPS = 256
 
 
 def cluster_rows(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -24,44 +25,63 @@ def cluster_rows(df: DataFrame, columns: Sequence[str], partitions: int | None =
     return ranged.drop(_PART).sortWithinPartitions(*columns)
 
 
-def quantile_bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list[str]]:
-    """Approximate quantiles, as text, that cut each column into about equal buckets, in one pass.
+def as_number(df: DataFrame, column: str) -> Column:
+    """A number in the order of the column's values: numbers, dates and timestamps have one."""
+    type_ = df.schema[column].dataType
+    if isinstance(type_, T.DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(type_, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    if isinstance(type_, (T.NumericType, T.BooleanType)):
+        return F.col(column).cast("double")
+    raise TypeError(f"cannot order {column} of type {type_.simpleString()} by number")
 
-    Two levels, so that no task merges the sketches of every input task: quantiles of groups of
-    input partitions first, then quantiles of those. Only ``buckets - 1`` values per column reach
-    the driver. The bounds shape the layout and have no bearing on results.
+
+def quantile_bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list[float]]:
+    """Approximate quantiles, as numbers, that cut each column into about equal buckets, in one pass.
+
+    The sketches are merged in two levels, so that no task merges those of every input task. Only
+    ``buckets - 1`` values per column reach the driver. The bounds shape the layout and have no
+    bearing on results.
     """
-    fine = [i / (4 * buckets) for i in range(4 * buckets + 1)]
-    cuts = [i / buckets for i in range(1, buckets)]
-    group = F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS))
-    sketches = df.select(*columns, group.alias(_PART)).groupBy(_PART)
-    # A group without values has no quantiles; an empty list keeps the other columns' points.
-    parts = sketches.agg(*[F.coalesce(F.percentile_approx(c, fine, _ACCURACY), F.array()).alias(c) for c in columns])
-    points = parts.select(F.inline(F.arrays_zip(*columns)))
-    row = points.agg(*[F.percentile_approx(c, cuts, _ACCURACY).cast("array<string>").alias(c) for c in columns]).first()
-    return {c: list(dict.fromkeys(row[c] or [])) for c in columns}
+    cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    names = [f"q{i}" for i in range(len(columns))]
+    numbers = df.select(
+        F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias(_PART),
+        *[as_number(df, c).alias(name) for c, name in zip(columns, names)],
+    )
+    sketches = numbers.groupBy(_PART).agg(*[F.kll_sketch_agg_double(name).alias(name) for name in names])
+    whole = sketches.agg(*[F.kll_merge_agg_double(name).alias(name) for name in names])
+    some = [F.when(F.kll_sketch_get_n_double(name) > 0, F.col(name)) for name in names]
+    row = whole.select(*[F.kll_sketch_get_quantile_double(s, cuts).alias(n) for s, n in zip(some, names)]).first()
+    return {c: list(dict.fromkeys(row[name] or [])) for c, name in zip(columns, names)}
 
 
-def morton_key(df: DataFrame, columns: Sequence[str], bits: int = 4) -> Column:
-    """A key that interleaves the bits of each column's quantile bucket; null falls in bucket 0.
+def with_morton_key(df: DataFrame, columns: Sequence[str], name: str, bits: int = 4) -> DataFrame:
+    """Add a key that interleaves the bits of each column's quantile bucket; null falls in bucket 0.
 
-    Columns are numbers, dates or timestamps. Near keys mean near values in all columns at once.
+    Near keys mean near values in all columns at once.
     """
     if bits * len(columns) > 62:
         raise ValueError("the bits of all columns together must fit in 62")
     bounds = quantile_bounds(df, columns, 2**bits)
-    key = F.lit(0).cast("bigint")
-    for position, c in enumerate(columns):
-        type_ = df.schema[c].dataType
-        above = [(F.col(c) > F.lit(bound).cast(type_)).cast("int") for bound in bounds[c]]
-        bucket = F.coalesce(sum(above, F.lit(0)), F.lit(0)).cast("bigint")
-        for bit in range(bits):
-            value = F.shiftright(bucket, bit).bitwiseAND(F.lit(1).cast("bigint"))
-            key = key.bitwiseOR(F.shiftleft(value, bit * len(columns) + position))
-    return key
+    buckets = [f"{name}_{i}" for i in range(len(columns))]
+    # One projection for the numbers, one for the buckets, one for the bits: each is computed once per row.
+    df = df.withColumns({bucket: as_number(df, c) for c, bucket in zip(columns, buckets)})
+    df = df.withColumns({bucket: _bucket_number(bucket, bounds[c]) for c, bucket in zip(columns, buckets)})
+    bit_values = [
+        f"shiftleft(shiftright({bucket}, {bit}) & 1L, {bit * len(columns) + position})"
+        for position, bucket in enumerate(buckets)
+        for bit in range(bits)
+    ]
+    return df.withColumn(name, F.expr(" | ".join(bit_values))).drop(*buckets)
+
+
+def _bucket_number(column: str, bounds: Sequence[float]) -> Column:
+    steps = "".join(f" WHEN {column} <= double('{bound}') THEN {i}L" for i, bound in enumerate(bounds))
+    return F.expr(f"CASE WHEN {column} IS NULL THEN 0L{steps} ELSE {len(bounds)}L END")
 
 
 def cluster_multi(df: DataFrame, columns: Sequence[str], bits: int = 4, partitions: int | None = None) -> DataFrame:
     """Cluster on several columns at once, so that a filter on any of them skips files."""
-    keyed = df.withColumn(_KEY, morton_key(df, columns, bits))
-    return cluster_rows(keyed, [_KEY], partitions).drop(_KEY)
+    return cluster_rows(with_morton_key(df, columns, _KEY, bits), [_KEY], partitions).drop(_KEY)

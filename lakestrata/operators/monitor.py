@@ -49,11 +49,14 @@ def volume_check(
     return counts.withColumn("status", status)
 
 
-def quality_metrics(df: DataFrame, columns: Sequence[str], rules: Rules) -> DataFrame:
-    """``metric, value``: the row count, the null rate of each column and the failure rate of each rule, in one pass."""
+def quality_metrics(df: DataFrame, columns: Sequence[str], rules: Rules, by: Sequence[str] = ()) -> DataFrame:
+    """``metric, value``: the row count, the null rate of each column and the failure rate of each rule.
+
+    One pass gives the metrics of the whole, or of every group of ``by``, such as each month or file.
+    """
     share = {f"null_rate.{c}": F.col(c).isNull() for c in columns}
     share |= {f"fail_rate.{name}": ~passes(p) for name, p in rules.items()}
-    totals = df.agg(
+    totals = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(test).alias(f"m{i}") for i, test in enumerate(share.values())]
     )
     rows = [{"metric": F.lit("rows"), "value": F.col("n").cast("double")}]
@@ -61,7 +64,7 @@ def quality_metrics(df: DataFrame, columns: Sequence[str], rules: Rules) -> Data
         {"metric": F.lit(name), "value": F.try_divide(F.col(f"m{i}").cast("double"), F.col("n"))}
         for i, name in enumerate(share)
     ]
-    return to_rows(totals, rows)
+    return to_rows(totals, rows, by)
 
 
 def quality_drift(current: DataFrame, baseline: DataFrame, tol: float) -> DataFrame:

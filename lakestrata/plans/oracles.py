@@ -254,6 +254,7 @@ ORACLES: dict[str, str] = {
       round(sum(fare_amount) / nullif(sum(trip_distance), 0), 4) AS fare_per_distance FROM silver GROUP BY 1)
       SELECT *, CAST(dense_rank() OVER (ORDER BY total_trips DESC) AS INTEGER) AS trips_rank FROM hours""",
     "refresh_layers": _GOLD,
+    "refresh_new_files": _GOLD,
     "view_monthly": f"{TRIPS} {_monthly('silver')}",
     "view_hourly": f"{TRIPS} {_hourly('silver')}",
     "namespaces": f"{TRIPS}, {_LAYER_ROWS} SELECT layer, n_rows FROM layer_rows",

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from lakestrata.functions import add_calendar
 from lakestrata.operators.metrics import hourly_profile, metrics_sql, monthly_avg_revenue, trip_summary
 from lakestrata.operators.rules import apply_rules
-from lakestrata.sources.catalog import Dataset, View, ensure_namespaces, refresh
+from lakestrata.sources.catalog import Dataset, View, ensure_namespaces, publish, refresh
 from lakestrata.sources.files import add_period_tag
-from lakestrata.sources.landing import ingest
+from lakestrata.sources.landing import ingest, ingest_new, unprocessed
 
 # Existing landing folders, queries and dashboards depend on these names, types and bounds.
 FILE_NAME = "yellow_tripdata_{year}-{month:02d}.parquet"
@@ -64,7 +64,7 @@ class Spec:
 
     year: int = YEAR
     months: tuple[int, int] = MONTHS
-    namespaces: Mapping[str, str] = None
+    namespaces: Mapping[str, str] | None = None
     catalog: str | None = None
     partition_by: Sequence[str] = ()
 
@@ -191,3 +191,19 @@ def refresh_trips(spark: SparkSession, spec: Spec, landing: str, location: str |
     """Create the namespaces and recompute all tables and views."""
     ensure_namespaces(spark, {spec.namespace(layer): note for layer, note in NAMESPACES.items()}, location)
     return refresh(spark, datasets(spec, landing), views(spec))
+
+
+def refresh_new_trips(spark: SparkSession, spec: Spec, landing: str) -> dict[str, DataFrame]:
+    """Bring stored layers up to date with newly landed files, without reading the old files again.
+
+    New files are appended to bronze, bronze files without rows in silver are cleaned and appended
+    there, and gold is recomputed. A run that stopped half-way is completed by the next one.
+    """
+    bronze_table, silver_table = spec.table("bronze"), spec.table("silver")
+    ingest_new(spark, landing, bronze_table, spec.files, CASTS)
+    pending = unprocessed(spark, bronze_table, silver_table)
+    if pending:
+        # The name is the same in all rows of a file, so the scan skips the other files' row groups.
+        rows = spark.table(bronze_table).filter(F.col("source_file").isin(pending))
+        publish(silver(rows, spec), silver_table, mode="append", partition_by=spec.partition_by)
+    return refresh(spark, datasets(spec, landing)[2:], views(spec))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ FOOTER_SCHEMA = (
 def _footer_reader():
     # A closure with its imports inside travels to the executors by value, so the package
     # need not be installed there.
-    columns = [part.split()[0] for part in ("entry string", "path string", "n_rows bigint", "fields array")]
+    columns = ["entry", "path", "n_rows", "fields"]
 
     def read(batches):
         from urllib.parse import quote
@@ -78,9 +80,15 @@ def _footer_reader():
     return read
 
 
-def read_footers(spark: SparkSession, landing: str) -> DataFrame:
-    """One row per physical file: ``entry, path, n_rows, fields``. No row data is read."""
-    return list_files(spark, landing).select("entry", "path").mapInArrow(_footer_reader(), FOOTER_SCHEMA)
+def read_footers(spark: SparkSession, landing: str, names: Sequence[str] | None = None) -> DataFrame:
+    """One row per physical file of the named entries, or of all: ``entry, path, n_rows, fields``.
+
+    No row data is read, and no footer of an entry that is not asked for.
+    """
+    files = list_files(spark, landing).select("entry", "path")
+    if names is not None:
+        files = files.filter(F.col("entry").isin([f"{landing.rstrip('/')}/{name}" for name in names]))
+    return files.mapInArrow(_footer_reader(), FOOTER_SCHEMA)
 
 
 def schema_report(footer_rows: DataFrame) -> DataFrame:

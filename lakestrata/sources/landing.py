@@ -37,15 +37,15 @@ class SchemaGroup:
 def schema_groups(footer_rows: DataFrame, landing: str, names: Sequence[str] | None = None) -> list[SchemaGroup]:
     """Group entries by their set of (lowercase name, type); order and case may differ inside a group.
 
+    Groups come in the order of ``names``, and the first entry of a group gives its column order.
+
     The driver receives one row per distinct schema with the names of its entries, which the scan
     needs on the driver in any case, and never a row of data. An entry whose part files disagree
     is listed file by file.
     """
-    root = landing.rstrip("/")
     rank = F.lit(0)
     if names is not None:
-        wanted = [f"{root}/{name}" for name in names]
-        footer_rows = footer_rows.filter(F.col("entry").isin(wanted))
+        wanted = [f"{landing.rstrip('/')}/{name}" for name in names]
         rank = F.array_position(F.lit(wanted).cast("array<string>"), F.col("entry"))
     pairs = F.transform("fields", lambda f: F.struct(F.lower(f["column"]).alias("c"), f["type"].alias("t")))
     keyed = footer_rows.withColumns({"key": F.array_sort(pairs), "rank": F.struct(rank, "entry", "path")})
@@ -110,7 +110,8 @@ def _source_column(group: SchemaGroup, landing: str) -> str | Column:
 
 def _scan(spark: SparkSession, group: SchemaGroup, landing: str) -> DataFrame:
     schema = ", ".join(f"`{name.replace('`', '``')}` {type_}" for name, type_ in group.fields)
-    return add_provenance(spark.read.schema(schema).parquet(*group.paths), _source_column(group, landing))
+    rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*group.paths)
+    return add_provenance(rows, _source_column(group, landing))
 
 
 def ingest(
@@ -133,7 +134,7 @@ def ingest(
         raise ValueError(f"mode is strict or lenient, not {mode}")
     if spark.conf.get("spark.sql.caseSensitive") == "true":
         raise ValueError("ingest matches columns without regard to case: set spark.sql.caseSensitive to false")
-    groups = schema_groups(read_footers(spark, landing), landing, names)
+    groups = schema_groups(read_footers(spark, landing, names), landing, names)
     if names is not None and mode == "strict":
         found = {entry for group in groups for entry in group.entries}
         absent = [name for name in names if f"{landing.rstrip('/')}/{name}" not in found]
@@ -168,7 +169,17 @@ def new_entries(spark: SparkSession, landing: str, table: str, names: Sequence[s
         stored = spark.table(table).select(F.col("source_file").alias("path")).distinct()
         landed = landed.join(stored, "path", "left_anti")
     prefix = len(landing.rstrip("/")) + 1
-    return [row["path"][prefix:] for row in landed.select("path").orderBy("path").collect()]
+    return sorted(row["path"][prefix:] for row in landed.select("path").collect())
+
+
+def unprocessed(spark: SparkSession, source: str, target: str) -> list[str]:
+    """Source files with rows in one table and none in the other.
+
+    A file all of whose rows were rejected stays in the list; processing it again adds nothing.
+    """
+    wanted = spark.table(source).select("source_file").distinct()
+    done = spark.table(target).select("source_file").distinct()
+    return sorted(row["source_file"] for row in wanted.join(done, "source_file", "left_anti").collect())
 
 
 def ingest_new(

@@ -1,27 +1,33 @@
+from dataclasses import replace
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from lakestrata.plans.binding import SPEC, write_landing
 from lakestrata.plans.trips import (
+    CASTS,
     HOURLY_VIEW,
     MONTHLY_VIEW,
     NAMESPACES,
     Spec,
     lenient_dataset,
+    refresh_new_trips,
     refresh_trips,
 )
-from lakestrata.session import scratch_path
+from lakestrata.session import scratch_path, sql_conf
 from lakestrata.sources import (
     create_view,
     dataset_properties,
     describe_dataset,
     ensure_namespaces,
+    ingest_new,
     list_namespaces,
     publish,
     read_table,
     refresh,
 )
+from lakestrata.sources.landing import unprocessed
 
 
 @pytest.fixture(scope="module")
@@ -141,6 +147,35 @@ def test_partitioned_layers_hold_the_same_rows(spark, landing, stored):
     assert "PartitionFilters: [isnotnull(pickup_month#" in view._jdf.queryExecution().executedPlan().toString()
 
 
+def test_new_files_reach_all_layers(spark, landing, stored):
+    full, _ = stored
+    spec = Spec(year=SPEC.year, namespaces={layer: f"new_{layer}" for layer in NAMESPACES})
+    refresh_trips(spark, replace(spec, months=(1, 2)), landing, scratch_path(spark, "tables"))
+    # A run that stopped after bronze: the next one completes silver and gold.
+    ingest_new(spark, landing, spec.table("bronze"), SPEC.files[:3], CASTS)
+    assert unprocessed(spark, spec.table("bronze"), spec.table("silver")) == [f"{landing}/{SPEC.files[2]}"]
+    for _ in range(2):
+        refresh_new_trips(spark, spec, landing)
+        for layer in NAMESPACES:
+            ours, theirs = (spark.table(s.table(layer)).drop("ingestion_timestamp") for s in (spec, full))
+            if layer == "gold":
+                ours, theirs = (df.withColumn("total_revenue", F.round("total_revenue", 2)) for df in (ours, theirs))
+            assert ours.count() == theirs.count() and ours.exceptAll(theirs).isEmpty()
+
+
+def test_a_hot_partition_is_written_by_several_tasks(spark, space):
+    n = 60_000
+    df = spark.range(0, n, numPartitions=16).select(
+        "id", F.sha2(F.col("id").cast("string"), 512).alias("text"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7).alias("m")
+    )
+    with sql_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB"}):
+        out = publish(df, f"{space}.hot", partition_by=["m"])
+    files = out.groupBy("m", "_metadata.file_path").count().groupBy("m").agg(F.count("*"), F.sum("count")).collect()
+    found = {r["m"]: (r[1], r[2]) for r in files}
+    assert sum(total for _, total in found.values()) == n
+    assert found[0][0] >= 3  # files of the hot partition
+
+
 def test_lenient_table(spark, landing, stored):
     spec, _ = stored
     dataset = lenient_dataset(spec, landing)

@@ -76,7 +76,7 @@ def test_strict_ingestion_joins_drifted_files(spark, drifted):
 
 
 def test_one_scan_per_distinct_schema(spark, drifted):
-    groups = schema_groups(read_footers(spark, drifted), drifted, NAMES)
+    groups = schema_groups(read_footers(spark, drifted, NAMES), drifted, NAMES)
     assert [len(g.entries) for g in groups] == [1, 2]
     plan = ingest(spark, drifted, NAMES, SIMPLE)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 2
@@ -272,3 +272,43 @@ def test_drift_fixture_loses_nothing(spark, sf_dir, folder):
     for df in (ingest(spark, folder, SPEC.files, CASTS), ingest(spark, folder, mode="lenient")):
         df = df.select(*bound.columns)
         assert df.count() == 6000 and df.exceptAll(bound).isEmpty() and bound.exceptAll(df).isEmpty()
+
+
+def test_footer_reader_needs_no_package_on_the_executors(spark, drifted, tmp_path):
+    """Executors get the reader by value: a process that cannot import the package runs it."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    from pyspark import cloudpickle
+
+    from lakestrata.sources.footers import _footer_reader
+
+    (tmp_path / "reader.pickle").write_bytes(cloudpickle.dumps(_footer_reader()))
+    file = next(Path(drifted).glob("a.parquet/*.parquet"))
+    script = f"""
+import pickle, sys, pyarrow as pa
+assert not any("{Path(__file__).parents[1]}" == p for p in sys.path)
+read = pickle.load(open("reader.pickle", "rb"))
+batch = pa.RecordBatch.from_pydict({{"entry": ["e"], "path": ["file:{file}"]}})
+print([f["column"] for f in next(iter(read([batch]))).column(3).to_pylist()[0]])
+"""
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True)
+    assert done.stdout.strip() == "['ID', 'Amount', 't']", done.stderr
+
+
+def test_only_footers_of_named_entries_are_read(spark, drifted):
+    from pathlib import Path
+
+    Path(f"{drifted}/broken.parquet").write_bytes(b"not parquet")
+    assert ingest(spark, drifted, NAMES, SIMPLE).count() == 4
+    with pytest.raises(PySparkException):
+        ingest(spark, drifted, casts=SIMPLE)
+
+
+def test_folders_inside_an_entry(spark, folder):
+    save(spark, f"{folder}/a.parquet/day=1", "id bigint, amount double", (1, 1.0))
+    save(spark, f"{folder}/a.parquet/day=2", "id bigint, amount double", (2, 2.0))
+    df = ingest(spark, folder, casts=SIMPLE)
+    assert df.columns == ["id", "amount", "ingestion_timestamp", "source_file"]
+    assert rows(df, "id", "source_file") == [(1, f"{folder}/a.parquet"), (2, f"{folder}/a.parquet")]

@@ -60,6 +60,16 @@ def test_quality_and_drift(spark):
     assert lone.baseline is None and lone.drifted
 
 
+def test_quality_by_group(spark):
+    df = frame(spark, [("a", 1, 1), ("a", 1, None), ("b", 1, 5)])
+    assert rows(quality_metrics(df, ["x"], {}, by=["source_file"])) == [
+        ("a", "null_rate.x", 0.5),
+        ("a", "rows", 2.0),
+        ("b", "null_rate.x", 0.0),
+        ("b", "rows", 1.0),
+    ]
+
+
 def test_quality_of_nothing(spark):
     assert rows(quality_metrics(frame(spark, []), ["x"], RULES)) == [
         ("fail_rate.positive", None),
