@@ -269,8 +269,7 @@ ORACLES: dict[str, str] = {
     "cluster_multi": f"{TRIPS} SELECT * FROM cal",
     "changes_bag": f"{_REVISED} {_bag('orders', 'revised')}",
     "changes_keyed": f"""{_REVISED}, changed AS ({_bag('orders', 'revised')}),
-      both_sides AS (SELECT o.o_orderkey FROM orders o FULL JOIN revised r ON o.o_orderkey = r.o_orderkey
-                     WHERE o.o_orderkey IS NOT NULL AND r.o_orderkey IS NOT NULL)
+      both_sides AS (SELECT o_orderkey FROM changed GROUP BY o_orderkey HAVING count(DISTINCT _change_type) = 2)
       SELECT * REPLACE (CASE WHEN o_orderkey NOT IN (SELECT o_orderkey FROM both_sides) THEN _change_type
                              WHEN _change_type = 'insert' THEN 'update_postimage'
                              ELSE 'update_preimage' END AS _change_type) FROM changed""",

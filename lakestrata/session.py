@@ -7,7 +7,10 @@ import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+SHUFFLE_PARTITION_BYTES = 256 * 1024**2
+MAX_SHUFFLE_PARTITIONS = 50_000
 
 _local_dirs: dict[str, str] = {}
 
@@ -65,3 +68,19 @@ def sql_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+def shuffle_settings(df: DataFrame) -> dict[str, str]:
+    """Shuffle partitions that fit the size of the data behind a plan, as the optimizer estimates it.
+
+    Never fewer than the session has. Too many do no harm, as adaptive execution joins small ones;
+    where that is switched off the session's own number stays.
+    """
+    conf = df.sparkSession.conf
+    current = int(conf.get("spark.sql.shuffle.partitions"))
+    adaptive = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled")
+    if any(conf.get(key) != "true" for key in adaptive):
+        return {}
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = min(estimate // SHUFFLE_PARTITION_BYTES + 1, MAX_SHUFFLE_PARTITIONS)
+    return {"spark.sql.shuffle.partitions": str(max(current, wanted))}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.operators.layout import cluster_rows
-from lakestrata.session import sql_conf
+from lakestrata.session import shuffle_settings, sql_conf
 
 
 def _text(value: str) -> str:
@@ -81,7 +81,7 @@ def publish(
     the partitions the DataFrame has rows of). A partitioned write is rebalanced on the partition
     columns first: adaptive execution then splits a partition that holds most of the rows and joins
     small ones, which keeps both task size and the number of files in hand. A clustered write is
-    range-partitioned and sorted, see ``cluster_rows``.
+    range-partitioned and sorted, see ``cluster_rows``. Shuffles of the write are sized by the data.
     """
     spark = df.sparkSession
     partition_by, cluster_by = list(partition_by), list(cluster_by)
@@ -90,16 +90,17 @@ def publish(
     elif partition_by:
         df = df.hint("rebalance", *partition_by)
 
-    if mode == "overwrite_partitions":
-        with sql_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-            df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
-    else:
-        writer = df.write.format(fmt).mode(mode)
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        elif cluster_by:
-            writer = writer.clusterBy(*cluster_by)
-        writer.saveAsTable(name)
+    with sql_conf(spark, shuffle_settings(df)):
+        if mode == "overwrite_partitions":
+            with sql_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+                df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+        else:
+            writer = df.write.format(fmt).mode(mode)
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            elif cluster_by:
+                writer = writer.clusterBy(*cluster_by)
+            writer.saveAsTable(name)
     describe_dataset(spark, name, comment, properties)
     return spark.table(name)
 

@@ -1,6 +1,7 @@
 from dataclasses import replace
 
 import pytest
+import submit_refresh
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -190,3 +191,13 @@ def test_names_of_the_default_tables():
     assert Spec().table("gold") == "gold.gold_yellow_taxi"
     assert Spec().files[0] == "yellow_tripdata_2023-01.parquet" and len(Spec().files) == 5
     assert Spec().rules["pickup_year"] == "pickup_year = 2023"
+
+
+def test_the_submitted_job(spark, landing, capsys):
+    location = scratch_path(spark, "tables")
+    args = [landing, "--year", "1998", "--location", location, "--partitioned"]
+    submit_refresh.main(args)
+    names = ["bronze.bronze_yellow_taxi", "silver.silver_yellow_taxi", "gold.gold_yellow_taxi"]
+    assert capsys.readouterr().out.split() == [*names, f"gold.{MONTHLY_VIEW}", f"gold.{HOURLY_VIEW}"]
+    submit_refresh.main([*args, "--new"])
+    assert [spark.table(name).count() for name in names] == [6000, 321, 10]

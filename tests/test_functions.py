@@ -13,7 +13,7 @@ from lakestrata.functions import (
     lowercase_schema,
     to_rows,
 )
-from lakestrata.session import scratch_path, shared_dir, sql_conf
+from lakestrata.session import MAX_SHUFFLE_PARTITIONS, scratch_path, shared_dir, shuffle_settings, sql_conf
 
 
 def test_calendar_parts_at_the_edges(spark):
@@ -89,3 +89,15 @@ def test_scratch_lies_in_the_configured_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert one != two and one.startswith(shared_dir(spark) + "/x-")
+
+
+def test_shuffles_are_sized_by_the_data(spark):
+    key = "spark.sql.shuffle.partitions"
+    assert shuffle_settings(spark.range(10)) == {key: "4"}
+    assert shuffle_settings(spark.range(10 * 2**30)) == {key: str(10 * 4 * 8 + 1)}  # 80 GiB of longs
+    assert shuffle_settings(spark.range(2**60)) == {key: str(MAX_SHUFFLE_PARTITIONS)}
+    with sql_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        assert shuffle_settings(spark.range(2**60)) == {}
+    with sql_conf(spark, {key: "7"}):
+        assert spark.conf.get(key) == "7"
+    assert spark.conf.get(key) == "4"
