@@ -152,13 +152,12 @@ def _expectations() -> str:
     return f"{TRIPS} " + " UNION ALL ".join(rows)
 
 
-def _nulls() -> str:
-    rows = [
+def _nulls(source: str, extra: str = "") -> str:
+    return " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", {_N} AS n_rows, CAST(count(*) - count({c}) AS BIGINT) AS n_null,"
-        f" round((count(*) - count({c})) / count(*), 9) AS null_rate FROM trips"
+        f" round((count(*) - count({c})) / count(*), 9) AS null_rate{extra} FROM {source}"
         for c in PROFILED
-    ]
-    return f"{TRIPS} " + " UNION ALL ".join(rows)
+    )
 
 
 def _rates(source: str, rules) -> str:
@@ -195,7 +194,7 @@ ORACLES: dict[str, str] = {
     "bronze_strict": f"{TRIPS} SELECT * EXCLUDE (file_number), {_FILE} AS source_file FROM numbered",
     "bronze_lenient": f"{TRIPS} SELECT * EXCLUDE (file_number), '0' || file_number AS month FROM numbered",
     "bronze_per_file": f"{TRIPS} SELECT * EXCLUDE (file_number), {_FILE} AS source_file FROM numbered",
-    "lowercase_schema_read": f"""{TRIPS} SELECT vendorid, {_N} AS n_rows, CAST(count(airport_fee) AS BIGINT) AS n_fees,
+    "lowercase_schema": f"""{TRIPS} SELECT vendorid, {_N} AS n_rows, CAST(count(airport_fee) AS BIGINT) AS n_fees,
       round(sum(total_amount), 2) AS total_revenue FROM trips GROUP BY vendorid""",
     "file_query_counts": f"{TRIPS} SELECT vendorid, {_N} AS n_rows, {_FILE} AS file FROM numbered GROUP BY 1, 3",
     "landing_inventory": "SELECT * FROM ("
@@ -228,7 +227,12 @@ ORACLES: dict[str, str] = {
     "layer_retention": f"""{TRIPS}, {_LAYER_ROWS}
       SELECT layer, n_rows AS rows, round(100.0::DOUBLE * n_rows / (SELECT count(*) FROM trips), 6) AS pct
       FROM layer_rows WHERE layer <> 'gold'""",
-    "null_profile": _nulls(),
+    "null_profile": f"{TRIPS} {_nulls('trips')}",
+    "null_profile_layers": f"{TRIPS} "
+    + " UNION ALL ".join(
+        _nulls(source, f", '{layer}' AS layer")
+        for layer, source in (("landing", "trips"), ("bronze", "trips"), ("silver", "silver"))
+    ),
     "null_rows_passenger": f"{TRIPS} SELECT * FROM trips WHERE passenger_count IS NULL",
     "expect_metrics": _expectations(),
     "expect_drop": f"{TRIPS} SELECT * FROM trips WHERE {' AND '.join(EXPECTED.values())}",

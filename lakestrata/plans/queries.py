@@ -8,8 +8,10 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.functions import cast_columns, lowercase_columns, lowercase_schema
+from lakestrata.functions import cast_columns, lowercase_columns
+from lakestrata.functions import lowercase_schema as lowercased
 from lakestrata.operators import changes, layout, metrics, monitor, nulls, rules, schema_audit, unions
+from lakestrata.plans import audit
 from lakestrata.plans import trips as plan
 from lakestrata.plans.binding import SPEC, trips, write_landing
 from lakestrata.session import scratch_path
@@ -108,11 +110,11 @@ def bronze_per_file(spark, sf_dir):
 
 
 @query
-def lowercase_schema_read(spark, sf_dir):
+def lowercase_schema(spark, sf_dir):
     folder, frames = landed(spark, sf_dir), []
     for name in SPEC.files:
         path = f"{folder}/{name}"
-        schema = lowercase_schema(files.read_file(spark, path).schema)
+        schema = lowercased(files.read_file(spark, path).schema)
         frames.append(cast_columns(spark.read.schema(schema).parquet(path), plan.CASTS))
     df = unions.union_strict(frames).groupBy("vendorid")
     return rounded(
@@ -252,6 +254,12 @@ def null_profile(spark, sf_dir):
     return rounded(nulls.null_profile(trips(spark, sf_dir), PROFILED), null_rate=9)
 
 
+@query
+def null_profile_layers(spark, sf_dir):
+    df = audit.null_audit(spark, landed(spark, sf_dir), refreshed(spark, sf_dir), PROFILED)
+    return rounded(df, null_rate=9)
+
+
 @query
 def null_rows_passenger(spark, sf_dir):
     return nulls.null_rows(trips(spark, sf_dir), "passenger_count")

@@ -48,9 +48,9 @@ EXPECTATIONS = {
     "amount_logic": "total_amount >= fare_amount",
 }
 NAMESPACES = {
-    "bronze": "Bronze layer - raw ingested data",
-    "silver": "Silver layer - cleaned and validated data",
-    "gold": "Gold layer - aggregated business metrics",
+    "bronze": "Rows as they landed, under one schema",
+    "silver": "Rows that pass the quality rules",
+    "gold": "Metrics for consumption",
 }
 BRONZE, SILVER, GOLD = "bronze_yellow_taxi", "silver_yellow_taxi", "gold_yellow_taxi"
 LENIENT = "nyc_taxi_trips"

@@ -5,6 +5,7 @@ import submit_refresh
 from conftest import rows
 from pyspark.sql import functions as F
 
+from lakestrata.plans.audit import landing_audit, layer_audit
 from lakestrata.plans.binding import SPEC, write_landing
 from lakestrata.plans.trips import (
     CASTS,
@@ -177,6 +178,23 @@ def test_a_hot_partition_is_written_by_several_tasks(spark, space):
     assert found[0][0] >= 3  # files of the hot partition
 
 
+def test_audits(spark, landing, stored):
+    spec, _ = stored
+    files = landing_audit(spark, landing, spec)
+    assert files["inventory"].filter("present").count() == 5
+    assert files["schemas"].count() == 60
+    assert rows(files["presence"], "column") == [("Airport_fee",), ("airport_fee",)]
+    assert files["types"].count() == 6 and files["names"].count() == 10
+    assert files["counts"].agg(F.sum("n_rows")).first()[0] == 6000
+    layers = layer_audit(spark, landing, spec)
+    assert layers["counts"].filter("diff <> 0").isEmpty() and layers["counts"].count() == 5
+    assert rows(layers["retention"], "layer", "rows") == [("bronze", 6000), ("silver", 321)]
+    assert layers["rejections"].agg(F.sum("rows_first_failing")).first()[0] == 6000 - 321
+    nulls = {(r.layer, r["column"]): r.n_null for r in layers["nulls"].collect()}
+    assert nulls["landing", "passenger_count"] == nulls["bronze", "passenger_count"] == 172
+    assert nulls["silver", "passenger_count"] == nulls["bronze", "vendorid"] == 0
+
+
 def test_lenient_table(spark, landing, stored):
     spec, _ = stored
     dataset = lenient_dataset(spec, landing)

@@ -1,7 +1,10 @@
 import datetime as dt
+from collections import Counter
 
 import pytest
 from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -16,7 +19,7 @@ from lakestrata.operators.schema_audit import (
 from lakestrata.operators.unions import union_lenient, union_strict
 from lakestrata.plans.binding import SPEC, trips, write_landing
 from lakestrata.plans.trips import CASTS
-from lakestrata.session import scratch_path
+from lakestrata.session import scratch_path, sql_conf
 from lakestrata.sources import (
     add_period_tag,
     add_provenance,
@@ -306,6 +309,46 @@ def test_only_footers_of_named_entries_are_read(spark, drifted):
         ingest(spark, drifted, casts=SIMPLE)
 
 
+TYPES = {"id": ["int", "bigint"], "amount": ["int", "bigint", "float", "double"], "note": ["string"]}
+delivery = st.tuples(
+    st.permutations(list(TYPES)),
+    st.tuples(*[st.sampled_from(types) for types in TYPES.values()]),
+    st.lists(st.sampled_from([str.lower, str.upper, str.title]), min_size=3, max_size=3),
+    st.lists(st.tuples(st.integers(0, 9), st.integers(0, 9), st.sampled_from(["x", None])), max_size=3),
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(delivery, min_size=1, max_size=5))
+def test_any_drift_of_type_case_and_order_is_brought_together(spark, deliveries):
+    from pathlib import Path
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    arrow = {"int": pa.int32(), "bigint": pa.int64(), "float": pa.float32(), "double": pa.float64(), "string": pa.string()}
+    root = scratch_path(spark, "landing")
+    Path(root).mkdir(parents=True)
+    wanted, names = [], []
+    for i, (order, types, cases, data) in enumerate(deliveries):
+        names.append(f"{i}.parquet")
+        columns = dict(zip(TYPES, zip(types, zip(*data) if data else ((), (), ()))))
+        fields = {case(c): pa.array(list(columns[c][1]), arrow[columns[c][0]]) for c, case in zip(order, cases)}
+        pq.write_table(pa.table(fields), f"{root}/{names[-1]}")
+        wanted += [(r[0], float(r[1]), r[2], f"{root}/{names[-1]}") for r in data]
+    for mode in ("strict", "lenient"):
+        df = ingest(spark, root, names, {"id": "bigint", "amount": "double"}, mode)
+        assert df.columns[:3] == list(deliveries[0][0])
+        assert Counter(map(tuple, df.select("id", "amount", "note", "source_file").collect())) == Counter(wanted)
+    distinct = {tuple(sorted(zip(TYPES, types))) for _, types, _, _ in deliveries}
+    assert len(schema_groups(read_footers(spark, root), root)) == len(distinct)
+
+
+def test_case_sensitive_sessions_are_refused(spark, drifted):
+    with sql_conf(spark, {"spark.sql.caseSensitive": "true"}), pytest.raises(ValueError, match="caseSensitive"):
+        ingest(spark, drifted, NAMES, SIMPLE)
+
+
 def test_folders_inside_an_entry(spark, folder):
     save(spark, f"{folder}/a.parquet/day=1", "id bigint, amount double", (1, 1.0))
     save(spark, f"{folder}/a.parquet/day=2", "id bigint, amount double", (2, 2.0))
