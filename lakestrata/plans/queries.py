@@ -358,8 +358,8 @@ def refresh_new_files(spark, sf_dir):
     folder = landed(spark, sf_dir)
     # Trips of the later months lie in the later files, so a first run over three months loses none.
     plan.refresh_trips(spark, replace(spec, months=(1, 3)), folder, location)
-    plan.refresh_new_trips(spark, spec, folder)
-    stored = plan.refresh_new_trips(spark, spec, folder)  # finds nothing new
+    plan.refresh_new_trips(spark, spec, folder, location)
+    stored = plan.refresh_new_trips(spark, spec, folder, location)  # finds nothing new
     return rounded(stored[spec.table("gold")], total_revenue=2)
 
 

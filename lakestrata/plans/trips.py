@@ -128,20 +128,29 @@ def hourly(df: DataFrame, spec: Spec) -> DataFrame:
     return hourly_profile(df, spec.months[1])
 
 
-def datasets(spec: Spec, landing: str) -> list[Dataset]:
-    """Bronze, silver and gold, each computed from the stored form of the one before."""
+def datasets(spec: Spec, landing: str, location: str | None = None) -> list[Dataset]:
+    """Bronze, silver and gold, each computed from the stored form of the one before.
+
+    With ``location`` each table has a folder of its own below it.
+    """
+
+    def path(layer: str) -> str | None:
+        return f"{location.rstrip('/')}/{spec.table(layer).replace('.', '/')}" if location else None
+
     return [
         Dataset(
             spec.table("bronze"),
             lambda spark: bronze(spark, landing, spec),
             comment="Trip records loaded from Parquet files",
             properties={"quality": "bronze"},
+            path=path("bronze"),
         ),
         Dataset(
             spec.table("silver"),
             lambda spark: silver(spark.read.table(spec.table("bronze")), spec),
             comment="Cleaned and validated trip records",
             properties={"quality": "silver"},
+            path=path("silver"),
             partition_by=spec.partition_by,
         ),
         Dataset(
@@ -149,6 +158,7 @@ def datasets(spec: Spec, landing: str) -> list[Dataset]:
             lambda spark: gold(spark.read.table(spec.table("silver"))),
             comment="Trip metrics for consumption",
             properties={"quality": "gold"},
+            path=path("gold"),
             cluster_by=("vendorid",),
         ),
     ]
@@ -190,10 +200,12 @@ def views(spec: Spec) -> list[View]:
 def refresh_trips(spark: SparkSession, spec: Spec, landing: str, location: str | None = None) -> dict[str, DataFrame]:
     """Create the namespaces and recompute all tables and views."""
     ensure_namespaces(spark, {spec.namespace(layer): note for layer, note in NAMESPACES.items()}, location)
-    return refresh(spark, datasets(spec, landing), views(spec))
+    return refresh(spark, datasets(spec, landing, location), views(spec))
 
 
-def refresh_new_trips(spark: SparkSession, spec: Spec, landing: str) -> dict[str, DataFrame]:
+def refresh_new_trips(
+    spark: SparkSession, spec: Spec, landing: str, location: str | None = None
+) -> dict[str, DataFrame]:
     """Bring stored layers up to date with newly landed files, without reading the old files again.
 
     New files are appended to bronze, bronze files without rows in silver are cleaned and appended
@@ -206,4 +218,4 @@ def refresh_new_trips(spark: SparkSession, spec: Spec, landing: str) -> dict[str
         # The name is the same in all rows of a file, so the scan skips the other files' row groups.
         rows = spark.table(bronze_table).filter(F.col("source_file").isin(pending))
         publish(silver(rows, spec), silver_table, mode="append", partition_by=spec.partition_by)
-    return refresh(spark, datasets(spec, landing)[2:], views(spec))
+    return refresh(spark, datasets(spec, landing, location)[2:], views(spec))

@@ -64,6 +64,14 @@ def dataset_properties(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"SHOW TBLPROPERTIES {name}").unionByName(comment.filter("value IS NOT NULL"))
 
 
+def _external_path(spark: SparkSession, name: str) -> str | None:
+    """Where a table that was stored with a path of its own lies."""
+    if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType != "EXTERNAL":
+        return None
+    # A column may be called Location too; the table's own comes after the columns.
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()[-1]["data_type"]
+
+
 def publish(
     df: DataFrame,
     name: str,
@@ -74,6 +82,7 @@ def publish(
     properties: Mapping[str, str] | None = None,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    path: str | None = None,
 ) -> DataFrame:
     """Store a DataFrame as a table and return the table.
 
@@ -82,6 +91,10 @@ def publish(
     columns first: adaptive execution then splits a partition that holds most of the rows and joins
     small ones, which keeps both task size and the number of files in hand. A clustered write is
     range-partitioned and sorted, see ``cluster_rows``. Shuffles of the write are sized by the data.
+
+    Without ``path`` the table is managed by the catalog, which refuses to create one over leftovers
+    of a job that was killed. With it the table is stored there, also by later calls without one, and
+    a full refresh replaces whatever the folder holds.
     """
     spark = df.sparkSession
     partition_by, cluster_by = list(partition_by), list(cluster_by)
@@ -90,12 +103,15 @@ def publish(
     elif partition_by:
         df = df.hint("rebalance", *partition_by)
 
-    with sql_conf(spark, shuffle_settings(df)):
+    replace = "dynamic" if mode == "overwrite_partitions" else "static"
+    with sql_conf(spark, {**shuffle_settings(df), "spark.sql.sources.partitionOverwriteMode": replace}):
         if mode == "overwrite_partitions":
-            with sql_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-                df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+            df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
         else:
             writer = df.write.format(fmt).mode(mode)
+            path = path or _external_path(spark, name)
+            if path:
+                writer = writer.option("path", path)
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
             elif cluster_by:
@@ -115,6 +131,7 @@ class Dataset:
     properties: Mapping[str, str] = field(default_factory=dict)
     partition_by: Sequence[str] = ()
     cluster_by: Sequence[str] = ()
+    path: str | None = None
 
 
 @dataclass(frozen=True)
@@ -137,6 +154,7 @@ def refresh(spark: SparkSession, datasets: Sequence[Dataset], views: Sequence[Vi
             properties=dataset.properties,
             partition_by=dataset.partition_by,
             cluster_by=dataset.cluster_by,
+            path=dataset.path,
         )
     for view in views:
         done[view.name] = create_view(spark, view.name, view.sql, view.comment)

@@ -20,7 +20,7 @@ def main(args: list[str] | None = None) -> None:
     parser.add_argument("--year", type=int, default=YEAR)
     parser.add_argument("--months", type=int, nargs=2, default=MONTHS, metavar=("FIRST", "LAST"))
     parser.add_argument("--catalog", help="catalog of the namespaces (default: the session's)")
-    parser.add_argument("--location", help="folder for new namespaces (default: the warehouse)")
+    parser.add_argument("--location", help="folder for namespaces and tables (default: the warehouse)")
     parser.add_argument("--partitioned", action="store_true", help="partition silver by year and month")
     wanted = parser.parse_args(args)
 
@@ -32,7 +32,7 @@ def main(args: list[str] | None = None) -> None:
         partition_by=("pickup_year", "pickup_month") if wanted.partitioned else (),
     )
     if wanted.new:
-        stored = refresh_new_trips(spark, spec, wanted.landing)
+        stored = refresh_new_trips(spark, spec, wanted.landing, wanted.location)
     else:
         stored = refresh_trips(spark, spec, wanted.landing, wanted.location)
     for name in stored:

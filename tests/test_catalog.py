@@ -79,6 +79,34 @@ def test_clustered_publish_twice(spark, space):
     assert both.count() == 100
 
 
+def test_a_table_with_a_path_replaces_leftovers(spark, space):
+    from pathlib import Path
+
+    path, name = scratch_path(spark, "stored"), f"{space}.pathed"
+    (Path(path) / "_temporary").mkdir(parents=True)
+    (Path(path) / "_temporary" / "part").write_text("of a killed job")
+    spark.range(9).write.parquet(f"{path}/p=9")
+    df = spark.range(4).select("id", (F.col("id") % 2).cast("int").alias("p"))
+    with sql_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        publish(df, name, partition_by=["p"], path=path)
+    assert rows(spark.table(name)) == [(0, 0), (1, 1), (2, 0), (3, 1)]
+    named = df.withColumnRenamed("p", "Location")
+    publish(named.filter("id = 3"), name, path=path)
+    publish(named.filter("id = 3"), name)  # goes to the same folder
+    publish(named.filter("id = 2"), name, mode="append")
+    assert rows(spark.table(name)) == rows(spark.read.parquet(path)) == [(2, 0), (3, 1)]
+
+
+def test_a_refresh_replaces_tables_of_a_lost_catalog(spark, landing):
+    location = scratch_path(spark, "tables")
+    for _ in range(2):
+        spec = Spec(year=SPEC.year, namespaces={layer: f"lost_{layer}" for layer in NAMESPACES})
+        refresh_trips(spark, spec, landing, location)
+        assert spark.table(spec.table("gold")).count() == 10
+        for layer in NAMESPACES:
+            spark.sql(f"DROP SCHEMA {spec.namespace(layer)} CASCADE")
+
+
 def test_views_can_be_created_again(spark, space):
     publish(spark.range(5), f"{space}.base")
     for limit in (3, 4):
