@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.operators.monitor import landed_counts, reconcile_counts, stored_counts
+from lakestrata.operators.monitor import landed_counts, reconcile_counts, stored_counts, volume_check
 from lakestrata.operators.nulls import null_profile
-from lakestrata.operators.rules import layer_retention, rule_rejections
+from lakestrata.operators.rules import expectation_metrics, layer_retention, rule_rejections
 from lakestrata.operators.schema_audit import schema_name_conflicts, schema_presence_diff, schema_type_conflicts
 from lakestrata.operators.unions import union_strict
-from lakestrata.plans.trips import Spec, lenient, with_calendar
+from lakestrata.plans.trips import EXPECTATIONS, EXPECTED_ROWS_PER_MONTH, Spec, lenient, with_calendar
 from lakestrata.sources.files import landing_inventory
 from lakestrata.sources.footers import read_footers, schema_report
 
@@ -43,12 +43,25 @@ def null_audit(spark: SparkSession, landing: str, spec: Spec, columns: Sequence[
     return union_strict([null_profile(df, columns).withColumn("layer", F.lit(layer)) for layer, df in layers.items()])
 
 
-def layer_audit(spark: SparkSession, landing: str, spec: Spec) -> dict[str, DataFrame]:
-    """Whether every landed row is stored, what silver kept, and why rows were rejected."""
+def expected_months(spark: SparkSession, spec: Spec) -> DataFrame:
+    """The months that silver should have rows of."""
+    first, last = spec.months
+    months = spark.range(first, last + 1).select(F.col("id").cast("int").alias("pickup_month"))
+    return months.select(F.lit(spec.year).alias("pickup_year"), "pickup_month")
+
+
+def layer_audit(
+    spark: SparkSession, landing: str, spec: Spec, expected_rows: int = EXPECTED_ROWS_PER_MONTH, tol: float = 0.25
+) -> dict[str, DataFrame]:
+    """Whether every landed row is stored, what silver kept, why rows were rejected, and what looks odd."""
     bronze, silver = spark.table(spec.table("bronze")), spark.table(spec.table("silver"))
     return {
         "counts": reconcile_counts(landed_counts(read_footers(spark, landing, spec.files)), stored_counts(bronze)),
         "retention": layer_retention(bronze, silver),
         "rejections": rule_rejections(with_calendar(bronze), spec.rules),
         "nulls": null_audit(spark, landing, spec),
+        "expectations": expectation_metrics(silver, EXPECTATIONS),
+        "volume": volume_check(
+            silver, ["pickup_year", "pickup_month"], expected_rows, tol, expected_months(spark, spec)
+        ),
     }

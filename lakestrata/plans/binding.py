@@ -28,7 +28,9 @@ COLUMNS = f"""
 SPARK_SHIFT = "l_shipdate + make_dt_interval(0, CAST(l_orderkey % 24 AS INT), 0, 0)"
 DUCKDB_SHIFT = "l_shipdate + to_hours(CAST(l_orderkey % 24 AS INTEGER))"
 
-FILE_NUMBER = "CAST(CASE WHEN {year} = 1998 AND {month} BETWEEN 1 AND 5 THEN {month} ELSE 1 + l_orderkey % 5 END AS INT)"
+FILE_NUMBER = (
+    "CAST(CASE WHEN {year} = 1998 AND {month} BETWEEN 1 AND 5 THEN {month} ELSE 1 + l_orderkey % 5 END AS INT)"
+)
 
 _LONG = {"vendorid": "bigint", "pulocationid": "bigint", "dolocationid": "bigint"}
 _INT = {"vendorid": "int", "pulocationid": "int", "dolocationid": "int"}

@@ -217,7 +217,8 @@ ORACLES: dict[str, str] = {
         ]
     )
     + ") AS t(column_lc, types, sources)",
-    "schema_name_conflicts": f"SELECT * FROM ({_values(_name_conflicts())}) AS t(column_lc, spellings, ordinals, sources)",
+    "schema_name_conflicts": f"""SELECT * FROM ({_values(_name_conflicts())})
+      AS t(column_lc, spellings, ordinals, sources)""",
     "silver_trips": f"{TRIPS} SELECT * FROM silver",
     **{
         key: f"{TRIPS} SELECT vendorid, {_N} AS n_rows FROM cal WHERE {RULES[name]} GROUP BY vendorid"

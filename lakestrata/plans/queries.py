@@ -140,7 +140,8 @@ def file_query_counts(spark, sf_dir):
 @query
 def landing_inventory(spark, sf_dir):
     df = files.landing_inventory(spark, landed(spark, sf_dir), [*SPEC.files, "not_landed.parquet"])
-    return df.select(base_name("path").alias("name"), "present", F.coalesce(F.col("length") > 0, F.lit(False)).alias("has_bytes"))
+    has_bytes = F.coalesce(F.col("length") > 0, F.lit(False)).alias("has_bytes")
+    return df.select(base_name("path").alias("name"), "present", has_bytes)
 
 
 @query

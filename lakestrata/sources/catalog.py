@@ -24,7 +24,7 @@ def ensure_namespaces(spark: SparkSession, namespaces: Mapping[str, str], locati
     otherwise they go to the warehouse folder.
     """
     for name, comment in namespaces.items():
-        place = f" LOCATION {_text(location.rstrip('/') + '/' + name)}" if location else ""
+        place = f" LOCATION {_text(location.rstrip('/') + '/' + name.replace('.', '/'))}" if location else ""
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} COMMENT {_text(comment)}{place}")
 
 

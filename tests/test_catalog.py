@@ -1,3 +1,4 @@
+import re
 from dataclasses import replace
 
 import pytest
@@ -13,9 +14,12 @@ from lakestrata.plans.trips import (
     MONTHLY_VIEW,
     NAMESPACES,
     Spec,
+    bronze,
+    gold,
     lenient_dataset,
     refresh_new_trips,
     refresh_trips,
+    silver,
 )
 from lakestrata.session import scratch_path, sql_conf
 from lakestrata.sources import (
@@ -134,23 +138,35 @@ def count(spark, spec, layer):
 
 def test_layer_invariants(spark, landing, stored):
     spec, out = stored
-    bronze, silver, gold = (spark.table(spec.table(layer)) for layer in ("bronze", "silver", "gold"))
+    raw, clean, summary = (spark.table(spec.table(layer)) for layer in ("bronze", "silver", "gold"))
     monthly = out[f"{spec.namespace('gold')}.{MONTHLY_VIEW}"]
     hourly = out[f"{spec.namespace('gold')}.{HOURLY_VIEW}"]
-    assert bronze.count() == sum(spark.read.parquet(f"{landing}/{name}").count() for name in SPEC.files) == 6000
-    assert silver.columns == [*bronze.columns, "pickup_year", "pickup_month"]
-    assert silver.select(*bronze.columns).exceptAll(bronze).isEmpty()
-    n = silver.count()
-    assert n == 321 and gold.count() == 10
-    assert gold.agg(F.sum("total_trips")).first()[0] == n
+    assert raw.count() == sum(spark.read.parquet(f"{landing}/{name}").count() for name in SPEC.files) == 6000
+    assert clean.columns == [*raw.columns, "pickup_year", "pickup_month"]
+    assert clean.select(*raw.columns).exceptAll(raw).isEmpty()
+    n = clean.count()
+    assert n == 321 and summary.count() == 10
+    assert summary.agg(F.sum("total_trips")).first()[0] == n
     assert monthly.agg(F.sum("total_trips")).first()[0] == n
     last_month = monthly.filter("pickup_month = 5").first().total_trips
     assert hourly.agg(F.sum("total_trips_in_hour")).first()[0] == last_month == 60
     for predicate in spec.rules.values():
-        assert silver.filter(f"NOT coalesce({predicate}, false)").isEmpty()
+        assert clean.filter(f"NOT coalesce({predicate}, false)").isEmpty()
     assert [r.pickup_month for r in monthly.collect()] == [1, 2, 3, 4, 5]
 
 
+def test_rules_reach_the_scans_when_layers_are_not_stored(spark, landing, stored):
+    spec, _ = stored
+    direct = silver(bronze(spark, landing, spec), spec)
+    over_table = silver(spark.table(spec.table("bronze")), spec)
+    for df, scans in ((direct, 2), (over_table, 1)):
+        with sql_conf(spark, {"spark.sql.maxMetadataStringLength": "2000"}):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == scans
+        assert len(re.findall(r"PushedFilters: \[.*GreaterThan\(trip_distance,0.0\)", plan)) == scans
+    assert gold(direct).agg(F.sum("total_trips")).first()[0] == 321
+
+
 def test_second_refresh_gives_equal_tables(spark, landing, stored):
     spec, _ = stored
     drop = ["ingestion_timestamp"]
@@ -196,7 +212,9 @@ def test_new_files_reach_all_layers(spark, landing, stored):
 def test_a_hot_partition_is_written_by_several_tasks(spark, space):
     n = 60_000
     df = spark.range(0, n, numPartitions=16).select(
-        "id", F.sha2(F.col("id").cast("string"), 512).alias("text"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7).alias("m")
+        "id",
+        F.sha2(F.col("id").cast("string"), 512).alias("text"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7).alias("m"),
     )
     with sql_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB"}):
         out = publish(df, f"{space}.hot", partition_by=["m"])
@@ -214,7 +232,10 @@ def test_audits(spark, landing, stored):
     assert rows(files["presence"], "column") == [("Airport_fee",), ("airport_fee",)]
     assert files["types"].count() == 6 and files["names"].count() == 10
     assert files["counts"].agg(F.sum("n_rows")).first()[0] == 6000
-    layers = layer_audit(spark, landing, spec)
+    layers = layer_audit(spark, landing, spec, expected_rows=64, tol=0.1)
+    assert {r.pickup_month: r.status for r in layers["volume"].collect()}.keys() == set(range(1, 6))
+    assert layer_audit(spark, landing, spec)["volume"].filter("status <> 'low'").isEmpty()
+    assert {r.rows for r in layers["expectations"].collect()} == {321}
     assert layers["counts"].filter("diff <> 0").isEmpty() and layers["counts"].count() == 5
     assert rows(layers["retention"], "layer", "rows") == [("bronze", 6000), ("silver", 321)]
     assert layers["rejections"].agg(F.sum("rows_first_failing")).first()[0] == 6000 - 321

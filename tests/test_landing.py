@@ -326,7 +326,8 @@ def test_any_drift_of_type_case_and_order_is_brought_together(spark, deliveries)
     import pyarrow as pa
     import pyarrow.parquet as pq
 
-    arrow = {"int": pa.int32(), "bigint": pa.int64(), "float": pa.float32(), "double": pa.float64(), "string": pa.string()}
+    numbers = {"int": pa.int32(), "bigint": pa.int64(), "float": pa.float32(), "double": pa.float64()}
+    arrow = {**numbers, "string": pa.string()}
     root = scratch_path(spark, "landing")
     Path(root).mkdir(parents=True)
     wanted, names = [], []

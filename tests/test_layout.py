@@ -40,7 +40,7 @@ def test_bounds_are_quantiles(spark):
 def test_key_interleaves_buckets_of_any_ordered_type(spark):
     df = spark.range(0, 4_000, numPartitions=4).select(
         F.col("id").cast("double").alias("x"),
-        (F.lit(dt.datetime(2020, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.pmod("id", F.lit(64)).cast("int"))).alias("t"),
+        F.expr("timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, CAST(id % 64 AS INT))").alias("t"),
         F.date_add(F.lit(dt.date(2020, 1, 1)), F.pmod("id", F.lit(31)).cast("int")).alias("d"),
     )
     key = with_morton_key(df, ["x", "t", "d"], "k", 2)

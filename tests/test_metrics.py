@@ -104,7 +104,8 @@ def test_zones_by_side_and_top_k_with_ties(spark):
 
 
 def test_tip_share_skips_a_zero_base(spark):
-    df = spark.createDataFrame([(1, 1.0, 10.0), (1, 3.0, 10.0), (1, 5.0, 0.0), (2, 1.0, 0.0)], "k int, tip double, fare double")
+    data = [(1, 1.0, 10.0), (1, 3.0, 10.0), (1, 5.0, 0.0), (2, 1.0, 0.0)]
+    df = spark.createDataFrame(data, "k int, tip double, fare double")
     assert rows(tip_pct_by(df, "tip", "fare", "k")) == [(1, 3, 20.0), (2, 1, None)]
 
 

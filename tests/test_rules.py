@@ -22,7 +22,9 @@ from lakestrata.operators.rules import (
 from lakestrata.plans.trips import Spec
 
 NAN = float("nan")
-SCHEMA = "id int, trip_distance double, fare_amount double, total_amount double, passenger_count double, ts timestamp_ntz"
+SCHEMA = (
+    "id int, trip_distance double, fare_amount double, total_amount double, passenger_count double, ts timestamp_ntz"
+)
 GOOD = (1.0, 1.0, 1.0, 1.0, dt.datetime(1998, 3, 1))
 RULES = Spec(year=1998).rules
 
