@@ -10,19 +10,21 @@ from lakestrata.session import scratch_path
 
 SPEC = Spec(year=1998)
 
-COLUMNS = f"""
-    CAST(l_suppkey % 2 + 1 AS BIGINT) AS vendorid,
-    {{shifted}} AS {TIMESTAMP},
-    CASE WHEN l_orderkey % 37 = 0 THEN NULL ELSE CAST(l_linenumber AS DOUBLE) END AS passenger_count,
-    l_discount * 100 AS trip_distance,
-    CASE WHEN l_orderkey % 37 = 0 THEN NULL ELSE CAST(l_partkey % 6 + 1 AS DOUBLE) END AS ratecodeid,
-    CAST(l_partkey % 265 + 1 AS BIGINT) AS pulocationid,
-    CAST(l_orderkey % 265 + 1 AS BIGINT) AS dolocationid,
-    CAST(l_linenumber % 4 + 1 AS BIGINT) AS payment_type,
-    l_extendedprice - 2000 AS fare_amount,
-    l_extendedprice * l_tax AS tip_amount,
-    l_extendedprice - 1000 AS total_amount,
-    CASE WHEN l_orderkey % 37 = 0 THEN NULL ELSE CAST(l_orderkey % 2 AS DOUBLE) END AS airport_fee"""
+# SQL that means the same in Spark and DuckDB, by column name; {shifted} stands for the pickup time.
+COLUMNS = {
+    "vendorid": "CAST(l_suppkey % 2 + 1 AS BIGINT)",
+    TIMESTAMP: "{shifted}",
+    "passenger_count": "CASE WHEN l_orderkey % 37 = 0 THEN NULL ELSE CAST(l_linenumber AS DOUBLE) END",
+    "trip_distance": "l_discount * 100",
+    "ratecodeid": "CASE WHEN l_orderkey % 37 = 0 THEN NULL ELSE CAST(l_partkey % 6 + 1 AS DOUBLE) END",
+    "pulocationid": "CAST(l_partkey % 265 + 1 AS BIGINT)",
+    "dolocationid": "CAST(l_orderkey % 265 + 1 AS BIGINT)",
+    "payment_type": "CAST(l_linenumber % 4 + 1 AS BIGINT)",
+    "fare_amount": "l_extendedprice - 2000",
+    "tip_amount": "l_extendedprice * l_tax",
+    "total_amount": "l_extendedprice - 1000",
+    "airport_fee": "CASE WHEN l_orderkey % 37 = 0 THEN NULL ELSE CAST(l_orderkey % 2 AS DOUBLE) END",
+}
 
 # The one place where the two SQL dialects differ: a shift by whole hours.
 SPARK_SHIFT = "l_shipdate + make_dt_interval(0, CAST(l_orderkey % 24 AS INT), 0, 0)"
@@ -46,22 +48,13 @@ _NAMES = {
 _LOWER_FEE = {**_NAMES, "airport_fee": "airport_fee"}
 
 
+def select_list(shifted: str) -> list[str]:
+    return [f"{sql.format(shifted=shifted)} AS {name}" for name, sql in COLUMNS.items()]
+
+
 def trips(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """The trip rows, in the column order of the first landing file."""
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    columns = COLUMNS.format(shifted=SPARK_SHIFT).replace("\n", " ")
-    return lineitem.selectExpr(*[c.strip() for c in _split(columns)], *extra)
-
-
-def _split(columns: str) -> list[str]:
-    """Cut a select list at its top-level commas."""
-    parts, depth, start = [], 0, 0
-    for i, char in enumerate(columns):
-        depth += (char == "(") - (char == ")")
-        if char == "," and depth == 0:
-            parts.append(columns[start:i])
-            start = i + 1
-    return parts + [columns[start:]]
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(*select_list(SPARK_SHIFT), *extra)
 
 
 def shape_file(df: DataFrame, month: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakestrata.plans.binding import COLUMNS, DUCKDB_SHIFT, FILE_NUMBER, SPEC
+from lakestrata.plans.binding import DUCKDB_SHIFT, FILE_NUMBER, SPEC, select_list
 from lakestrata.plans.queries import EXPECTED, PROFILED, RULE_QUERIES, VOLUME_TOLERANCE, VOLUME_YEARS
 from lakestrata.plans.trips import FILE_NAME, TIMESTAMP
 
@@ -20,7 +20,7 @@ def _names(*months: int) -> str:
 ALL_FILES = _names(1, 2, 3, 4, 5)
 
 TRIPS = f"""
-WITH numbered AS (SELECT {COLUMNS.format(shifted=DUCKDB_SHIFT)}, {_NUMBER} AS file_number FROM lineitem),
+WITH numbered AS (SELECT {', '.join(select_list(DUCKDB_SHIFT))}, {_NUMBER} AS file_number FROM lineitem),
 trips AS (SELECT * EXCLUDE (file_number) FROM numbered),
 cal AS (SELECT *, CAST(year({TIMESTAMP}) AS INTEGER) AS pickup_year,
                CAST(month({TIMESTAMP}) AS INTEGER) AS pickup_month FROM trips),
