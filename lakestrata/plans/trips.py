@@ -67,6 +67,8 @@ class Spec:
     namespaces: Mapping[str, str] | None = None
     catalog: str | None = None
     partition_by: Sequence[str] = ()
+    # Deliveries come by month, so a task meets few partitions; set this where files mix the months.
+    rebalance: bool = False
 
     @property
     def files(self) -> list[str]:
@@ -152,6 +154,7 @@ def datasets(spec: Spec, landing: str, location: str | None = None) -> list[Data
             properties={"quality": "silver"},
             path=path("silver"),
             partition_by=spec.partition_by,
+            rebalance=spec.rebalance,
         ),
         Dataset(
             spec.table("gold"),
@@ -217,5 +220,6 @@ def refresh_new_trips(
     if pending:
         # The name is the same in all rows of a file, so the scan skips the other files' row groups.
         rows = spark.table(bronze_table).filter(F.col("source_file").isin(pending))
-        publish(silver(rows, spec), silver_table, mode="append", partition_by=spec.partition_by)
+        clean = silver(rows, spec)
+        publish(clean, silver_table, mode="append", partition_by=spec.partition_by, rebalance=spec.rebalance)
     return refresh(spark, datasets(spec, landing, location)[2:], views(spec))

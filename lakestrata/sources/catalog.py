@@ -82,6 +82,7 @@ def publish(
     properties: Mapping[str, str] | None = None,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    rebalance: bool = True,
     path: str | None = None,
 ) -> DataFrame:
     """Store a DataFrame as a table and return the table.
@@ -89,8 +90,10 @@ def publish(
     ``mode`` is ``overwrite`` (full refresh), ``append`` or ``overwrite_partitions`` (replace only
     the partitions the DataFrame has rows of). A partitioned write is rebalanced on the partition
     columns first: adaptive execution then splits a partition that holds most of the rows and joins
-    small ones, which keeps both task size and the number of files in hand. A clustered write is
-    range-partitioned and sorted, see ``cluster_rows``. Shuffles of the write are sized by the data.
+    small ones, which keeps both task size and the number of files in hand. Where the rows already
+    come grouped by partition, ``rebalance=False`` saves that shuffle: every task then writes one
+    file per partition it meets. A clustered write is range-partitioned and sorted, see
+    ``cluster_rows``. Shuffles of the write are sized by the data.
 
     Without ``path`` the table is managed by the catalog, which refuses to create one over leftovers
     of a job that was killed. With it the table is stored there, also by later calls without one, and
@@ -100,7 +103,7 @@ def publish(
     partition_by, cluster_by = list(partition_by), list(cluster_by)
     if cluster_by:
         df = cluster_rows(df, partition_by + cluster_by)
-    elif partition_by:
+    elif partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
 
     replace = "dynamic" if mode == "overwrite_partitions" else "static"
@@ -131,6 +134,7 @@ class Dataset:
     properties: Mapping[str, str] = field(default_factory=dict)
     partition_by: Sequence[str] = ()
     cluster_by: Sequence[str] = ()
+    rebalance: bool = True
     path: str | None = None
 
 
@@ -154,6 +158,7 @@ def refresh(spark: SparkSession, datasets: Sequence[Dataset], views: Sequence[Vi
             properties=dataset.properties,
             partition_by=dataset.partition_by,
             cluster_by=dataset.cluster_by,
+            rebalance=dataset.rebalance,
             path=dataset.path,
         )
     for view in views:

@@ -179,12 +179,14 @@ def test_second_refresh_gives_equal_tables(spark, landing, stored):
         assert new.exceptAll(old).isEmpty() and old.exceptAll(new).isEmpty()
 
 
-def test_partitioned_layers_hold_the_same_rows(spark, landing, stored):
+@pytest.mark.parametrize("rebalance", [False, True])
+def test_partitioned_layers_hold_the_same_rows(spark, landing, stored, rebalance):
     spec, _ = stored
     parted = Spec(
         year=SPEC.year,
-        namespaces={layer: f"two_{layer}" for layer in NAMESPACES},
+        namespaces={layer: f"two_{layer}_{rebalance}" for layer in NAMESPACES},
         partition_by=("pickup_year", "pickup_month"),
+        rebalance=rebalance,
     )
     out = refresh_trips(spark, parted, landing, scratch_path(spark, "tables"))
     one, two = (spark.table(s.table("silver")).drop("ingestion_timestamp") for s in (spec, parted))
