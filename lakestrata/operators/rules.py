@@ -6,6 +6,7 @@ A row passes a rule only when the predicate is true; null counts as failing, as
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -31,9 +32,14 @@ def apply_rules(df: DataFrame, rules: Rules) -> DataFrame:
     return df
 
 
+def passes_all(rules: Rules) -> Column:
+    return reduce(lambda left, right: left & right, [passes(p) for p in rules.values()], F.lit(True))
+
+
 def failed_rules(rules: Rules) -> Column:
     """The names of the rules a row fails, in the order of the rules."""
-    return F.array_compact(F.array(*[F.when(~passes(p), F.lit(name)) for name, p in rules.items()]))
+    names = [F.when(passes(p), F.lit("")).otherwise(F.lit(name)) for name, p in rules.items()]
+    return F.array_remove(F.array(*names), "")
 
 
 def _first_failed(rules: Rules) -> Column:
@@ -120,13 +126,13 @@ def expect(
     if action == "warn":
         return df, metrics
     if action == "drop":
-        return df.filter(F.size(failed_rules(rules)) == 0), metrics
+        return df.filter(passes_all(rules)), metrics
     if action == "fail":
         broken = F.concat(F.lit("expectations not met: "), F.concat_ws(", ", failed_rules(rules)))
-        return df.filter(F.when(F.size(failed_rules(rules)) == 0, True).otherwise(F.raise_error(broken))), metrics
+        return df.filter(F.when(passes_all(rules), True).otherwise(F.raise_error(broken))), metrics
     raise ValueError(f"action is warn, drop or fail, not {action}")
 
 
 def quarantine(df: DataFrame, rules: Rules, column: str = "failed_rules") -> DataFrame:
     """The rows that fail at least one rule, with the names of the rules they fail."""
-    return df.withColumn(column, failed_rules(rules)).filter(F.size(column) > 0)
+    return df.filter(~passes_all(rules)).withColumn(column, failed_rules(rules))
