@@ -13,6 +13,7 @@ from lakestrata.operators.rules import expectation_metrics, layer_retention, rul
 from lakestrata.operators.schema_audit import schema_name_conflicts, schema_presence_diff, schema_type_conflicts
 from lakestrata.operators.unions import union_strict
 from lakestrata.plans.trips import EXPECTATIONS, EXPECTED_ROWS_PER_MONTH, Spec, lenient, with_calendar
+from lakestrata.plans.trips import silver as clean
 from lakestrata.sources.files import landing_inventory
 from lakestrata.sources.footers import read_footers, schema_report
 
@@ -53,10 +54,15 @@ def expected_months(spark: SparkSession, spec: Spec) -> DataFrame:
 def layer_audit(
     spark: SparkSession, landing: str, spec: Spec, expected_rows: int = EXPECTED_ROWS_PER_MONTH, tol: float = 0.25
 ) -> dict[str, DataFrame]:
-    """Whether every landed row is stored, what silver kept, why rows were rejected, and what looks odd."""
+    """Whether every landed row is stored, what silver kept, why rows were rejected, and what looks odd.
+
+    ``counts`` compares landing and bronze, ``kept`` the bronze rows that pass the rules and silver;
+    a difference in either calls for a full refresh.
+    """
     bronze, silver = spark.table(spec.table("bronze")), spark.table(spec.table("silver"))
     return {
         "counts": reconcile_counts(landed_counts(read_footers(spark, landing, spec.files)), stored_counts(bronze)),
+        "kept": reconcile_counts(stored_counts(clean(bronze, spec)), stored_counts(silver)),
         "retention": layer_retention(bronze, silver),
         "rejections": rule_rejections(with_calendar(bronze), spec.rules),
         "nulls": null_audit(spark, landing, spec),

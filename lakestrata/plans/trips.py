@@ -212,7 +212,7 @@ def refresh_new_trips(
     """Bring stored layers up to date with newly landed files, without reading the old files again.
 
     New files are appended to bronze, bronze files without rows in silver are cleaned and appended
-    there, and gold is recomputed. A run that stopped half-way is completed by the next one.
+    there, and gold is recomputed. A run that stopped between the layers is completed by the next one.
     """
     bronze_table, silver_table = spec.table("bronze"), spec.table("silver")
     ingest_new(spark, landing, bronze_table, spec.files, CASTS)

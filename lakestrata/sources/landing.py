@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions import cast_columns
 from lakestrata.functions.columns import lowercase_names
+from lakestrata.operators.monitor import landed_counts, stored_counts
 from lakestrata.operators.schema_audit import IncompatibleTypes, type_family
 from lakestrata.operators.unions import union_lenient, union_strict
 from lakestrata.sources.catalog import publish
-from lakestrata.sources.files import add_provenance, entry_path, landing_inventory
+from lakestrata.sources.files import add_provenance, entry_path
 from lakestrata.sources.footers import read_footers
 
 _PLAIN = re.compile(r"[A-Za-z0-9._/:=-]*")
@@ -159,17 +160,29 @@ def ingest(
     return bronze.select(*[c for c in bronze.columns if c not in last], *last)
 
 
+class IncompleteDelivery(RuntimeError):
+    """A table holds some, but not all, rows of a landed entry."""
+
+
 def new_entries(spark: SparkSession, landing: str, table: str, names: Sequence[str] | None = None) -> list[str]:
-    """Names of landed entries the table holds no row of.
+    """Names of landed entries with rows that the table holds no row of.
 
-    Reads one dictionary-encoded column of the table; the driver receives only new names.
+    Compares the row counts in the footers with one dictionary-encoded column of the table. An
+    entry stored in part, because a run was killed while it committed or the file was delivered
+    again, is an error: a full refresh puts it right. The driver receives only names that differ.
     """
-    landed = landing_inventory(spark, landing, names).filter("present")
+    landed = landed_counts(read_footers(spark, landing, names)).filter("n_rows > 0")
     if spark.catalog.tableExists(table):
-        stored = spark.table(table).select(F.col("source_file").alias("path")).distinct()
-        landed = landed.join(stored, "path", "left_anti")
+        stored = stored_counts(spark.table(table)).withColumnRenamed("n_rows", "stored")
+        counts = landed.join(stored, "source_file", "left").na.fill(0, ["stored"])
+    else:
+        counts = landed.withColumn("stored", F.lit(0))
+    differ = counts.filter("stored <> n_rows").collect()
+    partly = [f"{r.source_file} ({r.stored} of {r.n_rows} rows)" for r in differ if r.stored]
+    if partly:
+        raise IncompleteDelivery(f"{table} differs from what landed: {', '.join(sorted(partly))}")
     prefix = len(landing.rstrip("/")) + 1
-    return sorted(row["path"][prefix:] for row in landed.select("path").collect())
+    return sorted(r.source_file[prefix:] for r in differ)
 
 
 def unprocessed(spark: SparkSession, source: str, target: str) -> list[str]:

@@ -239,6 +239,7 @@ def test_audits(spark, landing, stored):
     assert layer_audit(spark, landing, spec)["volume"].filter("status <> 'low'").isEmpty()
     assert {r.rows for r in layers["expectations"].collect()} == {321}
     assert layers["counts"].filter("diff <> 0").isEmpty() and layers["counts"].count() == 5
+    assert layers["kept"].filter("diff <> 0").isEmpty() and layers["kept"].count() == 5
     assert rows(layers["retention"], "layer", "rows") == [("bronze", 6000), ("silver", 321)]
     assert layers["rejections"].agg(F.sum("rows_first_failing")).first()[0] == 6000 - 321
     nulls = {(r.layer, r["column"]): r.n_null for r in layers["nulls"].collect()}

@@ -33,7 +33,7 @@ from lakestrata.sources import (
     schema_report,
 )
 from lakestrata.sources.files import path_part
-from lakestrata.sources.landing import new_entries, schema_groups
+from lakestrata.sources.landing import IncompleteDelivery, new_entries, schema_groups
 
 TS = dt.datetime(1998, 3, 1)
 SIMPLE = {"id": "bigint", "amount": "double"}
@@ -265,10 +265,21 @@ def test_new_files_are_added_once(spark, drifted):
     assert new_entries(spark, drifted, table) == NAMES
     assert ingest_new(spark, drifted, table, ["a.parquet", "b.parquet"], SIMPLE) == ["a.parquet", "b.parquet"]
     assert ingest_new(spark, drifted, table, casts=SIMPLE) == ["c.parquet"]
+    save(spark, f"{drifted}/empty.parquet", "id bigint, amount double, t timestamp_ntz")
     assert ingest_new(spark, drifted, table, casts=SIMPLE) == []
     assert rows(spark.table(table), "id", "amount") == [(1, 1.5), (2, 2.0), (2, 2.0), (3, 3.0)]
 
 
+def test_a_delivery_stored_in_part_is_refused(spark, drifted):
+    ensure_namespaces(spark, {"landing_new": "new files"})
+    table = "landing_new.damaged"
+    assert ingest_new(spark, drifted, table, ["b.parquet"], SIMPLE) == ["b.parquet"]
+    save(spark, f"{drifted}/b.parquet", "id int, Amount bigint, t timestamp_ntz", (9, 9, TS))
+    with pytest.raises(IncompleteDelivery, match=r"b.parquet \(2 of 3 rows\)"):
+        ingest_new(spark, drifted, table, casts=SIMPLE)
+    assert spark.table(table).count() == 2
+
+
 def test_drift_fixture_loses_nothing(spark, sf_dir, folder):
     write_landing(spark, sf_dir, folder)
     bound = trips(spark, sf_dir)
