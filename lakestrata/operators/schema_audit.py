@@ -23,6 +23,15 @@ def _sources(name: str):
     return F.array_sort(F.collect_set("source_file")).alias(name)
 
 
+def schema_summary(report: DataFrame) -> DataFrame:
+    """``source_file, n_columns, columns``: how many columns each entry has and their sorted names."""
+    return (
+        report.groupBy("source_file")
+        .agg(F.array_sort(F.collect_set("column")).alias("columns"))
+        .select("source_file", F.size("columns").alias("n_columns"), "columns")
+    )
+
+
 def schema_presence_diff(report: DataFrame, expected: Sequence[str]) -> DataFrame:
     """``column, present_in, missing_in`` for columns not found in every expected entry.
 

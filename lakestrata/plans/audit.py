@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from lakestrata.operators.monitor import landed_counts, reconcile_counts, stored_counts, volume_check
 from lakestrata.operators.nulls import null_profile
 from lakestrata.operators.rules import expectation_metrics, layer_retention, rule_rejections
-from lakestrata.operators.schema_audit import schema_name_conflicts, schema_presence_diff, schema_type_conflicts
+from lakestrata.operators.schema_audit import (
+    schema_name_conflicts,
+    schema_presence_diff,
+    schema_summary,
+    schema_type_conflicts,
+)
 from lakestrata.operators.unions import union_strict
 from lakestrata.plans.trips import EXPECTATIONS, EXPECTED_ROWS_PER_MONTH, Spec, lenient, with_calendar
 from lakestrata.plans.trips import silver as clean
@@ -27,6 +32,7 @@ def landing_audit(spark: SparkSession, landing: str, spec: Spec) -> dict[str, Da
     return {
         "inventory": landing_inventory(spark, landing, spec.files),
         "schemas": report,
+        "summary": schema_summary(report),
         "presence": schema_presence_diff(report, [f"{landing.rstrip('/')}/{name}" for name in spec.files]),
         "types": schema_type_conflicts(report),
         "names": schema_name_conflicts(report),

@@ -205,6 +205,11 @@ ORACLES: dict[str, str] = {
     "schema_report": f"""{TRIPS}, counts AS (SELECT file_number, {_N} AS n_rows FROM numbered GROUP BY 1)
       SELECT {_FILE} AS source_file, ordinal, "column", type, TRUE AS nullable, n_rows
       FROM ({_values(_schema_rows())}) AS t(file_number, ordinal, "column", type) JOIN counts USING (file_number)""",
+    "schema_summary": "SELECT * FROM ("
+    + _values(
+        [(SPEC.files[m - 1], 12, ",".join(sorted(column for column, _ in _fields(m)))) for m in range(1, 6)]
+    )
+    + ") AS t(source_file, n_columns, columns)",
     "schema_presence_diff": "SELECT * FROM ("
     + _values([("airport_fee", _names(1, 4), _names(2, 3, 5)), ("Airport_fee", _names(2, 3, 5), _names(1, 4))])
     + ') AS t("column", present_in, missing_in)',

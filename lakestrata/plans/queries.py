@@ -177,6 +177,12 @@ def schema_report(spark, sf_dir):
     return report(spark, sf_dir).withColumn("source_file", base_name())
 
 
+@query
+def schema_summary(spark, sf_dir):
+    df = schema_audit.schema_summary(report(spark, sf_dir))
+    return df.withColumns({"source_file": base_name(), "columns": F.array_join("columns", ",")})
+
+
 @query
 def schema_presence_diff(spark, sf_dir):
     folder = landed(spark, sf_dir)

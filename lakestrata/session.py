@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -13,6 +14,7 @@ SHUFFLE_PARTITION_BYTES = 256 * 1024**2
 MAX_SHUFFLE_PARTITIONS = 50_000
 
 _local_dirs: dict[str, str] = {}
+_conf_lock = threading.RLock()
 
 
 def build_session(app: str, cpus: str | int = "*", conf: Mapping[str, str] | None = None) -> SparkSession:
@@ -56,18 +58,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 @contextmanager
 def sql_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
-    """Hold SQL settings for the length of a block, then put the old ones back."""
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+    """Hold SQL settings for the length of a block, then put the old ones back.
+
+    Settings belong to the session, so blocks of different threads wait for each other: a write that
+    replaces single partitions must not run under the settings of a full refresh.
+    """
+    with _conf_lock:
+        before = {key: spark.conf.get(key, None) for key in settings}
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key, value in before.items():
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)
 
 
 def shuffle_settings(df: DataFrame) -> dict[str, str]:

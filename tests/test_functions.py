@@ -1,4 +1,5 @@
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import rows
@@ -101,3 +102,17 @@ def test_shuffles_are_sized_by_the_data(spark):
     with sql_conf(spark, {key: "7"}):
         assert spark.conf.get(key) == "7"
     assert spark.conf.get(key) == "4"
+
+
+def test_settings_of_threads_do_not_mix(spark):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    seen = []
+
+    def hold(value):
+        with sql_conf(spark, {key: value}):
+            for _ in range(20):
+                seen.append(spark.conf.get(key).lower() == value)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(hold, ["static", "dynamic"] * 4))
+    assert all(seen) and spark.conf.get(key).lower() == "static"

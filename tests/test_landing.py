@@ -13,6 +13,7 @@ from lakestrata.operators.schema_audit import (
     IncompatibleTypes,
     schema_name_conflicts,
     schema_presence_diff,
+    schema_summary,
     schema_type_conflicts,
     type_family,
 )
@@ -185,6 +186,11 @@ def test_schema_reports(spark, drifted):
     ]
     paths = [f"{drifted}/{n}" for n in NAMES]
     a, b, c = paths
+    assert rows(schema_summary(report)) == [
+        (a, 3, ["Amount", "ID", "t"]),
+        (b, 3, ["Amount", "id", "t"]),
+        (c, 3, ["AMOUNT", "id", "t"]),
+    ]
     presence = {r["column"]: (r.present_in, r.missing_in) for r in schema_presence_diff(report, paths).collect()}
     assert presence == {
         "ID": ([a], [b, c]),

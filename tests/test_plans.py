@@ -4,6 +4,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 
 FOOTER_QUERIES = {
     "schema_report",
+    "schema_summary",
     "schema_presence_diff",
     "schema_type_conflicts",
     "schema_name_conflicts",
