@@ -195,6 +195,28 @@ def test_partitioned_layers_hold_the_same_rows(spark, landing, stored, rebalance
     assert "PartitionFilters: [isnotnull(pickup_month#" in view._jdf.queryExecution().executedPlan().toString()
 
 
+def test_silver_clustered_by_date_skips_files(spark, landing, stored):
+    full, _ = stored
+    spec = Spec(
+        year=SPEC.year,
+        namespaces={layer: f"dated_{layer}" for layer in NAMESPACES},
+        calendar=("year", "month", "date"),
+        cluster_by=("pickup_date",),
+    )
+    with sql_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        refresh_trips(spark, replace(spec, months=(1, 4)), landing, scratch_path(spark, "tables"))
+        refresh_new_trips(spark, spec, landing)
+    table = spark.table(spec.table("silver"))
+    assert table.count() == spark.table(full.table("silver")).count()
+    first_run = table.filter("pickup_month <= 4").groupBy("_metadata.file_path")
+    found = first_run.agg(F.min("pickup_date").alias("lo"), F.max("pickup_date").alias("hi")).collect()
+    spans = sorted((r.lo, r.hi) for r in found)
+    assert len(spans) == 4 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    with sql_conf(spark, {"spark.sql.maxMetadataStringLength": "2000"}):
+        plan = table.filter("pickup_date < date'1998-01-10'")._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(pickup_date,1998-01-10)" in plan
+
+
 def test_new_files_reach_all_layers(spark, landing, stored):
     full, _ = stored
     spec = Spec(year=SPEC.year, namespaces={layer: f"new_{layer}" for layer in NAMESPACES})
