@@ -41,7 +41,14 @@ def _footer_reader():
             filesystem, name = pafs.FileSystem.from_uri(uri)
             return filesystem.open_input_file(name)
 
+        # The types Spark reads unsigned Parquet integers as.
+        unsigned = {"uint8": "smallint", "uint16": "int", "uint32": "bigint", "uint64": "decimal(20,0)"}
+
         def spark_type(arrow_type):
+            if pa.types.is_dictionary(arrow_type):
+                arrow_type = arrow_type.value_type
+            if str(arrow_type) in unsigned:
+                return unsigned[str(arrow_type)]
             try:
                 return from_arrow_type(arrow_type, True).simpleString()
             except Exception:

@@ -219,6 +219,33 @@ def test_report_types_match_what_spark_infers(spark, folder):
     assert [(r["column"], r["type"]) for r in report] == read_file(spark, f"{folder}/types.parquet").dtypes
 
 
+def test_types_of_other_writers(spark, folder):
+    from pathlib import Path
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    Path(folder).mkdir(parents=True)
+    columns = {
+        "a": pa.array([1], pa.uint8()),
+        "b": pa.array([1], pa.uint16()),
+        "c": pa.array([1], pa.uint32()),
+        "d": pa.array([1], pa.uint64()),
+        "e": pa.array(["x"]).dictionary_encode(),
+        "f": pa.array(["x"], pa.large_string()),
+        "g": pa.array([TS], pa.timestamp("us", "UTC")),
+        "h": pa.array([TS], pa.timestamp("ms")),
+        "i": pa.array([True]),
+        "j": pa.array([b"x"]),
+        "k": pa.array([dt.date(2020, 1, 1)]),
+        "l": pa.array([1], pa.int8()),
+    }
+    pq.write_table(pa.table(columns), f"{folder}/x.parquet")
+    report = schema_report(read_footers(spark, folder)).orderBy("ordinal").collect()
+    assert [(r["column"], r["type"]) for r in report] == read_file(spark, f"{folder}/x.parquet").dtypes
+    assert rows(ingest(spark, folder), *columns) == rows(read_file(spark, f"{folder}/x.parquet"))
+
+
 def test_legacy_timestamps_keep_their_type(spark, folder):
     spark.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
     try:
