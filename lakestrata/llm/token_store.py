@@ -86,11 +86,10 @@ class WordEncoder:
         ids = self.ids([" ".join(words)])[0]
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(words) or cuts[-1] != len(ids):
-            parts = self.ids(words)
-        else:
-            parts = np.split(ids, cuts[:-1])
-        for word, part in zip(words, parts):
-            self.letters[word] = part.tobytes()
+            self.letters.update(zip(words, (part.tobytes() for part in self.ids(words))))
+            return
+        whole, stops = ids.tobytes(), (4 * cuts).tolist()
+        self.letters.update(zip(words, (whole[a:b] for a, b in zip([0, *stops], stops))))
 
     def _learn(self, runs: list[bytes]) -> None:
         rest, plain = [], []
@@ -100,7 +99,9 @@ class WordEncoder:
             text = run.decode("utf-8", "replace")
             core = text.rstrip(".,;:!?")
             lower = core.lower()
-            if core.isalpha() and lower.isalpha() and "Σ" not in core and unicodedata.is_normalized("NFC", lower):
+            if core.isalpha() and (
+                core.isascii() or lower.isalpha() and "Σ" not in core and unicodedata.is_normalized("NFC", lower)
+            ):
                 tail = text[len(core) :]
                 plain.append((run, lower, tail))
                 if tail and tail not in self.tails:
