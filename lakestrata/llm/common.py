@@ -64,6 +64,19 @@ def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int
         first = last
 
 
+def valid(column: pa.Array) -> pa.Array:
+    """The texts with null as empty; bytes that are not UTF-8 become replacement characters."""
+    try:
+        column.validate(full=True)
+    except pa.ArrowInvalid:
+        column = pa.array([None if t is None else t.decode("utf-8", "replace") for t in as_bytes(column)], pa.string())
+    return pc.fill_null(column, "")
+
+
+def strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 

@@ -17,16 +17,16 @@ from __future__ import annotations
 
 import hashlib
 import os
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import Recent, as_bytes, documents, ship, slices
+from lakestrata.llm.common import Recent, documents, ship, slices, strings, valid
 from lakestrata.session import scratch_path
 
 VERSION = 1
@@ -34,6 +34,7 @@ BLOCK_BYTES = 1 << 20  # a block is closed once its ids reach this size
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCUMENTS = 2_000  # the dictionary is trained on at most so many texts ...
 SAMPLE_TEXT_BYTES = 8 << 10  # ... none longer than this: it serves short documents
+SLICE = 4 << 20  # bytes of text whose words are made distinct together
 CACHED_WORDS = 250_000  # in each of two generations
 SHARD_BYTES = 64 << 20
 END_ID = 2
@@ -56,10 +57,14 @@ class WordEncoder:
     """Encodes whole texts with the tokenizers library, asking it once for each distinct word.
 
     The vocabulary's pre-tokenizer drops white space, so the ids of a text are those of its runs without white
-    space, one after the other. A letters-only word followed by plain punctuation is two pre-tokens, so its ids are
-    those of the two. Known runs are held in a bounded cache that a Python worker keeps between tasks.
+    space, one after the other. A run of Latin letters followed by plain punctuation is two pre-tokens, so its ids
+    are those of the two, and letters are lower-cased first. Words of a slice are made distinct by Arrow; ids of
+    known words are held in a bounded cache that a Python worker keeps between tasks.
     """
 
+    letters = "^[A-Za-zÀ-ÖØ-öø-ÿŒœ]+$"  # precomposed, so normalisation leaves them, and lower-cased one by one
+    marks = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # a run of these is one pre-token
+
     def __init__(self, path: str, cached: int = CACHED_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
@@ -68,9 +73,8 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known: dict[bytes, bytes] = Recent(cached)
-        self.letters: dict[str, bytes] = Recent(cached // 2)
-        self.tails: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = Recent(cached)
+        self.others: dict[str, bytes] = Recent(cached // 4)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
@@ -79,49 +83,54 @@ class WordEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, np.uint32) for e in found]
 
-    def _learn_letters(self, words: list[str]) -> None:
-        """Ids of letters-only words: encoded as one text and cut after each token that ends a word."""
-        if not words:
-            return
+    def _learn_words(self, words: list[str]) -> None:
+        """Ids of words of letters: encoded as one text and cut after each token that ends a word."""
         ids = self.ids([" ".join(words)])[0]
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(words) or cuts[-1] != len(ids):
-            self.letters.update(zip(words, (part.tobytes() for part in self.ids(words))))
+            self.words.update(zip(words, (part.tobytes() for part in self.ids(words))))
             return
         whole, stops = ids.tobytes(), (4 * cuts).tolist()
-        self.letters.update(zip(words, (whole[a:b] for a, b in zip([0, *stops], stops))))
-
-    def _learn(self, runs: list[bytes]) -> None:
-        rest, plain = [], []
-        if len(self.tails) > 10_000:
-            self.tails.clear()
-        for run in runs:
-            text = run.decode("utf-8", "replace")
-            core = text.rstrip(".,;:!?")
-            lower = core.lower()
-            if core.isalpha() and (
-                core.isascii() or lower.isalpha() and "Σ" not in core and unicodedata.is_normalized("NFC", lower)
-            ):
-                tail = text[len(core) :]
-                plain.append((run, lower, tail))
-                if tail and tail not in self.tails:
-                    self.tails[tail] = self.ids([tail])[0].tobytes()
-            else:
-                rest.append((run, text))
-        self._learn_letters(sorted(self.letters.absent({lower for _, lower, _ in plain})))
-        for run, lower, tail in plain:
-            self.known[run] = self.letters[lower] + (self.tails[tail] if tail else b"")
-        for (run, _), ids in zip(rest, self.ids([text for _, text in rest]) if rest else []):
-            self.known[run] = ids.tobytes()
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit numbers."""
-        runs = [(t or b"").split() for t in texts]
-        new = self.known.absent(set().union(*runs))
+        self.words.update(zip(words, (whole[a:b] for a, b in zip([0, *stops], stops))))
+
+    def _known(self, cache: dict[str, bytes], strings: list[str], learn) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct strings set end to end, and how many each has."""
+        new = sorted(cache.absent(set(strings)))
         if new:
-            self._learn(sorted(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, r)) for r in runs]
+            learn(new)
+        found = [cache[s] for s in strings]
+        return np.frombuffer(b"".join(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found)) // 4
+
+    def _learn_others(self, runs: list[str]) -> None:
+        self.others.update(zip(runs, (part.tobytes() for part in self.ids(runs))))
+
+    def encode(self, column: pa.Array) -> list[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit numbers."""
+        split = pc.ascii_split_whitespace(valid(column))
+        coded = split.flatten().dictionary_encode()
+        runs, at = coded.dictionary, coded.indices.to_numpy()
+        # A run is a word of letters and a tail of marks, or (its word then left out) anything else.
+        cores = pc.utf8_rtrim(runs, self.marks)
+        plain = pc.match_substring_regex(cores, self.letters).to_numpy(zero_copy_only=False)
+        words = pc.utf8_lower(cores).filter(pa.array(plain)).dictionary_encode()
+        word_ids, word_sizes = self._known(self.words, strings(words.dictionary), self._learn_words)
+        cut = np.where(plain, pc.binary_length(cores).to_numpy(), 0)
+        has = pc.binary_length(runs).to_numpy() > cut
+        rest = [r.encode()[c:].decode() if c else r for r, c in zip(strings(runs.filter(pa.array(has))), cut[has].tolist())]
+        others = pa.array(rest, pa.string()).dictionary_encode()
+        other_ids, other_sizes = self._known(self.others, strings(others.dictionary), self._learn_others)
+        # Where the two parts of each run lie in the table of all known ids.
+        table = np.concatenate([word_ids, other_ids])
+        sizes, starts = np.zeros((len(runs), 2), np.int64), np.zeros((len(runs), 2), np.int64)
+        sizes[plain, 0] = word_sizes[words.indices.to_numpy()]
+        starts[plain, 0] = (np.cumsum(word_sizes) - word_sizes)[words.indices.to_numpy()]
+        sizes[has, 1] = other_sizes[others.indices.to_numpy()]
+        starts[has, 1] = (np.cumsum(other_sizes) - other_sizes + len(word_ids))[others.indices.to_numpy()]
+        size = sizes[at].ravel()
+        stops = np.cumsum(size)
+        ids = table[np.repeat(starts[at].ravel() - (stops - size), size) + np.arange(int(size.sum()))].tobytes()
+        bounds = np.concatenate([[0], stops[1::2]])[split.offsets.to_numpy() - split.offsets[0].as_py()] * 4
+        return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -149,7 +158,7 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int = END_ID, text: str
         import zstandard
 
         end = np.uint32(end_id).tobytes()
-        samples = [ids + end for b in batches for ids in encoder(path).encode(as_bytes(b.column(0)))]
+        samples = [ids + end for b in batches for ids in encoder(path).encode(b.column(0))]
         try:
             made = zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
         except zstandard.ZstdError:
@@ -205,9 +214,9 @@ def write_store(
             return pa.RecordBatch.from_arrays(arrays, names)
 
         for batch in batches:
-            for first, n in slices(batch.column(1)):
+            for first, n in slices(batch.column(1), SLICE):
                 part = batch.slice(first, n)
-                for doc_id, ids in zip(part.column(0).to_pylist(), encoder(vocabulary).encode(as_bytes(part.column(1)))):
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder(vocabulary).encode(part.column(1))):
                     ids += end
                     ids_.append(doc_id)
                     lengths.append(len(ids) // 4)
