@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakestrata.llm import byte_bpe, html_text, near_dups, quality_rules, repeats, token_store
+from lakestrata.llm import byte_bpe, decontaminate, html_text, near_dups, quality_rules, repeats, token_store
 
 QUERIES = {
     fn.__name__: fn
@@ -10,10 +10,11 @@ QUERIES = {
         token_store.op1_token_store,
         html_text.op2_html_text,
         byte_bpe.op3_byte_bpe,
+        decontaminate.op5_decontamination,
         near_dups.op6_near_dups,
         repeats.op9_substring_dedup,
         quality_rules.op10_quality_rules,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_decontamination": decontaminate.ORACLE}
