@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestrata.llm import byte_bpe, quality_rules
+from lakestrata.llm import byte_bpe, decontaminate, near_dups, quality_rules, repeats
 from lakestrata.llm.common import documents, stored
 
 STAGES = [
     ("quality_rules", quality_rules.stage),
+    ("near_dups", near_dups.stage),
+    ("substring_dedup", repeats.stage),
+    ("decontamination", decontaminate.stage),
     ("byte_bpe", byte_bpe.stage),
 ]
 

@@ -171,3 +171,31 @@ class Recent(dict):
         for key in new.intersection(self.older):
             self[key] = self.older[key]
         return new.difference(self.older)
+
+
+def distinct_words(column: pa.Array, pattern: str | None = None) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct words, number of the word at each place, bounds of each text's places) of lower-cased texts.
+
+    Words are runs without ASCII white space, or what lies between matches of ``pattern``.
+    """
+    lower = pc.utf8_lower(valid(column))
+    split = pc.split_pattern_regex(lower, pattern) if pattern else pc.ascii_split_whitespace(lower)
+    bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+    flat = split.flatten()
+    full = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)  # a text that begins or ends with white space
+    if not full.all():
+        bounds = np.concatenate([[0], np.cumsum(full)])[bounds]
+        flat = flat.filter(pa.array(full))
+    coded = flat.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), bounds.astype(np.int64)
+
+
+def summed(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of the values between neighbouring bounds."""
+    total = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0, dtype=np.float64)])
+    return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """The (stored) table, marked for broadcast if a count shows no more than ``rows`` rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from lakestrata.llm import byte_bpe, decontaminate, html_text, near_dups, quality_rules, repeats, token_store
+from lakestrata.llm import (
+    byte_bpe,
+    decontaminate,
+    html_text,
+    language_id,
+    lm_score,
+    near_dups,
+    quality_fm,
+    quality_rules,
+    repeats,
+    token_store,
+)
 
 QUERIES = {
     fn.__name__: fn
@@ -10,8 +21,11 @@ QUERIES = {
         token_store.op1_token_store,
         html_text.op2_html_text,
         byte_bpe.op3_byte_bpe,
+        lm_score.op4_lm_score,
         decontaminate.op5_decontamination,
         near_dups.op6_near_dups,
+        language_id.op7_language_id,
+        quality_fm.op8_quality_fm,
         repeats.op9_substring_dedup,
         quality_rules.op10_quality_rules,
     )
