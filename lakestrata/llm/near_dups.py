@@ -8,9 +8,9 @@ independent ones. Groups of ``rows`` coordinates make a band; sets that share a
 
 Texts with equal sets are one class. In each bucket, classes are compared with one pivot (a star, not all pairs),
 on their full sets. Buckets whose classes are by then in one component are done. In the others, only pairs of different components
-are compared that can be similar at all: sizes within the threshold, and distances to the common pivot
-that differ by no more than the threshold allows (the Jaccard distance is a metric, so the others cannot
-be similar). Pairs inside a component change nothing and are never listed. Components come from hooking and pointer
+are compared that can be similar at all, by two exact bounds: their distances to the common pivot differ by no more than the
+threshold allows (the Jaccard distance is a metric), and enough of their shingles occur in any other class.
+Pairs inside a component change nothing and are never listed. Components come from hooking and pointer
 jumping on stored tables.
 
 Cases: texts without words have an empty set and are linked with nothing. Rows of one id are judged by their own text;
@@ -182,43 +182,81 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("f"), text.alias("text"))
 
 
-def linked(members: DataFrame, texts: DataFrame, percent: int = PERCENT, stars: int = 3) -> DataFrame:
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo, n in slices(batch.column(1)):
+            owner, grams = shingle_sets(as_bytes(batch.column(1).slice(lo, n)))
+            nodes = batch.column(0).slice(lo, n).take(pa.array(owner))
+            yield pa.RecordBatch.from_arrays([nodes, pa.array(grams.view(np.int64))], ["node", "gram"])
+
+
+def shared_sizes(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, alone): how many shingles of each of these classes no other of them has; classes without any are left out."""
+    grams = texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(_grams, "node binary, gram long")
+    once = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).filter("n = 1")
+    return once.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+
+
+def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members, with their component, of the buckets that more than one component shares."""
+    now = members.join(labels, "node")
+    mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
+    return stored(now.join(mixed, "key"), "left")
+
+
+def linked(members: DataFrame, texts: DataFrame, percent: int = PERCENT, stars: int = 1) -> DataFrame:
     """(node, comp) of all classes that share a bucket: the components of the links of at least ``percent``.
 
-    ``stars`` rounds compare each bucket with one pivot each; what pairs remain between components are then listed.
+    Each bucket is compared with its most central class, then ``stars`` times with one more; what pairs remain between
+    components, and can be similar enough at all, are then listed.
     """
     gap = 1 - percent / 100 + 1e-9
     links = lambda pairs: pairs.filter(F.col("common") * 100 >= F.col("total") * percent).select("a", "b")
+    # The class that meets the most others is the most central one: the original that copies were made from, if it is there.
+    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    members = stored(members.join(weight, "node").select("key", "node", "n", "weight"), "weighted")
+    pivots = members.groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("pivot"))
+    members = members.join(pivots, "key")
     pairs = members.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     found = stored(verified(pairs, texts), "verified")
     labels = stored(members.select("node").distinct().withColumn("comp", F.col("node")), "labels")
     labels = components(labels, links(found))
     # Every class of a bucket now has its distance to the pivot; the pivot itself has met all others.
-    far = found.select(F.col("a").alias("node"), F.col("b").alias("pivot"), (1 - F.col("common") / F.col("total")).alias("far"))
-    left = stored(members.join(far, ["node", "pivot"]).select("key", "node", "n", "far"), "left")
+    met = found.select(
+        F.col("a").alias("node"), F.col("b").alias("pivot"), "common", (1 - F.col("common") / F.col("total")).alias("far")
+    )
+    left = unresolved(members.join(met, ["node", "pivot"]), labels)
+    if left.isEmpty():
+        return labels
+    # What two classes have in common is either in the pivot too, or outside it and in both: at most the smaller of what
+    # each has in common with the pivot and the smaller of what each has outside it that any other class has as well.
+    asked = left.select("node").unionByName(left.select(F.col("pivot").alias("node"))).distinct()
+    alone = stored(shared_sizes(asked, texts), "alone")
+    left = left.join(alone, "node", "left").withColumn("outside", F.col("n") - F.col("common") - F.coalesce("alone", F.lit(0)))
+    able = (F.col("common") + F.col("outside")) * 100 >= F.col("n") * percent
+    left = stored(left.filter(able).select("key", "node", "n", "weight", "far", "common", "outside"), "left")
     for round_ in range(stars + 1):
-        now = left.join(labels, "node")
-        mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-        left = stored(now.join(mixed, "key"), "left")
+        left = unresolved(left, labels)
         if left.isEmpty():
             break
-        x = left.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("far").alias("fa"), F.col("comp").alias("ca"))
-        y = left.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("far").alias("fb"), F.col("comp").alias("cb"))
+        columns = ["n", "common", "outside", "far", "comp"]
+        x = left.select("key", F.col("node").alias("a"), *[F.col(c).alias(f"{c}a") for c in columns])
+        y = left.select("key", "weight", F.col("node").alias("b"), *[F.col(c).alias(f"{c}b") for c in columns])
         if round_ < stars:
-            pick = F.min(F.struct(F.xxhash64("b", F.lit(round_)).alias("h"), "b", "nb", "fb", "cb"))
-            y = y.groupBy("key").agg(pick.alias("y")).select("key", "y.*")
+            top = F.max(F.struct("weight", "b", *[f"{c}b" for c in columns])).alias("y")
+            y = y.groupBy("key").agg(top).select("key", "y.*")
+        most = F.least("commona", "commonb") + F.least("outsidea", "outsideb")
         able = (
-            (F.col("ca") != F.col("cb"))
-            & (F.abs(F.col("fa") - F.col("fb")) <= gap)
-            & (F.col("na") * 100 >= F.col("nb") * percent)
-            & (F.col("nb") * 100 >= F.col("na") * percent)
+            (F.col("compa") != F.col("compb"))
+            & (F.abs(F.col("fara") - F.col("farb")) <= gap)
+            & (most * 100 >= (F.col("na") + F.col("nb") - most) * percent)
         )
         if round_ == stars:
             able = able & (F.col("a") < F.col("b"))
         pairs = stored(x.join(y, "key").filter(able).select("a", "b").distinct(), "pairs")
         if round_ < stars:
             left = left.join(y.select("key", F.col("b").alias("node")), ["key", "node"], "left_anti")
-        left = left.select("key", "node", "n", "far")
+        left = left.drop("comp")
         if not pairs.isEmpty():
             labels = components(labels, links(stored(verified(pairs, texts), "verified")))
     return labels
@@ -236,8 +274,8 @@ def near_groups(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, percent:
         "classes",
     )
     one = classes.select("node", "n", F.explode("bands").alias("key"))
-    shared = one.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot")).filter("size > 1")
-    members = stored(one.join(shared.select("key", "pivot"), "key"), "members")
+    shared = one.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = stored(one.join(shared, "key"), "members")
     labels = linked(members, _texts(docs, classes, members), percent)
     grouped = labels.join(classes.select("node", "row"), "node")
     firsts = grouped.groupBy("comp").agg(F.min("row").alias("top"))
