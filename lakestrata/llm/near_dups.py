@@ -225,7 +225,9 @@ def linked(members: DataFrame, texts: DataFrame, percent: int = PERCENT, stars:
     met = found.select(
         F.col("a").alias("node"), F.col("b").alias("pivot"), "common", (1 - F.col("common") / F.col("total")).alias("far")
     )
-    left = unresolved(members.join(met, ["node", "pivot"]), labels)
+    # From here on a pivot's buckets are one: a pair that shares several of them is met once, and no pair is lost.
+    around = members.select("node", "n", "weight", "pivot").distinct().join(met, ["node", "pivot"])
+    left = unresolved(around.withColumn("key", F.col("pivot")), labels)
     if left.isEmpty():
         return labels
     # What two classes have in common is either in the pivot too, or outside it and in both: at most the smaller of what
