@@ -36,7 +36,6 @@ SAMPLE_DOCUMENTS = 2_000  # the dictionary is trained on at most so many texts .
 SAMPLE_TEXT_BYTES = 8 << 10  # ... none longer than this: it serves short documents
 SLICE = 4 << 20  # bytes of text whose words are made distinct together
 CACHED_WORDS = 250_000  # in each of two generations
-SHARD_BYTES = 64 << 20
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 BLOCKS = (

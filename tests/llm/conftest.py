@@ -1,0 +1,38 @@
+import random
+
+import pytest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rest string, row int, d long, node string"
+
+
+def table(spark, rows, parts=3):
+    """Documents with further columns, some of whose names the operators use themselves."""
+    rows = [(i, t, lang, "src0", len(t or ""), "x", 1, 2, "y") for i, t, lang in rows]
+    return spark.createDataFrame(rows, SCHEMA).repartition(parts)
+
+
+@pytest.fixture(scope="session")
+def texts():
+    """Texts of every awkward kind: null, empty, blank, very long, equal, repeated ids, null ids, near copies."""
+    r = random.Random(7)
+    words = [f"{a}{b}{c}" for a in "bdgk" for b in "aeiou" for c in ("n", "rt", "é", "ß", "")]
+    base = [[r.choice(words) for _ in range(n)] for n in (3, 60, 120, 200)]
+    rows = [(None, "A null id", None), (None, None, "en"), (1, None, "en"), (2, "", "en"), (3, " \n\t ", None), (4, "!!! 123", "de")]
+    for i in range(10, 70):
+        b = list(base[i % 4])
+        for _ in range(i % 3):
+            b[r.randrange(len(b))] = r.choice(words)
+        rows.append((i, (" ", "\n", ", ")[i % 3 if i % 7 == 0 else 0].join(b), ("en", "de")[i % 2]))
+    rows += [(70, "long " * 30_000 + "tail", "en"), (71, "x" * 200_000, "de"), (72, "Ünïcode 😀 \x1c ABC", "en")]
+    rows += [(10, rows[6][1], "en"), (10, rows[6][1], "en"), (11, "another text of one id", "de")]
+    return rows
+
+
+@pytest.fixture(scope="session")
+def docs(spark, texts):
+    return table(spark, texts).cache()
+
+
+@pytest.fixture(scope="session")
+def empty(spark, texts):
+    return table(spark, texts).limit(0)
