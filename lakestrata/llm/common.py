@@ -93,11 +93,12 @@ def map_texts(
     schema: str,
     text: str | Column = "text",
     keep: Sequence[str] | None = None,
+    arrow: bool = False,
 ) -> DataFrame:
     """One row out for each row in: ``row``, a struct of the kept columns, and the fields of ``schema``.
 
     ``make`` runs once in each task and returns the function that turns the texts of a slice (UTF-8, or
-    None) into one list or array per field. No shuffle.
+    None; as an Arrow array with ``arrow``, which takes larger slices) into one list or array per field. No shuffle.
     """
     ship(docs.sparkSession)
     found = T.StructType.fromDDL(schema)
@@ -110,9 +111,9 @@ def map_texts(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            for first, n in slices(batch.column(1)):
+            for first, n in slices(batch.column(1), SLICE_BYTES * (4 if arrow else 1)):
                 part = batch.slice(first, n)
-                values = fn(as_bytes(part.column(1)))
+                values = fn(part.column(1) if arrow else as_bytes(part.column(1)))
                 arrays = [v if isinstance(v := values[name], pa.Array) else pa.array(v, kind) for name, kind in kinds]
                 yield pa.RecordBatch.from_arrays([part.column(0), *arrays], ["row", *(name for name, _ in kinds)])
 
