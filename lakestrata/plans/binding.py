@@ -69,13 +69,18 @@ def shape_file(df: DataFrame, month: int) -> DataFrame:
     )
 
 
-def write_landing(spark: SparkSession, sf_dir: str, landing: str | None = None, drift: bool = True) -> str:
+def write_landing(
+    spark: SparkSession, sf_dir: str, landing: str | None = None, drift: bool = True, early: bool = False
+) -> str:
     """Write one entry per month, each a folder of Parquet part files, and return the landing folder.
 
     Rows dated outside the period are spread over the files, as late and misdated rows are in practice.
+    With ``early``, some rows of each month lie in the file of the month before.
     """
     landing = landing or scratch_path(spark, "landing")
     number = FILE_NUMBER.format(year=f"year({SPARK_SHIFT})", month=f"month({SPARK_SHIFT})")
+    if early:
+        number = f"greatest(1, {number} - CAST(l_orderkey % 7 = 0 AS INT))"
     rows = trips(spark, sf_dir, f"{number} AS file_number")
 
     def write(month: int) -> None:

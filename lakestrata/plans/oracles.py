@@ -265,6 +265,8 @@ ORACLES: dict[str, str] = {
       SELECT *, CAST(dense_rank() OVER (ORDER BY total_trips DESC) AS INTEGER) AS trips_rank FROM hours""",
     "refresh_layers": _GOLD,
     "refresh_new_files": _GOLD,
+    "refresh_new_silver": f"{TRIPS} SELECT CAST(pickup_month AS INT) AS pickup_month, count(*) AS n_rows,"
+    " round(sum(total_amount), 2) AS total_revenue FROM silver GROUP BY pickup_month",
     "view_monthly": f"{TRIPS} {_monthly('silver')}",
     "view_hourly": f"{TRIPS} {_hourly('silver')}",
     "namespaces": f"{TRIPS}, {_LAYER_ROWS} SELECT layer, n_rows FROM layer_rows",

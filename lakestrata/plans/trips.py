@@ -5,6 +5,7 @@ All of it is configuration for the operators; another kind of delivery needs ano
 
 from __future__ import annotations
 
+import calendar as names_of_months
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -13,10 +14,11 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions import add_calendar
 from lakestrata.operators.metrics import hourly_profile, metrics_sql, monthly_avg_revenue, trip_summary
-from lakestrata.operators.rules import apply_rules
+from lakestrata.operators.monitor import stored_counts
+from lakestrata.operators.rules import apply_rules, passes_all
 from lakestrata.sources.catalog import Dataset, View, ensure_namespaces, publish, refresh
 from lakestrata.sources.files import add_period_tag
-from lakestrata.sources.landing import ingest, ingest_new, unprocessed
+from lakestrata.sources.landing import ingest, ingest_new
 
 # Existing landing folders, queries and dashboards depend on these names, types and bounds.
 FILE_NAME = "yellow_tripdata_{year}-{month:02d}.parquet"
@@ -55,6 +57,8 @@ NAMESPACES = {
 BRONZE, SILVER, GOLD = "bronze_yellow_taxi", "silver_yellow_taxi", "gold_yellow_taxi"
 LENIENT = "nyc_taxi_trips"
 MONTHLY_VIEW, HOURLY_VIEW = "monthly_avg_revenue", "may_hourly_avg_passengers"
+HOURLY_MONTH = 5
+LEDGER = "silver_ledger"
 EXPECTED_ROWS_PER_MONTH = 3_000_000
 
 
@@ -72,6 +76,17 @@ class Spec:
     # "date" added here and to the clustering lets a filter on pickup_date skip row groups of silver.
     calendar: Sequence[str] = ("year", "month")
     cluster_by: Sequence[str] = ()
+    hourly_month: int = HOURLY_MONTH
+
+    @property
+    def hourly_view(self) -> str:
+        """The view is named after its month."""
+        return HOURLY_VIEW.replace("may", names_of_months.month_name[self.hourly_month].lower(), 1)
+
+    @property
+    def ledger(self) -> str:
+        """The table of what silver holds of each file."""
+        return f"{self.namespace('silver')}.{LEDGER}"
 
     @property
     def files(self) -> list[str]:
@@ -129,8 +144,8 @@ def monthly(df: DataFrame) -> DataFrame:
 
 
 def hourly(df: DataFrame, spec: Spec) -> DataFrame:
-    """Passengers by hour of day in the last month of the period."""
-    return hourly_profile(df, spec.months[1])
+    """Passengers by hour of day in one month."""
+    return hourly_profile(df, spec.hourly_month)
 
 
 def datasets(spec: Spec, landing: str, location: str | None = None) -> list[Dataset]:
@@ -196,18 +211,56 @@ def views(spec: Spec) -> list[View]:
             "total_trips_in_hour": "count(*)",
             "total_passengers": "sum(passenger_count)",
         },
-        where=f"pickup_month = {spec.months[1]}",
+        where=f"pickup_month = {spec.hourly_month}",
     )
     return [
         View(f"{gold_layer}.{MONTHLY_VIEW}", by_month, "Average total amount per month over all vendors"),
-        View(f"{gold_layer}.{HOURLY_VIEW}", by_hour, "Average passengers per trip by hour of day in the last month"),
+        View(f"{gold_layer}.{spec.hourly_view}", by_hour, "Average passengers per trip by hour of day in one month"),
     ]
 
 
+def _rules_text(spec: Spec) -> str:
+    """All that decides which bronze rows silver has, and with which columns."""
+    return "; ".join([*(f"{name}: {rule}" for name, rule in spec.rules.items()), *spec.calendar])
+
+
+def _enter(spark: SparkSession, spec: Spec, rows: DataFrame, mode: str, location: str | None) -> None:
+    """Note in the ledger what silver must hold of the files of these bronze rows: one pass over them."""
+    kept = F.count_if(passes_all(spec.rules)).alias("n_kept")
+    counts = with_calendar(rows, ["year", "month"]).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_bronze"), kept)
+    path = f"{location.rstrip('/')}/{spec.ledger.replace('.', '/')}" if location else None
+    publish(counts.withColumn("rules", F.lit(_rules_text(spec))), spec.ledger, mode=mode, path=path)
+
+
+def _pending(spark: SparkSession, spec: Spec) -> list[str] | None:
+    """Bronze files that are not in silver yet, or None if silver does not hold what the ledger says.
+
+    That is so after other rules, after a run that stopped between silver and its ledger, and where rows of a
+    file are missing or too many. The driver receives one row and the names of new files.
+    """
+    if not (spark.catalog.tableExists(spec.table("silver")) and spark.catalog.tableExists(spec.ledger)):
+        return None
+    bronze_rows = stored_counts(spark.table(spec.table("bronze"))).withColumnRenamed("n_rows", "in_bronze")
+    silver_rows = stored_counts(spark.table(spec.table("silver"))).withColumnRenamed("n_rows", "in_silver")
+    files = bronze_rows.join(spark.table(spec.ledger), "source_file", "full").join(silver_rows, "source_file", "full")
+    agrees = (
+        (F.col("rules") == _rules_text(spec))
+        & (F.col("in_bronze") == F.col("n_bronze"))
+        & (F.coalesce("in_silver", F.lit(0)) == F.col("n_kept"))
+    )
+    new = F.col("rules").isNull() & F.col("in_silver").isNull()
+    differ = files.filter(~F.coalesce(agrees, F.lit(False))).select("source_file", new.alias("new"))
+    if not differ.filter("NOT new").isEmpty():
+        return None
+    return sorted(row["source_file"] for row in differ.collect())
+
+
 def refresh_trips(spark: SparkSession, spec: Spec, landing: str, location: str | None = None) -> dict[str, DataFrame]:
     """Create the namespaces and recompute all tables and views."""
     ensure_namespaces(spark, {spec.namespace(layer): note for layer, note in NAMESPACES.items()}, location)
-    return refresh(spark, datasets(spec, landing, location), views(spec))
+    done = refresh(spark, datasets(spec, landing, location), views(spec))
+    _enter(spark, spec, spark.table(spec.table("bronze")), "overwrite", location)
+    return done
 
 
 def refresh_new_trips(
@@ -215,12 +268,18 @@ def refresh_new_trips(
 ) -> dict[str, DataFrame]:
     """Bring stored layers up to date with newly landed files, without reading the old files again.
 
-    New files are appended to bronze, bronze files without rows in silver are cleaned and appended
-    there, and gold is recomputed. A run that stopped between the layers is completed by the next one.
+    The result is that of a full refresh. New files are appended to bronze and, cleaned, to silver; a ledger holds
+    how many rows of each file silver has, by which rules, so that a file all of whose rows were rejected is done as
+    well. Where silver does not agree with its ledger, or the rules (such as the months) are others, silver is
+    computed anew from bronze. Gold is recomputed. A run that stopped between the layers is completed by the next one.
     """
     bronze_table, silver_table = spec.table("bronze"), spec.table("silver")
     ingest_new(spark, landing, bronze_table, spec.files, CASTS)
-    pending = unprocessed(spark, bronze_table, silver_table)
+    pending = _pending(spark, spec)
+    if pending is None:
+        done = refresh(spark, datasets(spec, landing, location)[1:], views(spec))
+        _enter(spark, spec, spark.table(bronze_table), "overwrite", location)
+        return done
     if pending:
         # The name is the same in all rows of a file, so the scan skips the other files' row groups.
         rows = spark.table(bronze_table).filter(F.col("source_file").isin(pending))
@@ -232,4 +291,5 @@ def refresh_new_trips(
             cluster_by=spec.cluster_by,
             rebalance=spec.rebalance,
         )
+        _enter(spark, spec, rows, "append", location)
     return refresh(spark, datasets(spec, landing, location)[2:], views(spec))

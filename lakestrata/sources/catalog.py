@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.operators.layout import cluster_rows
-from lakestrata.session import shuffle_settings, sql_conf
+from lakestrata.session import sql_conf
 
 
 def _text(value: str) -> str:
@@ -84,6 +84,7 @@ def publish(
     cluster_by: Sequence[str] = (),
     rebalance: bool = True,
     path: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Store a DataFrame as a table and return the table.
 
@@ -93,7 +94,7 @@ def publish(
     small ones, which keeps both task size and the number of files in hand. Where the rows already
     come grouped by partition, ``rebalance=False`` saves that shuffle: every task then writes one
     file per partition it meets. A clustered write is range-partitioned and sorted, see
-    ``cluster_rows``. Shuffles of the write are sized by the data.
+    ``cluster_rows``, into ``partitions`` or else as many as the session's shuffles have.
 
     Without ``path`` the table is managed by the catalog, which refuses to create one over leftovers
     of a job that was killed. With it the table is stored there, also by later calls without one, and
@@ -102,12 +103,12 @@ def publish(
     spark = df.sparkSession
     partition_by, cluster_by = list(partition_by), list(cluster_by)
     if cluster_by:
-        df = cluster_rows(df, partition_by + cluster_by)
+        df = cluster_rows(df, partition_by + cluster_by, partitions)
     elif partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
 
     replace = "dynamic" if mode == "overwrite_partitions" else "static"
-    with sql_conf(spark, {**shuffle_settings(df), "spark.sql.sources.partitionOverwriteMode": replace}):
+    with sql_conf(spark, {"spark.sql.sources.partitionOverwriteMode": replace}):
         if mode == "overwrite_partitions":
             df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
         else:

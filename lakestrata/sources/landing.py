@@ -89,7 +89,7 @@ def refuse_incompatible(groups: Sequence[SchemaGroup]) -> None:
         for name, type_ in group.fields:
             kinds.setdefault(name, {}).setdefault(type_, []).append(group.entries[0])
     unlike = {
-        name: types for name, types in kinds.items() if len({type_family(type_) for type_ in types}) > 1
+        name: types for name, types in kinds.items() if len({type_family(t) for t in types if t != "void"}) > 1
     }
     if unlike:
         raise IncompatibleTypes(
@@ -110,8 +110,13 @@ def _source_column(group: SchemaGroup, landing: str) -> str | Column:
 
 
 def _scan(spark: SparkSession, group: SchemaGroup, landing: str) -> DataFrame:
-    schema = ", ".join(f"`{name.replace('`', '``')}` {type_}" for name, type_ in group.fields)
+    quoted = [(f"`{name.replace('`', '``')}`", type_) for name, type_ in group.fields]
+    schema = ", ".join(f"{name} {type_}" for name, type_ in quoted if type_ != "void")
     rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*group.paths)
+    if any(type_ == "void" for _, type_ in quoted):
+        # A column without a type holds only nulls: it takes the type of the other files where they are joined.
+        nulls = [F.lit(None).alias(name) if t == "void" else F.col(q) for (name, t), (q, _) in zip(group.fields, quoted)]
+        return add_provenance(rows.select(*nulls, "_metadata"), _source_column(group, landing)).drop("_metadata")
     return add_provenance(rows, _source_column(group, landing))
 
 

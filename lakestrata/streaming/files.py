@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -24,11 +25,13 @@ def stream_new_files(
     target: str,
     checkpoint: str,
     casts: Mapping[str, str] | None = None,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Append the files that are new since the last run to the Parquet folder ``target``, then stop.
 
     The checkpoint remembers the files read and the sink commits a batch once, so running again,
     also after a failure, neither loses nor repeats rows. Batch ``ingest_new`` handles drift.
+    ``max_files`` cuts a run into batches of so many files; all its rows have one ingestion timestamp.
     """
     groups = schema_groups(read_footers(spark, landing), landing)
     if len(groups) != 1:
@@ -37,11 +40,14 @@ def stream_new_files(
     rows = (
         spark.readStream.schema(schema)
         .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", 10_000)
-        .parquet(landing)
     )
+    if max_files is not None:
+        rows = rows.option("maxFilesPerTrigger", max_files)
+    rows = rows.parquet(landing)
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    bronze = add_provenance(rows, entry_path(path, landing))
+    bronze = add_provenance(rows, entry_path(path, landing)).withColumn(
+        "ingestion_timestamp", F.lit(datetime.now(timezone.utc))
+    )
     return (
         cast_columns(bronze, casts or {})
         .writeStream.format("parquet")

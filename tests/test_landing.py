@@ -323,6 +323,7 @@ def test_drift_fixture_loses_nothing(spark, sf_dir, folder):
 
 def test_footer_reader_needs_no_package_on_the_executors(spark, drifted, tmp_path):
     """Executors get the reader by value: a process that cannot import the package runs it."""
+    import os
     import subprocess
     import sys
     from pathlib import Path
@@ -340,7 +341,8 @@ read = pickle.load(open("reader.pickle", "rb"))
 batch = pa.RecordBatch.from_pydict({{"entry": ["e"], "path": ["file:{file}"]}})
 print([f["column"] for f in next(iter(read([batch]))).column(3).to_pylist()[0]])
 """
-    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True)
+    bare = {name: value for name, value in os.environ.items() if name != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, env=bare)
     assert done.stdout.strip() == "['ID', 'Amount', 't']", done.stderr
 
 
@@ -400,3 +402,17 @@ def test_folders_inside_an_entry(spark, folder):
     df = ingest(spark, folder, casts=SIMPLE)
     assert df.columns == ["id", "amount", "ingestion_timestamp", "source_file"]
     assert rows(df, "id", "source_file") == [(1, f"{folder}/a.parquet"), (2, f"{folder}/a.parquet")]
+
+
+def test_a_column_without_a_type_is_null(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from lakestrata.sources.landing import ingest
+
+    pq.write_table(pa.table({"id": [1, 2], "fee": [0.5, 1.5]}), tmp_path / "x.parquet")
+    pq.write_table(pa.table({"id": [3], "fee": pa.nulls(1)}), tmp_path / "y.parquet")
+    for mode in ("strict", "lenient"):
+        df = ingest(spark, str(tmp_path), ["x.parquet", "y.parquet"], {"fee": "double"}, mode)
+        assert dict(df.dtypes)["fee"] == "double"
+        assert sorted((r.id, r.fee) for r in df.collect()) == [(1, 0.5), (2, 1.5), (3, None)]

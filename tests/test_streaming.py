@@ -21,3 +21,14 @@ def test_each_run_adds_only_new_files(spark):
     spark.range(1).selectExpr("CAST(id AS int) AS id").write.parquet(f"{folder}/drift.parquet")
     with pytest.raises(IncompatibleDelivery):
         run()
+
+
+def test_a_run_of_several_batches_has_one_ingestion_time(spark):
+    folder, target = scratch_path(spark, "landing"), scratch_path(spark, "stream")
+    for name in "abc":
+        spark.range(2).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    stream = stream_new_files(spark, folder, target, f"{target}-state", max_files=1)
+    stream.awaitTermination()
+    assert stream.lastProgress["batchId"] >= 1
+    out = spark.read.parquet(target)
+    assert out.count() == 6 and out.select("ingestion_timestamp").distinct().count() == 1
