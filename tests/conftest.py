@@ -30,9 +30,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples, null first."""
-    found = df.select(*columns).collect() if columns else df.collect()
-    return sorted((tuple(r) for r in found), key=lambda r: [(v is not None, str(v)) for v in r])

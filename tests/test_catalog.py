@@ -3,7 +3,7 @@ from dataclasses import replace
 
 import pytest
 import submit_refresh
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from lakestrata.plans.audit import landing_audit, layer_audit

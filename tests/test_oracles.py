@@ -1,6 +1,7 @@
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from lakestrata.plans.oracles import ORACLES
+from lakestrata.plans.queries import QUERIES
 from oracle_check import connect, difference
 
 
@@ -9,8 +10,8 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_oracle(spark, sf_dir, duck, name):
-    ours = queries()[name](spark, sf_dir).toPandas()
+    ours = QUERIES[name](spark, sf_dir).toPandas()
     assert len(ours) > 0
-    assert difference(ours, duck.sql(oracle_sql()[name]).df()) is None
+    assert difference(ours, duck.sql(ORACLES[name]).df()) is None

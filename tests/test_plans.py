@@ -1,6 +1,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from lakestrata.plans.oracles import ORACLES
+from lakestrata.plans.queries import QUERIES
 
 FOOTER_QUERIES = {
     "schema_report",
@@ -15,10 +17,10 @@ NO_SHUFFLE = ["silver_trips", "quarantine", "expect_drop", "null_rows_passenger"
 
 
 def plan_of(spark, sf_dir, name):
-    return queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - FOOTER_QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - FOOTER_QUERIES))
 def test_row_data_stays_out_of_python_and_joins_have_keys(spark, sf_dir, name):
     plan = plan_of(spark, sf_dir, name)
     for node in ("Python", "MapInArrow", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -47,4 +49,5 @@ def test_entry_gives_the_five_months(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())

@@ -2,7 +2,7 @@ import datetime as dt
 import math
 
 import pytest
-from conftest import rows
+from helpers import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from helpers import rows
 
 from lakestrata.session import scratch_path
 from lakestrata.streaming import IncompatibleDelivery, stream_new_files
