@@ -26,15 +26,19 @@ def _net_rows(old: DataFrame, new: DataFrame) -> DataFrame:
 def _with_copies(net: DataFrame) -> DataFrame:
     """Repeat each row as often as its count says.
 
-    A large count is cut into chunks that are spread over the tasks before rows are repeated, so
-    no task writes all copies of one row.
+    Rows are repeated where they are. Only a count above COPIES_PER_CHUNK is cut into chunks that are spread over
+    the tasks first, so no task writes all copies of one row. Both parts read the same shuffle of the counts. The
+    chunks are few and small until their rows are repeated, so adaptive execution must not join them by size: they
+    go to as many tasks as the session's shuffles have.
     """
-    partitions = int(net.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    count = F.abs(F.col(_COPIES))
+    one, count = F.lit(1).cast("bigint"), F.abs(F.col(_COPIES))
+    few = net.filter(count <= COPIES_PER_CHUNK).withColumn(_CHUNK, F.explode(F.sequence(one, count)))
     chunks = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(abs({_COPIES}) - 1) div {COPIES_PER_CHUNK}"))
     in_chunk = F.least(F.lit(COPIES_PER_CHUNK).cast("bigint"), count - F.col(_CHUNK) * COPIES_PER_CHUNK)
-    spread = net.withColumn(_CHUNK, F.explode(chunks)).repartition(partitions)
-    return spread.withColumn(_CHUNK, F.explode(F.sequence(F.lit(1).cast("bigint"), in_chunk))).drop(_COPIES, _CHUNK)
+    tasks = int(net.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = net.filter(count > COPIES_PER_CHUNK).withColumn(_CHUNK, F.explode(chunks)).repartition(tasks)
+    many = many.withColumn(_CHUNK, F.explode(F.sequence(one, in_chunk)))
+    return few.unionByName(many).drop(_COPIES, _CHUNK)
 
 
 def snapshot_changes(old: DataFrame, new: DataFrame, key: Sequence[str] | None = None) -> DataFrame:

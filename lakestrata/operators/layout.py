@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _PART, _KEY = "_input_partition", "_cluster_key"
-_SKETCH_GROUPS = 256
 
 
 def cluster_rows(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -37,17 +36,20 @@ def as_number(df: DataFrame, column: str) -> Column:
     raise TypeError(f"cannot order {column} of type {type_.simpleString()} by number")
 
 
-def quantile_bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list[float]]:
+def quantile_bounds(
+    df: DataFrame, columns: Sequence[str], buckets: int, groups: int = 256
+) -> dict[str, list[float]]:
     """Approximate quantiles, as numbers, that cut each column into about equal buckets, in one pass.
 
-    The sketches are merged in two levels, so that no task merges those of every input task. Only
+    The sketches are merged in two levels, by ``groups`` tasks first, so that no task merges those of every input
+    task; the square root of the number of input tasks suits best. Only
     ``buckets - 1`` values per column reach the driver. The bounds shape the layout and have no
     bearing on results.
     """
     cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     names = [f"q{i}" for i in range(len(columns))]
     numbers = df.select(
-        F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias(_PART),
+        F.pmod(F.spark_partition_id(), F.lit(groups)).alias(_PART),
         *[as_number(df, c).alias(name) for c, name in zip(columns, names)],
     )
     sketches = numbers.groupBy(_PART).agg(*[F.kll_sketch_agg_double(name).alias(name) for name in names])
@@ -60,7 +62,9 @@ def quantile_bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict
 def with_morton_key(df: DataFrame, columns: Sequence[str], name: str, bits: int = 4) -> DataFrame:
     """Add a key that interleaves the bits of each column's quantile bucket; null falls in bucket 0.
 
-    Near keys mean near values in all columns at once.
+    Near keys mean near values in all columns at once. ``bits`` decides how finely each column is cut, into
+    ``2 ** bits`` buckets: a filter on one column can skip all but about one bucket's rows, so use more bits for
+    larger tables (4 suit some thousand files).
     """
     if bits * len(columns) > 62:
         raise ValueError("the bits of all columns together must fit in 62")

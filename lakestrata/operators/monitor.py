@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions import to_rows
@@ -30,40 +30,60 @@ def reconcile_counts(landed: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def volume_check(
-    df: DataFrame, period: Sequence[str], expected: int, tol: float, periods: DataFrame | None = None
+    df: DataFrame, period: Sequence[str], expected: int | Column, tol: float, periods: DataFrame | None = None
 ) -> DataFrame:
     """Rows per period with a status: ``low``, ``ok``, ``high`` or, for a listed period without rows, ``missing``.
 
-    ``ok`` is within ``expected`` plus or minus the share ``tol``. ``periods`` lists the periods that
-    must be there.
+    ``ok`` is within ``expected`` plus or minus the share ``tol``; that is a number, or a column over the counts
+    ``n_rows`` such as ``even_share()``. ``periods`` lists the periods that must be there.
     """
     counts = df.groupBy(*period).agg(F.count(F.lit(1)).alias("n_rows"))
     if periods is not None:
         counts = periods.select(*period).distinct().join(counts, list(period), "full").na.fill(0, ["n_rows"])
+    goal = expected if isinstance(expected, Column) else F.lit(expected)
     status = (
         F.when(F.col("n_rows") == 0, "missing")
-        .when(F.col("n_rows") < expected * (1 - tol), "low")
-        .when(F.col("n_rows") > expected * (1 + tol), "high")
+        .when(F.col("n_rows") < F.col("_goal") * (1 - tol), "low")
+        .when(F.col("n_rows") > F.col("_goal") * (1 + tol), "high")
         .otherwise("ok")
     )
-    return counts.withColumn("status", status)
+    return counts.withColumn("_goal", goal).withColumn("status", status).drop("_goal")
 
 
-def quality_metrics(df: DataFrame, columns: Sequence[str], rules: Rules, by: Sequence[str] = ()) -> DataFrame:
+def even_share() -> Column:
+    """The mean count of the periods that have rows: a goal for ``volume_check`` that needs no job of its own.
+
+    The window has no partition; it runs over one row per period.
+    """
+    return F.avg(F.when(F.col("n_rows") > 0, F.col("n_rows"))).over(Window.partitionBy())
+
+
+def quality_metrics(
+    df: DataFrame,
+    columns: Sequence[str],
+    rules: Rules,
+    by: Sequence[str] = (),
+    counts: Mapping[str, Column] | None = None,
+) -> DataFrame:
     """``metric, value``: the row count, the null rate of each column and the failure rate of each rule.
 
-    One pass gives the metrics of the whole, or of every group of ``by``, such as each month or file.
+    One pass gives the metrics of the whole, or of every group of ``by``, such as each month or file, and with them
+    how many rows meet each condition of ``counts``.
     """
+    counts = counts or {}
     share = {f"null_rate.{c}": F.col(c).isNull() for c in columns}
     share |= {f"fail_rate.{name}": ~passes(p) for name, p in rules.items()}
     totals = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(test).alias(f"m{i}") for i, test in enumerate(share.values())]
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(test).alias(f"m{i}") for i, test in enumerate(share.values())],
+        *[F.count_if(test).alias(f"c{i}") for i, test in enumerate(counts.values())],
     )
     rows = [{"metric": F.lit("rows"), "value": F.col("n").cast("double")}]
     rows += [
         {"metric": F.lit(name), "value": F.try_divide(F.col(f"m{i}").cast("double"), F.col("n"))}
         for i, name in enumerate(share)
     ]
+    rows += [{"metric": F.lit(name), "value": F.col(f"c{i}").cast("double")} for i, name in enumerate(counts)]
     return to_rows(totals, rows, by)
 
 
@@ -79,10 +99,25 @@ def quality_drift(current: DataFrame, baseline: DataFrame, tol: float) -> DataFr
         .select("metric", F.col("value").alias("baseline"))
         .join(current.filter(rates).select("metric", F.col("value").alias("current")), "metric", "full")
     )
-    change = F.col("current") - F.col("baseline")
-    return both.withColumn("change", change).withColumn(
-        "drifted", F.coalesce(F.abs(F.col("change")) > tol, F.lit(True))
+    return _drift(both, tol)
+
+
+def _drift(both: DataFrame, tol: float) -> DataFrame:
+    drifted = F.coalesce(F.abs(F.col("change")) > tol, F.lit(True))
+    return both.withColumn("change", F.col("current") - F.col("baseline")).withColumn("drifted", drifted)
+
+
+def quality_drift_within(found: DataFrame, is_current: str, tol: float) -> DataFrame:
+    """As ``quality_drift``, for one metric table whose column ``is_current`` tells the two sides apart.
+
+    Both sides then come from one pass over the rows: ``quality_metrics(..., by=[is_current])``.
+    """
+    sides = found.filter(F.col("metric") != "rows").groupBy("metric")
+    both = sides.agg(
+        F.max(F.when(~F.col(is_current), F.col("value"))).alias("baseline"),
+        F.max(F.when(F.col(is_current), F.col("value"))).alias("current"),
     )
+    return _drift(both, tol)
 
 
 def run_metrics(
@@ -90,15 +125,26 @@ def run_metrics(
     columns: Sequence[str],
     rules: Rules,
     extra: Mapping[str, DataFrame] | None = None,
+    counts: Mapping[str, Mapping[str, Mapping[str, Column]]] | None = None,
 ) -> DataFrame:
     """Long rows ``run_ts, layer, metric, value`` to append to a metric table, one pass per layer.
 
-    ``extra`` holds further tables of ``metric, value``, by layer.
+    ``counts`` holds, by layer, conditions whose rows are counted in the same pass, grouped by the name under which
+    they are reported in place of the layer. ``extra`` holds further tables of ``metric, value``, by layer.
     """
-    tables = [(layer, quality_metrics(df, columns, rules)) for layer, df in layers.items()]
-    tables += list((extra or {}).items())
+    tables = []
+    for layer, df in layers.items():
+        named = (counts or {}).get(layer, {})
+        wanted = {f"{name}/{metric}": test for name, tests in named.items() for metric, test in tests.items()}
+        label = F.lit(layer)
+        for key in wanted:
+            label = F.when(F.col("metric") == key, key.split("/")[0]).otherwise(label)
+        found = quality_metrics(df, columns, rules, counts=wanted).withColumn("layer", label)
+        short = F.when(F.col("metric").isin(list(wanted)), F.split_part("metric", F.lit("/"), F.lit(-1)))
+        tables.append((F.col("layer"), found.withColumn("metric", F.coalesce(short, "metric")) if wanted else found))
+    tables += [(F.lit(layer), table) for layer, table in (extra or {}).items()]
     rows = None
     for layer, table in tables:
-        one = table.select(F.current_timestamp().alias("run_ts"), F.lit(layer).alias("layer"), "metric", "value")
+        one = table.select(F.current_timestamp().alias("run_ts"), layer.alias("layer"), "metric", "value")
         rows = one if rows is None else rows.unionByName(one)
     return rows

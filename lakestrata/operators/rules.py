@@ -42,7 +42,8 @@ def failed_rules(rules: Rules) -> Column:
     return F.array_remove(F.array(*names), "")
 
 
-def _first_failed(rules: Rules) -> Column:
+def first_failed(rules: Rules) -> Column:
+    """The place, from 1, of the first rule a row fails; null if it passes all."""
     return F.coalesce(*[F.when(~passes(p), F.lit(i)) for i, p in enumerate(rules.values(), 1)])
 
 
@@ -52,7 +53,7 @@ def rule_rejections(df: DataFrame, rules: Rules) -> DataFrame:
     Rules overlap: ``rows_failing`` counts a row under every rule it fails, ``rows_first_failing``
     only under the first, so the latter adds up to the rows that ``apply_rules`` drops.
     """
-    first = df.withColumn("_first", _first_failed(rules))
+    first = df.withColumn("_first", first_failed(rules))
     counts = {}
     for i, predicate in enumerate(rules.values(), 1):
         counts[f"any_{i}"] = F.count_if(~passes(predicate))
@@ -73,11 +74,18 @@ def rule_rejections(df: DataFrame, rules: Rules) -> DataFrame:
 
 
 def layer_retention(bronze: DataFrame, silver: DataFrame) -> DataFrame:
-    """``layer, rows, pct``: the rows of each layer, as a percentage of bronze."""
-    rows = bronze.select(F.lit("bronze").alias("layer")).unionByName(silver.select(F.lit("silver").alias("layer")))
-    totals = rows.agg(
-        F.count_if(F.col("layer") == "bronze").alias("bronze"), F.count_if(F.col("layer") == "silver").alias("silver")
-    )
+    """``layer, rows, pct``: the rows of each stored layer, as a percentage of bronze; plain counts, joined as sums."""
+    counts = bronze.agg(F.count(F.lit(1)).alias("bronze"), F.lit(0).cast("bigint").alias("silver"))
+    counts = counts.unionByName(silver.agg(F.lit(0).cast("bigint").alias("bronze"), F.count(F.lit(1)).alias("silver")))
+    return _shares(counts.agg(F.sum("bronze").alias("bronze"), F.sum("silver").alias("silver")))
+
+
+def rule_retention(bronze: DataFrame, rules: Rules) -> DataFrame:
+    """As ``layer_retention``, for the rows that the rules would keep, in one pass over bronze."""
+    return _shares(bronze.agg(F.count(F.lit(1)).alias("bronze"), F.count_if(passes_all(rules)).alias("silver")))
+
+
+def _shares(totals: DataFrame) -> DataFrame:
     return to_rows(
         totals,
         [

@@ -70,12 +70,18 @@ def shape_file(df: DataFrame, month: int) -> DataFrame:
 
 
 def write_landing(
-    spark: SparkSession, sf_dir: str, landing: str | None = None, drift: bool = True, early: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    landing: str | None = None,
+    drift: bool = True,
+    early: bool = False,
+    sparse: bool = False,
 ) -> str:
     """Write one entry per month, each a folder of Parquet part files, and return the landing folder.
 
     Rows dated outside the period are spread over the files, as late and misdated rows are in practice.
-    With ``early``, some rows of each month lie in the file of the month before.
+    With ``early``, some rows of each month lie in the file of the month before; with ``sparse``, the second file
+    has no column ``airport_fee``.
     """
     landing = landing or scratch_path(spark, "landing")
     number = FILE_NUMBER.format(year=f"year({SPARK_SHIFT})", month=f"month({SPARK_SHIFT})")
@@ -85,6 +91,8 @@ def write_landing(
 
     def write(month: int) -> None:
         one = rows.filter(F.col("file_number") == month).drop("file_number")
+        if sparse and month == 2:
+            one = one.drop("airport_fee")
         (shape_file(one, month) if drift else one).write.parquet(f"{landing}/{SPEC.files[month - 1]}")
 
     # Independent jobs: side by side, one fills the cores that another's last tasks leave idle.

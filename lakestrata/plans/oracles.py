@@ -1,23 +1,54 @@
-"""DuckDB SQL with the same results as the registered queries, over the same tables."""
+"""DuckDB SQL with the same results as the registered queries, over the same tables.
 
-from __future__ import annotations
-
-from lakestrata.plans.binding import DUCKDB_SHIFT, FILE_NUMBER, SPEC, select_list
-from lakestrata.plans.queries import EXPECTED, PROFILED, RULE_QUERIES, VOLUME_TOLERANCE, VOLUME_YEARS
-from lakestrata.plans.trips import FILE_NAME, TIMESTAMP
-
-_NUMBER = FILE_NUMBER.format(year=f"year({DUCKDB_SHIFT})", month=f"month({DUCKDB_SHIFT})")
-_PREFIX, _SUFFIX = FILE_NAME.format(year=SPEC.year, month=1).split("01")
-_FILE = f"'{_PREFIX}0' || file_number || '{_SUFFIX}'"
-RULES = SPEC.rules
-LAST_MONTH = SPEC.months[1]
+Rules, bounds, names and tolerances are written out here, so that a wrong one in the plans does not go unnoticed.
+Only the derivation of trips from ``lineitem``, which is the input of both sides, is shared.
+"""
 
+from __future__ import annotations
 
-def _names(*months: int) -> str:
-    return ",".join(SPEC.files[m - 1] for m in months)
+from lakestrata.plans.binding import DUCKDB_SHIFT, FILE_NUMBER, select_list
 
+# What the trips of 1998, months 1 to 5, must meet.
+TIMESTAMP = "tpep_pickup_datetime"
+FILES = [
+    "yellow_tripdata_1998-01.parquet",
+    "yellow_tripdata_1998-02.parquet",
+    "yellow_tripdata_1998-03.parquet",
+    "yellow_tripdata_1998-04.parquet",
+    "yellow_tripdata_1998-05.parquet",
+]
+RULES = {
+    "trip_distance": "trip_distance > 0",
+    "fare_amount": "fare_amount > 0",
+    "total_amount": "total_amount > 0",
+    "passenger_count": "passenger_count IS NOT NULL",
+    "pickup_year": "pickup_year = 1998",
+    "pickup_month": "(pickup_month >= 1 AND pickup_month <= 5)",
+}
+RULE_QUERIES = {
+    "rule_trip_distance": "trip_distance",
+    "rule_fare": "fare_amount",
+    "rule_total": "total_amount",
+    "rule_passengers": "passenger_count",
+    "rule_year": "pickup_year",
+    "rule_month": "pickup_month",
+}
+OWN_BOUNDS = {
+    "valid_fare": "fare_amount < 1000",
+    "valid_distance": "trip_distance < 500",
+    "valid_passengers": "passenger_count <= 6",
+    "amount_logic": "total_amount >= fare_amount",
+}
+EXPECTED = {
+    "valid_fare": "fare_amount < 60000",
+    "valid_distance": "trip_distance < 9.5",
+    "valid_passengers": "passenger_count <= 6",
+    "amount_logic": "total_amount >= fare_amount + tip_amount",
+}
+PROFILED = ["vendorid", "passenger_count", "ratecodeid", "trip_distance", "airport_fee"]
 
-ALL_FILES = _names(1, 2, 3, 4, 5)
+_NUMBER = FILE_NUMBER.format(year=f"year({DUCKDB_SHIFT})", month=f"month({DUCKDB_SHIFT})")
+_FILE = "'yellow_tripdata_1998-0' || file_number || '.parquet'"
 
 TRIPS = f"""
 WITH numbered AS (SELECT {', '.join(select_list(DUCKDB_SHIFT))}, {_NUMBER} AS file_number FROM lineitem),
@@ -91,16 +122,23 @@ def _schema_rows():
     ]
 
 
-def _name_conflicts():
-    spellings, ordinals = {}, {}
-    for _, ordinal, column, _ in _schema_rows():
-        spellings.setdefault(column.lower(), set()).add(column)
-        ordinals.setdefault(column.lower(), set()).add(ordinal)
-    return [
-        (c, ",".join(sorted(spellings[c])), ",".join(map(str, sorted(ordinals[c]))), ALL_FILES)
-        for c in spellings
-        if len(spellings[c]) > 1 or len(ordinals[c]) > 1
-    ]
+# The schema of every file that has rows, with these.
+_SCHEMAS = f"""{TRIPS}, counts AS (SELECT file_number, {_N} AS n_rows FROM numbered GROUP BY 1),
+schemas AS (SELECT {_FILE} AS source_file, ordinal, "column", lower("column") AS column_lc, type, n_rows
+  FROM ({_values(_schema_rows())}) AS t(file_number, ordinal, "column", type) JOIN counts USING (file_number))"""
+
+
+def _distinct(column: str) -> str:
+    return f"string_agg(DISTINCT {column}, ',' ORDER BY {column})"
+
+
+def _variants(column: str) -> str:
+    """Each column's files, and the rows of every distinct value of one property."""
+    return f"""single AS (SELECT column_lc, {column}, sum(n_rows) AS n FROM schemas GROUP BY ALL),
+      per_value AS (SELECT column_lc, string_agg({column}, ',' ORDER BY {column}) AS found, count(*) AS n_found,
+        string_agg(CAST(CAST(n AS BIGINT) AS VARCHAR), ',' ORDER BY {column}) AS n_rows FROM single GROUP BY 1),
+      per_column AS (SELECT column_lc, {_distinct('source_file')} AS sources,
+        list_sort(list_distinct(list(ordinal))) AS places FROM schemas GROUP BY 1)"""
 
 
 def _monthly(source: str) -> str:
@@ -112,7 +150,7 @@ def _monthly(source: str) -> str:
 def _hourly(source: str) -> str:
     return f"""SELECT {_HOUR} AS pickup_hour, round(avg(passenger_count), 6) AS avg_passengers_per_hour,
       {_N} AS total_trips_in_hour, sum(passenger_count) AS total_passengers
-      FROM {source} WHERE pickup_month = {LAST_MONTH} GROUP BY 1 ORDER BY 1"""
+      FROM {source} WHERE pickup_month = 5 GROUP BY 1 ORDER BY 1"""
 
 
 _GOLD_COLUMNS = f"""vendorid, pickup_year, pickup_month, {_N} AS total_trips,
@@ -142,12 +180,12 @@ def _rejections() -> str:
     return f"{TRIPS} " + " UNION ALL ".join(rows)
 
 
-def _expectations() -> str:
+def _expectations(rules=EXPECTED) -> str:
     rows = [
         f"SELECT '{name}' AS expectation, {_N} AS rows,"
         f" CAST(count(*) FILTER (WHERE {_passes(p)}) AS BIGINT) AS passed,"
         f" CAST(count(*) FILTER (WHERE NOT {_passes(p)}) AS BIGINT) AS failed FROM trips"
-        for name, p in EXPECTED.items()
+        for name, p in rules.items()
     ]
     return f"{TRIPS} " + " UNION ALL ".join(rows)
 
@@ -190,6 +228,10 @@ def _bag(old: str, new: str) -> str:
     UNION ALL SELECT *, 'delete' FROM (SELECT * FROM {old} EXCEPT ALL SELECT * FROM {new})"""
 
 
+_RETENTION = f"""{TRIPS}, {_LAYER_ROWS}
+  SELECT layer, n_rows AS rows, round(100.0::DOUBLE * n_rows / (SELECT count(*) FROM trips), 6) AS pct
+  FROM layer_rows WHERE layer <> 'gold'"""
+
 ORACLES: dict[str, str] = {
     "bronze_strict": f"{TRIPS} SELECT * EXCLUDE (file_number), {_FILE} AS source_file FROM numbered",
     "bronze_lenient": f"{TRIPS} SELECT * EXCLUDE (file_number), '0' || file_number AS month FROM numbered",
@@ -197,42 +239,38 @@ ORACLES: dict[str, str] = {
     "lowercase_schema": f"""{TRIPS} SELECT vendorid, {_N} AS n_rows, CAST(count(airport_fee) AS BIGINT) AS n_fees,
       round(sum(total_amount), 2) AS total_revenue FROM trips GROUP BY vendorid""",
     "file_query_counts": f"{TRIPS} SELECT vendorid, {_N} AS n_rows, {_FILE} AS file FROM numbered GROUP BY 1, 3",
-    "landing_inventory": "SELECT * FROM ("
-    + _values([(name, True, True) for name in SPEC.files])
-    + ", ('not_landed.parquet', FALSE, FALSE)) AS t(name, present, has_bytes)",
+    "landing_inventory": f"""{TRIPS}, counts AS (SELECT {_FILE} AS name, {_N} AS n_rows FROM numbered GROUP BY 1)
+      SELECT name, n_rows IS NOT NULL AS present, n_rows IS NOT NULL AS has_bytes,
+        coalesce(n_rows, 0)::BIGINT AS n_rows
+      FROM ({_values([(name,) for name in [*FILES, "not_landed.parquet"]])}) AS t(name) LEFT JOIN counts USING (name)""",
+    "ingestion_times": f"{TRIPS} SELECT 1::BIGINT AS n_times, {_N} AS n_stamped, {_N} AS n_rows FROM trips",
     "ingest_new_files": _PER_FILE,
     "stream_ingest_files": _PER_FILE,
-    "schema_report": f"""{TRIPS}, counts AS (SELECT file_number, {_N} AS n_rows FROM numbered GROUP BY 1)
-      SELECT {_FILE} AS source_file, ordinal, "column", type, TRUE AS nullable, n_rows
-      FROM ({_values(_schema_rows())}) AS t(file_number, ordinal, "column", type) JOIN counts USING (file_number)""",
-    "schema_summary": "SELECT * FROM ("
-    + _values(
-        [(SPEC.files[m - 1], 12, ",".join(sorted(column for column, _ in _fields(m)))) for m in range(1, 6)]
-    )
-    + ") AS t(source_file, n_columns, columns)",
-    "schema_presence_diff": "SELECT * FROM ("
-    + _values([("airport_fee", _names(1, 4), _names(2, 3, 5)), ("Airport_fee", _names(2, 3, 5), _names(1, 4))])
-    + ') AS t("column", present_in, missing_in)',
-    "schema_type_conflicts": "SELECT * FROM ("
-    + _values(
-        [
-            (name.lower(), ",".join(sorted({type_, _LATER_TYPES[name]})), ALL_FILES)
-            for name, type_ in _FIRST
-            if name in _LATER_TYPES
-        ]
-    )
-    + ") AS t(column_lc, types, sources)",
-    "schema_name_conflicts": f"""SELECT * FROM ({_values(_name_conflicts())})
-      AS t(column_lc, spellings, ordinals, sources)""",
+    "schema_report": f"""{_SCHEMAS}
+      SELECT source_file, ordinal, "column", type, TRUE AS nullable, n_rows FROM schemas""",
+    "schema_summary": f"""{_SCHEMAS} SELECT source_file, CAST(count(*) AS INTEGER) AS n_columns,
+      {_distinct('"column"')} AS columns, max(n_rows) AS n_rows FROM schemas GROUP BY 1""",
+    "schema_presence_diff": f"""{_SCHEMAS}, files AS (SELECT DISTINCT source_file FROM schemas),
+      names AS (SELECT "column", sum(n_rows)::BIGINT AS n_rows, {_distinct('source_file')} AS present_in
+                FROM schemas GROUP BY 1),
+      missing AS (SELECT "column", {_distinct('files.source_file')} AS missing_in FROM names, files
+                  WHERE NOT contains(present_in, files.source_file) GROUP BY 1)
+      SELECT "column", present_in, missing_in, n_rows FROM names JOIN missing USING ("column")""",
+    "schema_type_conflicts": f"""{_SCHEMAS}, {_variants('type')}
+      SELECT column_lc, found AS types, n_rows AS rows_by_type, sources
+      FROM per_value JOIN per_column USING (column_lc) WHERE n_found > 1""",
+    "schema_name_conflicts": f"""{_SCHEMAS}, {_variants('"column"')}
+      SELECT column_lc, found AS spellings, n_rows AS rows_by_spelling,
+        array_to_string(places, ',') AS ordinals, sources
+      FROM per_value JOIN per_column USING (column_lc) WHERE n_found > 1 OR len(places) > 1""",
     "silver_trips": f"{TRIPS} SELECT * FROM silver",
     **{
         key: f"{TRIPS} SELECT vendorid, {_N} AS n_rows FROM cal WHERE {RULES[name]} GROUP BY vendorid"
         for key, name in RULE_QUERIES.items()
     },
     "rule_rejections": _rejections(),
-    "layer_retention": f"""{TRIPS}, {_LAYER_ROWS}
-      SELECT layer, n_rows AS rows, round(100.0::DOUBLE * n_rows / (SELECT count(*) FROM trips), 6) AS pct
-      FROM layer_rows WHERE layer <> 'gold'""",
+    "layer_retention": _RETENTION,
+    "stored_retention": _RETENTION,
     "null_profile": f"{TRIPS} {_nulls('trips')}",
     "null_profile_layers": f"{TRIPS} "
     + " UNION ALL ".join(
@@ -241,6 +279,7 @@ ORACLES: dict[str, str] = {
     ),
     "null_rows_passenger": f"{TRIPS} SELECT * FROM trips WHERE passenger_count IS NULL",
     "expect_metrics": _expectations(),
+    "expect_reference_bounds": _expectations(OWN_BOUNDS),
     "expect_drop": f"{TRIPS} SELECT * FROM trips WHERE {' AND '.join(EXPECTED.values())}",
     "quarantine": f"""{TRIPS} SELECT * FROM (SELECT *, {_failing_names(EXPECTED)} AS failed_rules FROM trips)
       WHERE failed_rules <> ''""",
@@ -264,6 +303,10 @@ ORACLES: dict[str, str] = {
       round(sum(fare_amount) / nullif(sum(trip_distance), 0), 4) AS fare_per_distance FROM silver GROUP BY 1)
       SELECT *, CAST(dense_rank() OVER (ORDER BY total_trips DESC) AS INTEGER) AS trips_rank FROM hours""",
     "refresh_layers": _GOLD,
+    "refresh_orc": _GOLD,
+    "lenient_table": f"""{TRIPS} SELECT * EXCLUDE (file_number)
+        REPLACE (CASE WHEN file_number = 2 THEN NULL ELSE airport_fee END AS airport_fee),
+      '0' || file_number AS month FROM numbered""",
     "refresh_new_files": _GOLD,
     "refresh_new_silver": f"{TRIPS} SELECT CAST(pickup_month AS INT) AS pickup_month, count(*) AS n_rows,"
     " round(sum(total_amount), 2) AS total_revenue FROM silver GROUP BY pickup_month",
@@ -291,19 +334,20 @@ ORACLES: dict[str, str] = {
       {_bag('before', 'later')}""",
     "reconcile_counts": f"""{TRIPS} SELECT {_FILE} AS source_file, {_N} AS landed, {_N} AS stored,
       CAST(0 AS BIGINT) AS diff FROM numbered GROUP BY 1""",
-    "volume_check": f"""{TRIPS}, goal AS (SELECT count(*) // 80 AS n FROM trips),
+    "volume_check": f"""{TRIPS},
       counts AS (SELECT pickup_year, pickup_month, count(*) AS n FROM cal GROUP BY ALL),
+      goal AS (SELECT avg(n) AS n FROM counts),
       periods AS (SELECT CAST(y AS INTEGER) AS pickup_year, CAST(m AS INTEGER) AS pickup_month
-                  FROM range({VOLUME_YEARS[0]}, {VOLUME_YEARS[1] + 1}) AS a(y), range(1, 13) AS b(m)),
+                  FROM range(1994, 2003) AS a(y), range(1, 13) AS b(m)),
       filled AS (SELECT pickup_year, pickup_month, CAST(coalesce(n, 0) AS BIGINT) AS n_rows
                  FROM periods FULL JOIN counts USING (pickup_year, pickup_month))
       SELECT pickup_year, pickup_month, n_rows,
         CASE WHEN n_rows = 0 THEN 'missing'
-             WHEN n_rows < (SELECT n FROM goal) * {1 - VOLUME_TOLERANCE} THEN 'low'
-             WHEN n_rows > (SELECT n FROM goal) * {1 + VOLUME_TOLERANCE} THEN 'high' ELSE 'ok' END AS status
+             WHEN n_rows < (SELECT n FROM goal) * 0.9::DOUBLE THEN 'low'
+             WHEN n_rows > (SELECT n FROM goal) * 1.1::DOUBLE THEN 'high' ELSE 'ok' END AS status
       FROM filled""",
-    "quality_drift": f"""{TRIPS}, inside AS (SELECT * FROM cal WHERE pickup_year = {SPEC.year}),
-      outside AS (SELECT * FROM cal WHERE pickup_year <> {SPEC.year}),
+    "quality_drift": f"""{TRIPS}, inside AS (SELECT * FROM cal WHERE pickup_year = 1998),
+      outside AS (SELECT * FROM cal WHERE pickup_year <> 1998),
       current_rates AS ({_rates('inside', {**RULES, **EXPECTED})}),
       baseline_rates AS ({_rates('outside', {**RULES, **EXPECTED})})
       SELECT metric, round(b.value, 9) AS baseline, round(c.value, 9) AS current,

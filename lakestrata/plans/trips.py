@@ -70,7 +70,12 @@ class Spec:
     months: tuple[int, int] = MONTHS
     namespaces: Mapping[str, str] | None = None
     catalog: str | None = None
-    partition_by: Sequence[str] = ()
+    # Silver by month, so that the views and a filter on the calendar read only the months they need.
+    partition_by: Sequence[str] = ("pickup_year", "pickup_month")
+    gold_partition_by: Sequence[str] = ()
+    fmt: str = "parquet"
+    # Further properties of all three tables.
+    properties: Mapping[str, str] | None = None
     # Deliveries come by month, so a task meets few partitions; set this where files mix the months.
     rebalance: bool = False
     # "date" added here and to the clustering lets a filter on pickup_date skip row groups of silver.
@@ -157,19 +162,24 @@ def datasets(spec: Spec, landing: str, location: str | None = None) -> list[Data
     def path(layer: str) -> str | None:
         return f"{location.rstrip('/')}/{spec.table(layer).replace('.', '/')}" if location else None
 
+    def properties(layer: str) -> dict[str, str]:
+        return {"quality": layer, **(spec.properties or {})}
+
     return [
         Dataset(
             spec.table("bronze"),
             lambda spark: bronze(spark, landing, spec),
             comment="Trip records loaded from Parquet files",
-            properties={"quality": "bronze"},
+            fmt=spec.fmt,
+            properties=properties("bronze"),
             path=path("bronze"),
         ),
         Dataset(
             spec.table("silver"),
             lambda spark: silver(spark.read.table(spec.table("bronze")), spec),
             comment="Cleaned and validated trip records",
-            properties={"quality": "silver"},
+            fmt=spec.fmt,
+            properties=properties("silver"),
             path=path("silver"),
             partition_by=spec.partition_by,
             rebalance=spec.rebalance,
@@ -179,16 +189,20 @@ def datasets(spec: Spec, landing: str, location: str | None = None) -> list[Data
             spec.table("gold"),
             lambda spark: gold(spark.read.table(spec.table("silver"))),
             comment="Trip metrics for consumption",
-            properties={"quality": "gold"},
+            fmt=spec.fmt,
+            properties=properties("gold"),
             path=path("gold"),
+            partition_by=spec.gold_partition_by,
             cluster_by=("vendorid",),
         ),
     ]
 
 
-def lenient_dataset(spec: Spec, landing: str) -> Dataset:
+def lenient_dataset(spec: Spec, landing: str, path: str | None = None) -> Dataset:
     """The looser ingestion as a bronze table of its own."""
-    return Dataset(f"{spec.namespace('bronze')}.{LENIENT}", lambda spark: lenient(spark, landing, spec))
+    name = f"{spec.namespace('bronze')}.{LENIENT}"
+    build = lambda spark: lenient(spark, landing, spec)
+    return Dataset(name, build, fmt=spec.fmt, properties=spec.properties or {}, path=path)
 
 
 def views(spec: Spec) -> list[View]:
@@ -274,7 +288,7 @@ def refresh_new_trips(
     computed anew from bronze. Gold is recomputed. A run that stopped between the layers is completed by the next one.
     """
     bronze_table, silver_table = spec.table("bronze"), spec.table("silver")
-    ingest_new(spark, landing, bronze_table, spec.files, CASTS)
+    ingest_new(spark, landing, bronze_table, spec.files, CASTS, fmt=spec.fmt)
     pending = _pending(spark, spec)
     if pending is None:
         done = refresh(spark, datasets(spec, landing, location)[1:], views(spec))
@@ -287,6 +301,7 @@ def refresh_new_trips(
             silver(rows, spec),
             silver_table,
             mode="append",
+            fmt=spec.fmt,
             partition_by=spec.partition_by,
             cluster_by=spec.cluster_by,
             rebalance=spec.rebalance,

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.operators.layout import cluster_rows
-from lakestrata.session import sql_conf
 
 
 def _text(value: str) -> str:
@@ -64,12 +63,30 @@ def dataset_properties(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"SHOW TBLPROPERTIES {name}").unionByName(comment.filter("value IS NOT NULL"))
 
 
+def _detail(spark: SparkSession, name: str, key: str) -> str:
+    # A column may have the same name; the table's own details come after the columns.
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == key).collect()[-1]["data_type"]
+
+
 def _external_path(spark: SparkSession, name: str) -> str | None:
     """Where a table that was stored with a path of its own lies."""
     if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType != "EXTERNAL":
         return None
-    # A column may be called Location too; the table's own comes after the columns.
-    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()[-1]["data_type"]
+    return _detail(spark, name, "Location")
+
+
+def _replace_partitions(df: DataFrame, name: str) -> None:
+    """Replace the partitions that the rows fall in. The mode goes with this write, not with the session."""
+    spark = df.sparkSession
+    provider, place = _detail(spark, name, "Provider"), _detail(spark, name, "Location")
+    parts = [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
+    if not parts:
+        raise ValueError(f"{name} has no partitions to replace")
+    typed = [F.col(f"`{field.name}`").cast(field.dataType).alias(field.name) for field in spark.table(name).schema]
+    writer = df.select(*typed).write.format(provider).partitionBy(*parts)
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(place)
+    spark.catalog.recoverPartitions(name)  # enters partitions that are new
+    spark.catalog.refreshTable(name)
 
 
 def publish(
@@ -98,7 +115,8 @@ def publish(
 
     Without ``path`` the table is managed by the catalog, which refuses to create one over leftovers
     of a job that was killed. With it the table is stored there, also by later calls without one, and
-    a full refresh replaces whatever the folder holds.
+    a full refresh replaces whatever the folder holds. No setting of the session is changed, so publishes
+    may run side by side.
     """
     spark = df.sparkSession
     partition_by, cluster_by = list(partition_by), list(cluster_by)
@@ -107,20 +125,21 @@ def publish(
     elif partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
 
-    replace = "dynamic" if mode == "overwrite_partitions" else "static"
-    with sql_conf(spark, {"spark.sql.sources.partitionOverwriteMode": replace}):
-        if mode == "overwrite_partitions":
-            df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
-        else:
-            writer = df.write.format(fmt).mode(mode)
-            path = path or _external_path(spark, name)
-            if path:
-                writer = writer.option("path", path)
-            if partition_by:
-                writer = writer.partitionBy(*partition_by)
-            elif cluster_by:
-                writer = writer.clusterBy(*cluster_by)
-            writer.saveAsTable(name)
+    if mode == "overwrite_partitions":
+        _replace_partitions(df, name)
+    else:
+        writer = df.write.format(fmt).mode(mode)
+        path = path or _external_path(spark, name)
+        if path:
+            writer = writer.option("path", path)
+        if path and mode == "overwrite" and spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic":
+            # A session that replaces single partitions must not leave old ones in the folder.
+            writer = writer.option("partitionOverwriteMode", "static")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        elif cluster_by:
+            writer = writer.clusterBy(*cluster_by)
+        writer.saveAsTable(name)
     describe_dataset(spark, name, comment, properties)
     return spark.table(name)
 
@@ -131,6 +150,7 @@ class Dataset:
 
     name: str
     build: Callable[[SparkSession], DataFrame]
+    fmt: str = "parquet"
     comment: str | None = None
     properties: Mapping[str, str] = field(default_factory=dict)
     partition_by: Sequence[str] = ()
@@ -155,6 +175,7 @@ def refresh(spark: SparkSession, datasets: Sequence[Dataset], views: Sequence[Vi
         done[dataset.name] = publish(
             dataset.build(spark),
             dataset.name,
+            fmt=dataset.fmt,
             comment=dataset.comment,
             properties=dataset.properties,
             partition_by=dataset.partition_by,

@@ -48,14 +48,16 @@ def list_files(spark: SparkSession, landing: str) -> DataFrame:
     """Physical files under the landing folder: ``entry, path, length, modified``.
 
     Only file status is read, never content. The scan would give each large file a task of its own,
-    so the tasks are merged down to the number of cores; no shuffle is involved.
+    so the tasks are merged down to ``spark.sql.shuffle.partitions``, which is set for the cluster and,
+    unlike a count of the executors found so far, does not depend on when the plan is made. No shuffle is involved.
     """
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(landing)
         .select("path", "length", F.col("modificationTime").alias("modified"))
-        .coalesce(spark.sparkContext.defaultParallelism)
+        .coalesce(tasks)
     )
     return files.select(entry_path(F.col("path"), landing).alias("entry"), "path", "length", "modified")
 

@@ -207,6 +207,7 @@ def ingest_new(
     names: Sequence[str] | None = None,
     casts: Mapping[str, str] | None = None,
     mode: str = "strict",
+    fmt: str = "parquet",
 ) -> list[str]:
     """Append only what the table does not hold yet and return the names of the entries added.
 
@@ -214,5 +215,5 @@ def ingest_new(
     """
     fresh = new_entries(spark, landing, table, names)
     if fresh:
-        publish(ingest(spark, landing, fresh, casts, mode), table, mode="append")
+        publish(ingest(spark, landing, fresh, casts, mode), table, mode="append", fmt=fmt)
     return fresh

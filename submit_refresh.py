@@ -1,7 +1,8 @@
 """Refresh the trip tables and views; run it with spark-submit.
 
 spark-submit --py-files lakestrata.zip submit_refresh.py LANDING [--new] [--year 2023] [--months 1 5]
-             [--catalog NAME] [--location FOLDER] [--partitioned]
+             [--catalog NAME] [--location FOLDER] [--format parquet] [--property KEY=VALUE ...]
+             [--no-partitioned] [--partitioned-gold]
 """
 
 from __future__ import annotations
@@ -13,6 +14,9 @@ from pyspark.sql import SparkSession
 from lakestrata.plans.trips import MONTHS, YEAR, Spec, refresh_new_trips, refresh_trips
 
 
+MONTHLY = ("pickup_year", "pickup_month")
+
+
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("landing", help="folder of the landed files")
@@ -21,7 +25,11 @@ def main(args: list[str] | None = None) -> None:
     parser.add_argument("--months", type=int, nargs=2, default=MONTHS, metavar=("FIRST", "LAST"))
     parser.add_argument("--catalog", help="catalog of the namespaces (default: the session's)")
     parser.add_argument("--location", help="folder for namespaces and tables (default: the warehouse)")
-    parser.add_argument("--partitioned", action="store_true", help="partition silver by year and month")
+    parser.add_argument("--format", default="parquet", help="storage format of the tables")
+    parser.add_argument("--property", action="append", default=[], metavar="KEY=VALUE", help="property of all tables")
+    by_month = argparse.BooleanOptionalAction
+    parser.add_argument("--partitioned", action=by_month, default=True, help="partition silver by year and month")
+    parser.add_argument("--partitioned-gold", action="store_true", help="partition gold by year and month")
     wanted = parser.parse_args(args)
 
     spark = SparkSession.builder.appName("trip tables").getOrCreate()
@@ -29,7 +37,10 @@ def main(args: list[str] | None = None) -> None:
         year=wanted.year,
         months=tuple(wanted.months),
         catalog=wanted.catalog,
-        partition_by=("pickup_year", "pickup_month") if wanted.partitioned else (),
+        fmt=wanted.format,
+        properties=dict(pair.split("=", 1) for pair in wanted.property),
+        partition_by=MONTHLY if wanted.partitioned else (),
+        gold_partition_by=MONTHLY if wanted.partitioned_gold else (),
     )
     if wanted.new:
         stored = refresh_new_trips(spark, spec, wanted.landing, wanted.location)

@@ -3,7 +3,7 @@ from dataclasses import replace
 
 import pytest
 import submit_refresh
-from helpers import rows
+from helpers import rows, sql_conf
 from pyspark.sql import functions as F
 
 from lakestrata.plans.audit import landing_audit, layer_audit
@@ -23,7 +23,7 @@ from lakestrata.plans.trips import (
     refresh_trips,
     silver,
 )
-from lakestrata.session import scratch_path, sql_conf
+from lakestrata.session import scratch_path
 from lakestrata.sources import (
     create_view,
     dataset_properties,
@@ -317,3 +317,39 @@ def test_the_submitted_job(spark, landing, capsys):
     assert capsys.readouterr().out.split() == [*names, f"gold.{MONTHLY_VIEW}", f"gold.{HOURLY_VIEW}"]
     submit_refresh.main([*args, "--new"])
     assert [spark.table(name).count() for name in names] == [6000, 321, 10]
+
+
+def test_publishes_leave_the_session_alone_and_run_side_by_side(spark):
+    """Two threads replace partitions while a third watches the session's overwrite mode, set to either value."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    key = "spark.sql.sources.partitionOverwriteMode"
+    ensure_namespaces(spark, {"side": "Side by side"}, scratch_path(spark, "side"))
+    first = spark.range(100).selectExpr("id", "id % 4 AS p")
+    changed = spark.range(10).selectExpr("id + 1000 AS id", "4 * (id % 2) AS p")  # replaces 0, adds 4
+    for mode in ("dynamic", "static"):
+        with sql_conf(spark, {key: mode}), ThreadPoolExecutor(3) as pool:
+            for name in "ab":
+                publish(first, f"side.{name}", partition_by=["p"])
+            jobs = [
+                pool.submit(publish, changed, f"side.{name}", mode="overwrite_partitions", partition_by=["p"])
+                for name in "ab"
+            ]
+            seen = {spark.conf.get(key)}
+            while not all(job.done() for job in jobs):
+                seen.add(spark.conf.get(key))
+            for job in jobs:
+                job.result()
+            assert seen == {mode}
+        for name in "ab":
+            assert rows(spark.table(f"side.{name}").groupBy("p").count()) == [(0, 5), (1, 25), (2, 25), (3, 25), (4, 5)]
+
+
+def test_a_full_refresh_replaces_the_folder_under_any_session_mode(spark):
+    place = scratch_path(spark, "whole")
+    ensure_namespaces(spark, {"whole": "Full refresh"}, place)
+    with sql_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        for values in ("id % 4", "CAST(7 AS BIGINT)"):
+            df = spark.range(8).selectExpr("id", f"{values} AS p")
+            publish(df, "whole.t", partition_by=["p"], path=f"{place}/t")
+    assert rows(spark.table("whole.t").groupBy("p").count()) == [(7, 8)]

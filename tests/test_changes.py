@@ -85,3 +85,17 @@ def test_both_snapshots_are_shuffled_once(spark):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in plan
+
+
+def test_only_counts_above_a_chunk_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(changes, "COPIES_PER_CHUNK", 4)
+    old = frame(spark, [(1, "a")])
+    new = frame(spark, [(1, "a")] * 15 + [(2, "b")] * 4 + [(3, None)])
+    found = snapshot_changes(old, new)
+    assert Counter(tuple(r) for r in found.collect()) == {
+        (1, "a", "insert"): 14,
+        (2, "b", "insert"): 4,
+        (3, None, "insert"): 1,
+    }
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 1 and plan.count("REPARTITION_BY_NUM") == 1

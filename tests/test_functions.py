@@ -1,8 +1,7 @@
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 
 import pytest
-from helpers import rows
+from helpers import rows, sql_conf
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -14,7 +13,7 @@ from lakestrata.functions import (
     lowercase_schema,
     to_rows,
 )
-from lakestrata.session import scratch_path, shared_dir, sql_conf
+from lakestrata.session import scratch_path, shared_dir
 
 
 def test_calendar_parts_at_the_edges(spark):
@@ -90,17 +89,3 @@ def test_scratch_lies_in_the_configured_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert one != two and one.startswith(shared_dir(spark) + "/x-")
-
-
-def test_settings_of_threads_do_not_mix(spark):
-    key = "spark.sql.sources.partitionOverwriteMode"
-    seen = []
-
-    def hold(value):
-        with sql_conf(spark, {key: value}):
-            for _ in range(20):
-                seen.append(spark.conf.get(key).lower() == value)
-
-    with ThreadPoolExecutor(4) as pool:
-        list(pool.map(hold, ["static", "dynamic"] * 4))
-    assert all(seen) and spark.conf.get(key).lower() == "static"

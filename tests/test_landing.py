@@ -2,7 +2,7 @@ import datetime as dt
 from collections import Counter
 
 import pytest
-from helpers import rows
+from helpers import rows, sql_conf
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
@@ -20,7 +20,7 @@ from lakestrata.operators.schema_audit import (
 from lakestrata.operators.unions import union_lenient, union_strict
 from lakestrata.plans.binding import SPEC, trips, write_landing
 from lakestrata.plans.trips import CASTS
-from lakestrata.session import scratch_path, sql_conf
+from lakestrata.session import scratch_path
 from lakestrata.sources import (
     add_period_tag,
     add_provenance,
@@ -187,9 +187,9 @@ def test_schema_reports(spark, drifted):
     paths = [f"{drifted}/{n}" for n in NAMES]
     a, b, c = paths
     assert rows(schema_summary(report)) == [
-        (a, 3, ["Amount", "ID", "t"]),
-        (b, 3, ["Amount", "id", "t"]),
-        (c, 3, ["AMOUNT", "id", "t"]),
+        (a, 3, ["Amount", "ID", "t"], 1),
+        (b, 3, ["Amount", "id", "t"], 2),
+        (c, 3, ["AMOUNT", "id", "t"], 1),
     ]
     presence = {r["column"]: (r.present_in, r.missing_in) for r in schema_presence_diff(report, paths).collect()}
     assert presence == {
@@ -200,9 +200,9 @@ def test_schema_reports(spark, drifted):
     }
     # A file that never came makes every column differ.
     assert {r["column"] for r in schema_presence_diff(report, [*paths, f"{drifted}/z"]).collect()} == {*presence, "t"}
-    assert rows(schema_type_conflicts(report), "column_lc", "types") == [
-        ("amount", ["bigint", "double"]),
-        ("id", ["bigint", "int"]),
+    assert rows(schema_type_conflicts(report), "column_lc", "types", "rows_by_type") == [
+        ("amount", ["bigint", "double"], [3, 1]),
+        ("id", ["bigint", "int"], [1, 3]),
     ]
     names = {r.column_lc: (r.spellings, r.ordinals) for r in schema_name_conflicts(report).collect()}
     assert names == {"id": (["ID", "id"], [0, 2]), "amount": (["AMOUNT", "Amount"], [1]), "t": (["t"], [0, 2])}

@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 
 from lakestrata.operators.monitor import (
     landed_counts,
+    even_share,
     quality_drift,
+    quality_drift_within,
     quality_metrics,
     reconcile_counts,
     run_metrics,
@@ -93,3 +95,35 @@ def test_long_rows_of_a_run(spark):
         ("silver", "null_rate.x", 0.0),
         ("silver", "rows", 1.0),
     ]
+
+
+def test_drift_within_one_table_equals_drift_of_two(spark):
+    df = spark.createDataFrame([(None, True), (1, True), (2, False), (3, False)], "x int, now boolean")
+    found = quality_metrics(df, ["x"], {"small": "x < 3"}, by=["now"])
+    two = quality_drift(found.filter("now").drop("now"), found.filter("NOT now").drop("now"), 0.1)
+    assert rows(quality_drift_within(found, "now", 0.1)) == rows(two)
+    one_side = quality_drift_within(found.filter("now"), "now", 0.1)
+    assert rows(one_side, "baseline", "drifted") == [(None, True), (None, True)]
+
+
+def test_volume_against_the_mean_of_the_periods_that_have_rows(spark):
+    df = spark.createDataFrame([(1,)] * 10 + [(2,)] * 20, "m int")
+    periods = spark.createDataFrame([(1,), (2,), (3,)], "m int")
+    assert rows(volume_check(df, ["m"], even_share(), 0.2, periods)) == [
+        (1, 10, "low"),
+        (2, 20, "high"),
+        (3, 0, "missing"),
+    ]
+
+
+def test_counts_come_with_the_pass_of_their_layer(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "x int")
+    counts = {"b": {"why": {"one": F.col("x") == 1, "null": F.col("x").isNull()}}}
+    found = run_metrics({"b": df, "s": df}, [], {}, counts=counts)
+    assert rows(found, "layer", "metric", "value") == [
+        ("b", "rows", 3.0),
+        ("s", "rows", 3.0),
+        ("why", "null", 1.0),
+        ("why", "one", 1.0),
+    ]
+    assert found._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 2

@@ -5,6 +5,7 @@ from lakestrata.plans.oracles import ORACLES
 from lakestrata.plans.queries import QUERIES
 
 FOOTER_QUERIES = {
+    "landing_inventory",
     "schema_report",
     "schema_summary",
     "schema_presence_diff",
@@ -37,6 +38,21 @@ def test_no_shuffle(spark, sf_dir, name):
     assert "Exchange " not in plan_of(spark, sf_dir, name)
 
 
+SCANS = {"quality_drift": 1, "layer_retention": 1, "run_metrics": 2, "volume_check": 1}
+
+
+@pytest.mark.parametrize("name", sorted(SCANS))
+def test_one_pass_per_layer(spark, sf_dir, name):
+    assert plan_of(spark, sf_dir, name).count("FileScan parquet") == SCANS[name]
+
+
+@pytest.mark.parametrize("name", ["view_monthly", "view_hourly"])
+def test_views_come_out_sorted(spark, sf_dir, name):
+    keys = {"view_monthly": ["pickup_year", "pickup_month"], "view_hourly": ["pickup_hour"]}[name]
+    found = [tuple(r[k] for k in keys) for r in QUERIES[name](spark, sf_dir).collect()]
+    assert len(found) > 1 and found == sorted(found)
+
+
 def test_scans_read_only_the_columns_used(spark, sf_dir):
     plan = plan_of(spark, sf_dir, "value_counts_vendor")
     assert "ReadSchema: struct<l_suppkey:bigint>" in plan
