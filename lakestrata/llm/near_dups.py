@@ -297,6 +297,33 @@ def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), words AS (SELECT doc_id, len(w) AS n_words, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+windows AS (
+  SELECT doc_id, n_words, count(*) OVER later AS n, md5(string_agg(word, ' ') OVER later) AS shingle FROM words
+  WINDOW later AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)
+), sets AS (
+  SELECT doc_id, list_sort(list(DISTINCT shingle)) AS shingles FROM windows WHERE n = least(n_words, 5) GROUP BY 1
+), classes AS (  -- documents of one set are linked; further links are sought between different sets
+  SELECT min(doc_id) AS id, shingles, len(shingles) AS n FROM sets GROUP BY shingles
+), single AS (SELECT id, n, unnest(shingles) AS shingle FROM classes),
+links AS (
+  SELECT a.id AS a, b.id AS b FROM single a JOIN single b ON a.shingle = b.shingle AND a.id <> b.id
+  GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach(a, b) AS (SELECT id, id FROM classes UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+components AS (SELECT a AS id, min(b) AS component_id FROM reach GROUP BY 1),
+found AS (
+  SELECT doc_id, n, component_id FROM sets JOIN classes USING (shingles) JOIN components USING (id)
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       doc_id = coalesce(component_id, doc_id) AS kept
+FROM d LEFT JOIN found USING (doc_id)
+"""
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies, the one of the smallest id; of rows with one id and text, one."""
     groups = near_groups(docs)

@@ -31,4 +31,8 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {"op5_decontamination": decontaminate.ORACLE}
+ORACLES: dict[str, str] = {
+    "op5_decontamination": decontaminate.ORACLE,
+    "op6_near_dups": near_dups.ORACLE,
+    "op9_substring_dedup": repeats.ORACLE,
+}

@@ -366,6 +366,26 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLE = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+windows AS (
+  SELECT doc_id, p, count(*) OVER later AS n, md5(string_agg(word, ' ') OVER later) AS phrase FROM words
+  WINDOW later AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+), repeated AS (
+  SELECT doc_id, p FROM windows WHERE n = 20
+  QUALIFY row_number() OVER (PARTITION BY phrase ORDER BY doc_id, p) > 1
+), removed AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS p FROM repeated),
+kept AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS text
+  FROM words ANTI JOIN removed USING (doc_id, p) GROUP BY 1
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the word sequences that occur earlier; one of which nothing is left goes.
 
