@@ -40,7 +40,8 @@ def schema_summary(report: DataFrame) -> DataFrame:
 def schema_presence_diff(report: DataFrame, expected: Sequence[str]) -> DataFrame:
     """``column, present_in, missing_in, n_rows`` for columns not found in every expected entry.
 
-    ``n_rows`` counts the rows that have the column. Names are compared with regard to case, and an entry that has not landed lacks every column.
+    ``n_rows`` counts the rows that have the column. Names are compared with regard to case, and an entry that
+    has not landed lacks every column.
     """
     wanted = F.array(*[F.lit(path) for path in expected]).cast("array<string>")
     return (
@@ -71,7 +72,8 @@ def _variants(report: DataFrame, what: str, names: str, counts: str, *more) -> D
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("ordinals")))).alias("ordinals"),
     )
-    return whole.select("column_lc", F.col(f"found.{what}").alias(names), F.col("found.n").alias(counts), *more, "sources")
+    values = [F.col(f"found.{what}").alias(names), F.col("found.n").alias(counts)]
+    return whole.select("column_lc", *values, *more, "sources")
 
 
 def schema_name_conflicts(report: DataFrame) -> DataFrame:

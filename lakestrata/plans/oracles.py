@@ -242,7 +242,8 @@ ORACLES: dict[str, str] = {
     "landing_inventory": f"""{TRIPS}, counts AS (SELECT {_FILE} AS name, {_N} AS n_rows FROM numbered GROUP BY 1)
       SELECT name, n_rows IS NOT NULL AS present, n_rows IS NOT NULL AS has_bytes,
         coalesce(n_rows, 0)::BIGINT AS n_rows
-      FROM ({_values([(name,) for name in [*FILES, "not_landed.parquet"]])}) AS t(name) LEFT JOIN counts USING (name)""",
+      FROM ({_values([(name,) for name in [*FILES, "not_landed.parquet"]])}) AS t(name)
+      LEFT JOIN counts USING (name)""",
     "ingestion_times": f"{TRIPS} SELECT 1::BIGINT AS n_times, {_N} AS n_stamped, {_N} AS n_rows FROM trips",
     "ingest_new_files": _PER_FILE,
     "stream_ingest_files": _PER_FILE,

@@ -98,22 +98,27 @@ def bronze_lenient(spark, sf_dir):
     return plan.lenient(spark, landed(spark, sf_dir), spec).drop("source_file")
 
 
+def like_files(spark: SparkSession, folder: str) -> list[str]:
+    """One path for each distinct schema, naming all files that have it: one scan each, however many files there are."""
+    groups = landing.schema_groups(footers.read_footers(spark, folder, SPEC.files), folder, SPEC.files)
+    return [f"{folder}/{{{','.join(entry.rsplit('/', 1)[1] for entry in group.entries)}}}" for group in groups]
+
+
 @query
 def bronze_per_file(spark, sf_dir):
     folder, frames = landed(spark, sf_dir), []
-    for name in SPEC.files:
-        path = f"{folder}/{name}"
-        one = lowercase_columns(cast_columns(files.read_file(spark, path), plan.CASTS))
-        frames.append(files.add_provenance(one, path))
+    for path in like_files(spark, folder):
+        entry = files.entry_path(F.col("_metadata.file_path"), folder).alias("entry")
+        one = lowercase_columns(cast_columns(files.read_file(spark, path).select("*", entry), plan.CASTS))
+        frames.append(files.add_provenance(one, F.col("entry")).drop("entry"))
     df = unions.union_strict(frames)
     return df.withColumn("source_file", base_name()).drop("ingestion_timestamp")
 
 
 @query
 def lowercase_schema(spark, sf_dir):
-    folder, frames = landed(spark, sf_dir), []
-    for name in SPEC.files:
-        path = f"{folder}/{name}"
+    frames = []
+    for path in like_files(spark, landed(spark, sf_dir)):
         schema = lowercased(files.read_file(spark, path).schema)
         frames.append(cast_columns(spark.read.schema(schema).parquet(path), plan.CASTS))
     df = unions.union_strict(frames).groupBy("vendorid")
@@ -129,11 +134,11 @@ def lowercase_schema(spark, sf_dir):
 
 @query
 def file_query_counts(spark, sf_dir):
-    folder, frames = landed(spark, sf_dir), []
-    for name in SPEC.files:
-        sql = "SELECT VendorID, count(1) AS n_rows FROM {file} GROUP BY ALL"
-        one = files.query_file(spark, f"{folder}/{name}", sql)
-        frames.append(lowercase_columns(cast_columns(one, {"vendorid": "bigint"})).withColumn("file", F.lit(name)))
+    file = "substring_index(substring_index(_metadata.file_path, '/', -2), '/', 1)"
+    sql = f"SELECT VendorID, {file} AS file, count(1) AS n_rows FROM {{file}} GROUP BY ALL"
+    frames = []
+    for path in like_files(spark, landed(spark, sf_dir)):
+        frames.append(lowercase_columns(cast_columns(files.query_file(spark, path, sql), {"vendorid": "bigint"})))
     return unions.union_strict(frames)
 
 

@@ -241,7 +241,8 @@ def _rules_text(spec: Spec) -> str:
 def _enter(spark: SparkSession, spec: Spec, rows: DataFrame, mode: str, location: str | None) -> None:
     """Note in the ledger what silver must hold of the files of these bronze rows: one pass over them."""
     kept = F.count_if(passes_all(spec.rules)).alias("n_kept")
-    counts = with_calendar(rows, ["year", "month"]).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_bronze"), kept)
+    files = with_calendar(rows, ["year", "month"]).groupBy("source_file")
+    counts = files.agg(F.count(F.lit(1)).alias("n_bronze"), kept)
     path = f"{location.rstrip('/')}/{spec.ledger.replace('.', '/')}" if location else None
     publish(counts.withColumn("rules", F.lit(_rules_text(spec))), spec.ledger, mode=mode, path=path)
 

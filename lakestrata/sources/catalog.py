@@ -132,7 +132,8 @@ def publish(
         path = path or _external_path(spark, name)
         if path:
             writer = writer.option("path", path)
-        if path and mode == "overwrite" and spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic":
+        by_part = spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic"
+        if path and mode == "overwrite" and by_part:
             # A session that replaces single partitions must not leave old ones in the folder.
             writer = writer.option("partitionOverwriteMode", "static")
         if partition_by:

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import BinaryIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.sources.files import list_files
 
+# Opens a path for reading; it is sent to the executors, so it must import what it needs inside.
+Opener = Callable[[str], BinaryIO]
+
 FOOTER_SCHEMA = (
     "entry string, path string, n_rows bigint,"
     " fields array<struct<ordinal: int, column: string, type: string, nullable: boolean>>"
 )
 
 
-def _footer_reader():
+def _footer_reader(opener: Opener | None = None):
     # A closure with its imports inside travels to the executors by value, so the package
     # need not be installed there.
     columns = ["entry", "path", "n_rows", "fields"]
@@ -33,6 +37,8 @@ def _footer_reader():
         )
 
         def open_file(path):
+            if opener is not None:
+                return opener(path)
             if path.startswith("file:"):
                 return pafs.LocalFileSystem().open_input_file("/" + path[5:].lstrip("/"))
             if path.startswith("/"):
@@ -87,15 +93,19 @@ def _footer_reader():
     return read
 
 
-def read_footers(spark: SparkSession, landing: str, names: Sequence[str] | None = None) -> DataFrame:
+def read_footers(
+    spark: SparkSession, landing: str, names: Sequence[str] | None = None, opener: Opener | None = None
+) -> DataFrame:
     """One row per physical file of the named entries, or of all: ``entry, path, n_rows, fields``.
 
-    No row data is read, and no footer of an entry that is not asked for.
+    No row data is read, and no footer of an entry that is not asked for. Files are opened by Arrow's file systems,
+    which do not know the credentials and schemes that Spark was given; where these are needed, ``opener`` opens
+    a path, as Spark names it, instead.
     """
     files = list_files(spark, landing).select("entry", "path")
     if names is not None:
         files = files.filter(F.col("entry").isin([f"{landing.rstrip('/')}/{name}" for name in names]))
-    return files.mapInArrow(_footer_reader(), FOOTER_SCHEMA)
+    return files.mapInArrow(_footer_reader(opener), FOOTER_SCHEMA)
 
 
 def schema_report(footer_rows: DataFrame) -> DataFrame:

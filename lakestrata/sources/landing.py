@@ -21,7 +21,7 @@ from lakestrata.operators.schema_audit import IncompatibleTypes, type_family
 from lakestrata.operators.unions import union_lenient, union_strict
 from lakestrata.sources.catalog import publish
 from lakestrata.sources.files import add_provenance, entry_path
-from lakestrata.sources.footers import read_footers
+from lakestrata.sources.footers import Opener, read_footers
 
 _PLAIN = re.compile(r"[A-Za-z0-9._/:=-]*")
 
@@ -126,6 +126,7 @@ def ingest(
     names: Sequence[str] | None = None,
     casts: Mapping[str, str] | None = None,
     mode: str = "strict",
+    opener: Opener | None = None,
 ) -> DataFrame:
     """The bronze rows of the named entries (all entries when no names are given).
 
@@ -140,7 +141,7 @@ def ingest(
         raise ValueError(f"mode is strict or lenient, not {mode}")
     if spark.conf.get("spark.sql.caseSensitive") == "true":
         raise ValueError("ingest matches columns without regard to case: set spark.sql.caseSensitive to false")
-    groups = schema_groups(read_footers(spark, landing, names), landing, names)
+    groups = schema_groups(read_footers(spark, landing, names, opener), landing, names)
     if names is not None and mode == "strict":
         found = {entry for group in groups for entry in group.entries}
         absent = [name for name in names if f"{landing.rstrip('/')}/{name}" not in found]
@@ -169,14 +170,20 @@ class IncompleteDelivery(RuntimeError):
     """A table holds some, but not all, rows of a landed entry."""
 
 
-def new_entries(spark: SparkSession, landing: str, table: str, names: Sequence[str] | None = None) -> list[str]:
+def new_entries(
+    spark: SparkSession,
+    landing: str,
+    table: str,
+    names: Sequence[str] | None = None,
+    opener: Opener | None = None,
+) -> list[str]:
     """Names of landed entries with rows that the table holds no row of.
 
     Compares the row counts in the footers with one dictionary-encoded column of the table. An
     entry stored in part, because a run was killed while it committed or the file was delivered
     again, is an error: a full refresh puts it right. The driver receives only names that differ.
     """
-    landed = landed_counts(read_footers(spark, landing, names)).filter("n_rows > 0")
+    landed = landed_counts(read_footers(spark, landing, names, opener)).filter("n_rows > 0")
     if spark.catalog.tableExists(table):
         stored = stored_counts(spark.table(table)).withColumnRenamed("n_rows", "stored")
         counts = landed.join(stored, "source_file", "left").na.fill(0, ["stored"])
@@ -208,12 +215,13 @@ def ingest_new(
     casts: Mapping[str, str] | None = None,
     mode: str = "strict",
     fmt: str = "parquet",
+    opener: Opener | None = None,
 ) -> list[str]:
     """Append only what the table does not hold yet and return the names of the entries added.
 
     The table itself is the record of what was ingested, so a second run adds nothing.
     """
-    fresh = new_entries(spark, landing, table, names)
+    fresh = new_entries(spark, landing, table, names, opener)
     if fresh:
-        publish(ingest(spark, landing, fresh, casts, mode), table, mode="append", fmt=fmt)
+        publish(ingest(spark, landing, fresh, casts, mode, opener), table, mode="append", fmt=fmt)
     return fresh

@@ -416,3 +416,20 @@ def test_a_column_without_a_type_is_null(spark, tmp_path):
         df = ingest(spark, str(tmp_path), ["x.parquet", "y.parquet"], {"fee": "double"}, mode)
         assert dict(df.dtypes)["fee"] == "double"
         assert sorted((r.id, r.fee) for r in df.collect()) == [(1, 0.5), (2, 1.5), (3, None)]
+
+
+def test_an_opener_of_the_caller_reads_the_footers(spark, drifted):
+    def opener(path):
+        if not path.startswith("file:"):
+            raise ValueError(path)
+        return open("/" + path[5:].lstrip("/"), "rb")
+
+    def refuse(path):
+        raise PermissionError(path)
+
+    assert rows(schema_report(read_footers(spark, drifted, opener=opener))) == rows(
+        schema_report(read_footers(spark, drifted))
+    )
+    assert ingest(spark, drifted, NAMES, SIMPLE, opener=opener).count() == 4
+    with pytest.raises(PySparkException, match="PermissionError"):
+        ingest(spark, drifted, NAMES, SIMPLE, opener=refuse)

@@ -38,7 +38,16 @@ def test_no_shuffle(spark, sf_dir, name):
     assert "Exchange " not in plan_of(spark, sf_dir, name)
 
 
-SCANS = {"quality_drift": 1, "layer_retention": 1, "run_metrics": 2, "volume_check": 1}
+# The five landing files have two distinct schemas.
+SCANS = {
+    "bronze_per_file": 2,
+    "lowercase_schema": 2,
+    "file_query_counts": 2,
+    "quality_drift": 1,
+    "layer_retention": 1,
+    "run_metrics": 2,
+    "volume_check": 1,
+}
 
 
 @pytest.mark.parametrize("name", sorted(SCANS))
