@@ -144,8 +144,9 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def components(labels: DataFrame, links: DataFrame) -> DataFrame:
     """(node, comp) after joining the components that links (a, b) connect; comp is the smallest node.
 
-    Each component hooks on to its smallest neighbour, then pointers jump; components shrink until no link
-    joins two of them. Every round is stored.
+    Each component hooks on to its smallest neighbour, then pointers jump until all name a root: the links a round has used
+    are gone afterwards, so no label may stop half way. Components shrink until no link joins two of them. Every round
+    and every jump is stored.
     """
     while True:
         one = labels.withColumnsRenamed({"node": "a", "comp": "ca"})
@@ -155,9 +156,12 @@ def components(labels: DataFrame, links: DataFrame) -> DataFrame:
         if links.isEmpty():
             return labels
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hook = both.groupBy("a").agg(F.least("a", F.min("b")).alias("up"))
-        above = hook.select(F.col("a").alias("up"), F.col("up").alias("top"))
-        jumped = stored(hook.join(above, "up", "left").select("a", F.coalesce("top", "up").alias("up")), "hooks")
+        jumped = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("up")), "hooks")
+        moved = True
+        while moved:
+            above = jumped.select(F.col("a").alias("up"), F.col("up").alias("top"))
+            found = stored(jumped.join(above, "up").select("a", F.col("top").alias("up"), (F.col("top") < F.col("up")).alias("moved")), "hooks")
+            jumped, moved = found.select("a", "up"), not found.filter("moved").isEmpty()
         names = jumped.withColumnsRenamed({"a": "comp"})
         labels = stored(
             labels.join(names, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")), "labels"

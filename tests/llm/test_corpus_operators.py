@@ -1,5 +1,6 @@
 """Operators that compare documents with each other, and the pipeline, against brute force."""
 
+import itertools
 import random
 import re
 
@@ -65,6 +66,17 @@ def test_near_groups_of_awkward_texts(docs, texts):
     )
 
 
+def test_components_of_chains_in_every_order(spark):
+    r = random.Random(5)
+    chains = [list(c) for n in (4, 5) for c in itertools.permutations(range(n))]
+    chains += [r.sample(range(n), n) for n in range(6, 21) for _ in range(30)]
+    names = [[b"%04d-%02d" % (i, x) for x in chain] for i, chain in enumerate(chains)]
+    labels = spark.createDataFrame([(x, x) for chain in names for x in chain], "node binary, comp binary")
+    links = spark.createDataFrame([p for chain in names for p in zip(chain, chain[1:])], "a binary, b binary")
+    got = {bytes(x.node): bytes(x.comp) for x in near_dups.components(labels, links).collect()}
+    assert got == {x: min(chain) for chain in names for x in chain}
+
+
 def test_every_coordinate_is_filled_and_agreement_estimates_similarity():
     r = np.random.default_rng(0)
     pool = r.integers(1, 2**63, 400, dtype=np.uint64)
