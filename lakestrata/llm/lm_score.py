@@ -6,9 +6,12 @@ the document: low scores read like the target. The models are word bigrams, inte
 unigrams with add-``ALPHA`` smoothing; words outside the vocabulary are one unknown word, and a text starts
 after a start mark.
 
-All counts are taken over every document. The vocabulary holds the words that make up ``WORD_SHARE`` of the background or of
-the target (so at most 200,000). The bigrams sent to the tasks make up ``PAIR_SHARE`` of either (at most 2,000,000); others, whose
-counts still enter the totals of their first word, are scored by the unigram part.
+All words and all pairs of all documents are kept, so both models grow with the corpus and each distribution sums to 1. They
+are stored tables, keyed by the words themselves. A document's distinct pairs are joined with the table of pairs; only
+the pairs that make up ``HOT_PAIR`` of the background or of the target (so at most 500,000) are sent to the tasks, which
+then leave them out of the join. Pairs and words that the models have not seen take further joins, made only if there are any.
+``fit`` can be given shares of all tokens below which words and pairs are dropped; none are by default. Pairs dropped
+in this way still count in the totals of their first word and are scored by the unigram part.
 
 Cases: null texts and texts without words have no tokens, and losses and score 0. Without target documents both
 models are the background. Repeated rows count and are scored each. Ids do not matter to a score.
@@ -22,169 +25,241 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import bounded, distinct_words, documents, map_texts, ship, slices, stored, summed, unpacked
+from lakestrata.llm.common import bounded, distinct_words, documents, ship, slices, stored, summed, unpacked
 
-WORD_SHARE, PAIR_SHARE = 1e-5, 1e-6
 ALPHA = 0.1
-SLICE = 4 << 20
-COMBINED = 4_000_000  # bigrams that a task counts at once
+SLICE = 16 << 20
+HOT_PAIR = 4e-6  # share of all tokens from which a pair is sent to the tasks
+HOT_WORD = 1e-4  # share of all tokens from which a word's totals are broadcast
 BROADCAST_ROWS = 200_000
+START, UNKNOWN = "", " "  # no word is empty or a blank
+MODELS = ("target", "background")
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n, n_target) over all texts of ``docs`` (text, target)."""
+class Pairs:
+    """The pairs of words at each place of some texts: a word and the one before it, or the start mark."""
+
+    def __init__(self, texts: pa.Array):
+        words, now, self.bounds = distinct_words(texts)
+        self.words = pa.concat_arrays([words.cast(pa.string()), pa.array([START], pa.string())])
+        self.size = len(self.words)
+        before = np.concatenate([[self.size - 1], now[:-1]])[: len(now)]
+        before[self.bounds[:-1][np.diff(self.bounds) > 0]] = self.size - 1
+        self.codes = before * self.size + now
+
+    def named(self, codes: np.ndarray) -> tuple[pa.Array, pa.Array]:
+        return self.words.take(pa.array(codes // self.size)), self.words.take(pa.array(codes % self.size))
+
+
+def pair_counts(docs: DataFrame) -> DataFrame:
+    """(a, b, n, n_target) over all texts of ``docs`` (text, target): how often word b comes after word a."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, size in slices(batch.column(0), SLICE):
-                words, at, bounds = distinct_words(batch.column(0).slice(lo, size))
-                target = np.repeat(batch.column(1).slice(lo, size).to_numpy(zero_copy_only=False).astype(bool), np.diff(bounds))
-                n = [np.bincount(a, minlength=len(words)) for a in (at, at[target])]
-                yield pa.RecordBatch.from_arrays([words.cast(pa.string()), *map(pa.array, n)], ["word", "n", "n_target"])
+                pairs = Pairs(batch.column(0).slice(lo, size))
+                target = batch.column(1).slice(lo, size).to_numpy(zero_copy_only=False).astype(bool)
+                which, back = np.unique(pairs.codes, return_inverse=True)
+                n = np.bincount(back, minlength=len(which))
+                n_target = np.bincount(back[np.repeat(target, np.diff(pairs.bounds))], minlength=len(which))
+                for first in range(0, len(which), 1 << 16):
+                    cut = slice(first, first + (1 << 16))
+                    columns = [*pairs.named(which[cut]), pa.array(n[cut]), pa.array(n_target[cut])]
+                    yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n", "n_target"])
+
+    found = docs.select("text", "target").mapInArrow(work, "a string, b string, n long, n_target long")
+    return found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+
+
+def looked_up(rows: DataFrame, key: str, other: str, table: DataFrame, hot: Column) -> DataFrame:
+    """Left join on a word. Rows of a ``hot`` word are met by broadcast, and are dealt out by their ``other`` word after that."""
+    columns = [c for c in table.columns if c != key]
+    few = table.filter(hot).select(F.col(key), F.struct(*columns).alias("few"))
+    most = table.filter(~hot).select(F.col(key).alias("at"), F.struct(*columns).alias("most"))
+    at = F.when(F.col("few").isNull(), F.col(key)).otherwise(F.concat(F.lit(" "), key, F.lit(" "), other))
+    met = rows.join(F.broadcast(few), key, "left").withColumn("at", at).join(most, "at", "left")
+    return met.select(*rows.columns, F.coalesce("few", "most").alias("met")).select(*rows.columns, "met.*")
 
-    found = docs.select("text", "target").mapInArrow(work, "word string, n long, n_target long")
-    return found.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
 
+@dataclass
+class HotPairs:
+    """Losses of the most frequent pairs, in order of their code."""
 
-class Vocabulary:
-    """Words in order, numbered from 0; then the unknown word and the start mark."""
+    words: pa.Array
+    codes: np.ndarray
+    losses: np.ndarray
 
-    def __init__(self, words: list[str]):
-        self.words = words
-        self.unknown, self.start, self.size = len(words), len(words) + 1, len(words) + 2
+    def find(self, pairs: Pairs, codes: np.ndarray) -> np.ndarray:
+        """The place of each pair of words, or -1."""
+        number = pc.fill_null(pc.index_in(pairs.words, self.words), -1).to_numpy().astype(np.int64)
+        a, b = number[codes // pairs.size], number[codes % pairs.size]
+        code = np.where((a >= 0) & (b >= 0), a * len(self.words) + b, -1)
+        if not len(self.codes):
+            return np.full(len(codes), -1)
+        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        return np.where(self.codes[at] == code, at, -1)
 
-    def numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(number of each word, of the one before it, bounds of the texts)."""
-        words, at, bounds = distinct_words(texts)
-        found = pc.fill_null(pc.index_in(words.cast(pa.string()), pa.array(self.words, pa.string())), self.unknown)
-        now = found.to_numpy().astype(np.int64)[at]
-        before = np.concatenate([[self.start], now[:-1]])[: len(now)]
-        before[bounds[:-1][np.diff(bounds) > 0]] = self.start
-        return now, before, bounds
 
+def hot_pairs(table: pa.Table) -> HotPairs:
+    a, b = (table[c].combine_chunks() for c in "ab")
+    words = pc.unique(pa.concat_arrays([pa.array(x, pa.string()) for x in (a, b)]))
+    codes = pc.index_in(a, words).to_numpy().astype(np.int64) * len(words) + pc.index_in(b, words).to_numpy()
+    losses = np.stack([table[f"{m}_loss"].to_numpy() for m in MODELS], axis=1)
+    order = np.argsort(codes)
+    return HotPairs(words, codes[order], losses[order])
 
-def pair_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(pair, n, n_target) over all texts; a pair is the first word's number times the vocabulary plus the second's."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    def rows(pairs: list[np.ndarray], target: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        which, back = np.unique(np.concatenate(pairs), return_inverse=True)
-        n = np.bincount(back, minlength=len(which))
-        n_target = np.bincount(back[np.concatenate(target)], minlength=len(which))
-        for lo in range(0, len(which), 1 << 16):
-            cut = slice(lo, lo + (1 << 16))
-            yield pa.RecordBatch.from_arrays([pa.array(which[cut]), pa.array(n[cut]), pa.array(n_target[cut])], ["pair", "n", "n_target"])
+@dataclass
+class Models:
+    """Both models as stored tables.
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, pairs, target, size = shared.value, [], [], 0
-        for batch in batches:
-            for lo, n in slices(batch.column(0), SLICE):
-                now, before, bounds = v.numbers(batch.column(0).slice(lo, n))
-                pairs.append(before * v.size + now)
-                is_target = batch.column(1).slice(lo, n).to_numpy(zero_copy_only=False).astype(bool)
-                target.append(np.repeat(is_target, np.diff(bounds)))
-                size += len(now)
-                if size >= COMBINED:
-                    yield from rows(pairs, target)
-                    pairs, target, size = [], [], 0
-        if size:
-            yield from rows(pairs, target)
-
-    found = docs.select("text", "target").mapInArrow(work, "pair long, n long, n_target long")
-    return found.groupBy("pair").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+    words: (b, n, n_target) of the vocabulary; contexts: (a, tokens, tokens_target, kinds, kinds_target), what comes after each
+    word; pairs: (a, b, target_loss, background_loss). ``totals``: tokens of the background and of the target.
+    """
 
+    words: DataFrame
+    contexts: DataFrame
+    pairs: DataFrame
+    hot: HotPairs
+    totals: tuple[int, int]
+    size: int
+    unknown: tuple[int, int]
 
-@dataclass
-class Bigrams:
-    """One model: log probabilities of the kept pairs, and the parts of those of all others."""
-
-    pairs: np.ndarray
-    known: np.ndarray
-    back_off: np.ndarray  # log weight of the unigram part, by first word
-    single: np.ndarray  # log unigram probability, by word
-
-    def losses(self, now: np.ndarray, before: np.ndarray, size: int) -> np.ndarray:
-        out = -(self.back_off[before] + self.single[now])
-        if len(self.pairs):
-            pair = before * size + now
-            at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
-            has = self.pairs[at] == pair
-            out[has] = -self.known[at[has]]
-        return out
-
-
-def bigrams(size: int, singles: np.ndarray, contexts: tuple[np.ndarray, np.ndarray], pairs: np.ndarray, counts: np.ndarray) -> Bigrams:
-    """From counts of words, of (tokens, kinds) after each word, and of the kept pairs."""
-    single = np.log((singles + ALPHA) / (singles.sum() + ALPHA * (size - 1)))
-    tokens, kinds = contexts
-    seen = tokens > 0
-    weight = np.where(seen, kinds / np.maximum(tokens + kinds, 1), 1.0)
-    first, second = pairs // size, pairs % size
-    with np.errstate(divide="ignore"):
-        known = np.log(counts / np.maximum(tokens + kinds, 1)[first] + weight[first] * np.exp(single[second]))
-    return Bigrams(pairs, known, np.log(weight), single)
+    def losses(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (a, b, n, n_target, the counts of each pair, and more) with both losses of a pair."""
+        return _with_losses(rows, self.words, self.contexts, self.totals, self.size, self.unknown)
 
 
-@dataclass
-class Models:
-    vocabulary: Vocabulary
-    target: Bigrams
-    background: Bigrams
+def _with_losses(
+    rows: DataFrame, words: DataFrame, contexts: DataFrame, totals: tuple[int, int], size: int, unknown: tuple[int, int]
+) -> DataFrame:
+    kept = rows.columns
+    singles = words.withColumnsRenamed({"n": "single", "n_target": "single_target"})
+    rows = looked_up(rows, "a", "b", contexts, F.col("tokens") >= HOT_WORD * totals[0])
+    rows = looked_up(rows, "b", "a", singles, F.col("single") >= HOT_WORD * totals[0])
 
-    def score(self, texts: pa.Array) -> dict:
-        now, before, bounds = self.vocabulary.numbers(texts)
-        n = np.diff(bounds)
-        losses = [summed(m.losses(now, before, self.vocabulary.size), bounds) / np.maximum(n, 1) for m in (self.target, self.background)]
-        return {"n_tokens": n, "target_loss": losses[0], "background_loss": losses[1], "score": losses[0] - losses[1]}
+    def loss(after: str, total: int, rest: int) -> Column:
+        tokens, kinds = (F.coalesce(c + after, F.lit(0)) for c in ("tokens", "kinds"))
+        single = (F.coalesce("single" + after, F.lit(rest)) + ALPHA) / (total + ALPHA * (size + 1))
+        every = F.greatest(tokens + kinds, F.lit(1))
+        return -F.log(F.col("n" + after) / every + F.when(tokens > 0, kinds / every).otherwise(1.0) * single)
 
+    background = loss("", totals[0], unknown[0])
+    target = loss("_target", totals[1], unknown[1]) if totals[1] else background
+    return rows.select(*kept, target.alias("target_loss"), background.alias("background_loss"))
 
-def fit(docs: DataFrame, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> Models:
-    """Both models from ``docs`` (text, target). Two passes over the texts; counts meet by word and by pair.
 
-    The driver receives the vocabulary, totals by word of the vocabulary and the kept pairs, all bounded by the shares.
-    """
-    ship(docs.sparkSession)
-    words = stored(word_counts(docs), "word-counts")
-    n, n_target = (x or 0 for x in words.agg(F.sum("n"), F.sum("n_target")).first())
-    often = (F.col("n") >= word_share * n) | (F.lit(n_target > 0) & (F.col("n_target") >= word_share * n_target))
-    kept = words.filter(often).orderBy("word").toPandas()
-    vocabulary = Vocabulary(kept["word"].tolist())
-    size = vocabulary.size
-    pairs = stored(pair_counts(docs, vocabulary), "pair-counts")
-    after = pairs.groupBy(F.floor(F.col("pair") / size).cast("long").alias("first")).agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"), F.sum("n_target").alias("n_target"),
-        F.count_if(F.col("n_target") > 0).alias("kinds_target"),
-    ).toPandas()
-    often = (F.col("n") >= pair_share * n) | (F.lit(n_target > 0) & (F.col("n_target") >= pair_share * n_target))
-    some = pairs.filter(often).orderBy("pair").toPandas()
-
-    def model(column: str, kinds: str, total: int) -> Bigrams:
-        singles = np.zeros(size)
-        singles[: len(kept)] = kept[column].to_numpy(float)
-        singles[vocabulary.unknown] = total - singles.sum()
-        tokens, each = np.zeros(size), np.zeros(size)
-        tokens[after["first"].to_numpy(int)], each[after["first"].to_numpy(int)] = after[column], after[kinds]
-        has = some[some[column] > 0]
-        return bigrams(size, singles, (tokens, each), has["pair"].to_numpy(np.int64), has[column].to_numpy(float))
-
-    background = model("n", "kinds", n)
-    return Models(vocabulary, model("n_target", "kinds_target", n_target) if n_target else background, background)
+def _in_vocabulary(rows: DataFrame, words: DataFrame, total: int) -> DataFrame:
+    """``rows`` with words outside the vocabulary as the unknown word."""
+    for key, other in ("ab", "ba"):
+        known = words.select(F.col("b").alias(key), "n", F.lit(True).alias("known")).withColumnRenamed("n", "often")
+        met = looked_up(rows, key, other, known, F.col("often") >= HOT_WORD * total)
+        word = F.when(F.col("known") | (F.col(key) == START), F.col(key)).otherwise(UNKNOWN)
+        rows = met.withColumn(key, word).select(*rows.columns)
+    return rows
 
 
-def score(docs: DataFrame, models: Models, text: str = "text", keep=None) -> DataFrame:
-    """``row`` (the kept columns), ``n_tokens``, the losses per token and ``score``, their difference; no shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+def fit(docs: DataFrame, word_share: float = 0.0, pair_share: float = 0.0) -> Models:
+    """Both models from ``docs`` (text, target). One pass over the texts; counts meet by pair, then by word.
 
-    def make():
-        def fn(texts: list[bytes | None]) -> dict:
-            return shared.value.score(pa.array([None if t is None else t.decode("utf-8", "replace") for t in texts], pa.string()))
+    The driver receives totals and the hot pairs. Words and pairs of less than a share of all tokens are dropped.
+    """
+    ship(docs.sparkSession)
+    counts = [F.sum("n").alias("n"), F.sum("n_target").alias("n_target")]
+    pairs = stored(pair_counts(docs), "pair-counts")
+    words = stored(pairs.groupBy("b").agg(*counts), "word-counts")
+    n, n_target, size = words.agg(F.sum("n"), F.sum("n_target"), F.count(F.lit(1))).first()
+    n, n_target = n or 0, n_target or 0
+
+    def often(share: float) -> Column:
+        return (F.col("n") >= share * n) | (F.lit(n_target > 0) & (F.col("n_target") >= share * n_target))
+
+    unknown = (0, 0)
+    if word_share:
+        words = stored(words.filter(often(word_share)), "vocabulary")
+        *known, size = words.agg(F.sum("n"), F.sum("n_target"), F.count(F.lit(1))).first()
+        unknown = (n - (known[0] or 0), n_target - (known[1] or 0))
+        pairs = stored(_in_vocabulary(pairs, words, n).groupBy("a", "b").agg(*counts), "pair-counts")
+    contexts = pairs.groupBy("a").agg(
+        F.sum("n").alias("tokens"), F.sum("n_target").alias("tokens_target"),
+        F.count(F.lit(1)).alias("kinds"), F.count_if(F.col("n_target") > 0).alias("kinds_target"),
+    )
+    contexts = stored(contexts, "contexts")
+    kept = pairs.filter(often(pair_share)) if pair_share else pairs
+    hot = often(HOT_PAIR) & (F.col("a") != UNKNOWN) & (F.col("b") != UNKNOWN)
+    kept = _with_losses(kept, words, contexts, (n, n_target), size, unknown)
+    kept = stored(kept.select("a", "b", "target_loss", "background_loss", hot.alias("hot")), "pair-losses")
+    sent = hot_pairs(kept.filter("hot").drop("hot").toArrow())
+    return Models(words, contexts, kept.drop("hot"), sent, (n, n_target), size, unknown)
+
+
+def _scorer(shared):
+    """Tokens, the sums of the losses of hot pairs, and the other distinct pairs with their counts, of each text."""
+    pair = pa.struct([("a", pa.string()), ("b", pa.string()), ("n", pa.int32())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, size in slices(batch.column(1), SLICE >> 2):
+                part = batch.slice(lo, size)
+                pairs = Pairs(part.column(1))
+                which, back = np.unique(pairs.codes, return_inverse=True)
+                at = shared.value.find(pairs, which)[back]
+                table = np.concatenate([shared.value.losses, np.zeros((1, len(MODELS)))])
+                sums = summed(table[at], pairs.bounds)
+                owner = np.repeat(np.arange(size), np.diff(pairs.bounds))
+                cold = owner[at < 0] * len(which) + back[at < 0]
+                cold, n = np.unique(cold, return_counts=True)
+                bounds = np.concatenate([[0], np.cumsum(np.bincount(cold // max(len(which), 1), minlength=size))]).astype(np.int32)
+                columns = [*pairs.named(which[cold % max(len(which), 1)]), pa.array(n.astype(np.int32))]
+                values = pa.StructArray.from_arrays(columns, fields=list(pair))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array(np.diff(pairs.bounds)),
+                        *[pa.array(np.ascontiguousarray(sums[:, i])) for i in range(len(MODELS))],
+                        pa.ListArray.from_arrays(pa.array(bounds), values),
+                    ],
+                    ["row", "n_tokens", *MODELS, "cold"],
+                )
+
+    return work
 
-        return fn
 
-    return map_texts(docs, make, "n_tokens long, target_loss double, background_loss double, score double", text, keep)
+def score(docs: DataFrame, models: Models, text: str = "text", keep=None) -> DataFrame:
+    """``row`` (the kept columns), ``n_tokens``, the losses per token and ``score``, their difference."""
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(models.hot)
+    kept = [docs[c] for c in (docs.columns if keep is None else keep)]
+    rows = docs.select(F.struct(*kept).alias("row"), F.col(text).cast("string").alias("text"))
+    made = "n_tokens long, target double, background double, cold array<struct<a: string, b: string, n: int>>"
+    out = type(rows.schema)([rows.schema["row"], *type(rows.schema).fromDDL(made).fields])
+    found = stored(rows.mapInArrow(_scorer(shared), out).withColumn("id", F.monotonically_increasing_id()), "scored")
+    cold = found.select("id", F.explode("cold").alias("p")).select("id", "p.a", "p.b", F.col("p.n").alias("times"))
+    pairs = models.pairs.withColumn("has", F.lit(True))
+    sums = [F.sum(F.col("times") * F.col(f"{m}_loss")).alias(m) for m in MODELS]
+    missed = F.count_if(F.col("has").isNull()).alias("missed")
+    parts = stored(cold.join(pairs, ["a", "b"], "left").groupBy("id").agg(*sums, missed), "sums")
+    if not parts.filter("missed > 0").isEmpty():
+        new = cold.join(models.pairs.select("a", "b"), ["a", "b"], "left_anti")
+        new = _in_vocabulary(new, models.words, models.totals[0])
+        # As a pair with the unknown word it may be known; otherwise it has no count of its own.
+        met = new.join(pairs, ["a", "b"], "left")
+        rest = models.losses(
+            met.filter("has IS NULL").select("id", "a", "b", "times", F.lit(0).alias("n"), F.lit(0).alias("n_target"))
+        )
+        columns = ["id", "times", *(f"{m}_loss" for m in MODELS)]
+        both = met.filter("has").select(*columns).unionByName(rest.select(*columns))
+        parts = parts.drop("missed").unionByName(both.groupBy("id").agg(*sums))
+        parts = parts.groupBy("id").agg(*(F.sum(m).alias(m) for m in MODELS))
+    more = parts.select("id", *(F.col(m).alias(f"{m}_cold") for m in MODELS))
+    losses = [
+        ((F.col(m) + F.coalesce(f"{m}_cold", F.lit(0.0))) / F.greatest("n_tokens", F.lit(1))).alias(f"{m}_loss") for m in MODELS
+    ]
+    result = found.drop("cold").join(more, "id", "left").select("row", "n_tokens", *losses)
+    return result.withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
 
 def with_target(docs: DataFrame, ids: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -226,6 +227,44 @@ def test_lm_losses_equal_those_of_plain_dictionaries(spark, texts):
             assert r.score == pytest.approx(target - background)
 
 
+def check_rare_words(spark):
+    """Words and pairs that occur once among 150,000 tokens keep their own counts in both models."""
+    texts = ["long " * 150_000, "alpha beta gamma", "beta gamma beta", "gamma alpha", None, "beta delta epsilon"]
+    rows = [(i, t, i in (1, 3)) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, target boolean").repartition(3)
+    got = lm_score.score(frame, lm_score.fit(frame), keep=["doc_id"]).orderBy("row.doc_id").collect()
+    want = plain_losses([(t, target) for _, t, target in rows], 0, 0)
+    assert [r.n_tokens for r in got] == [w[0] for w in want]
+    assert [(r.target_loss, r.background_loss) for r in got] == [pytest.approx(w[1:]) for w in want]
+
+
+def test_lm_keeps_rare_words_of_a_large_table(spark):
+    check_rare_words(spark)
+
+
+@pytest.mark.parametrize("hot", [1e-6, 0.5, 2.0])
+def test_lm_losses_do_not_depend_on_what_is_sent_to_the_tasks(spark, monkeypatch, hot):
+    monkeypatch.setattr(lm_score, "HOT_PAIR", hot)
+    check_rare_words(spark)
+
+
+def test_lm_scores_texts_that_the_models_have_not_seen(spark):
+    seen = [("a b c a b", True), ("b c d", False), ("a c", True)]
+    models = lm_score.fit(spark.createDataFrame(seen, "text string, target boolean"))
+    row = lm_score.score(spark.createDataFrame([(1, "b a x b c")], "doc_id long, text string"), models).first()
+    one = {m: Counter(w for t, x in seen if x or not m for w in t.split()) for m in (True, False)}
+    two = {m: Counter(p for t, x in seen if x or not m for p in zip(["", *t.split()], t.split())) for m in (True, False)}
+
+    def loss(m, a, b):
+        tokens, kinds = sum(n for p, n in two[m].items() if p[0] == a), sum(p[0] == a for p in two[m])
+        p1 = (one[m][b] + lm_score.ALPHA) / (one[m].total() + lm_score.ALPHA * 5)
+        return -np.log(two[m][a, b] / max(tokens + kinds, 1) + (kinds / (tokens + kinds) if tokens else 1.0) * p1)
+
+    words = ["", *"b a x b c".split()]
+    want = [np.mean([loss(m, a, b) for a, b in zip(words, words[1:])]) for m in (True, False)]
+    assert (row.target_loss, row.background_loss) == pytest.approx(want)
+
+
 def test_lm_of_empty_tables(spark, docs, empty, texts):
     none = empty.withColumn("target", F.lit(True)).select("text", "target")
     assert lm_score.score(docs, lm_score.fit(none), keep=["doc_id"]).count() == len(texts)
