@@ -136,9 +136,10 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
-    """At most ``limit`` labelled training documents: those with the smallest hash of the id.
+    """At most ``limit`` labelled training documents: those with the smallest hash of the id, then of the text.
 
-    Only ids go through the choice, so its cost is one pass over the labels. A document that has several
+    Only ids and hashes go through the choice: one pass over the labels and one over the texts. Equal rows are one document, and
+    the limit holds for documents when ids are repeated. A document that has several
     labels takes the largest; labels other than 0 and 1 are ignored.
     """
     ids = (
@@ -150,7 +151,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int)
         .limit(limit)
     )
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
-    return texts.join(ids, "doc_id")
+    texts = texts.withColumn("f", F.xxhash64("text"))
+    keys = texts.select("doc_id", "f").join(ids, "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "f").limit(limit)
+    chosen = texts.join(keys, ["doc_id", "f"]).groupBy("doc_id", "f", "label").agg(F.min("text").alias("text"))
+    return chosen.select("doc_id", "text", "label")
 
 
 class Recent(dict):

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestrata.llm import byte_bpe, html_text, language_id, lm_score, quality_fm, quality_rules, token_store
-from lakestrata.llm.common import documents, in_training_fold
+from lakestrata.llm.common import documents, in_training_fold, labelled_sample
 from lakestrata.session import scratch_path
 
 
@@ -270,3 +270,15 @@ def test_lm_of_empty_tables(spark, docs, empty, texts):
     assert lm_score.score(docs, lm_score.fit(none), keep=["doc_id"]).count() == len(texts)
     models = lm_score.fit(docs.select("text", F.lit(False).alias("target")))
     assert {r.score for r in lm_score.score(docs, models, keep=["doc_id"]).collect()} == {0.0}
+
+
+def test_labelled_sample_is_bounded_when_ids_are_repeated(spark):
+    rows = [(i, f"text {i}") for i in range(40)] + [(i, f"other {j}") for i in range(8) for j in range(50)] + [(9, "same")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    got = [tuple(r) for r in labelled_sample(docs.repartition(3), labels, "quality", 25).collect()]
+    assert len(got) == len(set(got)) == 25
+    assert sorted(got) == sorted(tuple(r) for r in labelled_sample(docs.repartition(5), labels, "quality", 25).collect())
+    every = {tuple(r) for r in labelled_sample(docs, labels, "quality", 1000).collect()}
+    learned = {r.doc_id for r in docs.filter(in_training_fold()).select("doc_id").distinct().collect()}
+    assert every == {(i, t, i % 2) for i, t in rows if i in learned} and set(got) <= every
