@@ -235,6 +235,6 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its token ids: doc_id, source, lang, ids and their number."""
-    coded = encode(docs, keep=["doc_id", "lang", "source"])
-    return unpacked(coded, F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """Every document with its token ids, their number and the hash of the bytes that they decode to."""
+    coded = decode(encode(docs, keep=["doc_id", "lang", "source"]))
+    return unpacked(coded, F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))

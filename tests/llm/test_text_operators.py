@@ -187,6 +187,12 @@ def test_quality_without_labels(spark, docs, empty, texts):
     assert quality_fm.score(empty, machine).count() == 0
 
 
+def test_byte_bpe_stage_decodes_to_the_text(spark, sf_dir, docs):
+    want = docs.selectExpr("doc_id", "sha2(coalesce(text, ''), 256) AS decoded_sha256").collect()
+    got = byte_bpe.stage(spark, docs, sf_dir).select("doc_id", "decoded_sha256").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
+
+
 def plain_losses(rows, share, pair_share):
     """Both models by dictionaries."""
     from collections import Counter
