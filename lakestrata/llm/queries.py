@@ -12,6 +12,7 @@ from lakestrata.llm import (
     quality_fm,
     quality_rules,
     repeats,
+    secret_scan,
     token_store,
 )
 
@@ -28,6 +29,7 @@ QUERIES = {
         quality_fm.op8_quality_fm,
         repeats.op9_substring_dedup,
         quality_rules.op10_quality_rules,
+        secret_scan.op13_secret_scan,
     )
 }
 
@@ -35,4 +37,5 @@ ORACLES: dict[str, str] = {
     "op5_decontamination": decontaminate.ORACLE,
     "op6_near_dups": near_dups.ORACLE,
     "op9_substring_dedup": repeats.ORACLE,
+    "op13_secret_scan": secret_scan.ORACLE,
 }
