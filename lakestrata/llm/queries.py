@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lakestrata.llm import (
     byte_bpe,
+    conversation_repair,
     decontaminate,
     html_text,
     language_id,
@@ -14,6 +15,7 @@ from lakestrata.llm import (
     repeats,
     secret_scan,
     token_store,
+    va_clusters,
 )
 
 QUERIES = {
@@ -29,6 +31,8 @@ QUERIES = {
         quality_fm.op8_quality_fm,
         repeats.op9_substring_dedup,
         quality_rules.op10_quality_rules,
+        conversation_repair.op11_conversation_repair,
+        va_clusters.op12_centroid_clusters,
         secret_scan.op13_secret_scan,
     )
 }
@@ -37,5 +41,7 @@ ORACLES: dict[str, str] = {
     "op5_decontamination": decontaminate.ORACLE,
     "op6_near_dups": near_dups.ORACLE,
     "op9_substring_dedup": repeats.ORACLE,
+    "op11_conversation_repair": conversation_repair.ORACLE,
+    "op12_centroid_clusters": va_clusters.ORACLE,
     "op13_secret_scan": secret_scan.ORACLE,
 }
