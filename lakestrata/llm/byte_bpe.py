@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import Recent, documents, map_texts, strings, unpacked, valid
+from lakestrata.llm.common import Recent, documents, map_texts, released, strings, unpacked, valid
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 CACHED_CHUNKS = 250_000  # in each of two generations
@@ -216,7 +216,7 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
                 made = [coder(path).decode(ids[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.binary())], [*names, "decoded"])
 
-    return encoded.mapInArrow(work, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
+    return encoded.mapInArrow(released(work), T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
 def digests(coded: DataFrame) -> DataFrame:

@@ -1,12 +1,15 @@
 """Helpers that the operators of this folder share: texts in slices, row keys, stored intermediate tables.
 
 All operators take a table with a document id and a text. The id may be null or repeated and the text may be
-null, empty or very long; other columns may have any name, since operators select what they need first.
+null, empty or very long; other columns may have any name, dots and backticks included: operators take columns by
+their quoted names and put those they only carry into one struct.
 """
 
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
@@ -42,6 +45,34 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def named(column: str) -> Column:
+    """A top-level column, whatever characters its name has."""
+    return F.col(f"`{column.replace('`', '``')}`")
+
+
+def released(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``work`` for mapInArrow that gives the memory of its task back to the system when the task ends.
+
+    Python workers are kept for later tasks; without this each of them holds the most that any task has needed.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -102,8 +133,8 @@ def map_texts(
     """
     ship(docs.sparkSession)
     found = T.StructType.fromDDL(schema)
-    kept = [docs[c] for c in (docs.columns if keep is None else keep)]
-    column = F.col(text) if isinstance(text, str) else text
+    kept = [named(c) for c in (docs.columns if keep is None else keep)]
+    column = named(text) if isinstance(text, str) else text
     rows = docs.select(F.struct(*kept).alias("row"), column.cast("string").alias("text"))
     out = T.StructType([rows.schema["row"], *found.fields])
     kinds = [(f.name, arrow_type(f.dataType)) for f in found.fields]
@@ -117,7 +148,7 @@ def map_texts(
                 arrays = [v if isinstance(v := values[name], pa.Array) else pa.array(v, kind) for name, kind in kinds]
                 yield pa.RecordBatch.from_arrays([part.column(0), *arrays], ["row", *(name for name, _ in kinds)])
 
-    return rows.mapInArrow(work, out)
+    return rows.mapInArrow(released(work), out)
 
 
 def unpacked(df: DataFrame, *more: str | Column) -> DataFrame:

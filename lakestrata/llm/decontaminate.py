@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import documents, stored
+from lakestrata.llm.common import documents, named, stored
 
 # The words [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ of a text whose A-Z are lower-cased: before that, capital letters belong to
 # them as well. Written as what is in the class, which Java matches many times faster than its complement.
@@ -199,7 +199,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without any benchmark window."""
     found = stored(decontaminated(docs, documents(spark, sf_dir, "benchmark")).select("d", "h"), "contaminated")
     rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.struct(*[named(c) for c in docs.columns]).alias("row"),
         F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("d"),
         F.xxhash64(docs["text"].cast("string")).alias("h"),
     )

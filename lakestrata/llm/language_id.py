@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.llm.common import (
-    distinct_words, documents, in_training_fold, is_held_out, map_texts, ship, slices, stored, strings, summed,
+    distinct_words, documents, in_training_fold, is_held_out, map_texts, released, ship, slices, stored, strings, summed,
     unpacked,
 )
 from lakestrata.llm.words import mix, window_hashes
@@ -134,7 +134,7 @@ def fit(docs: DataFrame, word_share: float = WORD_SHARE, gram_share: float = GRA
     languages = sorted(shares)
     if not languages:
         return Model([], np.zeros(0), {}, np.zeros((0, 0)), {})
-    counted = known.select("text", "lang").mapInArrow(_counts(languages), "size int, word string, gram long, n array<bigint>")
+    counted = known.select("text", "lang").mapInArrow(released(_counts(languages)), "size int, word string, gram long, n array<bigint>")
     by = counted.groupBy("size", "word", "gram")
     sums = by.agg(*[F.sum(F.col("n")[j]).alias(f"n{j}") for j in range(len(languages))])
     most = F.greatest(*[F.col(f"n{j}") for j in range(len(languages))], F.lit(0))

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import bounded, distinct_words, documents, ship, slices, stored, summed, unpacked
+from lakestrata.llm.common import bounded, distinct_words, documents, named, released, ship, slices, stored, summed, unpacked
 
 ALPHA = 0.1
 SLICE = 16 << 20
@@ -70,7 +70,7 @@ def pair_counts(docs: DataFrame) -> DataFrame:
                     columns = [*pairs.named(which[cut]), pa.array(n[cut]), pa.array(n_target[cut])]
                     yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n", "n_target"])
 
-    found = docs.select("text", "target").mapInArrow(work, "a string, b string, n long, n_target long")
+    found = docs.select("text", "target").mapInArrow(released(work), "a string, b string, n long, n_target long")
     return found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
 
 
@@ -232,11 +232,11 @@ def score(docs: DataFrame, models: Models, text: str = "text", keep=None) -> Dat
     """``row`` (the kept columns), ``n_tokens``, the losses per token and ``score``, their difference."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(models.hot)
-    kept = [docs[c] for c in (docs.columns if keep is None else keep)]
+    kept = [named(c) for c in (docs.columns if keep is None else keep)]
     rows = docs.select(F.struct(*kept).alias("row"), F.col(text).cast("string").alias("text"))
     made = "n_tokens long, target double, background double, cold array<struct<a: string, b: string, n: int>>"
     out = type(rows.schema)([rows.schema["row"], *type(rows.schema).fromDDL(made).fields])
-    found = stored(rows.mapInArrow(_scorer(shared), out).withColumn("id", F.monotonically_increasing_id()), "scored")
+    found = stored(rows.mapInArrow(released(_scorer(shared)), out).withColumn("id", F.monotonically_increasing_id()), "scored")
     cold = found.select("id", F.explode("cold").alias("p")).select("id", "p.a", "p.b", F.col("p.n").alias("times"))
     pairs = models.pairs.withColumn("has", F.lit(True))
     sums = [F.sum(F.col("times") * F.col(f"{m}_loss")).alias(m) for m in MODELS]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import as_bytes, documents, ship, slices, stored
+from lakestrata.llm.common import as_bytes, documents, named, released, ship, slices, stored
 from lakestrata.llm.words import Words, mix
 
 SHINGLE = 5
@@ -111,7 +111,7 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
         F.xxhash64(F.col("text").cast("string")).alias("f"),
         F.col("text").cast("string").alias("text"),
     )
-    return rows_.mapInArrow(_sketcher(bands, rows), f"doc_id long, f long, {SKETCH}")
+    return rows_.mapInArrow(released(_sketcher(bands, rows)), f"doc_id long, f long, {SKETCH}")
 
 
 def _verifier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +138,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("one"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("two"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "one", "two")
-    return both.mapInArrow(_verifier, "a binary, b binary, common long, total long")
+    return both.mapInArrow(released(_verifier), "a binary, b binary, common long, total long")
 
 
 def components(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -196,7 +196,7 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def shared_sizes(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, alone): how many shingles of each of these classes no other of them has; classes without any are left out."""
-    grams = texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(_grams, "node binary, gram long")
+    grams = texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(released(_grams), "node binary, gram long")
     once = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).filter("n = 1")
     return once.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
 
@@ -334,7 +334,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stays = groups.filter(F.col("doc_id").eqNullSafe(F.col("chosen.doc_id")) & (F.col("f") == F.col("chosen.f")))
     keys = stays.select(F.col("doc_id").alias("kd"), F.col("f").alias("kf")).distinct()
     rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.struct(*[named(c) for c in docs.columns]).alias("row"),
         F.col("doc_id").cast("long").alias("d"),
         F.xxhash64(F.col("text").cast("string")).alias("f"),
     )

@@ -22,7 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import as_bytes, documents, is_held_out, labelled_sample, map_texts, ship, slices, unpacked
+from lakestrata.llm.common import (
+    as_bytes, documents, is_held_out, labelled_sample, map_texts, released, ship, slices, unpacked,
+)
 from lakestrata.llm.quality_rules import _statistics
 from lakestrata.llm.words import Words
 
@@ -149,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine | N
         state = pickle.dumps((machine.cuts, machine.bias, machine.w, machine.v))
         yield pa.RecordBatch.from_arrays([pa.array([state], pa.binary())], ["model"])
 
-    row = chosen.select("text", "label").mapInArrow(work, "model binary").first()
+    row = chosen.select("text", "label").mapInArrow(released(work), "model binary").first()
     if row is None:
         return None
     cuts, bias, w, v = pickle.loads(bytes(row["model"]))

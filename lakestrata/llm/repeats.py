@@ -13,17 +13,20 @@ minimizer:
 3. Repeats that follow each other in a document, as their sources do in theirs, are joined into one unbranched
    path: a span with its source coordinates. Spans are joined with the texts, and words they cover are removed.
 
-A repeat counts only if both hashes of all its words agree with those at the source coordinates;
-``verify_spans`` compares the words themselves.
+4. Each span is verified by its words: both the texts that have it and those it is said to come from give a
+   128-bit digest of the words at their coordinates, and all digests of one source must agree. A span whose words
+   differ from the source's is dropped.
 
 Cases: null, empty or short texts have no edges and keep all words. Documents come in order of id, a null id
-first; rows with one id but different texts are different documents, in a fixed order; identical rows
-are one document and get one result. A very common passage is combined in each task before the shuffle, and its
-surplus occurrences are dealt out evenly, so no task receives them all.
+first; rows with one id but different texts are different documents, told apart by 64-bit hashes of the texts, in their
+order; identical rows are one document and get one result. Texts of any length are read whole, in slices. A very common
+passage is combined in each task before the shuffle, and its surplus occurrences are dealt out evenly, so no task receives
+them all. An empty table gives no rows. Other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -31,35 +34,34 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import as_bytes, documents, ship, slices, stored
+from lakestrata.llm.common import as_bytes, documents, named, released, ship, slices, stored
 from lakestrata.llm.words import Words, mix, window_hashes
 
 K = 20
 ANCHOR = 6  # words of a minimizer
 COMBINED = 1_000_000  # compact edges that a task combines at once
 NO_ID = -(1 << 63)
-EDGE = "k long, m long, c long, x long, d long, p long, sd long, sp long"
+# An edge under its minimizer k has its hashes y and z, and q is -1; a repeat whose source is known, dealt out by any k,
+# has the source's coordinates in y, z and q.
+EDGE = "k long, y long, z long, d long, f long, p long, q long"
+FOUND = "kind int, d long, f long, p long, sd long, sf long, sp long"
 _names = [f.split()[0] for f in EDGE.split(", ")]
 _Q1, _Q2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 
 
-# Coordinates: d is the document's id; p packs the text's fingerprint (27 bits), the first word (32) and the edges (4).
+# Coordinates: d is the document's id, f the hash of its text; p packs the first word and the number of edges (4 bits).
 def fingerprint(text: Column) -> Column:
-    return F.coalesce(F.xxhash64(text), F.lit(0)).bitwiseAND(F.lit((1 << 27) - 1))
+    return F.coalesce(F.xxhash64(text), F.lit(0))
 
 
 def _first(p: str) -> Column:
-    return F.shiftrightunsigned(p, 4).bitwiseAND(F.lit((1 << 32) - 1))
+    return F.shiftrightunsigned(p, 4)
 
 
 def _count(p: str) -> Column:
     return F.col(p).bitwiseAND(F.lit(15))
 
 
-def _print(p: str) -> Column:
-    return F.shiftrightunsigned(p, 36)
-
-
 class _Spans:
     """Hashes of any run of words of a slice, from running sums."""
 
@@ -103,17 +105,18 @@ def compact_edges(words: Words, k: int) -> tuple[np.ndarray, ...]:
 
 def _combine(columns: list[np.ndarray]) -> list[np.ndarray]:
     """Among equal edges only the first goes under its minimizer; the others know their source already."""
-    m, c, x, d, p = columns
-    order = np.lexsort((p, d, x, c, m))
-    m, c, x, d, p = (a[order] for a in (m, c, x, d, p))
+    m, c, x, d, f, p = columns
+    order = np.lexsort((p, f, d, x, c, m))
+    m, c, x, d, f, p = (a[order] for a in (m, c, x, d, f, p))
     new = np.ones(len(m), bool)
     new[1:] = (m[1:] != m[:-1]) | (c[1:] != c[:-1]) | (x[1:] != x[:-1])
     first = np.maximum.accumulate(np.where(new, np.arange(len(m)), 0))
-    again = (d != d[first]) | (p != p[first])
-    spread = mix((d.view(np.uint64) * _Q1) ^ p.view(np.uint64)).view(np.int64)
+    again = (d != d[first]) | (f != f[first]) | (p != p[first])
+    spread = mix((d.view(np.uint64) * _Q1) ^ (f.view(np.uint64) * _Q2) ^ p.view(np.uint64)).view(np.int64)
     one = new | again  # an identical row is the same occurrence
-    key = np.where(again, spread, m)
-    return [a[one] for a in (key, m, c, x, d, p, np.where(again, d[first], 0), np.where(again, p[first], -1))]
+    source = (np.where(again, a[first], b) for a, b in ((d, c), (f, x), (p, np.int64(-1))))
+    y, z, q = source
+    return [a[one] for a in (np.where(again, spread, m), y, z, d, f, p, q)]
 
 
 def _edge_rows(parts: Iterator[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -142,8 +145,8 @@ def _from_texts(batches, k: int) -> Iterator[list[np.ndarray]]:
             words = Words(as_bytes(batch.column(2).slice(lo, n)))
             start, edges, m, c, x = compact_edges(words, k)
             owner = words.owner[start]
-            p = f[lo : lo + n][owner] << 36 | (start - words.first[owner]) << 4 | edges
-            yield [a.astype(np.uint64).view(np.int64) for a in (m, c, x)] + [d[lo : lo + n][owner], p]
+            p = (start - words.first[owner]) << 4 | edges
+            yield [a.astype(np.uint64).view(np.int64) for a in (m, c, x)] + [d[lo : lo + n][owner], f[lo : lo + n][owner], p]
 
 
 def _from_checks(batches, k: int) -> Iterator[list[np.ndarray]]:
@@ -163,24 +166,24 @@ def _from_checks(batches, k: int) -> Iterator[list[np.ndarray]]:
             first, owner = np.concatenate(firsts), np.concatenate(owners)
             at = first + words.first[owner]
             m, x = (spans.hash(i, at, at + k).view(np.int64) for i in (0, 1))
-            yield [m, m, x, d[lo : lo + n][owner], f[lo : lo + n][owner] << 36 | first << 4 | 1]
+            yield [m, m, x, d[lo : lo + n][owner], f[lo : lo + n][owner], first << 4 | 1]
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From edges sorted by (k, m, c, x, d, p): repeats with their source (kind 0), and the first occurrences of
+    """From edges sorted by (k, y, z, d, f, p): repeats with their source (kind 0), and the first occurrences of
     edges that share their minimizer with other edges (kind 1). Keeps one row between batches."""
-    state = {"m": None, "class": None, "first": (0, 0), "many": False, "held": None}
+    state = {"m": None, "class": None, "first": (0, 0, 0), "many": False, "held": None}
 
-    def rows(kind, d, p, sd, sp):
-        arrays = [pa.array(np.full(len(d), kind, np.int32))] + [pa.array(a, pa.int64()) for a in (d, p, sd, sp)]
-        return pa.RecordBatch.from_arrays(arrays, ["kind", "d", "p", "sd", "sp"])
+    def rows(kind, *coordinates):
+        arrays = [pa.array(np.full(len(coordinates[0]), kind, np.int32))] + [pa.array(a, pa.int64()) for a in coordinates]
+        return pa.RecordBatch.from_arrays(arrays, ["kind", "d", "f", "p", "sd", "sf", "sp"])
 
     for batch in batches:
-        table = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, 8)]
+        table = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
         known = table[6] >= 0
         if known.any():
-            yield rows(0, *(a[known] for a in table[3:7]))
-        m, c, x, d, p = (a[~known] for a in table[:5])
+            yield rows(0, *(table[i][known] for i in (3, 4, 5, 1, 2, 6)))
+        m, c, x, d, f, p = (a[~known] for a in table[:6])
         if not len(m):
             continue
         old = state["m"] == m[0]
@@ -191,9 +194,9 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new_class[1:] |= (c[1:] != c[:-1]) | (x[1:] != x[:-1])
         new_m[0], new_class[0] = not old, not same
         at = np.maximum.accumulate(np.where(new_class, np.arange(len(m)), -1))
-        sd, sp = np.where(at < 0, state["first"][0], d[at]), np.where(at < 0, state["first"][1], p[at])
-        again = (d != sd) | (p != sp)
-        yield rows(0, d[again], p[again], sd[again], sp[again])
+        sd, sf, sp = (np.where(at < 0, state["first"][i], a[at]) for i, a in enumerate((d, f, p)))
+        again = (d != sd) | (f != sf) | (p != sp)
+        yield rows(0, *(a[again] for a in (d, f, p, sd, sf, sp)))
         group = np.cumsum(new_m)  # 0: goes on from the batch before
         classes = np.bincount(group[new_class], minlength=group[-1] + 1)
         if old:
@@ -203,29 +206,28 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         many = classes[group] > 1
         found = new_class & many
         if found.any():
-            yield rows(1, d[found], p[found], d[found], p[found])
+            yield rows(1, *(a[found] for a in (d, f, p)), *(a[found] for a in (d, f, p)))
         last = int(group[-1])
         single = classes[last] == 1
         if single and (last > 0 or not old):
-            state["held"] = (int(sd[-1]), int(sp[-1]))
+            state["held"] = (int(sd[-1]), int(sf[-1]), int(sp[-1]))
         elif not single:
             state["held"] = None
-        state |= {"m": m[-1], "class": (c[-1], x[-1]), "first": (int(sd[-1]), int(sp[-1])), "many": not single}
+        state |= {"m": m[-1], "class": (c[-1], x[-1]), "first": (int(sd[-1]), int(sf[-1]), int(sp[-1])), "many": not single}
 
 
 def _compared(edges: DataFrame) -> DataFrame:
     n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = edges.repartition(n, "k").sortWithinPartitions("k", "m", "c", "x", "d", "p")
-    return dealt.mapInArrow(_occurrences, "kind int, d long, p long, sd long, sp long")
+    dealt = edges.repartition(n, "k").sortWithinPartitions("k", "y", "z", "d", "f", "p")
+    return dealt.mapInArrow(released(_occurrences), FOUND)
 
 
 def _paths(repeats: DataFrame) -> DataFrame:
     """Neighbouring repeats whose sources are neighbours too, joined: edges ``s`` to ``e`` of a document repeat those
     from ``ss`` on of document ``sd``."""
     parts = repeats.select(
-        "d", _print("p").alias("f"), _first("p").alias("s"), (_first("p") + _count("p")).alias("e"), "sd",
-        _print("sp").alias("sf"), _first("sp").alias("ss"),
-    )
+        "d", "f", _first("p").alias("s"), (_first("p") + _count("p")).alias("e"), "sd", "sf", _first("sp").alias("ss")
+    )
     order = Window.partitionBy("d", "f").orderBy("s", "e")
     before = lambda c: F.lag(c).over(order)
     goes_on = (
@@ -241,45 +243,104 @@ def _paths(repeats: DataFrame) -> DataFrame:
 
 
 def _lists(spans: DataFrame, name: str) -> DataFrame:
-    return spans.groupBy("d", "f").agg(F.collect_list(F.struct("s", "e")).alias(name))
+    return spans.groupBy("d", "f").agg(F.collect_list(F.struct(*[c for c in spans.columns if c not in ("d", "f")])).alias(name))
+
+
+def _with_spans(texts: DataFrame, spans: DataFrame, name: str, *more: DataFrame) -> DataFrame:
+    """The texts with their spans as a list and, as ``asked``, the places in them that spans are said to come from."""
+    asked = spans.select(F.col("sd").alias("d"), F.col("sf").alias("f"), F.col("ss").alias("s"), (F.col("ss") + F.col("e") - F.col("s")).alias("e"))
+    lists = _lists(spans, name).join(_lists(asked.distinct(), "asked"), ["d", "f"], "full")
+    for one in more:
+        lists = lists.join(one, ["d", "f"], "full")
+    return texts.join(lists, ["d", "f"], "left")
+
+
+def _digests(k: int):
+    """(sd, sf, ss, n, digest of n edges' words, d, f, s): of spans with their source, and of the sources themselves."""
+    names = ["sd", "sf", "ss", "n", "digest", "d", "f", "s"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, size in slices(batch.column(2)):
+                part = batch.slice(lo, size)
+                out: list[tuple] = []
+                for d, f, text, spans, asked in zip(*(as_bytes(c) if i == 2 else c.to_pylist() for i, c in enumerate(part.columns))):
+                    words, known = (text or b"").split(), {}
+                    places = [(o["s"], o["e"], o["sd"], o["sf"], o["ss"]) for o in spans or ()]
+                    places += [(o["s"], o["e"], d, f, o["s"]) for o in asked or ()]
+                    for first, end, *source in places:
+                        if (first, end) not in known:
+                            joined = b" ".join(words[first : end + k - 1])
+                            known[first, end] = hashlib.blake2b(joined, digest_size=16).digest()
+                        out.append((*source, end - first, known[first, end], d, f, first))
+                kinds = [pa.int64()] * 4 + [pa.binary()] + [pa.int64()] * 3
+                columns = list(zip(*out)) or [[]] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names)
+
+    return work
+
+
+def _disproved(texts: DataFrame, name: str, k: int) -> DataFrame:
+    """(d, f, s, e) of the spans whose words are not those of their source; stored.
+
+    The digests of a source and of all spans that name it meet in one aggregation, which combines equal ones before
+    the shuffle. Spans are looked at one by one only where some differ.
+    """
+    places = texts.filter(f"{name} IS NOT NULL OR asked IS NOT NULL").select("d", "f", "text", name, "asked")
+    schema = "sd long, sf long, ss long, n long, digest binary, d long, f long, s long"
+    found, key = stored(places.mapInArrow(released(_digests(k)), schema), "digests"), ["sd", "sf", "ss", "n"]
+    mixed = found.groupBy(*key).agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo <> hi")
+    mixed = stored(mixed.select(*key), "mixed")
+    own = found.filter("d = sd AND f = sf AND s = ss").select(*key, F.col("digest").alias("told"))
+    told = found.join(mixed, key).join(own, key).filter("digest <> told")
+    return stored(told.select("d", "f", "s", (F.col("s") + F.col("n")).alias("e")).distinct(), "disproved")
 
 
 def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
     """``rest`` (all columns but the text, as a struct), ``text`` and the key (d, f) of each row."""
-    body = docs[text].cast("string")
-    others = [docs[c] for c in docs.columns if c != text] or [F.lit(None).alias("none")]
+    body = named(text).cast("string")
+    others = [named(c) for c in docs.columns if c != text] or [F.lit(None).alias("none")]
     return docs.select(
         F.struct(*others).alias("rest"),
         body.alias("text"),
-        F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("d"),
+        F.coalesce(named("doc_id").cast("long"), F.lit(NO_ID)).alias("d"),
         fingerprint(body).alias("f"),
     )
 
 
-def _spans(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Keyed documents with their repeats and edges to open, the joined paths, and those of opened edges."""
+def _spans(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Keyed documents with their repeats and edges to open, the verified paths; the same of opened edges."""
     ship(docs.sparkSession)
     if not ANCHOR <= k <= ANCHOR + 14:
         raise ValueError(f"k is {ANCHOR} to {ANCHOR + 14} words")
     rows = keyed(docs)
-    edges = rows.select("d", "f", "text").mapInArrow(lambda b: _edge_rows(_from_texts(b, k)), EDGE)
+    edges = rows.select("d", "f", "text").mapInArrow(released(lambda b: _edge_rows(_from_texts(b, k))), EDGE)
     found = stored(_compared(edges), "edges")
     paths = stored(_paths(found.filter("kind = 0")), "paths")
-    opened = found.filter("kind = 1").select(
-        "d", _print("p").alias("f"), _first("p").alias("s"), (_first("p") + _count("p")).alias("e")
-    )
-    lists = _lists(paths, "repeats").join(_lists(opened.distinct(), "opened"), ["d", "f"], "full")
-    whole = stored(rows.join(lists, ["d", "f"], "left"), "texts")
-    checks = whole.filter("opened IS NOT NULL").select("d", "f", "text", "opened")
-    single = checks.mapInArrow(lambda b: _edge_rows(_from_checks(b, k)), EDGE)
+    opened = found.filter("kind = 1").select("d", "f", _first("p").alias("s"), (_first("p") + _count("p")).alias("e"))
+    whole = stored(_with_spans(rows, paths, "repeats", _lists(opened.distinct(), "opened")), "texts")
+    whole, paths = _verified(whole, paths, "repeats", k)
+    checks = whole.filter("opened IS NOT NULL")
+    single = checks.select("d", "f", "text", "opened").mapInArrow(released(lambda b: _edge_rows(_from_checks(b, k))), EDGE)
     more = stored(_paths(_compared(single).filter("kind = 0")), "opened-paths")
-    return whole, paths, more
+    checked = stored(_with_spans(checks.drop("asked"), more, "more"), "opened-texts")
+    checked, more = _verified(checked, more, "more", k)
+    return whole, paths, checked, more
+
+
+def _verified(texts: DataFrame, spans: DataFrame, name: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """Both without the spans whose words are not those of their source."""
+    wrong = _disproved(texts, name, k)
+    if wrong.isEmpty():
+        return texts, spans
+    spans = stored(spans.join(wrong, ["d", "f", "s", "e"], "left_anti"), "paths")
+    return texts.drop(name).join(_lists(spans, name), ["d", "f"], "left"), spans
 
 
 def repeated_spans(docs: DataFrame, k: int = K) -> DataFrame:
     """Words ``first`` to ``last`` (exclusive) of a document that occur earlier, from word ``source_first`` of document
     ``source_id`` on. Spans of one document may overlap, as may those of neighbouring paths."""
-    _, paths, more = _spans(docs, k)
+    _, paths, _, more = _spans(docs, k)
     known = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return paths.unionByName(more).select(
         known("d").alias("doc_id"),
@@ -292,28 +353,6 @@ def repeated_spans(docs: DataFrame, k: int = K) -> DataFrame:
     )
 
 
-def verify_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """The spans of ``repeated_spans`` with ``same``: whether the words at both coordinates are the same."""
-    texts = keyed(docs).select("d", "f", "text").dropDuplicates(["d", "f"])
-    words = F.filter(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")
-    sized = spans.withColumns({"n": F.col("last") - F.col("first")})
-
-    def side(id_: str, f: str, first: str, name: str) -> DataFrame:
-        one = sized.select(
-            "doc_id", "f", "first", "last", "n", F.coalesce(F.col(id_), F.lit(NO_ID)).alias("_d"), F.col(f).alias("_f"),
-            F.col(first).alias("_first"),
-        )
-        at = one.join(texts.withColumnRenamed("d", "_d").withColumnRenamed("f", "_f"), ["_d", "_f"])
-        return at.select("doc_id", "f", "first", "last", F.slice(words, (F.col("_first") + 1).cast("int"), F.col("n").cast("int")).alias(name))
-
-    key = ["doc_id", "f", "first", "last"]
-    a, b = side("doc_id", "f", "first", "here"), side("source_id", "source_f", "source_first", "there")
-    same = F.lit(True)
-    for c in key:
-        same = same & a[c].eqNullSafe(b[c])
-    return a.join(b, same).select(*[a[c] for c in key], (F.col("here") == F.col("there")).alias("same"))
-
-
 def _kept(k: int, as_is: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -345,10 +384,9 @@ def remove_repeats(docs: DataFrame, k: int = K, as_is: bool = False) -> DataFram
 
     ``as_is``: a text that loses nothing stays as it is, white space included.
     """
-    whole, _, more = _spans(docs, k)
-    kept = lambda df: df.mapInArrow(_kept(k, as_is), _schema(whole))
+    whole, _, checked, _ = _spans(docs, k)
+    kept = lambda df: df.mapInArrow(released(_kept(k, as_is)), _schema(whole))
     plain = whole.filter("opened IS NULL").select("rest", "text", "repeats")
-    checked = whole.filter("opened IS NOT NULL").join(_lists(more, "more"), ["d", "f"], "left")
     return kept(plain).unionByName(kept(checked.select("rest", "text", "repeats", "more")))
 
 

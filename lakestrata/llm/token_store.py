@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import Recent, documents, ship, slices, strings, valid
+from lakestrata.llm.common import Recent, documents, released, ship, slices, strings, valid
 from lakestrata.session import scratch_path
 
 VERSION = 1
@@ -227,7 +227,7 @@ def write_store(
             yield flush()
 
     ranged = rows.repartitionByRange(_shards(spark), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
-    ranged.mapInArrow(write, BLOCKS).write.parquet(f"{path}/blocks")
+    ranged.mapInArrow(released(write), BLOCKS).write.parquet(f"{path}/blocks")
     return path
 
 

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lakestrata.llm import decontaminate, near_dups, quality_rules, repeats
@@ -119,8 +120,34 @@ def test_repeats_equal_a_plain_search(spark, monkeypatch, combined, words):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in repeats.remove_repeats(docs).select("rest.*", "n_words", "n_removed", "kept").collect()}
     assert got == {d: v for (d, _), v in plain_kept(rows, 20).items()}
-    spans = repeats.verify_spans(docs, repeats.repeated_spans(docs))
-    assert spans.filter("NOT same").count() == 0 and spans.count() > 0
+    spans, split = repeats.repeated_spans(docs).collect(), {d: t.split() for d, t in rows}
+    for x in spans:
+        n = x["last"] - x["first"]
+        assert split[x["doc_id"]][x["first"] : x["last"]] == split[x["source_id"]][x["source_first"] : x["source_first"] + n]
+    assert spans
+
+
+def test_texts_of_one_id_whose_hashes_are_alike(spark):
+    """Two texts of one id whose hashes share their low 27 bits: the one that nothing repeats keeps its words."""
+    found = spark.range(60_000).select(F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(25)), lambda i: F.concat(F.lit("w"), "id", F.lit("x"), i))).alias("t"))
+    key = F.xxhash64("t").bitwiseAND(F.lit((1 << 27) - 1))
+    a, b = found.groupBy(key.alias("k")).agg(F.collect_list("t").alias("t")).filter("size(t) > 1").first()["t"][:2]
+    docs = spark.createDataFrame([(1, a), (5, a), (5, b)], "doc_id long, text string")
+    kept = {(r["rest"]["doc_id"], r["kept"]): r["n_removed"] for r in repeats.remove_repeats(docs).collect()}
+    assert kept == {(1, a): 0, (5, ""): 25, (5, b): 0}
+
+
+def test_spans_of_other_words_are_dropped(spark):
+    """As after a collision of both hashes: the third document is said to repeat the first, but has other words."""
+    words = " ".join(f"w{i}" for i in range(30))
+    other = " ".join(f"v{i}" for i in range(30))
+    rows = repeats.keyed(spark.createDataFrame([(1, words), (2, words), (3, other)], "doc_id long, text string"))
+    f = {r["d"]: r["f"] for r in rows.collect()}
+    spans = [(2, f[2], 0, 11, 1, f[1], 0), (3, f[3], 2, 8, 1, f[1], 2)]
+    spans = spark.createDataFrame(spans, "d long, f long, s long, e long, sd long, sf long, ss long")
+    texts, left = repeats._verified(repeats.stored(repeats._with_spans(rows, spans, "repeats"), "texts"), spans, "repeats", 20)
+    assert [r["d"] for r in left.collect()] == [2]
+    assert {r["d"]: r["repeats"] is not None for r in texts.collect()} == {1: False, 2: True, 3: False}
 
 
 def test_repeats_of_awkward_texts(docs, texts):
