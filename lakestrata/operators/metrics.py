@@ -111,3 +111,54 @@ def peak_hours(
         .withColumn("trips_rank", F.dense_rank().over(Window.orderBy(F.col("total_trips").desc())))
     )
     return hours if k is None else hours.filter(F.col("trips_rank") <= k)
+
+
+# Reports of trip_profiles, by the columns that each is grouped by.
+PROFILES = {
+    "hour_weekday": ("pickup_weekday", "pickup_hour"),
+    "hour": ("pickup_hour",),
+    "pickup_zone": ("pickup_zone",),
+    "dropoff_zone": ("dropoff_zone",),
+    "payment_type": ("payment_type",),
+}
+
+
+def trip_profiles(
+    df: DataFrame, ts: str, sides: Mapping[str, str], payment: str, amount: str, fare: str, tip: str, distance: str
+) -> DataFrame:
+    """The reports by hour and weekday, hour, pickup and drop-off zone and payment type, from one scan and one exchange.
+
+    Columns: ``report``, the keys of all reports (null where a report has no such key), ``total_trips``,
+    ``total_revenue``, ``avg_tip_pct`` and ``fare_per_distance``. Rows are added up per report in each task before they are
+    exchanged. ``profile`` takes out one report.
+    """
+    keyed = df.select(
+        F.dayofweek(ts).alias("pickup_weekday"),
+        F.hour(ts).alias("pickup_hour"),
+        F.col(sides["pickup"]).alias("pickup_zone"),
+        F.col(sides["dropoff"]).alias("dropoff_zone"),
+        F.col(payment).alias("payment_type"),
+        F.col(amount).alias("_amount"),
+        F.col(fare).alias("_fare"),
+        F.col(distance).alias("_distance"),
+        F.try_divide(F.col(tip) * 100, F.col(fare)).alias("_tip_pct"),
+    )
+    keys = ["pickup_weekday", "pickup_hour", "pickup_zone", "dropoff_zone", "payment_type"]
+    sets = [[F.col(k) for k in by] for by in PROFILES.values()]
+    # The id of a set has a bit for each key that it leaves out.
+    ids = {sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in by): name for name, by in PROFILES.items()}
+    number = F.grouping_id()
+    report = F.coalesce(*[F.when(number == id_, name) for id_, name in ids.items()])
+    return keyed.groupingSets(sets, *[F.col(k) for k in keys]).agg(
+        report.alias("report"),
+        F.count(F.lit(1)).alias("total_trips"),
+        F.sum("_amount").alias("total_revenue"),
+        F.avg("_tip_pct").alias("avg_tip_pct"),
+        F.try_divide(F.sum("_fare"), F.sum("_distance")).alias("fare_per_distance"),
+    )
+
+
+def profile(profiles: DataFrame, report: str) -> DataFrame:
+    """One report of ``trip_profiles``: its keys and the measures. Store the profiles to read several from one scan."""
+    measures = ("total_trips", "total_revenue", "avg_tip_pct", "fare_per_distance")
+    return profiles.filter(F.col("report") == report).select(*PROFILES[report], *measures)

@@ -29,6 +29,39 @@ def reconcile_counts(landed: DataFrame, stored: DataFrame) -> DataFrame:
     return both.na.fill(0, ["landed", "stored"]).withColumn("diff", F.col("stored") - F.col("landed"))
 
 
+# Two independent hashes of a row: seeds that its columns are hashed on.
+_SEEDS = (7, 7_919)
+
+
+def content_checksums(df: DataFrame, columns: Sequence[str] | None = None, by: str = "source_file") -> DataFrame:
+    """``source_file, n_rows, sum_1, sum_2``: the rows of each file as a multiset, whatever their order or storage.
+
+    Each row has two 64-bit hashes, and each file the sums of both, added up exactly. Which columns are null is hashed as well,
+    since a hash skips nulls. Zeros are alike whatever their sign. One pass, with partial sums before the shuffle.
+    """
+    used = [c for c in (df.columns if columns is None else columns) if c != by]
+    floats = {f.name for f in df.schema if f.dataType.typeName() in ("float", "double")}
+    values = [F.col(f"`{c}`") + F.lit(0.0) if c in floats else F.col(f"`{c}`") for c in used]
+    absent = F.concat(F.lit(""), *[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in used])
+    sums = [
+        F.sum(F.xxhash64(F.lit(seed), absent, *values).cast("decimal(38,0)")).cast("string").alias(f"sum_{i}")
+        for i, seed in enumerate(_SEEDS, 1)
+    ]
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), *sums)
+
+
+def reconcile_contents(landed: DataFrame, stored: DataFrame, by: str = "source_file") -> DataFrame:
+    """``source_file, landed, stored, same`` from two tables of checksums over the same columns in the same types.
+
+    ``same`` is whether both sides hold the same rows equally often; a file on one side only is not the same.
+    """
+    left = landed.select(by, F.col("n_rows").alias("landed"), F.col("sum_1").alias("a1"), F.col("sum_2").alias("a2"))
+    right = stored.select(by, F.col("n_rows").alias("stored"), F.col("sum_1").alias("b1"), F.col("sum_2").alias("b2"))
+    same = (F.col("landed") == F.col("stored")) & (F.col("a1") == F.col("b1")) & (F.col("a2") == F.col("b2"))
+    both = left.join(right, by, "full").withColumn("same", F.coalesce(same, F.lit(False)))
+    return both.na.fill(0, ["landed", "stored"]).select(by, "landed", "stored", "same")
+
+
 def volume_check(
     df: DataFrame, period: Sequence[str], expected: int | Column, tol: float, periods: DataFrame | None = None
 ) -> DataFrame:
@@ -148,3 +181,40 @@ def run_metrics(
         one = table.select(F.current_timestamp().alias("run_ts"), layer.alias("layer"), "metric", "value")
         rows = one if rows is None else rows.unionByName(one)
     return rows
+
+
+def _median(values: Column) -> Column:
+    """The median of an array of numbers, null if it is empty."""
+    ordered, n = F.array_sort(values), F.size(values)
+    low, high = F.get(ordered, F.floor((n - 1) / 2).cast("int")), F.get(ordered, F.floor(n / 2).cast("int"))
+    return (low + high) / 2
+
+
+# Times the median deviation gives the standard deviation of normal values.
+_NORMAL = 1.4826
+
+
+def metric_outliers(
+    history: DataFrame,
+    keys: Sequence[str] = ("layer", "metric"),
+    order: str = "run_ts",
+    runs: int = 20,
+    least: int = 5,
+    limit: float = 4.0,
+    slack: float = 0.0,
+) -> DataFrame:
+    """Each value of a metric's history next to the ``runs`` before it: ``n_before, median, deviation, outlier``.
+
+    ``deviation`` is the median deviation of those runs from their median. A value is an outlier if at least ``least`` runs
+    came before and it is more than ``limit`` times the deviation, scaled to a standard deviation, and more than ``slack`` from
+    the median. Null values, such as rates of no rows, are no outliers and do not count. The frame holds ``runs`` rows, and a
+    metric's history one row for each run.
+    """
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(-runs, -1)
+    framed = history.withColumn("_before", F.collect_list("value").over(before))
+    framed = framed.withColumn("median", _median(F.col("_before")))
+    gaps = F.transform("_before", lambda x: F.abs(x - F.col("median")))
+    framed = framed.withColumn("deviation", _median(gaps)).withColumn("n_before", F.size("_before"))
+    gap = F.abs(F.col("value") - F.col("median"))
+    far = (gap > limit * _NORMAL * F.col("deviation")) & (gap > slack) & (F.col("n_before") >= least)
+    return framed.withColumn("outlier", F.coalesce(far, F.lit(False))).drop("_before")

@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.operators.monitor import landed_counts, reconcile_counts, stored_counts, volume_check
+from lakestrata.operators.monitor import (
+    content_checksums,
+    landed_counts,
+    reconcile_contents,
+    reconcile_counts,
+    stored_counts,
+    volume_check,
+)
 from lakestrata.operators.nulls import null_profile
 from lakestrata.operators.rules import expectation_metrics, layer_retention, rule_rejections
 from lakestrata.operators.schema_audit import (
@@ -17,10 +24,11 @@ from lakestrata.operators.schema_audit import (
     schema_type_conflicts,
 )
 from lakestrata.operators.unions import union_strict
-from lakestrata.plans.trips import EXPECTATIONS, EXPECTED_ROWS_PER_MONTH, Spec, lenient, with_calendar
+from lakestrata.plans.trips import EXPECTATIONS, EXPECTED_ROWS_PER_MONTH, INGESTED, Spec, bronze, lenient, with_calendar
 from lakestrata.plans.trips import silver as clean
 from lakestrata.sources.files import landing_inventory
 from lakestrata.sources.footers import read_footers, schema_report
+from lakestrata.sources.statistics import null_profile_of_files
 
 CHECKED = ("vendorid", "passenger_count")
 
@@ -50,6 +58,18 @@ def null_audit(spark: SparkSession, landing: str, spec: Spec, columns: Sequence[
     return union_strict([null_profile(df, columns).withColumn("layer", F.lit(layer)) for layer, df in layers.items()])
 
 
+def landing_nulls(spark: SparkSession, landing: str, spec: Spec, columns: Sequence[str] = CHECKED) -> DataFrame:
+    """Null counts and rates of the landing files from their footers alone."""
+    return null_profile_of_files(read_footers(spark, landing, spec.files, statistics=True), columns)
+
+
+def content_audit(spark: SparkSession, landing: str, spec: Spec, stored: DataFrame | None = None) -> DataFrame:
+    """Whether bronze holds exactly the landed rows of each file: counts and checksums of all columns, one pass each."""
+    landed = bronze(spark, landing, spec).drop(INGESTED)
+    kept = (spark.table(spec.table("bronze")) if stored is None else stored).select(*landed.columns)
+    return reconcile_contents(content_checksums(landed), content_checksums(kept))
+
+
 def expected_months(spark: SparkSession, spec: Spec) -> DataFrame:
     """The months that silver should have rows of."""
     first, last = spec.months

@@ -69,6 +69,14 @@ def shape_file(df: DataFrame, month: int) -> DataFrame:
     )
 
 
+def write_by_time(spark: SparkSession, sf_dir: str, files: int = 16) -> str:
+    """All trips as one landed entry whose files each hold a stretch of time, as deliveries of a running feed do."""
+    landing = scratch_path(spark, "by-time")
+    rows = trips(spark, sf_dir).repartitionByRange(files, TIMESTAMP)
+    rows.write.parquet(f"{landing}/trips.parquet")
+    return landing
+
+
 def write_landing(
     spark: SparkSession,
     sf_dir: str,

@@ -232,6 +232,75 @@ _RETENTION = f"""{TRIPS}, {_LAYER_ROWS}
   SELECT layer, n_rows AS rows, round(100.0::DOUBLE * n_rows / (SELECT count(*) FROM trips), 6) AS pct
   FROM layer_rows WHERE layer <> 'gold'"""
 
+_KEYED_CHANGES = f"""{_REVISED}, changed AS ({_bag('orders', 'revised')}),
+      both_sides AS (SELECT o_orderkey FROM changed GROUP BY o_orderkey HAVING count(DISTINCT _change_type) = 2)
+      SELECT * REPLACE (CASE WHEN o_orderkey NOT IN (SELECT o_orderkey FROM both_sides) THEN _change_type
+                             WHEN _change_type = 'insert' THEN 'update_postimage'
+                             ELSE 'update_preimage' END AS _change_type) FROM changed"""
+
+
+def _profiles() -> str:
+    keys = {
+        "pickup_weekday": f"CAST(dayofweek({TIMESTAMP}) + 1 AS INTEGER)",
+        "pickup_hour": _HOUR,
+        "pickup_zone": "pulocationid",
+        "dropoff_zone": "dolocationid",
+        "payment_type": "payment_type",
+    }
+    reports = {
+        "hour_weekday": ["pickup_weekday", "pickup_hour"],
+        "hour": ["pickup_hour"],
+        "pickup_zone": ["pickup_zone"],
+        "dropoff_zone": ["dropoff_zone"],
+        "payment_type": ["payment_type"],
+    }
+    kinds = {"pickup_weekday": "INTEGER", "pickup_hour": "INTEGER"}
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS report, "
+        + ", ".join(f"{sql if key in by else f'CAST(NULL AS {kinds.get(key, "BIGINT")})'} AS {key}" for key, sql in keys.items())
+        + f""", {_N} AS total_trips, round(sum(total_amount), 2) AS total_revenue,
+          round(avg(tip_amount * 100 / nullif(fare_amount, 0)), 6) AS avg_tip_pct,
+          round(sum(fare_amount) / nullif(sum(trip_distance), 0), 4) AS fare_per_distance FROM silver
+          GROUP BY {", ".join(keys[key] for key in by)}"""
+        for name, by in reports.items()
+    )
+
+
+def _value_drift() -> str:
+    """The largest difference of the two distribution functions, exactly, over all values of both sides."""
+    parts = []
+    for column in ("trip_distance", "total_amount", "tip_amount"):
+        value = "CASE WHEN pickup_year = 1998 THEN trip_distance * 1.5 ELSE trip_distance END" if column == "trip_distance" else column
+        parts.append(
+            f"""SELECT '{column}' AS "column", any_value(b) AS n_baseline, any_value(c) AS n_current,
+              max(abs(fb / b - fc / c)) > 0.15 AS drifted FROM (
+                SELECT x, CAST(sum(sum(CAST(NOT now AS INT))) OVER w AS DOUBLE) AS fb, CAST(sum(sum(CAST(now AS INT))) OVER w AS DOUBLE) AS fc,
+                  CAST(sum(sum(CAST(NOT now AS INT))) OVER () AS BIGINT) AS b, CAST(sum(sum(CAST(now AS INT))) OVER () AS BIGINT) AS c
+                FROM (SELECT {value} AS x, pickup_year = 1998 AS now FROM cal) WHERE x IS NOT NULL GROUP BY x WINDOW w AS (ORDER BY x))"""
+        )
+    return f"{TRIPS} " + " UNION ALL ".join(parts)
+
+
+def _history() -> str:
+    """Rates of each month next to the median, and the median deviation, of the twelve months before."""
+    holed = "CASE WHEN pickup_year = 1999 AND pickup_month = 6 AND payment_type < 4 THEN NULL ELSE passenger_count END"
+    rates = [f"SELECT pickup_year, pickup_month, 'null_rate.{c}' AS metric, (count(*) - count({c})) / count(*) AS value FROM holed GROUP BY ALL" for c in PROFILED]
+    rates += [
+        f"SELECT pickup_year, pickup_month, 'fail_rate.{n}', count(*) FILTER (WHERE NOT {_passes(p)}) / count(*) FROM holed GROUP BY ALL"
+        for n, p in EXPECTED.items()
+    ]
+    return f"""{TRIPS}, holed AS (SELECT * REPLACE ({holed} AS passenger_count) FROM cal),
+      rates AS ({" UNION ALL ".join(rates)}),
+      framed AS (SELECT *, list(value) OVER (PARTITION BY metric ORDER BY pickup_year, pickup_month
+        ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS before FROM rates),
+      middle AS (SELECT *, list_median(before) AS median FROM framed),
+      spread AS (SELECT *, list_median(list_transform(before, lambda x: abs(x - median))) AS deviation FROM middle)
+      SELECT pickup_year, pickup_month, metric, round(value, 9) AS value, round(median, 9) AS median,
+        round(deviation, 9) AS deviation, CAST(coalesce(len(before), 0) AS INTEGER) AS n_before,
+        coalesce(len(before) >= 6 AND abs(value - median) > 8.0 * 1.4826::DOUBLE * deviation AND abs(value - median) > 0.3::DOUBLE, FALSE)
+          AS outlier FROM spread"""
+
+
 ORACLES: dict[str, str] = {
     "bronze_strict": f"{TRIPS} SELECT * EXCLUDE (file_number), {_FILE} AS source_file FROM numbered",
     "bronze_lenient": f"{TRIPS} SELECT * EXCLUDE (file_number), '0' || file_number AS month FROM numbered",
@@ -247,6 +316,9 @@ ORACLES: dict[str, str] = {
     "ingestion_times": f"{TRIPS} SELECT 1::BIGINT AS n_times, {_N} AS n_stamped, {_N} AS n_rows FROM trips",
     "ingest_new_files": _PER_FILE,
     "stream_ingest_files": _PER_FILE,
+    "stream_drifting": _PER_FILE,
+    "inventory_news": f"""{TRIPS} SELECT {_FILE} AS name, 'new' AS state, {_N} AS n_rows FROM numbered
+      WHERE file_number > 3 GROUP BY 1""",
     "schema_report": f"""{_SCHEMAS}
       SELECT source_file, ordinal, "column", type, TRUE AS nullable, n_rows FROM schemas""",
     "schema_summary": f"""{_SCHEMAS} SELECT source_file, CAST(count(*) AS INTEGER) AS n_columns,
@@ -278,6 +350,8 @@ ORACLES: dict[str, str] = {
         _nulls(source, f", '{layer}' AS layer")
         for layer, source in (("landing", "trips"), ("bronze", "trips"), ("silver", "silver"))
     ),
+    "null_profile_files": f"{TRIPS} SELECT *, TRUE AS known FROM ({_nulls('trips')})",
+    "silver_pruned": f"{TRIPS} SELECT * FROM silver",
     "null_rows_passenger": f"{TRIPS} SELECT * FROM trips WHERE passenger_count IS NULL",
     "expect_metrics": _expectations(),
     "expect_reference_bounds": _expectations(OWN_BOUNDS),
@@ -303,6 +377,10 @@ ORACLES: dict[str, str] = {
       round(sum(total_amount), 2) AS total_revenue,
       round(sum(fare_amount) / nullif(sum(trip_distance), 0), 4) AS fare_per_distance FROM silver GROUP BY 1)
       SELECT *, CAST(dense_rank() OVER (ORDER BY total_trips DESC) AS INTEGER) AS trips_rank FROM hours""",
+    "trip_profiles": f"{TRIPS} {_profiles()}",
+    "gold_from_states": f"""{TRIPS} SELECT {_GOLD_COLUMNS}, round(avg(trip_distance), 6) AS avg_trip_distance,
+      round(avg(fare_amount), 4) AS avg_fare FROM silver GROUP BY vendorid, pickup_year, pickup_month""",
+    "audited_publish": f"{TRIPS} SELECT * FROM trips WHERE {' AND '.join(EXPECTED.values())}",
     "refresh_layers": _GOLD,
     "refresh_orc": _GOLD,
     "lenient_table": f"""{TRIPS} SELECT * EXCLUDE (file_number)
@@ -324,17 +402,26 @@ ORACLES: dict[str, str] = {
     "partitioned_silver": f"{TRIPS} {_hourly('silver')}",
     "cluster_multi": f"{TRIPS} SELECT * FROM cal",
     "changes_bag": f"{_REVISED} {_bag('orders', 'revised')}",
-    "changes_keyed": f"""{_REVISED}, changed AS ({_bag('orders', 'revised')}),
-      both_sides AS (SELECT o_orderkey FROM changed GROUP BY o_orderkey HAVING count(DISTINCT _change_type) = 2)
-      SELECT * REPLACE (CASE WHEN o_orderkey NOT IN (SELECT o_orderkey FROM both_sides) THEN _change_type
-                             WHEN _change_type = 'insert' THEN 'update_postimage'
-                             ELSE 'update_preimage' END AS _change_type) FROM changed""",
+    "changes_keyed": _KEYED_CHANGES,
+    "change_feed": f"SELECT *, 2::BIGINT AS _commit_version FROM ({_KEYED_CHANGES})",
+    "change_feed_silver": f"""{TRIPS}, early AS (
+      SELECT *, {_FILE} AS source_file FROM (SELECT * REPLACE (greatest(1, file_number - late) AS file_number) FROM (
+        SELECT {', '.join(select_list(DUCKDB_SHIFT))}, {_NUMBER} AS file_number,
+          CAST(l_orderkey % 7 = 0 AS INT) AS late FROM lineitem))),
+    dated AS (SELECT *, CAST(year({TIMESTAMP}) AS INTEGER) AS pickup_year, CAST(month({TIMESTAMP}) AS INTEGER) AS pickup_month
+      FROM early)
+    SELECT * EXCLUDE (file_number, late), 'insert' AS _change_type, 2::BIGINT AS _commit_version FROM dated
+      WHERE {" AND ".join(RULES.values())} AND NOT (file_number <= 3 AND pickup_month <= 3)""",
     "changes_copies": f"""WITH before AS (SELECT l_returnflag, l_linestatus, l_linenumber FROM lineitem),
       later AS (SELECT * REPLACE (CASE WHEN l_returnflag = 'R' THEN 'A' ELSE l_returnflag END AS l_returnflag)
                 FROM before)
       {_bag('before', 'later')}""",
     "reconcile_counts": f"""{TRIPS} SELECT {_FILE} AS source_file, {_N} AS landed, {_N} AS stored,
       CAST(0 AS BIGINT) AS diff FROM numbered GROUP BY 1""",
+    "reconcile_contents": f"""{TRIPS} SELECT {_FILE} AS source_file, {_N} AS landed, {_N} AS stored,
+      NOT bool_or(file_number = 2 AND payment_type = 2) AS same FROM numbered GROUP BY 1""",
+    "value_drift": _value_drift(),
+    "metric_history": _history(),
     "volume_check": f"""{TRIPS},
       counts AS (SELECT pickup_year, pickup_month, count(*) AS n FROM cal GROUP BY ALL),
       goal AS (SELECT avg(n) AS n FROM counts),

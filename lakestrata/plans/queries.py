@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions import cast_columns, lowercase_columns
 from lakestrata.functions import lowercase_schema as lowercased
-from lakestrata.operators import changes, layout, metrics, monitor, nulls, rules, schema_audit, unions
+from lakestrata.operators import changes, layout, metrics, monitor, nulls, partials, rules, schema_audit, sketches, unions
 from lakestrata.plans import audit
 from lakestrata.plans import trips as plan
-from lakestrata.plans.binding import SPEC, trips, write_landing
+from lakestrata.plans.binding import SPEC, trips, write_by_time, write_landing
 from lakestrata.session import scratch_path
-from lakestrata.sources import catalog, files, footers, landing
-from lakestrata.streaming import stream_new_files
+from lakestrata.sources import catalog, feed, files, footers, inventory, landing, layers, staged, statistics
+from lakestrata.streaming import append_batch, stream_drifting_files, stream_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -183,6 +183,29 @@ def stream_ingest_files(spark, sf_dir):
     return rounded(totals, total_revenue=2)
 
 
+@query
+def stream_drifting(spark, sf_dir):
+    folder, target = landed(spark, sf_dir), scratch_path(spark, "drift-stream")
+    for _ in range(2):  # the second run finds nothing new
+        stream_drifting_files(spark, folder, target, f"{target}-state", plan.CASTS).awaitTermination()
+    # The batch again, as after a failure: its rows are replaced.
+    append_batch(files.list_files(spark, folder), 0, folder, target, plan.CASTS)
+    df = spark.read.parquet(target).groupBy(base_name().alias("file"))
+    totals = df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("total_amount").alias("total_revenue"))
+    return rounded(totals, total_revenue=2)
+
+
+@query
+def inventory_news(spark, sf_dir):
+    """What three recorded entries leave new, with the rows that the footers of these alone tell."""
+    folder, table = landed(spark, sf_dir), scratch_table(spark, "bronze")
+    inventory.record(spark, folder, table, SPEC.files[:3])
+    found = inventory.differences(spark, folder, table, SPEC.files)
+    rows = footers.read_footers(spark, folder, inventory.unseen(spark, folder, table, SPEC.files))
+    counts = monitor.landed_counts(rows).withColumnRenamed("source_file", "entry")
+    return found.join(counts, "entry").select(base_name("entry").alias("name"), "state", "n_rows")
+
+
 # ---- schema audit
 
 
@@ -295,6 +318,17 @@ def null_profile_layers(spark, sf_dir):
     return rounded(df, null_rate=9)
 
 
+@query
+def null_profile_files(spark, sf_dir):
+    return rounded(audit.landing_nulls(spark, landed(spark, sf_dir), SPEC, PROFILED), null_rate=9)
+
+
+@query
+def silver_pruned(spark, sf_dir):
+    folder = write_by_time(spark, sf_dir)
+    return plan.silver_of_landing(spark, folder, SPEC).drop("ingestion_timestamp", "source_file")
+
+
 @query
 def null_rows_passenger(spark, sf_dir):
     return nulls.null_rows(trips(spark, sf_dir), "passenger_count")
@@ -376,6 +410,29 @@ def tip_pct(spark, sf_dir):
     return rounded(df, avg_tip_pct=6)
 
 
+@query
+def trip_profiles(spark, sf_dir):
+    df = metrics.trip_profiles(
+        silver(spark, sf_dir), plan.TIMESTAMP, SIDES, "payment_type", "total_amount", "fare_amount", "tip_amount", "trip_distance"
+    )
+    return rounded(df, total_revenue=2, avg_tip_pct=6, fare_per_distance=4)
+
+
+@query
+def gold_from_states(spark, sf_dir):
+    rows = plan.silver(plan.bronze(spark, landed(spark, sf_dir), SPEC), SPEC)
+    wanted = {**plan.METRICS, **plan.AVERAGES}
+    # The second file was first delivered without half of its rows; its states were replaced later.
+    again = F.col("source_file").endswith(SPEC.files[1])
+    first = partials.states(rows.filter(~again | (F.col("vendorid") == 1)), "source_file", plan.KEYS, wanted)
+    later = partials.states(rows.filter(again), "source_file", plan.KEYS, wanted, version=1)
+    table = scratch_table(spark, "gold")
+    catalog.publish(first, table)
+    catalog.publish(later, table, mode="append")
+    df = partials.merged(spark.table(table), plan.KEYS, wanted)
+    return rounded(df, total_revenue=2, avg_trip_distance=6, avg_fare=4)
+
+
 @query
 def peak_hours(spark, sf_dir):
     df = metrics.peak_hours(silver(spark, sf_dir), plan.TIMESTAMP, "total_amount", "fare_amount", "trip_distance")
@@ -407,7 +464,7 @@ def lenient_table(spark, sf_dir):
     spec, location = fresh_spec(spark, months=(1, SPEC.months[1] + 1))
     catalog.ensure_namespaces(spark, {spec.namespace("bronze"): plan.NAMESPACES["bronze"]}, location)
     table = plan.lenient_dataset(spec, landed(spark, sf_dir, sparse=True), f"{location}/lenient")
-    return catalog.refresh(spark, [table])[table.name].drop("source_file")
+    return layers.refresh(spark, [table])[table.name].drop("source_file")
 
 
 def refreshed_twice(spark, sf_dir):
@@ -496,6 +553,18 @@ def cluster_multi(spark, sf_dir):
     return catalog.publish(layout.cluster_multi(df, [plan.TIMESTAMP, "pulocationid", "dolocationid"]), table)
 
 
+@query
+def audited_publish(spark, sf_dir):
+    """Rows that meet all expectations are published; all rows, some of which do not, leave the table as it is."""
+    table, rows = scratch_table(spark, "silver"), trips(spark, sf_dir)
+    staged.publish_audited(rules.expect(rows, EXPECTED, "drop")[0], table, EXPECTED)
+    try:
+        staged.publish_audited(rows, table, EXPECTED)
+    except staged.ExpectationsNotMet:
+        pass
+    return spark.table(table)
+
+
 # ---- changes
 
 
@@ -531,6 +600,27 @@ def changes_copies(spark, sf_dir):
     return changes.snapshot_changes(old, new)
 
 
+@query
+def change_feed(spark, sf_dir):
+    """A table stored three times; the changes after its first commit."""
+    table, old = scratch_table(spark, "bronze"), _orders(spark, sf_dir)
+    feed.publish_with_changes(old, table, ["o_orderkey"])
+    feed.publish_with_changes(_revised_orders(old), table, ["o_orderkey"])
+    feed.publish_with_changes(_revised_orders(old), table, ["o_orderkey"])  # changes nothing
+    return feed.changes_since(spark, table, after=1).drop("_commit_timestamp")
+
+
+@query
+def change_feed_silver(spark, sf_dir):
+    """What later files, and a longer period, changed in silver after its first refresh."""
+    spec, location = fresh_spec(spark, change_feed=True)
+    folder = landed(spark, sf_dir, early=True)
+    plan.refresh_trips(spark, replace(spec, months=(1, 3)), folder, location)
+    plan.refresh_new_trips(spark, spec, folder, location)
+    df = feed.changes_since(spark, spec.table("silver"), after=1).drop("_commit_timestamp")
+    return df.withColumns({"source_file": base_name(), **{c: F.col(c).cast("int") for c in ("pickup_year", "pickup_month")}})
+
+
 # ---- monitoring
 
 
@@ -541,6 +631,40 @@ def reconcile_counts(spark, sf_dir):
     return monitor.reconcile_counts(found, stored).withColumn("source_file", base_name())
 
 
+@query
+def reconcile_contents(spark, sf_dir):
+    """Bronze with other values in some rows of the second file: the counts agree, the contents do not."""
+    spec = refreshed(spark, sf_dir)
+    other = F.col("source_file").endswith(SPEC.files[1]) & (F.col("payment_type") == 2)
+    amount = F.when(other, F.col("total_amount") + 1).otherwise(F.col("total_amount"))
+    stored = spark.table(spec.table("bronze")).withColumn("total_amount", amount)
+    return audit.content_audit(spark, landed(spark, sf_dir), spec, stored).withColumn("source_file", base_name())
+
+
+@query
+def value_drift(spark, sf_dir):
+    """Distances that are half as long again in the period, with the same nulls; the sketches of other years are merged."""
+    df = calendar_trips(spark, sf_dir)
+    longer = F.when(F.col("pickup_year") == SPEC.year, F.col("trip_distance") * 1.5).otherwise(F.col("trip_distance"))
+    measured = ["trip_distance", "total_amount", "tip_amount"]
+    kept = sketches.value_sketches(df.withColumn("trip_distance", longer), measured, ["pickup_year"])
+    current = kept.filter(F.col("pickup_year") == SPEC.year)
+    baseline = sketches.merged_sketches(kept.filter(F.col("pickup_year") != SPEC.year))
+    return sketches.value_drift(current, baseline, 0.15).drop("distance")
+
+
+@query
+def metric_history(spark, sf_dir):
+    """The months as runs; in one of them a part of the passenger counts is missing."""
+    df = calendar_trips(spark, sf_dir)
+    gone = (F.col("pickup_year") == 1999) & (F.col("pickup_month") == 6) & (F.col("payment_type") < 4)
+    holed = df.withColumn("passenger_count", F.when(~gone, F.col("passenger_count")))
+    found = monitor.quality_metrics(holed, PROFILED, EXPECTED, by=["pickup_year", "pickup_month"])
+    found = found.withColumn("run", F.col("pickup_year") * 12 + F.col("pickup_month"))
+    judged = monitor.metric_outliers(found, ["metric"], "run", runs=12, least=6, limit=8.0, slack=0.3)
+    return rounded(judged.filter("metric <> 'rows'").drop("run"), value=9, median=9, deviation=9)
+
+
 VOLUME_YEARS = (1994, 2002)  # the input starts in 1995 and ends in 2001, so some periods are missing
 VOLUME_TOLERANCE = 0.1
 

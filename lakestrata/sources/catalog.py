@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,7 +67,15 @@ def _detail(spark: SparkSession, name: str, key: str) -> str:
     return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == key).collect()[-1]["data_type"]
 
 
-def _external_path(spark: SparkSession, name: str) -> str | None:
+def property_of(spark: SparkSession, name: str, key: str) -> str | None:
+    """One property of a table, or None where the table or the property is not there."""
+    if not spark.catalog.tableExists(name):
+        return None
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == key).collect()
+    return found[0]["value"] if found else None
+
+
+def external_path(spark: SparkSession, name: str) -> str | None:
     """Where a table that was stored with a path of its own lies."""
     if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType != "EXTERNAL":
         return None
@@ -129,7 +136,7 @@ def publish(
         _replace_partitions(df, name)
     else:
         writer = df.write.format(fmt).mode(mode)
-        path = path or _external_path(spark, name)
+        path = path or external_path(spark, name)
         if path:
             writer = writer.option("path", path)
         by_part = spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic"
@@ -143,47 +150,3 @@ def publish(
         writer.saveAsTable(name)
     describe_dataset(spark, name, comment, properties)
     return spark.table(name)
-
-
-@dataclass(frozen=True)
-class Dataset:
-    """A stored table: its name, how it is built from tables before it, and how it is written."""
-
-    name: str
-    build: Callable[[SparkSession], DataFrame]
-    fmt: str = "parquet"
-    comment: str | None = None
-    properties: Mapping[str, str] = field(default_factory=dict)
-    partition_by: Sequence[str] = ()
-    cluster_by: Sequence[str] = ()
-    rebalance: bool = True
-    path: str | None = None
-
-
-@dataclass(frozen=True)
-class View:
-    """A view: its name, its SQL text and a comment."""
-
-    name: str
-    sql: str
-    comment: str | None = None
-
-
-def refresh(spark: SparkSession, datasets: Sequence[Dataset], views: Sequence[View] = ()) -> dict[str, DataFrame]:
-    """Recompute every dataset in the order given, each from the stored form of those before it."""
-    done = {}
-    for dataset in datasets:
-        done[dataset.name] = publish(
-            dataset.build(spark),
-            dataset.name,
-            fmt=dataset.fmt,
-            comment=dataset.comment,
-            properties=dataset.properties,
-            partition_by=dataset.partition_by,
-            cluster_by=dataset.cluster_by,
-            rebalance=dataset.rebalance,
-            path=dataset.path,
-        )
-    for view in views:
-        done[view.name] = create_view(spark, view.name, view.sql, view.comment)
-    return done

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,22 +45,36 @@ def query_file(spark: SparkSession, path: str, sql: str) -> DataFrame:
     return spark.sql(sql.replace("{file}", f"parquet.`{path}`"))
 
 
-def list_files(spark: SparkSession, landing: str) -> DataFrame:
-    """Physical files under the landing folder: ``entry, path, length, modified``.
+_GLOB = re.compile(r"[][{}*?\\\\,]")
 
-    Only file status is read, never content. The scan would give each large file a task of its own,
+
+def _place(landing: str, names: Sequence[str] | None) -> str:
+    """The folder, or a pattern for some of its entries; a name with characters of patterns calls for the whole folder."""
+    if not names or any(_GLOB.search(name) for name in names):
+        return landing
+    return f"{landing.rstrip('/')}/{{{','.join(names)}}}"
+
+
+def list_files(spark: SparkSession, landing: str, names: Sequence[str] | None = None) -> DataFrame:
+    """Physical files of the named entries, or of all under the landing folder: ``entry, path, length, modified``.
+
+    Nothing below other entries is listed. Only file status is read, never content. The scan would give each large file a task of its own,
     so the tasks are merged down to ``spark.sql.shuffle.partitions``, which is set for the cluster and,
     unlike a count of the executors found so far, does not depend on when the plan is made. No shuffle is involved.
     """
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(landing)
-        .select("path", "length", F.col("modificationTime").alias("modified"))
-        .coalesce(tasks)
-    )
-    return files.select(entry_path(F.col("path"), landing).alias("entry"), "path", "length", "modified")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        found = reader.load(_place(landing, names))
+    except AnalysisException as error:  # none of the named entries is there
+        if names is None or error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = spark.createDataFrame([], "path string, length bigint, modificationTime timestamp")
+    files = found.select("path", "length", F.col("modificationTime").alias("modified")).coalesce(tasks)
+    files = files.select(entry_path(F.col("path"), landing).alias("entry"), "path", "length", "modified")
+    if names is None:
+        return files
+    return files.filter(F.col("entry").isin([f"{landing.rstrip('/')}/{name}" for name in names]))
 
 
 def landing_inventory(spark: SparkSession, landing: str, expected: Sequence[str] | None = None) -> DataFrame:
@@ -68,7 +83,7 @@ def landing_inventory(spark: SparkSession, landing: str, expected: Sequence[str]
     With ``expected`` names, exactly those are listed, absent ones with ``present = false``.
     """
     found = (
-        list_files(spark, landing)
+        list_files(spark, landing, expected)
         .groupBy(F.col("entry").alias("path"))
         .agg(F.sum("length").alias("length"), F.max("modified").alias("modified"), F.count(F.lit(1)).alias("files"))
     )

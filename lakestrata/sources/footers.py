@@ -17,12 +17,13 @@ FOOTER_SCHEMA = (
     "entry string, path string, n_rows bigint,"
     " fields array<struct<ordinal: int, column: string, type: string, nullable: boolean>>"
 )
+STATISTICS = ", statistics array<struct<column: string, type: string, n_null: bigint, low: string, high: string>>"
 
 
-def _footer_reader(opener: Opener | None = None):
+def _footer_reader(opener: Opener | None = None, statistics: bool = False):
     # A closure with its imports inside travels to the executors by value, so the package
     # need not be installed there.
-    columns = ["entry", "path", "n_rows", "fields"]
+    columns = ["entry", "path", "n_rows", "fields", *(["statistics"] if statistics else [])]
 
     def read(batches):
         from urllib.parse import quote
@@ -36,6 +37,33 @@ def _footer_reader(opener: Opener | None = None):
             [("ordinal", pa.int32()), ("column", pa.string()), ("type", pa.string()), ("nullable", pa.bool_())]
         )
 
+        found = pa.struct(
+            [("column", pa.string()), ("type", pa.string()), ("n_null", pa.int64()), ("low", pa.string()), ("high", pa.string())]
+        )
+
+        def text(value):
+            """A statistic as text that Spark can cast back."""
+            if isinstance(value, bool):
+                return str(value).lower()
+            if isinstance(value, bytes):
+                return value.decode("utf-8", "replace")
+            return value.isoformat(sep=" ") if hasattr(value, "hour") else None if value is None else str(value)
+
+        def column_statistics(metadata, place, name, type_):
+            """Nulls, least and largest value of a column over all row groups; null where any of them does not say."""
+            nulls, lows, highs = 0, [], []
+            for group in range(metadata.num_row_groups):
+                chunk = metadata.row_group(group).column(place)
+                kept = chunk.statistics if chunk.is_stats_set else None
+                known = kept is not None and kept.has_null_count
+                nulls = None if nulls is None or not known else nulls + kept.null_count
+                if known and kept.null_count == chunk.num_values:
+                    continue  # only nulls: nothing that bounds could miss
+                has = kept is not None and kept.has_min_max
+                lows, highs = (None if s is None or not has else [*s, v] for s, v in ((lows, kept and kept.min), (highs, kept and kept.max)))
+            low, high = (min(lows) if lows else None), (max(highs) if highs else None)
+            return {"column": name, "type": type_, "n_null": nulls, "low": text(low), "high": text(high)}
+
         def open_file(path):
             if opener is not None:
                 return opener(path)
@@ -75,7 +103,12 @@ def _footer_reader(opener: Opener | None = None):
                     }
                     for i, f in enumerate(schema)
                 ]
-                return parquet.metadata.num_rows, fields
+                if not statistics:
+                    return parquet.metadata.num_rows, fields
+                # Nested columns have several leaves, or one of another path: they have no statistics of their own.
+                places = {leaf.path: i for i, leaf in enumerate(leaves)}
+                flat = [(places[f["column"]], f["column"], f["type"]) for f in fields if f["column"] in places]
+                return parquet.metadata.num_rows, fields, [column_statistics(parquet.metadata, *f) for f in flat]
 
         for batch in batches:
             entries, paths = (batch.column(i).to_pylist() for i in (0, 1))
@@ -84,8 +117,9 @@ def _footer_reader(opener: Opener | None = None):
                 [
                     pa.array(entries, pa.string()),
                     pa.array(paths, pa.string()),
-                    pa.array([n for n, _ in described], pa.int64()),
-                    pa.array([fields for _, fields in described], pa.list_(field)),
+                    pa.array([d[0] for d in described], pa.int64()),
+                    pa.array([d[1] for d in described], pa.list_(field)),
+                    *([pa.array([d[2] for d in described], pa.list_(found))] if statistics else []),
                 ],
                 names=columns,
             )
@@ -93,19 +127,29 @@ def _footer_reader(opener: Opener | None = None):
     return read
 
 
+def footers_of(files: DataFrame, opener: Opener | None = None, statistics: bool = False) -> DataFrame:
+    """The footers of listed files (``entry, path``): as ``read_footers``."""
+    schema = FOOTER_SCHEMA + (STATISTICS if statistics else "")
+    return files.select("entry", "path").mapInArrow(_footer_reader(opener, statistics), schema)
+
+
 def read_footers(
-    spark: SparkSession, landing: str, names: Sequence[str] | None = None, opener: Opener | None = None
+    spark: SparkSession,
+    landing: str,
+    names: Sequence[str] | None = None,
+    opener: Opener | None = None,
+    statistics: bool = False,
 ) -> DataFrame:
     """One row per physical file of the named entries, or of all: ``entry, path, n_rows, fields``.
 
+    With ``statistics`` also what the row groups say of each column: ``column, type, n_null, low, high``, null where a row
+    group does not say.
+
     No row data is read, and no footer of an entry that is not asked for. Files are opened by Arrow's file systems,
     which do not know the credentials and schemes that Spark was given; where these are needed, ``opener`` opens
     a path, as Spark names it, instead.
     """
-    files = list_files(spark, landing).select("entry", "path")
-    if names is not None:
-        files = files.filter(F.col("entry").isin([f"{landing.rstrip('/')}/{name}" for name in names]))
-    return files.mapInArrow(_footer_reader(opener), FOOTER_SCHEMA)
+    return footers_of(list_files(spark, landing, names), opener, statistics)
 
 
 def schema_report(footer_rows: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ whatever the number of entries.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence, Set
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from lakestrata.operators.unions import union_lenient, union_strict
 from lakestrata.sources.catalog import publish
 from lakestrata.sources.files import add_provenance, entry_path
 from lakestrata.sources.footers import Opener, read_footers
+from lakestrata.sources.statistics import Bounds, files_within
 
 _PLAIN = re.compile(r"[A-Za-z0-9._/:=-]*")
 
@@ -35,14 +36,16 @@ class SchemaGroup:
     paths: tuple[str, ...]
 
 
-def schema_groups(footer_rows: DataFrame, landing: str, names: Sequence[str] | None = None) -> list[SchemaGroup]:
+def schema_groups(
+    footer_rows: DataFrame, landing: str, names: Sequence[str] | None = None, by_file: bool = False
+) -> list[SchemaGroup]:
     """Group entries by their set of (lowercase name, type); order and case may differ inside a group.
 
     Groups come in the order of ``names``, and the first entry of a group gives its column order.
 
     The driver receives one row per distinct schema with the names of its entries, which the scan
     needs on the driver in any case, and never a row of data. An entry whose part files disagree
-    is listed file by file.
+    is listed file by file, as are all with ``by_file``.
     """
     rank = F.lit(0)
     if names is not None:
@@ -64,7 +67,7 @@ def schema_groups(footer_rows: DataFrame, landing: str, names: Sequence[str] | N
     for row in schemas:
         for entry in row["entries"]:
             seen[entry] = seen.get(entry, 0) + 1
-    mixed = [entry for entry, n in seen.items() if n > 1]
+    mixed = [entry for entry, n in seen.items() if n > 1 or by_file]
     files: dict[tuple, list[str]] = {}
     if mixed:
         for row in keyed.filter(F.col("entry").isin(mixed)).select("entry", "path", "key").collect():
@@ -127,6 +130,7 @@ def ingest(
     casts: Mapping[str, str] | None = None,
     mode: str = "strict",
     opener: Opener | None = None,
+    bounds: Bounds | None = None,
 ) -> DataFrame:
     """The bronze rows of the named entries (all entries when no names are given).
 
@@ -136,12 +140,16 @@ def ingest(
     ``strict``: every named entry must be there, the listed casts are applied, and a column that
     only some entries have is an error. ``lenient``: absent entries are skipped, absent columns
     become null and numeric types widen; casts, if given, apply to the columns a file has.
+
+    With ``bounds`` files none of whose rows can lie within them, by the statistics in their footers, are not
+    scanned. Rows of the other files come as they are: filter them by the same bounds.
     """
     if mode not in ("strict", "lenient"):
         raise ValueError(f"mode is strict or lenient, not {mode}")
     if spark.conf.get("spark.sql.caseSensitive") == "true":
         raise ValueError("ingest matches columns without regard to case: set spark.sql.caseSensitive to false")
-    groups = schema_groups(read_footers(spark, landing, names, opener), landing, names)
+    footer_rows = read_footers(spark, landing, names, opener, statistics=bounds is not None)
+    groups = schema_groups(footer_rows, landing, names, by_file=bounds is not None)
     if names is not None and mode == "strict":
         found = {entry for group in groups for entry in group.entries}
         absent = [name for name in names if f"{landing.rstrip('/')}/{name}" not in found]
@@ -150,10 +158,27 @@ def ingest(
     if not groups:
         raise FileNotFoundError(f"nothing has landed in {landing}")
     refuse_incompatible(groups)
+    wanted_files = None if bounds is None else {row["path"] for row in files_within(footer_rows, bounds).collect()}
+    return union_groups(spark, groups, landing, casts, mode, wanted_files)
+
 
+def union_groups(
+    spark: SparkSession,
+    groups: Sequence[SchemaGroup],
+    landing: str,
+    casts: Mapping[str, str] | None = None,
+    mode: str = "strict",
+    only: Set[str] | None = None,
+) -> DataFrame:
+    """One scan per schema, cast and joined; with ``only``, of these files. A group without any keeps its place in the schema."""
     frames = []
     for group in groups:
-        frame = _scan(spark, group, landing)
+        if only is None or only.issuperset(group.paths):
+            frame = _scan(spark, group, landing)
+        else:
+            paths = tuple(path for path in group.paths if path in only)
+            frame = _scan(spark, replace(group, paths=paths or group.paths[:1]), landing)
+            frame = frame if paths else frame.filter(F.lit(False))
         if casts:
             has = {name for name, _ in group.fields}
             wanted = casts if mode == "strict" else {c: t for c, t in casts.items() if c.lower() in has}
@@ -197,16 +222,6 @@ def new_entries(
     return sorted(r.source_file[prefix:] for r in differ)
 
 
-def unprocessed(spark: SparkSession, source: str, target: str) -> list[str]:
-    """Source files with rows in one table and none in the other.
-
-    A file all of whose rows were rejected stays in the list; processing it again adds nothing.
-    """
-    wanted = spark.table(source).select("source_file").distinct()
-    done = spark.table(target).select("source_file").distinct()
-    return sorted(row["source_file"] for row in wanted.join(done, "source_file", "left_anti").collect())
-
-
 def ingest_new(
     spark: SparkSession,
     landing: str,

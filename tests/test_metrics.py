@@ -9,12 +9,15 @@ from lakestrata.operators.metrics import (
     metrics_sql,
     monthly_avg_revenue,
     peak_hours,
+    profile,
     tip_pct_by,
+    trip_profiles,
     trip_summary,
     value_counts,
     zone_revenue,
 )
-from lakestrata.plans.trips import AVERAGES, KEYS, METRICS
+from lakestrata.plans.binding import trips
+from lakestrata.plans.trips import AVERAGES, KEYS, METRICS, with_calendar
 
 SCHEMA = (
     "vendorid bigint, tpep_pickup_datetime timestamp_ntz, passenger_count double, trip_distance double,"
@@ -121,3 +124,35 @@ def test_empty_input(spark):
     assert trip_summary(none, KEYS, METRICS).count() == 0
     assert monthly_avg_revenue(none).count() == 0
     assert hourly_profile(none, 5).count() == 0
+
+
+def test_profiles_of_one_scan_equal_the_reports(spark, sf_dir):
+    df = with_calendar(trips(spark, sf_dir)).filter("pickup_year = 1998")
+    ts, sides = "tpep_pickup_datetime", {"pickup": "pulocationid", "dropoff": "dolocationid"}
+    found = trip_profiles(df, ts, sides, "payment_type", "total_amount", "fare_amount", "tip_amount", "trip_distance")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1
+    wanted = {"total_trips": "count(1)", "total_revenue": "sum(total_amount)"}
+    both = lambda a: a.withColumn("total_revenue", F.round("total_revenue", 2))
+    pairs = [("hour_weekday", hour_weekday_profile(df, ts, wanted), ["pickup_weekday", "pickup_hour", *wanted])]
+    zones = zone_revenue(df, sides, "total_amount")
+    for side in sides:
+        pairs.append((f"{side}_zone", zones.filter(F.col("side") == side).withColumnRenamed("zone", f"{side}_zone"), [f"{side}_zone", *wanted]))
+    for name, report, columns in pairs:
+        assert rows(both(profile(found, name)), *columns) == rows(both(report), *columns)
+    rounded = lambda a, c, n: a.withColumn(c, F.round(c, n))
+    tips = tip_pct_by(df, "tip_amount", "fare_amount", "payment_type")
+    columns = ["payment_type", "total_trips", "avg_tip_pct"]
+    assert rows(rounded(profile(found, "payment_type"), "avg_tip_pct", 6), *columns) == rows(rounded(tips, "avg_tip_pct", 6), *columns)
+    hours = peak_hours(df, ts, "total_amount", "fare_amount", "trip_distance")
+    columns = ["pickup_hour", "total_trips", "fare_per_distance"]
+    assert rows(rounded(profile(found, "hour"), "fare_per_distance", 4), *columns) == rows(rounded(hours, "fare_per_distance", 4), *columns)
+
+
+def test_a_null_key_is_a_group_of_its_own(spark):
+    made = [(1, None, 5, dt.datetime(2023, 1, 1, 4)), (None, 2, None, dt.datetime(2023, 1, 1, 4))]
+    df = spark.createDataFrame(made, "pu int, do int, pay int, ts timestamp_ntz").selectExpr("*", "1.0D AS a", "2.0D AS f", "0.5D AS t", "4.0D AS d")
+    found = trip_profiles(df, "ts", {"pickup": "pu", "dropoff": "do"}, "pay", "a", "f", "t", "d")
+    assert rows(profile(found, "pickup_zone"), "pickup_zone", "total_trips") == [(None, 1), (1, 1)]
+    assert rows(profile(found, "payment_type"), "payment_type", "avg_tip_pct") == [(None, 25.0), (5, 25.0)]
+    assert rows(profile(found, "hour"), "pickup_hour", "total_trips", "fare_per_distance") == [(4, 2, 0.5)]

@@ -2,11 +2,14 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from lakestrata.operators.monitor import (
+    content_checksums,
     landed_counts,
     even_share,
+    metric_outliers,
     quality_drift,
     quality_drift_within,
     quality_metrics,
+    reconcile_contents,
     reconcile_counts,
     run_metrics,
     stored_counts,
@@ -127,3 +130,43 @@ def test_counts_come_with_the_pass_of_their_layer(spark):
         ("why", "one", 1.0),
     ]
     assert found._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 2
+
+
+def test_one_changed_value_is_reported(spark):
+    made = [("a", 1, 2.5, None), ("a", 1, 2.5, None), ("a", 2, -0.0, "x"), ("b", 3, None, "y"), ("b", 4, 1.0, None), ("c", 5, 1.0, "z")]
+    schema = "source_file string, k int, v double, s string"
+    landed = spark.createDataFrame(made, schema)
+
+    def same(other):
+        found = reconcile_contents(content_checksums(landed), content_checksums(other)).collect()
+        return {r.source_file: r.same for r in found}
+
+    shuffled = spark.createDataFrame(made[::-1], schema).repartition(4)
+    assert same(shuffled.withColumn("v", F.when(F.col("v") == 0, 0.0).otherwise(F.col("v")))) == {"a": True, "b": True, "c": True}
+    assert same(spark.createDataFrame([*made[:5], ("c", 5, 1.5, "z")], schema)) == {"a": True, "b": True, "c": False}
+    assert same(spark.createDataFrame([*made[1:], made[2]], schema))["a"] is False  # as many rows, one copy less
+    swapped = [(f, k, v, s) if k != 4 else (f, k, None, "1.0") for f, k, v, s in made]
+    assert same(spark.createDataFrame(swapped, schema))["b"] is False
+    assert same(spark.createDataFrame([*made[:5], ("d", 5, 1.0, "z")], schema)) == {"a": True, "b": True, "c": False, "d": False}
+    moved = [(f, k, v, s) for (f, _, v, s), k in zip(made, (1, 2, 1, 3, 4, 5))]  # values of one column change places
+    assert same(spark.createDataFrame(moved, schema))["a"] is False
+
+
+def test_a_planted_outlier_is_the_only_one(spark):
+    import random
+
+    r = random.Random(2)
+    rows_ = [(m, run, 0.02 + r.gauss(0, 0.001)) for m in ("null_rate.a", "null_rate.b") for run in range(40)]
+    rows_[25] = ("null_rate.a", 25, 0.2)
+    rows_ += [("constant", run, 1.0 if run != 30 else 1.0001) for run in range(40)] + [("rare", 1, 0.0), ("rare", 2, 9.0), ("gap", 1, None)]
+    history = spark.createDataFrame(rows_, "metric string, run_ts int, value double").withColumn("layer", F.lit("silver"))
+    found = metric_outliers(history, limit=6.0).filter("outlier").collect()
+    assert sorted((x.metric, x.run_ts) for x in found) == [("constant", 30), ("null_rate.a", 25)]
+    assert [(x.metric, x.run_ts) for x in metric_outliers(history, limit=6.0, slack=0.01).filter("outlier").collect()] == [("null_rate.a", 25)]
+
+
+def test_the_frame_of_a_history(spark):
+    history = spark.createDataFrame([("m", i, float(v)) for i, v in enumerate([1, 9, 2, 8, 100])], "metric string, run int, value double")
+    found = metric_outliers(history, ["metric"], "run", runs=3, least=2, limit=6.0).orderBy("run").collect()
+    assert [(x.n_before, x.median, x.deviation) for x in found] == [(0, None, None), (1, 1.0, 0.0), (2, 5.0, 4.0), (3, 2.0, 1.0), (3, 8.0, 1.0)]
+    assert [x.outlier for x in found] == [False, False, False, False, True]

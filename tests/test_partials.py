@@ -1,0 +1,50 @@
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+
+from lakestrata.operators.metrics import trip_summary
+from lakestrata.operators.partials import known_parts, merged, newest, states
+
+METRICS = {
+    "n": "count(1)", "some": "count(v)", "total": "sum(v)", "low": "min(v)", "high": "max(v + 1)", "mean": "avg(v)",
+}
+KEYS = ["g", "h"]
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    made = [(f"f{i % 5}", i % 3 if i % 7 else None, i % 2, float(i % 11) if i % 4 else None) for i in range(300)]
+    return spark.createDataFrame(made + [("f9", 1, 0, None)], "file string, g int, h int, v double").repartition(3)
+
+
+def test_merged_states_equal_the_metrics(spark, data):
+    found = merged(states(data, "file", KEYS, METRICS), KEYS, METRICS)
+    wanted = trip_summary(data, KEYS, METRICS)
+    columns = [*KEYS, *METRICS]
+    assert rows(found.withColumn("mean", F.round("mean", 9)), *columns) == rows(wanted.withColumn("mean", F.round("mean", 9)), *columns)
+
+
+def test_a_part_that_is_replaced(spark, data):
+    first = states(data, "file", KEYS, METRICS)
+    changed = data.filter("file = 'f1' AND g = 1")  # f1 has lost its other groups
+    later = states(changed, "file", KEYS, METRICS, version=1)
+    gone = known_parts(spark.createDataFrame([("f2",)], "file string"), "file", first, 1)  # and f2 all of its rows
+    table = first.unionByName(later).unionByName(gone)
+    wanted = trip_summary(data.filter("file <> 'f2' AND (file <> 'f1' OR g = 1)"), KEYS, METRICS)
+    assert rows(merged(table, KEYS, METRICS), *KEYS, "n", "total") == rows(wanted, *KEYS, "n", "total")
+    assert {r["_part"] for r in newest(table).collect()} == {"f0", "f1", "f3", "f4", "f9"}
+
+
+def test_one_pass_and_one_shuffle(spark, data):
+    plan = states(data, "file", KEYS, METRICS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("sql", ["median(v)", "count(DISTINCT v)", "sum(v) + 1"])
+def test_what_cannot_be_merged_is_refused(data, sql):
+    with pytest.raises(ValueError, match="cannot be merged"):
+        states(data, "file", KEYS, {"x": sql})
+
+
+def test_nothing(spark, data):
+    assert merged(states(data.limit(0), "file", KEYS, METRICS), KEYS, METRICS).count() == 0

@@ -12,8 +12,10 @@ FOOTER_QUERIES = {
     "schema_type_conflicts",
     "schema_name_conflicts",
     "reconcile_counts",
+    "inventory_news",
+    "null_profile_files",
 }
-ONE_SHUFFLE = ["gold_trip_summary", "gold_trip_averages", "value_counts_vendor", "hour_weekday", "tip_pct"]
+ONE_SHUFFLE = ["gold_trip_summary", "gold_trip_averages", "value_counts_vendor", "hour_weekday", "tip_pct", "trip_profiles"]
 NO_SHUFFLE = ["silver_trips", "quarantine", "expect_drop", "null_rows_passenger", "bronze_strict", "bronze_lenient"]
 
 
