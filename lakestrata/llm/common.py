@@ -173,14 +173,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int)
     the limit holds for documents when ids are repeated. A document that has several
     labels takes the largest; labels other than 0 and 1 are ignored.
     """
-    ids = (
-        labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label"))
-        .filter(F.col("label").isin(0, 1) & in_training_fold())
-        .groupBy("doc_id")
-        .agg(F.max("label").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(limit)
-    )
+    marked = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label"))
+    marked = marked.filter(F.col("label").isin(0, 1) & in_training_fold())
+    few = marked.groupBy("doc_id").agg(F.max("label").alias("label"))
+    few = few.filter(in_share(F.xxhash64("doc_id"), 4 * limit, few.count()))
+    ids = few.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
     texts = texts.withColumn("f", F.xxhash64("text"))
     keys = texts.select("doc_id", "f").join(ids, "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "f").limit(limit)
@@ -188,6 +185,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int)
     return chosen.select("doc_id", "text", "label")
 
 
+def in_share(key: Column, wanted: int, rows: int) -> Column:
+    """Whether a row's 64-bit hash is among the smallest of which about ``wanted`` of so many rows have one.
+
+    Put before an order with a limit, it keeps what the tasks send for the last choice independent of their number.
+    """
+    if wanted >= rows:
+        return F.lit(True)
+    return key < F.lit(-(1 << 63) + (wanted * (1 << 64)) // rows)
+
+
 class Recent(dict):
     """A bounded cache of two generations: when the younger one is full it becomes the older one, which is dropped.
 

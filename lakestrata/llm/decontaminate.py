@@ -1,18 +1,20 @@
 """Benchmark decontamination (operator 5): a positional inverted index of the training texts.
 
-The index is a stored table of postings (document, position, term) for the terms that the test items use. Items
-become windows of ten consecutive words. For each window the postings of its rarest terms are shifted by the term's place
-in the window and intersected: where the shifted positions agree, the window may start. What survives is
-compared word by word with the text, which gives exact phrase matches; ``proximity_matches`` allows words to be
-displaced. DataFrame functions only: no Python runs on executors.
+The index is a stored table of postings (document, position, term) for the terms that the test items use, one list for
+each different text of an id. Items become windows of ten consecutive words. For each window the postings of its rarest terms
+are shifted by the term's place in the window and intersected, cell by cell: where shifted positions of all of them fall in one
+cell, or its neighbour, the window may start. What survives is compared with the text's words at each position of the rarest
+term. An exact phrase match has all words in place; a proximity match has each word within ``SLOP`` places of where the
+rarest one says it should be. DataFrame functions only: no Python runs on executors.
 
 Rarity is counted over all documents. No list is cut: a window of common words has long lists, which stay
 spread over the tasks as they lie. A small side is broadcast only after its rows have been counted; beyond the bound
 the join shuffles.
 
-Cases: a null or empty text has no words and no hits. An item without words has no windows; an item of fewer than ten
-words is one window. Items without id mark words but are not listed. Repeated rows are judged alike,
-repeated windows are searched once. Empty tables give no hits.
+Cases: a null or empty text has no words and no hits; a text of any length is indexed whole. An item without words has no
+windows; an item of fewer than ten words is one window. Items without id mark words but are not listed. Equal rows are indexed
+and compared once and judged alike, repeated windows are searched once. Of equally rare terms of a window the first is
+taken. Empty tables give no hits. Other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import documents, named, stored
+from lakestrata.llm.common import bounded, documents, named, stored
 
 # The words [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ of a text whose A-Z are lower-cased: before that, capital letters belong to
 # them as well. Written as what is in the class, which Java matches many times faster than its complement.
@@ -28,6 +30,8 @@ WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 10
 LISTS = 2  # lists that are intersected before texts are compared
+SLOP = 2  # places that a word of a proximity match may be away from its own
+CELL = 16  # positions of a cell in which shifted lists meet
 BROADCAST_ROWS = 200_000  # rows of a side that may be broadcast, a few MB
 NO_ID = -(1 << 63)
 
@@ -47,9 +51,8 @@ def lowered_words(text: str) -> Column:
     return words(F.translate(F.col(text), UPPER, LOWER))
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The (stored) table, marked for broadcast if it has no more than ``rows`` rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame) -> DataFrame:
+    return bounded(df, BROADCAST_ROWS)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -60,6 +63,18 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """One row of each (d, h). Only rows whose key occurs again are shuffled, and combined before that."""
+    rows = keyed(docs)
+    again = rows.select("d", "h").groupBy("d", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("d", "h")
+    again = stored(again, "repeated-rows")
+    if again.isEmpty():
+        return rows
+    few = small(again)
+    one = rows.join(few, ["d", "h"], "left_semi").groupBy("d", "h").agg(F.first("text").alias("text"))
+    return rows.join(few, ["d", "h"], "left_anti").unionByName(one)
+
+
 def windows_of(items: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """(wid, terms) of the distinct windows of all items, and (wid, item_id) of the items that have them."""
     found = items.select("item_id", lowered_words("text").alias("w")).filter("size(w) > 0")
@@ -70,14 +85,14 @@ def windows_of(items: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFra
     return has.select("wid", "terms").distinct(), has.select("wid", "item_id").distinct()
 
 
-def build_index(docs: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The stored postings (d, h, pos, term) of all documents for the windows' terms, and (term, word, df).
+def build_index(texts: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The stored postings (d, h, pos, term) of the texts (d, h, text) for the windows' terms, and (term, word, df).
 
     One pass over the texts; each term is a number. df counts all postings of the term.
     """
     distinct = windows.select(F.explode("terms").alias("word")).distinct()
     vocabulary = stored(distinct.withColumn("term", F.monotonically_increasing_id()), "terms")
-    each = keyed(docs).select("d", "h", F.posexplode(words("text")).alias("pos", "raw"))
+    each = texts.select("d", "h", F.posexplode(words("text")).alias("pos", "raw"))
     each = each.select("d", "h", "pos", lowered(F.col("raw")).alias("word"))
     postings = stored(each.join(small(vocabulary), "word").select("d", "h", "pos", "term"), "postings")
     df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -94,59 +109,79 @@ def ranked(windows: DataFrame, terms: DataFrame) -> DataFrame:
     return stored(whole.select("wid", "len", "at", "term", "rank"), "places")
 
 
-def candidates(postings: DataFrame, places: DataFrame, lists: int = LISTS) -> DataFrame:
-    """(d, h, wid, start) where the shifted lists of the rarest ``lists`` terms of a window agree."""
+def candidates(postings: DataFrame, places: DataFrame, lists: int = LISTS, slop: int = SLOP) -> DataFrame:
+    """(d, h, wid, rare, starts): where the rarest term of a window, at place ``rare``, has positions that put the window's start
+    in a cell in which the shifted lists of its ``lists`` rarest terms meet.
+
+    Every start that has all of these terms within ``slop`` of their places is among them.
+    """
     rare = stored(places.filter(F.col("rank") <= lists), "rare")
     shifted = postings.join(small(rare), "term").select(
-        "d", "h", "wid", (F.col("pos") - F.col("at")).alias("start"), "rank", F.least("len", F.lit(lists)).alias("need")
+        "d", "h", "wid", "rank", (F.col("pos") - F.col("at")).alias("start"), "at", F.least("len", F.lit(lists)).alias("need")
     )
-    both = shifted.filter("start >= 0").groupBy("d", "h", "wid", "start", "need")
-    return both.agg(F.bit_count(F.bit_or(F.expr("shiftleft(1, rank)"))).alias("n")).filter("n = need").drop("n", "need")
-
-
-def exact_matches(docs: DataFrame, found: DataFrame, windows: DataFrame) -> DataFrame:
-    """The candidates (d, h, wid, start) at which the text has the window word by word, with its length."""
-    found = stored(found, "candidates")
-    wanted = stored(found.select("d", "h").distinct(), "candidate-texts")
-    texts = keyed(docs).join(small(wanted), ["d", "h"]).select("d", "h", lowered_words("text").alias("w"))
-    asked = found.join(small(stored(windows, "searched")), "wid")
-    same = asked.join(texts, ["d", "h"]).filter(
-        F.slice("w", (F.col("start") + 1).cast("int"), F.size("terms")) == F.col("terms")
+    # The rarest term's start belongs to the cells that a start within slop of it can be in: mostly one, at most two.
+    first = F.col("rank") == 1
+    cells = lambda *by: F.array_distinct(F.array(*[F.floor((F.col("start") + i) / CELL) for i in by]))
+    cell = F.explode(F.when(first, cells(-slop, slop)).otherwise(cells(0)))
+    met = shifted.select("d", "h", "wid", "need", "rank", "start", "at", cell.alias("cell"))
+    both = met.groupBy("d", "h", "wid", "need", "cell").agg(
+        F.bit_count(F.bit_or(F.expr("shiftleft(1, rank)"))).alias("n"),
+        F.collect_set(F.when(first, F.col("start"))).alias("starts"),
+        F.max(F.when(first, F.col("at"))).alias("rare"),
     )
-    return stored(same.select("d", "h", "wid", "start", F.size("terms").alias("len")).distinct(), "matches")
+    return both.filter("n = need").select("d", "h", "wid", "rare", "starts")
 
 
-def proximity_matches(postings: DataFrame, places: DataFrame, slop: int) -> DataFrame:
-    """(d, h, wid, start, exact): windows all of whose words occur with a shifted position within ``slop`` of that of the
-    rarest word; ``exact`` if all agree. Positions are joined by equality, one row for each allowed one."""
-    seed = candidates(postings, places, 1).join(places, "wid")
-    near = seed.withColumn("off", F.explode(F.sequence(F.lit(-slop), F.lit(slop))))
-    near = near.select("d", "h", "wid", "start", "len", "at", "off", "term", (F.col("start") + F.col("at") + F.col("off")).alias("pos"))
-    met = near.join(postings.distinct(), ["d", "h", "pos", "term"]).groupBy("d", "h", "wid", "start", "len", "at")
-    each = met.agg(F.min(F.abs("off")).alias("off"))
-    all_ = each.groupBy("d", "h", "wid", "start", "len").agg(F.count(F.lit(1)).alias("n"), F.max("off").alias("off"))
-    return all_.filter("n = len").select("d", "h", "wid", "start", (F.col("off") == 0).alias("exact"))
+def matches(texts: DataFrame, found: DataFrame, windows: DataFrame, slop: int = SLOP) -> DataFrame:
+    """(d, h, wid, start, len, exact) of the windows at starts of candidates that the text's words bear out; stored.
 
-
-def hits(matches: DataFrame, owners: DataFrame) -> DataFrame:
-    """(d, h, n_hit, n_items, items) of the documents with matches: words in any window, and the items found."""
+    Each text's words are cut once and met by the list of its candidates, which its own length bounds.
+    """
+    asked = stored(found, "candidates").join(small(stored(windows, "searched")), "wid")
+    each = asked.select("d", "h", "wid", "terms", F.explode("starts").alias("start")).distinct()
+    lists = each.groupBy("d", "h").agg(F.collect_list(F.struct("wid", "terms", "start")).alias("asked"))
+    lists = stored(lists, "candidate-lists")
+    words_of = texts.join(small(lists), ["d", "h"]).select("d", "h", lowered_words("text").alias("w"), "asked")
+
+    def judged(c: Column) -> Column:
+        here = F.when(c["start"] >= 0, F.slice("w", F.greatest(c["start"] + 1, F.lit(1)).cast("int"), F.size(c["terms"])))
+        exact = F.coalesce(here == c["terms"], F.lit(False))
+        lo = lambda i: F.greatest(c["start"] + i + 1 - slop, F.lit(1)).cast("int")
+        hi = lambda i: (c["start"] + i + 1 + slop).cast("int")
+        around = lambda t, i: (hi(i) >= 1) & F.array_contains(F.slice("w", lo(i), F.greatest(hi(i) - lo(i) + 1, F.lit(0))), t)
+        near = F.forall(F.transform(c["terms"], around), lambda x: x)
+        return F.struct(c["wid"].alias("wid"), c["start"].alias("start"), F.size(c["terms"]).alias("len"), exact.alias("exact"), (exact | near).alias("near"))
+
+    borne = words_of.select("d", "h", F.inline(F.filter(F.transform("asked", judged), lambda m: m["near"])))
+    return stored(borne.drop("near"), "matches")
+
+
+def hits(found: DataFrame, owners: DataFrame) -> DataFrame:
+    """(d, h, n_hit, items, near_items) of the documents with matches: words in any exact match, the items that have one, and the
+    items that have proximity matches alone."""
+    exact = found.filter("exact")
     order = Window.partitionBy("d", "h").orderBy("start", "len")
     end = F.col("start") + F.col("len")
     before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
     new = F.greatest(end - F.greatest("start", F.coalesce(before, F.lit(0))), F.lit(0))
-    spans = matches.select("d", "h", "start", "len").distinct()
+    spans = exact.select("d", "h", "start", "len").distinct()
     counts = spans.withColumn("new", new).groupBy("d", "h").agg(F.sum("new").cast("long").alias("n_hit"))
-    found = matches.select("d", "h", "wid").distinct().join(small(stored(owners, "owners")), "wid")
-    listed = found.groupBy("d", "h").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-    return counts.join(listed, ["d", "h"])
+    of_items = found.select("d", "h", "wid", "exact").distinct().join(small(stored(owners, "owners")), "wid")
+    each = of_items.groupBy("d", "h", F.col("item_id").cast("string").alias("item")).agg(F.max("exact").alias("exact"))
+    listed = each.groupBy("d", "h").agg(
+        F.array_sort(F.collect_list(F.when(F.col("exact"), F.col("item")))).alias("items"),
+        F.array_sort(F.collect_list(F.when(~F.col("exact"), F.col("item")))).alias("near_items"),
+    )
+    return listed.join(counts, ["d", "h"], "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0).cast("long")))
 
 
-def decontaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(d, h, n_hit, items) of each contaminated text."""
+def decontaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int = SLOP) -> DataFrame:
+    """(d, h, n_hit, items, near_items) of each text with exact or proximity matches; contaminated where ``n_hit`` is not 0."""
     windows, owners = windows_of(items, size)
-    postings, terms = build_index(docs, windows)
-    found = candidates(postings, ranked(windows, terms))
-    return hits(exact_matches(docs, found, windows), owners)
+    texts = distinct_texts(docs)
+    postings, terms = build_index(texts, windows)
+    found = candidates(postings, ranked(windows, terms), slop=slop)
+    return hits(matches(texts, found, windows, slop), owners)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,7 +194,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.xxhash64(text).alias("h"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"),
     )
-    items = F.coalesce("items", F.array().cast("array<string>"))
+    items, near = (F.coalesce(c, F.array().cast("array<string>")) for c in ("items", "near_items"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return rows.join(found, ["d", "h"], "left").select(
         "doc_id",
@@ -168,6 +203,8 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
+        F.size(near).cast("long").alias("n_near_items"),
+        F.array_join(near, ",").alias("near_items"),
     )
 
 
@@ -187,17 +224,40 @@ windows AS (
   FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n)
 ), hit AS (SELECT doc_id, i, n, item_id FROM grams JOIN windows USING (n, phrase)),
 covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY 1),
-items AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM hit GROUP BY 1)
+items AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM hit GROUP BY 1),
+-- Proximity: each word of a window within two places of where the window's rarest word puts it.
+postings AS (SELECT doc_id, w, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+df AS (SELECT word, count(*) AS n FROM postings GROUP BY 1),
+shapes AS (SELECT DISTINCT phrase, string_split(phrase, ' ') AS terms FROM windows),
+places AS (SELECT phrase, terms, unnest(terms) AS word, generate_subscripts(terms, 1) AS place FROM shapes),
+rarest AS (
+  SELECT phrase, any_value(terms) AS terms, arg_min(word, (df.n, place)) AS word, arg_min(place, (df.n, place)) AS place
+  FROM places LEFT JOIN df USING (word) GROUP BY 1 HAVING count(df.n) = count(*)
+), anchored AS (SELECT doc_id, w, phrase, terms, p - place AS start FROM rarest JOIN postings USING (word)),
+near AS (
+  SELECT DISTINCT doc_id, phrase FROM anchored
+  WHERE list_bool_and(list_transform(range(1, len(terms) + 1), lambda i: start + i + 2 >= 1
+    AND list_contains(w[greatest(start + i - 2, 1):start + i + 2], terms[i])))
+), near_items AS (
+  SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS found
+  FROM near JOIN (SELECT DISTINCT item_id, phrase FROM windows) USING (phrase) GROUP BY 1
+), joined AS (
+  SELECT d.doc_id, w, n_hit, coalesce(items, []) AS items,
+    list_filter(coalesce(found, []), lambda x: NOT list_contains(coalesce(items, []), x)) AS others
+  FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near_items USING (doc_id)
+)
 SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
-       CAST(coalesce(len(items), 0) AS BIGINT) AS n_items, sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+       CAST(len(items) AS BIGINT) AS n_items, sha256(array_to_string(items, ',')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated,
+       CAST(len(others) AS BIGINT) AS n_near_items, array_to_string(others, ',') AS near_items
+FROM joined
 """
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without any benchmark window."""
-    found = stored(decontaminated(docs, documents(spark, sf_dir, "benchmark")).select("d", "h"), "contaminated")
+    found = decontaminated(docs, documents(spark, sf_dir, "benchmark")).filter("n_hit > 0")
+    found = stored(found.select("d", "h"), "contaminated")
     rows = docs.select(
         F.struct(*[named(c) for c in docs.columns]).alias("row"),
         F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("d"),

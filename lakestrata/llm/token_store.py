@@ -9,8 +9,9 @@ The dictionary is a one-row Parquet table beside them. A reader refuses a block
 document is read by its id: Parquet statistics on ``first_doc`` and ``last_doc`` skip other row groups, the offsets give the
 frame's bytes, and only that frame is decompressed.
 
-Cases: a null or empty text has the end id only. Rows with one id are ordered by text, null first; a null id
-comes before all others. An empty table gives a store without blocks.
+Cases: a null or empty text has the end id only; a text of any length is one frame. Rows with one id are ordered by text,
+null first; equal rows are a document each; a null id comes before all others. An empty table gives a store without blocks.
+Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import Recent, documents, released, ship, slices, strings, valid
+from lakestrata.llm.common import Recent, documents, in_share, named, released, ship, slices, strings, valid
 from lakestrata.session import scratch_path
 
 VERSION = 1
@@ -58,7 +59,9 @@ class WordEncoder:
     The vocabulary's pre-tokenizer drops white space, so the ids of a text are those of its runs without white
     space, one after the other. A run of Latin letters followed by plain punctuation is two pre-tokens, so its ids
     are those of the two, and letters are lower-cased first. Words of a slice are made distinct by Arrow; ids of
-    known words are held in a bounded cache that a Python worker keeps between tasks.
+    known words are held in a bounded cache that a Python worker keeps between tasks. A text that holds a
+    marker of the vocabulary, such as ``<|endoftext|>``, in any case of letters, is encoded by the library as a whole: markers
+    are tokens of their own there, as they are by default.
     """
 
     letters = "^[A-Za-zÀ-ÖØ-öø-ÿŒœ]+$"  # precomposed, so normalisation leaves them, and lower-cased one by one
@@ -69,11 +72,11 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.words: dict[str, bytes] = Recent(cached)
         self.others: dict[str, bytes] = Recent(cached // 4)
+        self.markers = sorted({t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()})
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
@@ -105,7 +108,17 @@ class WordEncoder:
 
     def encode(self, column: pa.Array) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit numbers."""
-        split = pc.ascii_split_whitespace(valid(column))
+        column = valid(column)
+        marked = np.zeros(len(column), bool)
+        for marker in self.markers:
+            marked |= pc.match_substring(column, marker, ignore_case=True).to_numpy(zero_copy_only=False)
+        found = self._encode_words(pc.if_else(pa.array(marked), "", column) if marked.any() else column)
+        for i in np.flatnonzero(marked).tolist():
+            found[i] = self.ids([column[i].as_py()])[0].tobytes()
+        return found
+
+    def _encode_words(self, column: pa.Array) -> list[bytes]:
+        split = pc.ascii_split_whitespace(column)
         coded = split.flatten().dictionary_encode()
         runs, at = coded.dictionary, coded.indices.to_numpy()
         # A run is a word of letters and a tail of marks, or (its word then left out) anything else.
@@ -145,13 +158,10 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int = END_ID, text: str
     on, the dictionary is raw: the ids of the sample.
     """
     ship(docs.sparkSession)
-    sample = (
-        docs.select(F.col(text).alias("text"))
-        .filter(F.octet_length("text").between(1, SAMPLE_TEXT_BYTES))
-        .orderBy(F.xxhash64("text"), "text")
-        .limit(SAMPLE_DOCUMENTS)
-        .coalesce(1)
-    )
+    short = docs.select(named(text).alias("text")).filter(F.octet_length("text").between(1, SAMPLE_TEXT_BYTES))
+    # A bound on the hash leaves about four times the sample of all rows, however many tasks there are; the smallest are taken.
+    few = short.filter(in_share(F.xxhash64("text"), 4 * SAMPLE_DOCUMENTS, docs.count()))
+    sample = few.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCUMENTS).coalesce(1)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard

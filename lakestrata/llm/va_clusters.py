@@ -119,6 +119,11 @@ def exact(vectors: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return out
 
 
+def _each(fn, name: str, dimensions: int):
+    """An aggregate of arrays, place by place."""
+    return F.array(*[fn(F.col(name)[d]) for d in range(dimensions)]).alias(name)
+
+
 def _cells(vectors: DataFrame, dimensions: int) -> Cells:
     """The spread of each component, added up in each task first."""
 
@@ -130,14 +135,14 @@ def _cells(vectors: DataFrame, dimensions: int) -> Cells:
             n, total, squares = n + len(v), total + v.sum(0), squares + (v.astype(float) ** 2).sum(0)
             least, most = np.minimum(least, v.min(0)), np.maximum(most, v.max(0))
         if n:
-            columns = [np.arange(dimensions), np.full(dimensions, n), total, squares, least, most]
-            kinds = [pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays(arrays, ["d", "n", "total", "squares", "least", "most"])
+            arrays = [pa.array([n])] + [pa.array([list(c)]) for c in (total, squares, least, most)]
+            yield pa.RecordBatch.from_arrays(arrays, ["n", "total", "squares", "least", "most"])
 
-    parts = vectors.select("vec").mapInArrow(partial, "d int, n long, total double, squares double, least long, most long")
-    rows = parts.groupBy("d").agg(F.sum("n"), F.sum("total"), F.sum("squares"), F.min("least"), F.max("most")).orderBy("d")
-    return Cells(*[np.array(c) for c in list(zip(*rows.collect()))[1:]])
+    names = "n long, total array<double>, squares array<double>, least array<long>, most array<long>"
+    parts = vectors.select("vec").mapInArrow(partial, names)
+    by = {"total": F.sum, "squares": F.sum, "least": F.min, "most": F.max}
+    row = parts.agg(F.sum("n").alias("n"), *[_each(fn, name, dimensions) for name, fn in by.items()]).first()
+    return Cells(np.array(row["n"]), *[np.array(row[name]) for name in by])
 
 
 def _first_centroids(vectors: DataFrame, k: int, seed: str) -> np.ndarray:
@@ -243,10 +248,10 @@ def clusters(
         located = stored(_located(state, cells, centroids, dimensions), f"va-located-{step}")
         open_ = (F.col("cluster") < 0) | (F.col("cluster") != F.col("old"))
         settled = stored(_settled(located.filter(open_).join(full, "key"), centroids, dimensions), f"va-settled-{step}")
-        change = settled.filter("key IS NULL").select("cluster", "n", F.posexplode("sums").alias("d", "x"))
-        for row in change.groupBy("cluster", "d").agg(F.sum("n").alias("n"), F.sum("x").alias("x")).collect():
-            total[row["cluster"], row["d"]] += row["x"]
-            count[row["cluster"]] += row["n"] if row["d"] == 0 else 0
+        change = settled.filter("key IS NULL").groupBy("cluster")
+        for row in change.agg(F.sum("n").alias("n"), _each(F.sum, "sums", dimensions)).collect():
+            total[row["cluster"]] += np.array(row["sums"], object)
+            count[row["cluster"]] += row["n"]
         centroids = centroids.copy()
         for c in np.flatnonzero(count):
             centroids[c] = [x // int(count[c]) for x in total[c]]

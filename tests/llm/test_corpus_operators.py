@@ -227,12 +227,23 @@ def test_decontamination_runs_no_python(spark, capsys):
 
 
 def test_proximity_allows_displaced_words(spark):
-    docs = spark.createDataFrame([(1, "a alpha beta gamma"), (2, "alpha x beta gamma"), (3, "beta alpha"), (4, "gamma")], "doc_id long, text string")
-    windows, _ = decontaminate.windows_of(spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string"))
-    postings, terms = decontaminate.build_index(docs, windows)
-    places = decontaminate.ranked(windows, terms)
-    near = {s: {(r.d, r.exact) for r in decontaminate.proximity_matches(postings, places, s).collect()} for s in (0, 1)}
-    assert near == {0: {(1, True)}, 1: {(1, True), (2, False)}}
+    docs = spark.createDataFrame([(1, "a alpha beta gamma"), (2, "alpha x beta gamma"), (3, "beta alpha"), (4, "gamma"), (5, "beta gamma alpha")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
+    for slop, near in ((0, set()), (1, {2}), (2, {2}), (3, {2, 5})):
+        found = {r.d: (r.n_hit, r["items"], r.near_items) for r in decontaminate.decontaminated(docs, items, slop=slop).collect()}
+        assert found == {1: (3, ["1"], []), **{d: (0, [], ["1"]) for d in near}}
+
+
+def test_equal_rows_are_indexed_and_compared_once(spark):
+    leaked = "before " + " ".join(f"w{i}" for i in range(30)) + " after"
+    docs = spark.createDataFrame([(1, leaked)] * 2000 + [(1, "another"), (2, leaked)], "doc_id long, text string").repartition(4)
+    items = spark.createDataFrame([(7, " ".join(f"w{i}" for i in range(20)))], "item_id long, text string")
+    windows, _ = decontaminate.windows_of(items)
+    postings, terms = decontaminate.build_index(decontaminate.distinct_texts(docs), windows)
+    assert postings.count() == 2 * 20 and decontaminate.distinct_texts(docs).count() == 3
+    found = decontaminate.candidates(postings, decontaminate.ranked(windows, terms))
+    assert found.agg(F.sum(F.size("starts"))).first()[0] <= 2 * 2 * windows.count()
+    assert {(r.d, r.n_hit, tuple(r["items"])) for r in decontaminate.decontaminated(docs, items).collect()} == {(1, 20, ("7",)), (2, 20, ("7",))}
 
 
 def test_stages_one_by_one(spark):

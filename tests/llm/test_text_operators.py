@@ -2,6 +2,8 @@
 
 import base64
 import hashlib
+import random
+import time
 import zlib
 from collections import Counter
 
@@ -9,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lakestrata.llm import byte_bpe, html_text, language_id, lm_score, quality_fm, quality_rules, token_store
 from lakestrata.llm.common import documents, in_training_fold, labelled_sample
 from lakestrata.session import scratch_path
@@ -18,7 +21,6 @@ def word_ids(texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(token_store.vocabulary_path())
-    tokenizer.encode_special_tokens = True
     return [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
 
 
@@ -36,6 +38,47 @@ def test_token_store_has_every_text_in_order_of_id(spark, docs, texts):
     assert [r.ids for r in one] == word_ids(["Ünïcode 😀 \x1c ABC"])
 
 
+def test_token_store_encodes_markers_as_the_library_does(spark):
+    rows = ["hello [UNK] a <|endoftext|> x", "a<|startoftext|>b", "<|ENDOFTEXT|> of", "plain", "<|endoftext|>" * 3, "<|endof text|>", None]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(2)
+    path = token_store.write_store(docs, scratch_path(spark, "store"))
+    got = {r.doc_id: r.ids for r in token_store.read_ids(spark, path).collect()}
+    assert [got[i] for i in range(len(rows))] == word_ids(rows)
+    assert 49407 in got[0] and 49406 in got[1]
+
+
+def test_samples_by_hash_do_not_grow_with_the_tasks(spark):
+    from lakestrata.llm.common import in_share
+
+    df = spark.range(50_000).withColumn("h", F.xxhash64("id"))
+    assert 700 < df.filter(in_share(F.col("h"), 1000, 50_000)).count() < 1300
+    assert df.filter(in_share(F.col("h"), 60_000, 50_000)).count() == 50_000
+    least = [r.id for r in df.orderBy("h").limit(200).collect()]
+    assert [r.id for r in df.filter(in_share(F.col("h"), 800, 50_000)).orderBy("h").limit(200).collect()] == least
+
+
+NAMES = ["a.b", "with`tick", "row", "ids", "key", "d", "h"]
+
+
+def test_extra_columns_of_any_name_are_carried(spark):
+    """Dots and backticks, and names that the operators use themselves."""
+    body = " ".join(f"word{i}" for i in range(60)) + "."
+    docs = spark.createDataFrame([(1, body, *NAMES), (2, body + " x", *NAMES), (3, None, *NAMES)], ["doc_id", "text", *NAMES])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns, name
+        for row in out.collect():
+            assert tuple(row)[2:] == tuple(NAMES), name
+    assert byte_bpe.stage(spark, docs.withColumns({"lang": F.lit("en"), "source": F.lit("s")}), "").count() == 3
+    pages = docs.withColumnRenamed("text", "html")
+    for made in (
+        html_text.extract(pages), quality_rules.text_statistics(docs), byte_bpe.encode(docs), quality_fm.score(docs, quality_fm.fit(docs, docs.selectExpr("doc_id", "1 AS quality"))),
+        language_id.predict(docs, language_id.fit(docs.withColumn("lang", F.lit("en")))),
+        lm_score.score(docs, lm_score.fit(docs.selectExpr("text", "true AS target"))),
+    ):
+        assert made.count() == 3 and "with`tick" in made.select("row.*").columns
+
+
 def test_token_store_refuses_another_dictionary(spark, docs):
     path = token_store.write_store(docs.filter("doc_id < 20"), scratch_path(spark, "store"))
     other = token_store.write_store(docs.filter("doc_id > 40"), scratch_path(spark, "store"))
@@ -85,6 +128,89 @@ def test_html_keeps_the_story_alone(body):
     assert html_text.main_text(PAGE.replace("{}", body)) == CLEAN
 
 
+INSIDE = [
+    ("<div class='share-story'><p>The share price fell, and fell, and fell again.</p></div>", "The share price fell, and fell, and fell again."),
+    ("<p class='header-note'>A note under the header, of some length, is text.</p>", "A note under the header, of some length, is text."),
+    ("<div class='comments-section'><p>First! A comment, with commas, and more.</p></div>", ""),
+    ("<div id=ad-slot-3><p>Buy, buy, buy, and buy, all of it, today.</p></div>", ""),
+    ("<div class='box related posts'><p>Read, also, these, and those, of last year.</p></div>", ""),
+]
+
+
+@pytest.mark.parametrize("part, text", INSIDE)
+def test_html_keeps_parts_of_an_article_by_what_their_names_say(part, text):
+    body = f"<article>{STORY}{part}</article>"
+    assert html_text.main_text(PAGE.replace("{}", body)) == f"{CLEAN} {text}".strip()
+
+
+def test_html_keeps_a_short_part_beside_the_long_one():
+    body = f"<div class=part1>{STORY * 3}</div><div class=part2><p>A last, short part of it.</p></div>"
+    assert html_text.main_text(f"<body><div>{body}</div></body>") == f"{CLEAN} {CLEAN} {CLEAN} A last, short part of it."
+
+
+UNITS = ["<script ", "<div>", '<a "', "<a \"'", "<a", "</b></i>", "<i><div>" + "<b>" * 50 + "</i>", "</script", "<a x", "<p><b>", "<![CDATA[", "<!-", "<script></script", "<a \"'>", "<td>", "<!--", "&#38;<"]
+
+
+@pytest.mark.parametrize("unit", UNITS)
+def test_html_takes_time_in_proportion(unit):
+    def seconds(n):
+        page, began = (unit * (n // len(unit) + 1))[:n], time.perf_counter()
+        html_text.main_text(page)
+        return time.perf_counter() - began
+
+    seconds(2000)
+    assert seconds(64_000) < 12 * max(seconds(16_000), 0.01)
+
+
+def plain_points(tree):
+    """Points by their definition: every paragraph's gain handed up, text lengths found by walking down."""
+    n = len(tree.tag)
+
+    def texts(x, links=False, inside=False):
+        inside = inside or tree.tag[x] == "a"
+        if tree.out[x]:
+            return 0
+        own = sum(len(p.strip()) for p in tree.parts[x] if isinstance(p, str)) if inside or not links else 0
+        return own + sum(texts(p, links, inside) for p in tree.parts[x] if not isinstance(p, str))
+
+    def ancestors(x):
+        while x >= 0:
+            yield x
+            x = tree.up[x]
+
+    points = list(tree.weight)
+    for x in range(n):
+        if x and tree.tag[x] not in html_text.BLOCK:
+            continue
+        own = [
+            p for y in range(n) if not tree.out[y] and not any(tree.tag[z] == "a" for z in ancestors(y))
+            and next((z for z in ancestors(y) if z == 0 or tree.tag[z] in html_text.BLOCK)) == x for p in tree.parts[y] if isinstance(p, str)
+        ]
+        length = sum(len(p.strip()) for p in own)
+        if length < html_text.LEAST:
+            continue
+        gain = 1 + sum(p.count(c) for p in own for c in ",、،，") + min(length / 100, 3)
+        for level, y in enumerate([*ancestors(x)][:6]):
+            points[y] += gain * (tree.tag[x] in html_text.CONTAINER) if level == 0 else 0
+        for level, y in enumerate([*ancestors(tree.up[x])][:5]):
+            points[y] += gain if level == 0 else gain / 2 if level == 1 else gain / (3 * level)
+    linked = [any(tree.tag[z] == "a" for z in ancestors(x)) for x in range(n)]
+    return [p * (1 - texts(x, True, linked[x]) / texts(x)) if texts(x) else 0.0 for x, p in enumerate(points)]
+
+
+def test_html_points_equal_a_plain_scorer():
+    r = random.Random(8)
+    pieces = ["<div>", "</div>", "<p>", "</p>", "<section class=story>", "</section>", "<a href=x>", "</a>", "<ul><li>", "</ul>", "<b>", "</b>"]
+    pieces += ["Short, ", "A text of some length, with commas, and more, to count as a paragraph. ", "<div class=ad>", "<article>", "</article>"]
+    for _ in range(150):
+        tree = html_text.Tree("".join(r.choice(pieces) for _ in range(r.randrange(30))))
+        got = tree.score()[0]
+        want = plain_points(tree)
+        for x in range(1, len(got)):
+            # Lengths below a left-out element do not count, and neither do its points.
+            assert tree.out[x] or got[x] == pytest.approx(want[x]), x
+
+
 def test_html_of_awkward_pages(spark):
     deep = "<div>" * 5000 + "deep text that is long enough to count" + "</div>" * 5000
     rows = [(1, None, "a"), (2, "", "b"), (None, "<p>x", "c"), (3, deep, "d"), (3, deep, "d"), (4, "a < b &am &lt; <", "e")]
