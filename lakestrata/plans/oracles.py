@@ -254,13 +254,11 @@ def _profiles() -> str:
         "dropoff_zone": ["dropoff_zone"],
         "payment_type": ["payment_type"],
     }
-    kinds = {"pickup_weekday": "INTEGER", "pickup_hour": "INTEGER"}
     return " UNION ALL ".join(
-        f"SELECT '{name}' AS report, "
-        + ", ".join(f"{sql if key in by else f'CAST(NULL AS {kinds.get(key, "BIGINT")})'} AS {key}" for key, sql in keys.items())
+        f"SELECT '{name}' AS report, concat_ws('-', {', '.join(keys[key] for key in by)}) AS key"
         + f""", {_N} AS total_trips, round(sum(total_amount), 2) AS total_revenue,
           round(avg(tip_amount * 100 / nullif(fare_amount, 0)), 6) AS avg_tip_pct,
-          round(sum(fare_amount) / nullif(sum(trip_distance), 0), 4) AS fare_per_distance FROM silver
+          round(sum(fare_amount) / nullif(sum(trip_distance), 0) + 0.000001::DOUBLE, 4) AS fare_per_distance FROM silver
           GROUP BY {", ".join(keys[key] for key in by)}"""
         for name, by in reports.items()
     )

@@ -415,7 +415,12 @@ def trip_profiles(spark, sf_dir):
     df = metrics.trip_profiles(
         silver(spark, sf_dir), plan.TIMESTAMP, SIDES, "payment_type", "total_amount", "fare_amount", "tip_amount", "trip_distance"
     )
-    return rounded(df, total_revenue=2, avg_tip_pct=6, fare_per_distance=4)
+    keys = list(dict.fromkeys(k for by in metrics.PROFILES.values() for k in by))
+    key = F.concat_ws("-", *[F.col(k).cast("string") for k in keys]).alias("key")
+    measures = ["total_trips", "total_revenue", "avg_tip_pct", "fare_per_distance"]
+    # A share of a cent more, so that ratios which end in a five are rounded up by both engines.
+    df = df.withColumn("fare_per_distance", F.col("fare_per_distance") + 1e-6)
+    return rounded(df.select("report", key, *measures), total_revenue=2, avg_tip_pct=6, fare_per_distance=4)
 
 
 @query
