@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from lakestrata.operators.monitor import (
     content_checksums,
     landed_counts,
+    metric_outliers,
     reconcile_contents,
     reconcile_counts,
+    run_metrics,
     stored_counts,
     volume_check,
 )
@@ -23,14 +25,17 @@ from lakestrata.operators.schema_audit import (
     schema_summary,
     schema_type_conflicts,
 )
+from lakestrata.operators.sketches import merged_sketches, value_drift, value_sketches
 from lakestrata.operators.unions import union_strict
 from lakestrata.plans.trips import EXPECTATIONS, EXPECTED_ROWS_PER_MONTH, INGESTED, Spec, bronze, lenient, with_calendar
 from lakestrata.plans.trips import silver as clean
+from lakestrata.sources.catalog import publish
 from lakestrata.sources.files import landing_inventory
 from lakestrata.sources.footers import read_footers, schema_report
 from lakestrata.sources.statistics import null_profile_of_files
 
 CHECKED = ("vendorid", "passenger_count")
+MEASURED = ("trip_distance", "fare_amount", "total_amount")
 
 
 def landing_audit(spark: SparkSession, landing: str, spec: Spec) -> dict[str, DataFrame]:
@@ -97,3 +102,37 @@ def layer_audit(
             silver, ["pickup_year", "pickup_month"], expected_rows, tol, expected_months(spark, spec)
         ),
     }
+
+
+def record_run(spark: SparkSession, spec: Spec, location: str | None = None) -> None:
+    """Append the metrics of the stored layers, and sketches of silver's values, to the history of runs; one pass over each layer
+    and one over silver's measured columns."""
+
+    def path(table: str) -> str | None:
+        return f"{location.rstrip('/')}/{table.replace('.', '/')}" if location else None
+
+    bronze_rows, silver_rows = (spark.table(spec.table(layer)) for layer in ("bronze", "silver"))
+    found = run_metrics({"bronze": with_calendar(bronze_rows), "silver": silver_rows}, CHECKED, EXPECTATIONS)
+    publish(found.coalesce(1), spec.runs, mode="append", path=path(spec.runs))
+    kept = value_sketches(silver_rows, MEASURED).withColumn("run_ts", F.current_timestamp())
+    publish(kept.coalesce(1), spec.sketches, mode="append", path=path(spec.sketches))
+
+
+def judge_run(
+    spark: SparkSession, spec: Spec, runs: int = 20, least: int = 5, slack: float = 0.005, tol: float = 0.1
+) -> dict[str, DataFrame]:
+    """The last run next to those before it: ``outliers`` among its metrics, and the ``drift`` of its values.
+
+    Rates are outliers if they are more than ``slack`` off as well, and row counts whatever they are off; values drift
+    when their distribution is more than ``tol`` from that of all earlier runs together. Both read the history only.
+    """
+    history, sketches = spark.table(spec.runs), spark.table(spec.sketches)
+    last = F.lit(history.agg(F.max("run_ts")).first()[0])
+    counts = F.col("metric") == "rows"
+    judged = metric_outliers(history, runs=runs, least=least)
+    far = F.col("outlier") & (counts | (F.abs(F.col("value") - F.col("median")) > slack))
+    newest = F.col("run_ts") == F.lit(sketches.agg(F.max("run_ts")).first()[0])
+    return {
+        "outliers": judged.filter((F.col("run_ts") == last) & far).drop("outlier"),
+        "drift": value_drift(sketches.filter(newest), merged_sketches(sketches.filter(~newest)), tol),
+    }

@@ -68,6 +68,7 @@ LENIENT = "nyc_taxi_trips"
 MONTHLY_VIEW, HOURLY_VIEW = "monthly_avg_revenue", "may_hourly_avg_passengers"
 HOURLY_MONTH = 5
 LEDGER, STATES, INVENTORY = "silver_ledger", "gold_states", "landed_files"
+RUNS, SKETCHES = "run_metrics", "run_sketches"
 # Properties of the stored layers: the run that left all of them in agreement, and the rules it went by.
 RUN, RULES = "refresh.run", "refresh.rules"
 INGESTED = "ingestion_timestamp"
@@ -119,6 +120,16 @@ class Spec:
         """The table of the landed files that all layers have."""
         return f"{self.namespace('bronze')}.{INVENTORY}"
 
+    @property
+    def runs(self) -> str:
+        """The table of the metrics of all monitored runs."""
+        return f"{self.namespace('gold')}.{RUNS}"
+
+    @property
+    def sketches(self) -> str:
+        """The table of the value sketches of all monitored runs."""
+        return f"{self.namespace('gold')}.{SKETCHES}"
+
     @property
     def files(self) -> list[str]:
         first, last = self.months

@@ -6,7 +6,7 @@ import submit_refresh
 from helpers import rows, sql_conf
 from pyspark.sql import functions as F
 
-from lakestrata.plans.audit import landing_audit, layer_audit
+from lakestrata.plans.audit import judge_run, landing_audit, layer_audit, record_run
 from lakestrata.plans.binding import SPEC, write_landing
 from lakestrata.plans.trips import (
     CASTS,
@@ -32,6 +32,7 @@ from lakestrata.sources import (
     ingest_new,
     list_namespaces,
     publish,
+    publish_audited,
     read_table,
     refresh,
 )
@@ -315,10 +316,31 @@ def test_the_submitted_job(spark, landing, capsys):
     submit_refresh.main(args)
     names = ["bronze.bronze_yellow_taxi", "silver.silver_yellow_taxi", "gold.gold_yellow_taxi"]
     assert capsys.readouterr().out.split() == [*names, f"gold.{MONTHLY_VIEW}", f"gold.{HOURLY_VIEW}"]
-    submit_refresh.main([*args, "--new"])
+    submit_refresh.main([*args, "--new", "--monitor", "--verify", "--change-feed"])
     assert [spark.table(name).count() for name in names] == [6000, 321, 10]
 
 
+def test_the_history_of_runs(spark, landing, capsys):
+    spec = Spec(year=SPEC.year, namespaces={layer: f"watched_{layer}" for layer in NAMESPACES})
+    location = scratch_path(spark, "tables")
+    refresh_trips(spark, spec, landing, location)
+    for _ in range(7):
+        record_run(spark, spec, location)
+    odd = judge_run(spark, spec)
+    assert odd["outliers"].isEmpty() and odd["drift"].filter("drifted").isEmpty()
+    whole = spark.table(spec.table("silver"))
+    longer = F.when(F.col("tip_amount") > 0, F.col("trip_distance") * 3 + 2).otherwise(F.col("trip_distance"))
+    publish_audited(whole.withColumn("trip_distance", longer), spec.table("silver"), lambda _: None, path=f"{location}/other")
+    record_run(spark, spec, location)
+    odd = judge_run(spark, spec)
+    # The values have moved, with the same counts, nulls and failures.
+    assert odd["outliers"].isEmpty() and rows(odd["drift"].filter("drifted"), "column") == [("trip_distance",)]
+    publish_audited(spark.table(spec.table("silver")).filter("vendorid = 1"), spec.table("silver"), lambda _: None, path=f"{location}/other")
+    record_run(spark, spec, location)
+    outliers = rows(judge_run(spark, spec)["outliers"], "layer", "metric")
+    assert ("silver", "rows") in outliers and {layer for layer, _ in outliers} == {"silver"}
+
+
 def test_publishes_leave_the_session_alone_and_run_side_by_side(spark):
     """Two threads replace partitions while a third watches the session's overwrite mode, set to either value."""
     from concurrent.futures import ThreadPoolExecutor
