@@ -277,6 +277,64 @@ def test_language_of_awkward_texts(docs, empty, texts):
     assert {r.lang_pred for r in language_id.predict(docs, blank, keep=["doc_id"]).collect()} == {"und"}
 
 
+def plain_languages(train, texts):
+    """[(language, share)] by the definition: words first, then the longest length with any known n-gram."""
+    import math
+    import re
+    import unicodedata
+
+    def words_of(text):
+        return [w for w in re.split(r"[\W\d_]+", (text or "").lower()) if w and all(unicodedata.category(c)[0] == "L" for c in w)]
+
+    def grams(word, n):
+        marked = f"\n{word}\n"
+        return [g for g in (marked[i : i + n] for i in range(len(marked) - n + 1)) if n > 1 or g != "\n"]
+
+    languages = sorted({lang for _, lang in train})
+    counts = {n: {x: Counter() for x in languages} for n in range(5)}
+    for text, lang in train:
+        for w in words_of(text):
+            counts[0][lang][w] += 1
+            for n in range(1, 5):
+                counts[n][lang].update(grams(w, n))
+    kinds = {n: len(set().union(*counts[n].values())) for n in counts}
+
+    def logs(n, key):
+        if not any(counts[n][x][key] for x in languages):
+            return None
+        return [math.log((counts[n][x][key] + 0.5) / (counts[n][x].total() + 0.5 * kinds[n])) for x in languages]
+
+    def score(word):
+        found = logs(0, word)
+        for n in (4, 3, 2, 1):
+            if found is None:
+                known = [v for v in (logs(n, g) for g in grams(word, n)) if v]
+                found = [sum(c) / len(known) for c in zip(*known)] if known else None
+        return found or [0.0] * len(languages)
+
+    out = []
+    for text in texts:
+        words = words_of(text)
+        total = [math.log(sum(lang == x for _, lang in train) / len(train)) + sum(score(w)[j] for w in words) for j, x in enumerate(languages)]
+        best = max(range(len(languages)), key=lambda j: (total[j], -j))
+        out.append((languages[best], 1 / sum(math.exp(t - total[best]) for t in total)) if words else ("und", 0.0))
+    return out
+
+
+@pytest.mark.parametrize("limits", [(200_000, 100_000), (4, 3), (0, 0), (200_000, 2)])
+def test_languages_equal_a_plain_scorer_whatever_the_tasks_receive(spark, limits):
+    docs = documents(spark, "/root/testdata/sf0.001").select("doc_id", F.substring("text", 1, 300).alias("text"), "lang")
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()]
+    train = [(t, x) for d, t, x in rows if t is not None and x is not None and zlib.crc32(str(d).encode()) % 4 != 2]
+    asked = [(i, t) for i, (_, t, _) in enumerate(rows) if t][:60] + [(900, None), (901, "12 !"), (902, "qqq xyzzy"), (903, "the und le " * 3)]
+    model = language_id.fit(docs, *limits)
+    table = spark.createDataFrame(asked, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.predict(table, model, keep=["doc_id"]).select("row.*", "lang_pred", "score").collect()}
+    for (i, _), (lang, share) in zip(asked, plain_languages(train, [t for _, t in asked])):
+        assert got[i][0] == lang and got[i][1] == pytest.approx(share, abs=1e-6), i
+    assert (model.frequent.whole == {0, 1, 2, 3, 4}) == (limits[1] == 100_000)
+
+
 def test_grams_fall_back_to_shorter_ones():
     owner, _ = language_id.grams_of(["abc", "é"], 4)
     assert np.bincount(owner, minlength=2).tolist() == [2, 0]
