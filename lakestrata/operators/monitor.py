@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions import to_rows
+from lakestrata.operators.changes import snapshot_changes
 from lakestrata.operators.rules import Rules, passes
 
 
@@ -62,6 +63,16 @@ def reconcile_contents(landed: DataFrame, stored: DataFrame, by: str = "source_f
     return both.na.fill(0, ["landed", "stored"]).select(by, "landed", "stored", "same")
 
 
+def differing_rows(landed: DataFrame, stored: DataFrame, contents: DataFrame, by: str = "source_file") -> DataFrame:
+    """The rows in which the files differ that ``reconcile_contents`` found not to be the same, with ``_change_type``.
+
+    ``insert``: stored, but not landed in this form; ``delete``: landed, but not stored. Rows of the other files are not compared.
+    """
+    files = F.broadcast(contents.filter("NOT same").select(by))  # one row for each file that differs
+    sides = (t.join(files, by, "left_semi") for t in (landed, stored))
+    return snapshot_changes(*sides)
+
+
 def volume_check(
     df: DataFrame, period: Sequence[str], expected: int | Column, tol: float, periods: DataFrame | None = None
 ) -> DataFrame:

@@ -350,6 +350,8 @@ ORACLES: dict[str, str] = {
     ),
     "null_profile_files": f"{TRIPS} SELECT *, TRUE AS known FROM ({_nulls('trips')})",
     "silver_pruned": f"{TRIPS} SELECT * FROM silver",
+    "zone_map_scan": f"""{TRIPS} SELECT * FROM trips WHERE {TIMESTAMP} >= TIMESTAMP '1998-01-01'
+      AND {TIMESTAMP} < TIMESTAMP '1998-06-01' AND trip_distance BETWEEN 1 AND 5""",
     "null_rows_passenger": f"{TRIPS} SELECT * FROM trips WHERE passenger_count IS NULL",
     "expect_metrics": _expectations(),
     "expect_reference_bounds": _expectations(OWN_BOUNDS),
@@ -418,6 +420,10 @@ ORACLES: dict[str, str] = {
       CAST(0 AS BIGINT) AS diff FROM numbered GROUP BY 1""",
     "reconcile_contents": f"""{TRIPS} SELECT {_FILE} AS source_file, {_N} AS landed, {_N} AS stored,
       NOT bool_or(file_number = 2 AND payment_type = 2) AS same FROM numbered GROUP BY 1""",
+    "content_differences": f"""{TRIPS}, sevens AS (SELECT * EXCLUDE (file_number), {_FILE} AS source_file FROM numbered
+        WHERE file_number = 3 AND round(trip_distance) = 7)
+      SELECT *, 'delete' AS _change_type FROM sevens
+      UNION ALL SELECT * REPLACE (7.5::DOUBLE AS trip_distance), 'insert' FROM sevens""",
     "value_drift": _value_drift(),
     "metric_history": _history(),
     "volume_check": f"""{TRIPS},

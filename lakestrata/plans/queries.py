@@ -329,6 +329,16 @@ def silver_pruned(spark, sf_dir):
     return plan.silver_of_landing(spark, folder, SPEC).drop("ingestion_timestamp", "source_file")
 
 
+@query
+def zone_map_scan(spark, sf_dir):
+    """Trips of one month from a stored table, scanning the files alone that its zone map does not rule out."""
+    table, zones = scratch_table(spark, "bronze"), scratch_table(spark, "silver")
+    catalog.publish(trips(spark, sf_dir), table, cluster_by=[plan.TIMESTAMP], partitions=16)
+    found = statistics.refresh_zone_map(spark, table, zones)
+    low, high = plan.time_bounds(SPEC)[plan.TIMESTAMP]
+    return statistics.scan_within(spark, table, found, {plan.TIMESTAMP: (low, high), "trip_distance": (1.0, 5.0)})
+
+
 @query
 def null_rows_passenger(spark, sf_dir):
     return nulls.null_rows(trips(spark, sf_dir), "passenger_count")
@@ -646,6 +656,18 @@ def reconcile_contents(spark, sf_dir):
     return audit.content_audit(spark, landed(spark, sf_dir), spec, stored).withColumn("source_file", base_name())
 
 
+@query
+def content_differences(spark, sf_dir):
+    """The rows of bronze that are not as they landed."""
+    spec, folder = refreshed(spark, sf_dir), landed(spark, sf_dir)
+    kept = spark.table(spec.table("bronze")).drop("ingestion_timestamp")
+    other = F.col("source_file").endswith(SPEC.files[2]) & (F.round("trip_distance") == 7)
+    changed = kept.withColumn("trip_distance", F.when(other, 7.5).otherwise(F.col("trip_distance")))
+    landed_rows = plan.bronze(spark, folder, SPEC).drop("ingestion_timestamp")
+    same = audit.content_audit(spark, folder, spec, changed)
+    return monitor.differing_rows(landed_rows, changed, same).withColumn("source_file", base_name())
+
+
 @query
 def value_drift(spark, sf_dir):
     """Distances that are half as long again in the period, with the same nulls; the sketches of other years are merged."""

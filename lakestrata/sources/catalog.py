@@ -75,6 +75,11 @@ def property_of(spark: SparkSession, name: str, key: str) -> str | None:
     return found[0]["value"] if found else None
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    """The folder that holds the files of a table."""
+    return _detail(spark, name, "Location")
+
+
 def external_path(spark: SparkSession, name: str) -> str | None:
     """Where a table that was stored with a path of its own lies."""
     if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType != "EXTERNAL":

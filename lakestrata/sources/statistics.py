@@ -10,10 +10,13 @@ from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.functions import literal_rows
+from lakestrata.sources.catalog import publish, table_location
+from lakestrata.sources.files import list_files
+from lakestrata.sources.footers import Opener, footers_of
 
 # Least and largest value that are asked for, by column in lowercase; None where a side is open.
 Bounds = Mapping[str, tuple[Any, Any]]
@@ -84,3 +87,45 @@ def files_within(footer_rows: DataFrame, bounds: Bounds) -> DataFrame:
         of_column = F.filter("statistics", lambda s: F.lower(s["column"]) == wanted)
         kept = kept.withColumn("s", F.get(of_column, F.lit(0))).filter(F.col("s").isNull() | ~_outside(low, high))
     return kept.select("entry", "path")
+
+
+def within(bounds: Bounds) -> Column:
+    """Whether a row lies within all bounds; null does not."""
+    rules = F.lit(True)
+    for name, (low, high) in bounds.items():
+        column = F.col(f"`{name}`")
+        rules = rules & (F.lit(True) if low is None else column >= F.lit(low)) & (F.lit(True) if high is None else column <= F.lit(high))
+        rules = rules & column.isNotNull()
+    return rules
+
+
+def refresh_zone_map(spark: SparkSession, name: str, zones: str, opener: Opener | None = None, path: str | None = None) -> DataFrame:
+    """Bring the stored zone map ``zones`` of a table up to date with its files, and return it.
+
+    Only footers of files that the map does not hold are opened; files that the table has no more stay in it and are not
+    asked for. One row for each file and column.
+    """
+    place = table_location(spark, name)
+    listed = list_files(spark, place)
+    if spark.catalog.tableExists(zones):
+        listed = listed.join(spark.table(zones).select("path").distinct(), "path", "left_anti")
+    found = column_statistics(footers_of(listed, opener, statistics=True))
+    return publish(found, zones, mode="append", path=path)
+
+
+def scan_within(spark: SparkSession, name: str, zones: DataFrame, bounds: Bounds) -> DataFrame:
+    """The rows of a stored table within bounds, from the files alone that can have such rows by the zone map.
+
+    A file that the map does not know is scanned. The driver receives the paths of the files to scan.
+    """
+    place, table = table_location(spark, name), spark.table(name)
+    outside = F.lit(False)
+    for column, (low, high) in bounds.items():
+        outside = outside | ((F.col("s.column") == column.lower()) & _outside(low, high))
+    judged = zones.select("path", "n_rows", F.struct("column", "n_null", "low", "high").alias("s"))
+    ruled_out = judged.groupBy("path").agg(F.max(outside).alias("out")).filter("out").select("path")
+    paths = sorted(row["path"] for row in list_files(spark, place).join(ruled_out, "path", "left_anti").select("path").collect())
+    if not paths:
+        return table.limit(0)
+    rows = spark.read.schema(table.schema).option("basePath", place).parquet(*paths)
+    return rows.select(*table.columns).filter(within(bounds))

@@ -111,3 +111,38 @@ def test_a_schema_without_matching_files_keeps_its_place(spark):
 def test_bounds_of_the_period():
     low, high = plan.time_bounds(plan.Spec(year=2023, months=(1, 12)))[plan.TIMESTAMP]
     assert (low, high) == (datetime(2023, 1, 1), datetime(2023, 12, 31, 23, 59, 59, 999999))
+
+
+def test_a_stored_zone_map_is_brought_up_to_date(spark, monkeypatch):
+    from lakestrata.sources import ensure_namespaces, publish
+    from lakestrata.sources import statistics as module
+
+    ensure_namespaces(spark, {"zoned": "Zone maps"}, scratch_path(spark, "zoned"))
+    name, zones = "zoned.t", "zoned.t_zones"
+    publish(spark.range(0, 1000).selectExpr("id", "CAST(id % 2 AS int) AS p"), name, partition_by=["p"], cluster_by=["id"], partitions=4)
+    found = module.refresh_zone_map(spark, name, zones)
+    files = spark.table(name).inputFiles()
+    assert {r["path"] for r in found.collect()} == {f.replace("file:///", "file:/") for f in files}
+    opened = []
+    read = module.footers_of
+    monkeypatch.setattr(module, "footers_of", lambda listed, *a, **k: opened.append(listed.count()) or read(listed, *a, **k))
+    module.refresh_zone_map(spark, name, zones)
+    publish(spark.range(5000, 5010).selectExpr("id", "1 AS p").coalesce(1), name, mode="append", partition_by=["p"], rebalance=False)
+    found = module.refresh_zone_map(spark, name, zones)
+    assert opened == [0, 1]
+    for low, high, most in ((5003, None, 1), (10, 20, 2), (None, None, len(files) + 1), (2000, 3000, 0)):
+        part = module.scan_within(spark, name, found, {"id": (low, high)})
+        whole = spark.table(name).filter(f"id >= {low if low is not None else 0} AND id <= {high or 9999}")
+        assert rows(part) == rows(whole) and part.columns == whole.columns
+        assert len(part.inputFiles()) <= most
+
+
+def test_files_that_the_zone_map_does_not_know_are_scanned(spark):
+    from lakestrata.sources import ensure_namespaces, publish
+    from lakestrata.sources.statistics import refresh_zone_map, scan_within
+
+    ensure_namespaces(spark, {"zoned": "Zone maps"}, scratch_path(spark, "zoned"))
+    publish(spark.range(10).coalesce(1), "zoned.late")
+    zones = refresh_zone_map(spark, "zoned.late", "zoned.late_zones")
+    publish(spark.range(10, 20).coalesce(1), "zoned.late", mode="append")
+    assert rows(scan_within(spark, "zoned.late", zones, {"id": (9, 11)})) == [(10,), (11,), (9,)]
