@@ -5,7 +5,9 @@ negative rank, so that sentencepiece merges in rank order. The normaliser is the
 pre-tokens by the public pattern; each is mapped to characters and encoded separately. Decoding maps pieces back to
 bytes. The model is not trained, only written down.
 
-Cases: a null or empty text has no ids and decodes to no bytes. Repeated rows are encoded alike.
+Cases: a null or empty text has no ids and decodes to no bytes. Texts of any length are encoded whole, slice by slice of a
+batch. Equal rows are encoded alike and repeated ids do not matter. Of two ways to merge, the lower rank wins, then the left one;
+there are no other ties. An empty table gives no rows. Other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations

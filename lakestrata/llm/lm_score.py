@@ -14,7 +14,9 @@ then leave them out of the join. Pairs and words that the models have not seen t
 in this way still count in the totals of their first word and are scored by the unigram part.
 
 Cases: null texts and texts without words have no tokens, and losses and score 0. Without target documents both
-models are the background. Repeated rows count and are scored each. Ids do not matter to a score.
+models are the background. Repeated rows count and are scored each. Ids do not matter to a score, and neither do ties, as nothing is
+ranked. Texts of any length are read whole; a text's distinct pairs are one list. An empty table gives no rows. Other columns
+are carried along, whatever their names.
 """
 
 from __future__ import annotations

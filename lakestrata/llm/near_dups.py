@@ -14,7 +14,10 @@ Pairs inside a component change nothing and are never listed. Components come fr
 jumping on stored tables.
 
 Cases: texts without words have an empty set and are linked with nothing. Rows of one id are judged by their own text;
-copies of a row share its result. A null id is never the name of a component unless all its ids are null.
+copies of a row share its result. A null id is never the name of a component unless all its ids are null. A text of any
+length has one sketch and one full set. Of equally central classes of a bucket the one with the largest hash is the pivot,
+which changes no component; a component is named after its smallest id. An empty table gives no rows. Other columns are
+carried along, whatever their names.
 Missing a pair of similarity 0.75 in all bands has a probability of 3e-7.
 """
 

@@ -9,7 +9,9 @@ It is fitted by Adagrad in one task, on at most ``SAMPLE`` labelled documents, a
 every document without a shuffle. Labels, language, source and id are never inputs.
 
 Cases: null and empty texts are scored by their structure (all zero). Without labels of both kinds the score is 0.5.
-Repeated rows are scored alike.
+Repeated rows are scored alike, and as one document when they are learned from. Of labelled documents with equal hashes of
+the id the smaller id is taken first. Texts of any length are scored whole. An empty table gives no rows. Other columns are
+carried along, whatever their names.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ taken away and the next rule is grown on what remains.
 
 Cases: a null or empty text has no words, so it fails the base rule. Repeated rows and repeated ids are judged
 one by one and alike. An empty table gives an empty result; without labels of both kinds, only the base rule
-holds. A null id is never learned from but is judged.
+holds. A null id is never learned from but is judged. Texts of any length are counted whole. Of conditions of equal gain the
+feature named first in ``FEATURES`` wins, then the lower bound and "at least". A list has at most ``most_rules`` rules of
+at most ``most_conditions`` conditions. Other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations

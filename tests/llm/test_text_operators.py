@@ -260,6 +260,43 @@ def test_rules_on_held_out_labels(spark):
     assert sum(not r.kept for r in rows if r.quality == 0) >= 0.9 * sum(r.quality == 0 for r in rows)
 
 
+def test_a_condition_is_the_best_of_all():
+    """Growing a rule next to a search over every feature, bound and side."""
+    r = np.random.default_rng(5)
+    for _ in range(20):
+        x = {n: r.integers(0, 6, 60).astype(float) for n in "abc"}
+        bad = (x["a"] >= 3) & (x["b"] < 4) ^ (r.random(60) < 0.1)
+        p, n = int(bad.sum()), int((~bad).sum())
+        if not p or not n:
+            continue
+
+        def gain(mask, p=p, n=n, bad=bad):
+            pos = int((mask & bad).sum())
+            return pos * (np.log2(pos / mask.sum()) - np.log2(p / (p + n))) if pos else 0.0
+
+        every = [
+            gain((v >= b) if above else (v < b))
+            for v in x.values() for b in (np.unique(v)[1:] + np.unique(v)[:-1]) / 2 for above in (True, False)
+        ]
+        first = quality_rules._grow(x, bad, 1)
+        assert (gain(quality_rules._holds(x, first)) if first else 0.0) == pytest.approx(max(every))
+
+
+def test_the_learned_list_judges_as_plain_python_does(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = documents(spark, sf_dir)
+    rules = quality_rules.fit(docs, documents(spark, sf_dir, "labels"))
+    assert rules
+    for row in quality_rules.apply_rules(docs, rules, keep=["doc_id"]).collect():
+        value = {}
+        for name, text in quality_rules.FEATURES.items():
+            top, _, below = text.partition(" / ")
+            value[name] = (row[top] / row[below] if row[below] else 0.0) if below else float(row[top])
+        first = next((i for i, rule in enumerate(rules, 1) if all((value[n] >= b) == above for n, above, b in rule.conditions)), None)
+        failed = row.n_words < 50 or 100 * row.n_repeat_words > 50 * row.n_words
+        assert (row.rule, row.kept) == ((0, False) if failed else (first, first is None))
+
+
 def test_language_of_held_out_texts(spark):
     docs = documents(spark, "/root/testdata/sf0.01")
     got = language_id.op7_language_id(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang", "text"), "doc_id")
