@@ -76,13 +76,14 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
 
 
 def windows_of(items: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """(wid, terms) of the distinct windows of all items, and (wid, item_id) of the items that have them."""
+    """(wid, terms) of the distinct windows of all items, numbered, and (wid, item_id) of the items that have them."""
     found = items.select("item_id", lowered_words("text").alias("w")).filter("size(w) > 0")
     starts = F.sequence(F.lit(0), F.greatest(F.size("w") - size, F.lit(0)))
     cut = found.select("item_id", "w", F.explode(starts).alias("i"))
     cut = cut.select("item_id", F.slice("w", F.col("i") + 1, F.lit(size)).alias("terms"))
-    has = stored(cut.withColumn("wid", F.sha2(F.array_join("terms", " ").cast("binary"), 256)).distinct(), "windows")
-    return has.select("wid", "terms").distinct(), has.select("wid", "item_id").distinct()
+    has = stored(cut.distinct(), "windows-of-items")
+    windows = stored(has.select("terms").distinct().withColumn("wid", F.monotonically_increasing_id()), "windows")
+    return windows.select("wid", "terms"), has.join(windows, "terms").select("wid", "item_id")
 
 
 def build_index(texts: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -110,50 +111,62 @@ def ranked(windows: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def candidates(postings: DataFrame, places: DataFrame, lists: int = LISTS, slop: int = SLOP) -> DataFrame:
-    """(d, h, wid, rare, starts): where the rarest term of a window, at place ``rare``, has positions that put the window's start
-    in a cell in which the shifted lists of its ``lists`` rarest terms meet.
+    """(d, h, wid, len, starts): where the rarest term of a window has positions that put the window's start in a cell in which
+    the shifted lists of its ``lists`` rarest terms meet.
 
     Every start that has all of these terms within ``slop`` of their places is among them.
     """
     rare = stored(places.filter(F.col("rank") <= lists), "rare")
     shifted = postings.join(small(rare), "term").select(
-        "d", "h", "wid", "rank", (F.col("pos") - F.col("at")).alias("start"), "at", F.least("len", F.lit(lists)).alias("need")
+        "d", "h", "wid", "len", "rank", (F.col("pos") - F.col("at")).alias("start"), F.least("len", F.lit(lists)).alias("need")
     )
     # The rarest term's start belongs to the cells that a start within slop of it can be in: mostly one, at most two.
     first = F.col("rank") == 1
     cells = lambda *by: F.array_distinct(F.array(*[F.floor((F.col("start") + i) / CELL) for i in by]))
     cell = F.explode(F.when(first, cells(-slop, slop)).otherwise(cells(0)))
-    met = shifted.select("d", "h", "wid", "need", "rank", "start", "at", cell.alias("cell"))
-    both = met.groupBy("d", "h", "wid", "need", "cell").agg(
+    met = shifted.select("d", "h", "wid", "len", "need", "rank", "start", cell.alias("cell"))
+    both = met.groupBy("d", "h", "wid", "len", "need", "cell").agg(
         F.bit_count(F.bit_or(F.expr("shiftleft(1, rank)"))).alias("n"),
         F.collect_set(F.when(first, F.col("start"))).alias("starts"),
-        F.max(F.when(first, F.col("at"))).alias("rare"),
     )
-    return both.filter("n = need").select("d", "h", "wid", "rare", "starts")
+    return both.filter("n = need").select("d", "h", "wid", "len", "starts")
 
 
 def matches(texts: DataFrame, found: DataFrame, windows: DataFrame, slop: int = SLOP) -> DataFrame:
     """(d, h, wid, start, len, exact) of the windows at starts of candidates that the text's words bear out; stored.
 
-    Each text's words are cut once and met by the list of its candidates, which its own length bounds.
+    Only texts with candidates take part. Their words are cut once and met by the list of the text's candidates, and each
+    candidate goes on with the few words around it. What is broadcast is bounded by counts of rows of a few numbers, or of windows.
     """
-    asked = stored(found, "candidates").join(small(stored(windows, "searched")), "wid")
-    each = asked.select("d", "h", "wid", "terms", F.explode("starts").alias("start")).distinct()
-    lists = each.groupBy("d", "h").agg(F.collect_list(F.struct("wid", "terms", "start")).alias("asked"))
+    each = stored(found.select("d", "h", "wid", "len", F.explode("starts").alias("start")).distinct(), "candidates")
+    lists = each.groupBy("d", "h").agg(F.collect_list(F.struct("wid", "len", "start")).alias("asked"))
     lists = stored(lists, "candidate-lists")
-    words_of = texts.join(small(lists), ["d", "h"]).select("d", "h", lowered_words("text").alias("w"), "asked")
-
-    def judged(c: Column) -> Column:
-        here = F.when(c["start"] >= 0, F.slice("w", F.greatest(c["start"] + 1, F.lit(1)).cast("int"), F.size(c["terms"])))
-        exact = F.coalesce(here == c["terms"], F.lit(False))
-        lo = lambda i: F.greatest(c["start"] + i + 1 - slop, F.lit(1)).cast("int")
-        hi = lambda i: (c["start"] + i + 1 + slop).cast("int")
-        around = lambda t, i: (hi(i) >= 1) & F.array_contains(F.slice("w", lo(i), F.greatest(hi(i) - lo(i) + 1, F.lit(0))), t)
-        near = F.forall(F.transform(c["terms"], around), lambda x: x)
-        return F.struct(c["wid"].alias("wid"), c["start"].alias("start"), F.size(c["terms"]).alias("len"), exact.alias("exact"), (exact | near).alias("near"))
-
-    borne = words_of.select("d", "h", F.inline(F.filter(F.transform("asked", judged), lambda m: m["near"])))
-    return stored(borne.drop("near"), "matches")
+    few = texts.join(small(lists.select("d", "h")), ["d", "h"], "left_semi")
+    if each.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        lists = F.broadcast(lists)
+    words_of = few.join(lists, ["d", "h"]).select("d", "h", lowered_words("text").alias("w"), "asked")
+
+    def around(c: Column) -> Column:
+        """The words from ``slop`` before the window's place to ``slop`` behind it, and how many of them come before."""
+        first = F.greatest(c["start"] - slop, F.lit(0))
+        n = F.greatest(c["start"] + c["len"] + slop - first, F.lit(0))
+        near = F.slice("w", (first + 1).cast("int"), n.cast("int"))
+        return F.struct(c["wid"].alias("wid"), c["start"].alias("start"), (c["start"] - first).alias("before"), near.alias("near"))
+
+    met = words_of.select("d", "h", F.inline(F.transform("asked", around))).join(small(stored(windows, "searched")), "wid")
+
+    def at(i: Column, out: int) -> Column:
+        return F.col("before") + i + 1 + out
+
+    def has(term: Column, i: Column) -> Column:
+        first = F.greatest(at(i, -slop), F.lit(1))
+        return F.array_contains(F.slice("near", first.cast("int"), F.greatest(at(i, slop) - first + 1, F.lit(0)).cast("int")), term)
+
+    same = F.when(F.col("before") >= 0, F.slice("near", (F.greatest("before", F.lit(0)) + 1).cast("int"), F.size("terms")) == F.col("terms"))
+    exact = F.coalesce(same, F.lit(False))
+    near = F.forall(F.transform("terms", has), lambda x: x)
+    borne = met.select("d", "h", "wid", "start", F.size("terms").alias("len"), exact.alias("exact"), near.alias("near"))
+    return stored(borne.filter("exact OR near").drop("near"), "matches")
 
 
 def hits(found: DataFrame, owners: DataFrame) -> DataFrame:
