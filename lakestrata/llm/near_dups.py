@@ -30,12 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import as_bytes, documents, named, released, ship, slices, stored
+from lakestrata.llm.common import as_bytes, bounded, documents, named, released, ship, slices, stored
 from lakestrata.llm.words import Words, mix
 
 SHINGLE = 5
 PERCENT = 75
 BANDS, ROWS = 40, 4
+FEW_KEYS = 200_000  # buckets of which a row each may be broadcast
 SKETCH = "n_shingles long, node binary, bands array<bigint>"
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW = np.uint64((1 << 40) - 1)
@@ -208,7 +209,7 @@ def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The members, with their component, of the buckets that more than one component shares."""
     now = members.join(labels, "node")
     mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-    return stored(now.join(mixed, "key"), "left")
+    return stored(now.join(bounded(stored(mixed, "mixed"), FEW_KEYS), "key"), "left")
 
 
 def linked(members: DataFrame, texts: DataFrame, percent: int = PERCENT, stars: int = 1) -> DataFrame:
@@ -253,7 +254,9 @@ def linked(members: DataFrame, texts: DataFrame, percent: int = PERCENT, stars:
         y = left.select("key", "weight", F.col("node").alias("b"), *[F.col(c).alias(f"{c}b") for c in columns])
         if round_ < stars:
             top = F.max(F.struct("weight", "b", *[f"{c}b" for c in columns])).alias("y")
-            y = y.groupBy("key").agg(top).select("key", "y.*")
+            # One row for each bucket: stored, so that the members of a hot bucket are met where they lie, or at least can be
+            # split among tasks.
+            y = bounded(stored(y.groupBy("key").agg(top).select("key", "y.*"), "stars"), FEW_KEYS)
         most = F.least("commona", "commonb") + F.least("outsidea", "outsideb")
         able = (
             (F.col("compa") != F.col("compb"))
