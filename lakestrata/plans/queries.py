@@ -199,7 +199,7 @@ def stream_drifting(spark, sf_dir):
 def inventory_news(spark, sf_dir):
     """What three recorded entries leave new, with the rows that the footers of these alone tell."""
     folder, table = landed(spark, sf_dir), scratch_table(spark, "bronze")
-    inventory.record(spark, folder, table, SPEC.files[:3])
+    inventory.record(inventory.listing(spark, folder, SPEC.files[:3]), table)
     found = inventory.differences(spark, folder, table, SPEC.files)
     rows = footers.read_footers(spark, folder, inventory.unseen(spark, folder, table, SPEC.files))
     counts = monitor.landed_counts(rows).withColumnRenamed("source_file", "entry")

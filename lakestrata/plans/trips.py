@@ -361,10 +361,9 @@ def _rules_mark(spec: Spec) -> str:
     return hashlib.sha256(_rules_text(spec).encode()).hexdigest()
 
 
-def _finish(spark: SparkSession, spec: Spec, landing: str, names: list[str] | None, location: str | None) -> None:
+def _finish(spark: SparkSession, spec: Spec, listed: DataFrame, mode: str, location: str | None) -> None:
     """Enter the files that all layers now have, and mark the layers; a run that stops before leaves the files new."""
-    mode = "append" if names else "overwrite"
-    inventory.record(spark, landing, spec.inventory, names or spec.files, mode, _beside(spec, spec.inventory, location))
+    inventory.record(listed, spec.inventory, mode, _beside(spec, spec.inventory, location))
     run = uuid.uuid4().hex
     describe_dataset(spark, spec.table("silver"), properties={RULES: _rules_mark(spec)})
     for layer in NAMESPACES:
@@ -383,11 +382,12 @@ def _tables(spark: SparkSession, spec: Spec) -> dict[str, DataFrame]:
 def refresh_trips(spark: SparkSession, spec: Spec, landing: str, location: str | None = None) -> dict[str, DataFrame]:
     """Create the namespaces and recompute all tables and views."""
     ensure_namespaces(spark, {spec.namespace(layer): note for layer, note in NAMESPACES.items()}, location)
+    listed = inventory.listing(spark, landing, spec.files)
     refresh(spark, datasets(spec, landing, location)[:2])
     _store_states(spark, spec, None, location)
     refresh(spark, [_gold_from_states(spec, landing, location)], views(spec))
     _enter(spark, spec, spark.table(spec.table("bronze")), "overwrite", location)
-    _finish(spark, spec, landing, None, location)
+    _finish(spark, spec, listed, "overwrite", location)
     return _tables(spark, spec)
 
 
@@ -465,10 +465,12 @@ def refresh_new_trips(
         new = inventory.unseen(spark, landing, spec.inventory, spec.files)
         if not new:
             return _tables(spark, spec)
+        listed = inventory.listing(spark, landing, new)
         if _add_files(spark, spec, landing, new, location):
             refresh(spark, [_gold_from_states(spec, landing, location)], views(spec))
-            _finish(spark, spec, landing, new, location)
+            _finish(spark, spec, listed, "append", location)
             return _tables(spark, spec)
+    listed = inventory.listing(spark, landing, spec.files)
     bronze_table = spec.table("bronze")
     added = ingest_new(spark, landing, bronze_table, spec.files, CASTS, fmt=spec.fmt)
     if spec.change_feed and added:
@@ -483,5 +485,5 @@ def refresh_new_trips(
             _commit(spark, spec, "silver", pending, location)
     _store_states(spark, spec, None, location)
     refresh(spark, [_gold_from_states(spec, landing, location)], views(spec))
-    _finish(spark, spec, landing, None, location)
+    _finish(spark, spec, listed, "overwrite", location)
     return _tables(spark, spec)

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.session import scratch_path
 from lakestrata.sources.catalog import publish
 from lakestrata.sources.files import list_files
 
@@ -53,9 +54,16 @@ def unseen(spark: SparkSession, landing: str, table: str, names: Sequence[str] |
     return sorted(row["entry"][prefix:] for row in found)
 
 
-def record(
-    spark: SparkSession, landing: str, table: str, names: Sequence[str] | None = None, mode: str = "append", path: str | None = None
-) -> DataFrame:
-    """Enter the files of the named entries, or of all, as taken in. ``overwrite`` starts the inventory anew."""
-    rows = list_files(spark, landing, names).withColumn("recorded", F.current_timestamp())
-    return publish(rows, table, mode=mode, path=path)
+def listing(spark: SparkSession, landing: str, names: Sequence[str] | None = None) -> DataFrame:
+    """The files of the named entries, or of all, as they are now, kept under the shared folder.
+
+    Taken before rows are read, and entered afterwards: what lands or changes meanwhile differs from it and is seen by the next run.
+    """
+    place = scratch_path(spark, "listing")
+    list_files(spark, landing, names).write.parquet(place)
+    return spark.read.parquet(place)
+
+
+def record(listed: DataFrame, table: str, mode: str = "append", path: str | None = None) -> DataFrame:
+    """Enter listed files as taken in. ``overwrite`` starts the inventory anew."""
+    return publish(listed.withColumn("recorded", F.current_timestamp()), table, mode=mode, path=path)

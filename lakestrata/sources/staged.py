@@ -2,7 +2,7 @@
 
 The rows are written once, under a name of their own. The audit reads what was stored. Only then are the names in the
 catalog exchanged, which touches no row. A run that fails before leaves the table as it was, and a run that ends between
-the two renames is put right by the next one. Readers never see rows that failed.
+the two renames is put right by the next one. Readers never see rows that failed. One run at a time may replace a table.
 """
 
 from __future__ import annotations

@@ -28,12 +28,16 @@ def space(spark):
     return "stock"
 
 
+def record(spark, folder, table, names=None, mode="append"):
+    inventory.record(inventory.listing(spark, folder, names), table, mode)
+
+
 def test_only_what_is_not_recorded_is_new(spark, folder, space):
     table = f"{space}.one"
     assert inventory.unseen(spark, folder, table) == ["a.parquet", "b.parquet"]
-    inventory.record(spark, folder, table, ["a.parquet"])
+    record(spark, folder, table, ["a.parquet"])
     assert inventory.unseen(spark, folder, table) == ["b.parquet"]
-    inventory.record(spark, folder, table, ["b.parquet"])
+    record(spark, folder, table, ["b.parquet"])
     assert inventory.unseen(spark, folder, table) == []
     spark.range(2).write.parquet(f"{folder}/c.parquet")
     assert inventory.unseen(spark, folder, table, ["a.parquet", "b.parquet"]) == []
@@ -42,12 +46,12 @@ def test_only_what_is_not_recorded_is_new(spark, folder, space):
 
 def test_an_entry_delivered_again_is_refused(spark, folder, space):
     table = f"{space}.two"
-    inventory.record(spark, folder, table)
+    record(spark, folder, table)
     spark.range(9).write.mode("append").parquet(f"{folder}/b.parquet")
     with pytest.raises(inventory.ChangedDelivery, match="b.parquet"):
         inventory.unseen(spark, folder, table)
     assert inventory.unseen(spark, folder, table, ["a.parquet"]) == []
-    inventory.record(spark, folder, table, mode="overwrite")
+    record(spark, folder, table, mode="overwrite")
     assert inventory.unseen(spark, folder, table) == []
     part = next(f for f in os.listdir(f"{folder}/a.parquet") if f.endswith(".parquet"))
     os.utime(f"{folder}/a.parquet/{part}", (1, 1))
@@ -151,6 +155,38 @@ def test_a_run_that_stopped_half_way_is_completed(spark, landing, monkeypatch, s
         assert found.count() == found.filter("_change_type = 'insert'").count() == wanted > 0
 
 
+def test_a_file_that_lands_during_a_run_is_taken_in_by_the_next(spark, landing, monkeypatch):
+    spec, location = spec_of("meanwhile"), scratch_path(spark, "tables")
+    folder = write_some(spark, landing, SPEC.files[:3])
+    names = list(spec.files)
+    monkeypatch.setattr(plan.Spec, "files", property(lambda self: [n for n in names if os.path.exists(f"{folder}/{n}")]))
+    store = plan._store_states
+
+    def late(*args):
+        name = next(n for n in names if not os.path.exists(f"{folder}/{n}"))
+        os.symlink(f"{landing}/{name}", f"{folder}/{name}")
+        monkeypatch.setattr(plan, "_store_states", store)
+        return store(*args)
+
+    for run in (plan.refresh_trips, plan.refresh_new_trips):
+        monkeypatch.setattr(plan, "_store_states", late)
+        run(spark, spec, folder, location)  # the fourth file lands; then it is taken in, and the fifth lands
+    assert spark.table(spec.table("bronze")).select("source_file").distinct().count() == 4
+    plan.refresh_new_trips(spark, spec, folder, location)
+    full = spec_of("meanwhile_full")
+    plan.refresh_trips(spark, full, folder, scratch_path(spark, "tables"))
+    assert tables_of(spark, spec) == tables_of(spark, full)
+
+
+def test_states_and_new_rows_are_read_by_the_names_of_their_files(spark, landing):
+    spec, location = spec_of("named"), scratch_path(spark, "tables")
+    plan.refresh_trips(spark, spec, landing, location)
+    for layer in ("bronze", "silver"):
+        rows_ = spark.table(spec.table(layer)).filter(F.col("source_file").isin([f"{landing}/{SPEC.files[4]}"]))
+        text = rows_._jdf.queryExecution().executedPlan().toString()
+        assert "EqualTo(source_file," in text or "In(source_file," in text
+
+
 def test_verify_compares_every_layer(spark, landing):
     spec, location = spec_of("verified"), scratch_path(spark, "tables")
     plan.refresh_trips(spark, spec, landing, location)
