@@ -17,7 +17,7 @@ turn of each role and text, so no key is worked on by one task as a group.
 
 Results: a null id is a conversation of its own, with rows like any other. Null roles and texts must be replaced before (the query takes one
 space). Rows of one turn, null turns first, come in the order of role and text; an equal row is a duplicate of the first.
-Texts of any length are kept whole. An empty table gives no rows. A number of turns that does not fit a long is
+Texts of any length are kept whole; bytes that are not UTF-8 become replacement characters. An empty table gives no rows. A number of turns that does not fit a long is
 null. Further columns are ignored, whatever their names.
 """
 
@@ -177,6 +177,7 @@ def outcome(edits: str, state: int, live: Iterator[tuple[str, str]]) -> tuple[li
 def faulted(rows: DataFrame) -> DataFrame:
     """``conv_id, turn, role, text, symbol, n`` of the different rows: initial and first fault, and the number of equal rows."""
     white = F.lit(" \t\n\x0b\x0c\r")
+    rows = rows.select("conv_id", "turn", *[F.make_valid_utf8(c).alias(c) for c in ("role", "text")])
     turn = F.struct(F.col("turn").isNotNull().alias("known"), "turn")  # a null turn is the first
     counted = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n"))
     first = counted.groupBy("conv_id", "role", "text").agg(F.min(turn).alias("first"))

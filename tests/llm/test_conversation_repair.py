@@ -114,6 +114,13 @@ def test_one_conversation_over_many_tasks(spark):
     assert found.repaired_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_bytes_that_are_not_utf8(spark):
+    df = spark.sql("SELECT 1L AS conv_id, 0L AS turn, 'user' AS role, CAST(X'FF612E' AS STRING) AS text UNION ALL SELECT 1, 1, 'assistant', 'b.'")
+    (found,) = repair(df).collect()
+    assert (found.cost, found.audit) == (0, "KK")
+    assert found.repaired_sha256 == hashlib.sha256("user:\ufffda.\nassistant:b.".encode()).hexdigest()
+
+
 def test_empty_table_and_a_conversation_without_rows(spark, monkeypatch):
     gone = next(i for i in range(100) if __import__("zlib").crc32(f"{i}:0".encode()) % 20 == 0)
     found = query(spark, [(gone, 0, "user", "Hi.")], monkeypatch)
