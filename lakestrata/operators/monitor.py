@@ -66,11 +66,11 @@ def reconcile_contents(landed: DataFrame, stored: DataFrame, by: str = "source_f
 def differing_rows(landed: DataFrame, stored: DataFrame, contents: DataFrame, by: str = "source_file") -> DataFrame:
     """The rows in which the files differ that ``reconcile_contents`` found not to be the same, with ``_change_type``.
 
-    ``insert``: stored, but not landed in this form; ``delete``: landed, but not stored. Rows of the other files are not compared.
+    ``insert``: stored, but not landed in this form; ``delete``: landed, but not stored. The driver receives the names of the files
+    that differ, which the scans are filtered by: rows of the other files are not read again.
     """
-    files = F.broadcast(contents.filter("NOT same").select(by))  # one row for each file that differs
-    sides = (t.join(files, by, "left_semi") for t in (landed, stored))
-    return snapshot_changes(*sides)
+    files = sorted(row[by] for row in contents.filter("NOT same").select(by).collect())
+    return snapshot_changes(*(t.filter(F.col(by).isin(files)) for t in (landed, stored)))
 
 
 def volume_check(

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.operators.monitor import (
     content_checksums,
+    differing_rows,
     landed_counts,
     even_share,
     metric_outliers,
@@ -152,6 +153,16 @@ def test_one_changed_value_is_reported(spark):
     assert same(spark.createDataFrame(moved, schema))["a"] is False
 
 
+def test_the_rows_that_differ(spark):
+    made = [("a", 1, 2.5), ("a", 2, 3.5), ("b", 3, 1.0), ("b", 3, 1.0)]
+    landed = spark.createDataFrame(made, "source_file string, k int, v double")
+    stored = spark.createDataFrame([*made[:1], ("a", 2, 3.6), *made[2:]], landed.schema)
+    contents = reconcile_contents(content_checksums(landed), content_checksums(stored))
+    found = differing_rows(landed, stored, contents)
+    assert rows(found, "source_file", "k", "v", "_change_type") == [("a", 2, 3.5, "delete"), ("a", 2, 3.6, "insert")]
+    assert differing_rows(landed, landed, reconcile_contents(content_checksums(landed), content_checksums(landed))).count() == 0
+
+
 def test_a_planted_outlier_is_the_only_one(spark):
     import random
 
