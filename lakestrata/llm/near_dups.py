@@ -36,7 +36,7 @@ from lakestrata.llm.words import Words, mix
 SHINGLE = 5
 PERCENT = 75
 BANDS, ROWS = 40, 4
-FEW_KEYS = 200_000  # buckets of which a row each may be broadcast
+FEW_KEYS = 200_000  # buckets or components of which a row each may be broadcast
 SKETCH = "n_shingles long, node binary, bands array<bigint>"
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW = np.uint64((1 << 40) - 1)
@@ -290,7 +290,7 @@ def near_groups(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, percent:
     members = stored(one.join(shared, "key"), "members")
     labels = linked(members, _texts(docs, classes, members), percent)
     grouped = labels.join(classes.select("node", "row"), "node")
-    firsts = grouped.groupBy("comp").agg(F.min("row").alias("top"))
+    firsts = bounded(stored(grouped.groupBy("comp").agg(F.min("row").alias("top")), "firsts"), FEW_KEYS)
     tops = grouped.join(firsts, "comp").select("node", "top")
     names = classes.select("node", "row").join(tops, "node", "left").select("node", F.coalesce("top", "row").alias("top"))
     found = made.select("doc_id", "f", "n_shingles", "node").join(stored(names, "names"), "node", "left")
