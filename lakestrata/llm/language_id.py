@@ -36,7 +36,7 @@ NOT_LETTERS = r"[^\p{L}]+"
 LENGTHS = (4, 3, 2, 1)
 WORDS, GRAMS = 200_000, 100_000  # the most frequent ones, n-grams of each length, that are sent to the tasks
 SMOOTH = 0.5
-SLICE = 8 << 20
+SLICE = 4 << 20
 UNKNOWN = "und"
 
 
