@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,22 +34,33 @@ def reconcile_counts(landed: DataFrame, stored: DataFrame) -> DataFrame:
 
 # Two independent hashes of a row: seeds that its columns are hashed on.
 _SEEDS = (7, 7_919)
+# A hash is added up in three pieces, the lower two of so many bits: sums of 2**41 of them still are 64-bit numbers.
+_PIECE = 21
+
+
+def _exact_sum(number: Column) -> Column:
+    """The sum of 64-bit numbers as text, whatever its size. Decimals are made of the sums of a group, not of each row."""
+    low = F.lit((1 << _PIECE) - 1)
+    pieces = (number.bitwiseAND(low), F.shiftright(number, _PIECE).bitwiseAND(low), F.shiftright(number, 2 * _PIECE))
+    scales = (F.lit(1 << i * _PIECE).cast("decimal(13,0)") for i in range(3))
+    lowest, middle, highest = (F.sum(piece).cast("decimal(19,0)") * scale for piece, scale in zip(pieces, scales))
+    return (highest + middle + lowest).cast("string")
 
 
 def content_checksums(df: DataFrame, columns: Sequence[str] | None = None, by: str = "source_file") -> DataFrame:
     """``source_file, n_rows, sum_1, sum_2``: the rows of each file as a multiset, whatever their order or storage.
 
     Each row has two 64-bit hashes, and each file the sums of both, added up exactly. Which columns are null is hashed as well,
-    since a hash skips nulls. Zeros are alike whatever their sign. One pass, with partial sums before the shuffle.
+    since a hash skips nulls; rows without any share one text for it. Zeros are alike whatever their sign. One pass, with partial
+    sums before the shuffle.
     """
     used = [c for c in (df.columns if columns is None else columns) if c != by]
     floats = {f.name for f in df.schema if f.dataType.typeName() in ("float", "double")}
     values = [F.col(f"`{c}`") + F.lit(0.0) if c in floats else F.col(f"`{c}`") for c in used]
-    absent = F.concat(F.lit(""), *[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in used])
-    sums = [
-        F.sum(F.xxhash64(F.lit(seed), absent, *values).cast("decimal(38,0)")).cast("string").alias(f"sum_{i}")
-        for i, seed in enumerate(_SEEDS, 1)
-    ]
+    missing = [F.col(f"`{c}`").isNull() for c in used]
+    absent = F.concat(F.lit(""), *[F.when(none, "1").otherwise("0") for none in missing])
+    absent = F.when(reduce(or_, missing, F.lit(False)), absent).otherwise("0" * len(used))
+    sums = [_exact_sum(F.xxhash64(F.lit(seed), absent, *values)).alias(f"sum_{i}") for i, seed in enumerate(_SEEDS, 1)]
     return df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), *sums)
 
 

@@ -2,6 +2,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from lakestrata.operators.monitor import (
+    _exact_sum,
     content_checksums,
     differing_rows,
     landed_counts,
@@ -153,6 +154,25 @@ def test_one_changed_value_is_reported(spark):
     assert same(spark.createDataFrame(moved, schema))["a"] is False
 
 
+def test_checksums_are_exact_sums_without_a_decimal_for_each_row(spark):
+    df = spark.range(3000).selectExpr(
+        "concat('f', id % 3) AS source_file", "CASE WHEN id % 7 > 0 THEN id END AS k", "if(id % 5 = 0, NULL, id / 3 - 200) AS v"
+    )
+    absent = "concat(if(k IS NULL, '1', '0'), if(v IS NULL, '1', '0'))"
+    hashes = df.selectExpr("source_file", *(f"xxhash64({seed}, {absent}, k, v + 0.0D) AS h{i}" for i, seed in ((1, 7), (2, 7919))))
+    want = {}
+    for r in hashes.collect():
+        n, one, two = want.get(r.source_file, (0, 0, 0))
+        want[r.source_file] = (n + 1, one + r.h1, two + r.h2)
+    found = content_checksums(df)
+    assert {r.source_file: (r.n_rows, int(r.sum_1), int(r.sum_2)) for r in found.collect()} == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    partial = [line for line in plan.splitlines() if "partial_sum(" in line]
+    assert partial and not any("as decimal" in line for line in partial)
+    extreme = spark.createDataFrame([(-(2**63),)] * 3 + [(2**63 - 1,)] * 2 + [(-1,), (0,), (None,)], "x long")
+    assert int(extreme.agg(_exact_sum(F.col("x"))).first()[0]) == -3 * 2**63 + 2 * (2**63 - 1) - 1
+
+
 def test_the_rows_that_differ(spark):
     made = [("a", 1, 2.5), ("a", 2, 3.5), ("b", 3, 1.0), ("b", 3, 1.0)]
     landed = spark.createDataFrame(made, "source_file string, k int, v double")
