@@ -6,6 +6,9 @@ the document: low scores read like the target. The models are word bigrams, inte
 unigrams with add-``ALPHA`` smoothing; words outside the vocabulary are one unknown word, and a text starts
 after a start mark.
 
+``fit`` and ``score`` are for models that are applied to other documents. The documents that the models were made of are scored by
+``lm_corpus``, with the same losses and without stored models.
+
 All words and all pairs of all documents are kept, so both models grow with the corpus and each distribution sums to 1. They
 are stored tables, keyed by the words themselves. A document's distinct pairs are joined with the table of pairs; only
 the pairs that make up ``HOT_PAIR`` of the background or of the target (so at most 500,000) are sent to the tasks, which
@@ -31,8 +34,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.llm.common import bounded, distinct_words, documents, named, released, ship, slices, stored, summed, unpacked
+from lakestrata.llm.lm_corpus import ALPHA, score_corpus
 
-ALPHA = 0.1
 SLICE = 16 << 20
 HOT_PAIR = 4e-6  # share of all tokens from which a pair is sent to the tasks
 HOT_WORD = 1e-4  # share of all tokens from which a word's totals are broadcast
@@ -265,15 +268,15 @@ def score(docs: DataFrame, models: Models, text: str = "text", keep=None) -> Dat
 
 
 def with_target(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` as (text, target): whether the id is among ``ids``. Broadcast only if a count shows that they are few."""
+    """``docs`` as (doc_id, text, target): whether the id is among ``ids``. Broadcast only if a count shows that they are few."""
     ids = stored(ids.select("doc_id").distinct().withColumn("target", F.lit(True)), "target-ids")
     joined = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(bounded(ids, BROADCAST_ROWS), "doc_id", "left")
-    return joined.select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    return joined.select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
 
 
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: documents labelled as of good quality and not toxic. Background: all documents."""
     docs = documents(spark, sf_dir)
     good = documents(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0")
-    found = score(docs, fit(with_target(docs, good)), keep=["doc_id"])
+    found = score_corpus(with_target(docs, good), keep=["doc_id"])
     return unpacked(found, "n_tokens", "target_loss", "background_loss", "score")

@@ -6,15 +6,16 @@ import random
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakestrata.llm import byte_bpe, html_text, language_id, lm_score, quality_fm, quality_rules, token_store
+from lakestrata.llm import byte_bpe, html_text, language_id, lm_corpus, lm_score, quality_fm, quality_rules, token_store
 from lakestrata.llm.common import documents, in_training_fold, labelled_sample
-from lakestrata.session import scratch_path
+from lakestrata.session import scratch_path, shared_dir
 
 
 def word_ids(texts):
@@ -492,6 +493,45 @@ def test_lm_scores_texts_that_the_models_have_not_seen(spark):
     assert (row.target_loss, row.background_loss) == pytest.approx(want)
 
 
+@pytest.mark.parametrize(("hot", "slice_bytes", "bucket_tokens"), [(1e-3, 8 << 20, 2_000_000), (0.02, 300, 2000), (2.0, 5000, 10_000)])
+def test_lm_of_a_corpus_is_that_of_plain_dictionaries(spark, texts, monkeypatch, hot, slice_bytes, bucket_tokens):
+    """Whatever words are hot, and however the texts and words are cut."""
+    for name, value in (("HOT_WORD", hot), ("SLICE", slice_bytes), ("BUCKET_TOKENS", bucket_tokens)):
+        monkeypatch.setattr(lm_corpus, name, value)
+    rows = [(i, t, i % 3 == 0) for i, (_, t, _) in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, target boolean").repartition(3)
+    found = lm_corpus.score_corpus(frame, keep=["doc_id"])
+    got = found.orderBy("row.doc_id").collect()
+    want = plain_losses([(t, target) for _, t, target in rows], 0, 0)
+    assert [r.n_tokens for r in got] == [w[0] for w in want]
+    assert [(r.target_loss, r.background_loss) for r in got] == [pytest.approx(w[1:]) for w in want]
+    assert found.dtypes == lm_score.score(frame, lm_score.fit(frame), keep=["doc_id"]).dtypes
+
+
+def test_lm_of_a_corpus_without_target_or_rows(spark, docs, empty, texts):
+    found = lm_corpus.score_corpus(docs.withColumn("target", F.lit(False))).collect()
+    assert len(found) == len(texts) and {r.score for r in found} == {0.0}
+    assert {tuple(r.row.asDict()) for r in found} == {(*docs.columns, "target")}
+    assert lm_corpus.score_corpus(empty.withColumn("target", F.lit(True))).count() == 0
+
+
+def test_lm_query_stores_less_than_twice_its_documents(spark, tmp_path):
+    r = random.Random(5)
+    rows = [(i, " ".join(f"w{int(r.paretovariate(0.4)) % 50_000}" for _ in range(120))) for i in range(2000)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2, 0) for i in range(2000)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    def size(folder):
+        return sum(p.stat().st_size for p in Path(folder).rglob("*.parquet") if p.is_file())
+
+    before = size(shared_dir(spark))
+    got = lm_score.op4_lm_score(spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert size(shared_dir(spark)) - before < 2 * size(tmp_path / "documents.parquet")
+    frame = spark.createDataFrame([(*row, row[0] % 2 == 1) for row in rows], "doc_id long, text string, target boolean")
+    want = lm_score.score(frame, lm_score.fit(frame), keep=["doc_id"]).orderBy("row.doc_id").collect()
+    assert [(r.n_tokens, r.target_loss, r.background_loss) for r in got] == [pytest.approx(tuple(w)[1:4]) for w in want]
+
+
 def test_lm_of_empty_tables(spark, docs, empty, texts):
     none = empty.withColumn("target", F.lit(True)).select("text", "target")
     assert lm_score.score(docs, lm_score.fit(none), keep=["doc_id"]).count() == len(texts)
